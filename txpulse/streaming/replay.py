@@ -27,19 +27,23 @@ DAY_MS = 86_400_000
 
 
 def write_wire_slices(
-    spark: SparkSession, tx: DataFrame, slice_ms: int = 5 * DAY_MS, corrupt: bool = False, partitions: int = 4
+    spark: SparkSession,
+    tx: DataFrame,
+    slice_ms: int = 5 * DAY_MS,
+    corrupt: bool = False,
+    partitions: int = 4,
+    path: str | None = None,
 ) -> str:
-    """Write the Kafka-shaped records as time slices; returns the folder."""
-    path = scratch_path(spark, "wire")
-    wire = transactions_as_kafka(tx, corrupt=corrupt, partitions=partitions).withColumn(
-        "_t", F.unix_millis("timestamp")
-    )
+    """Append the Kafka-shaped records to ``path`` as time slices; returns the folder."""
+    path = path or scratch_path(spark, "wire")
+    wire = transactions_as_kafka(tx, corrupt=corrupt, partitions=partitions)
     lo, hi = tx.agg(F.min("event_time"), F.max("event_time")).first()
     if lo is None:
         return path
     start_ms = lo - lo % slice_ms
     for s in range(start_ms, hi + 1, slice_ms):  # a handful of time slices, each a distributed write
-        part = wire.where((F.col("_t") >= s) & (F.col("_t") < s + slice_ms)).drop("_t")
+        t = F.unix_millis("timestamp")
+        part = wire.where((t >= s) & (t < s + slice_ms))
         part.repartition(partitions, "partition").write.mode("append").parquet(path)
     return path
 
@@ -48,12 +52,15 @@ def wire_stream(spark: SparkSession, path: str, files_per_batch: int = 4) -> Dat
     return spark.readStream.schema(KAFKA_RECORD).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def _run(spark: SparkSession, events: DataFrame, name: str) -> DataFrame:
-    out = scratch_path(spark, f"{name}-out")
+def run_available(
+    spark: SparkSession, events: DataFrame, name: str, out: str | None = None, checkpoint: str | None = None
+) -> DataFrame:
+    """Process everything available, write it under ``out``; return what ``out`` holds."""
+    out = out or scratch_path(spark, f"{name}-out")
     q = start(
         events,
         BatchFanout([parquet_table_writer(out)], name=name),
-        checkpoint=scratch_path(spark, f"{name}-ckpt"),
+        checkpoint=checkpoint or scratch_path(spark, f"{name}-ckpt"),
         name=f"{name}_{abs(hash(out)) % 10**8}",
         trigger={"availableNow": True},
     )
@@ -68,18 +75,41 @@ def _run(spark: SparkSession, events: DataFrame, name: str) -> DataFrame:
         raise
 
 
-def replay_anomaly(
-    spark: SparkSession, sf_dir: str, window_ms: int = C.RFM_WINDOW_MS, time_mode: str = "None"
+def replay_alerts(
+    spark: SparkSession,
+    tx: DataFrame,
+    window_ms: int = C.ANOMALY_WINDOW_MS,
+    factor: float = C.ANOMALY_FACTOR,
+    time_mode: str = "None",
+    slice_ms: int = 5 * DAY_MS,
 ) -> DataFrame:
-    path = write_wire_slices(spark, events_transactions(spark, sf_dir))
-    alerts = alerts_stream(wire_stream(spark, path), window_ms=window_ms, time_mode=time_mode,
-                           watermark=f"{5 * DAY_MS // 1000} seconds")
-    return _run(spark, alerts, "alerts")
+    path = write_wire_slices(spark, tx, slice_ms)
+    alerts = alerts_stream(
+        wire_stream(spark, path), window_ms, factor, time_mode=time_mode, watermark=f"{slice_ms // 1000} seconds"
+    )
+    return run_available(spark, alerts, "alerts")
 
 
-def replay_rfm(
-    spark: SparkSession, sf_dir: str, rules: RfmRules = SCALED_RULES, time_mode: str = "None"
+def replay_segments(
+    spark: SparkSession,
+    tx: DataFrame,
+    rules: RfmRules = RfmRules(),
+    time_mode: str = "None",
+    slice_ms: int = 5 * DAY_MS,
+    seed: DataFrame | None = None,
 ) -> DataFrame:
-    path = write_wire_slices(spark, events_transactions(spark, sf_dir))
-    segments = segments_stream(wire_stream(spark, path), rules, time_mode=time_mode, watermark=f"{5 * DAY_MS // 1000} seconds")
-    return _run(spark, segments, "segments")
+    path = write_wire_slices(spark, tx, slice_ms)
+    segments = segments_stream(
+        wire_stream(spark, path), rules, time_mode=time_mode, watermark=f"{slice_ms // 1000} seconds", seed=seed
+    )
+    return run_available(spark, segments, "segments")
+
+
+def replay_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Driver query: 24-hour alerts over the replayed events."""
+    return replay_alerts(spark, events_transactions(spark, sf_dir), window_ms=C.RFM_WINDOW_MS)
+
+
+def replay_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Driver query: scaled-threshold segments over the replayed events."""
+    return replay_segments(spark, events_transactions(spark, sf_dir), SCALED_RULES)
