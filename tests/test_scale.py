@@ -22,7 +22,7 @@ def _hot(spark):
 
 
 def _set(df):
-    return sorted(_rows(df.columns, df.collect()))
+    return sorted(_rows(df.columns, df.collect()), key=repr)
 
 
 def test_hot_user_is_spread_over_buckets(spark):

@@ -27,7 +27,8 @@ DAY = 86_400_000
 
 
 def same(a, b):
-    ra, rb = sorted(_rows(a.columns, a.collect())), sorted(_rows(b.columns, b.collect()))
+    ra = sorted(_rows(a.columns, a.collect()), key=repr)
+    rb = sorted(_rows(b.columns, b.collect()), key=repr)
     assert sorted(a.columns) == sorted(b.columns)
     assert ra == rb
 
