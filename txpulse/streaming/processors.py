@@ -1,7 +1,9 @@
 """Keyed stateful processors (T1-T4) for ``transformWithStateInPandas``.
 
-Per user, the state is the trailing window's entries (ListState) - and for
-RFM also the epoch start and last-seen time (ValueState). Each micro-batch's
+Per user, the state is one ValueState row: the trailing window's entries as
+parallel arrays (event_time, seq, cents) - and for RFM also the epoch start
+and last-seen time. One row means one read and one write per user and
+micro-batch, instead of a round trip per list element. Each micro-batch's
 rows for a user are sorted by (event_time, seq) and merged with the buffered
 entries; frame totals come from prefix sums and ``searchsorted`` over the
 merged arrays, so a user's batch costs O(n log n) vectorised work.
@@ -28,40 +30,59 @@ from pyspark.sql.streaming.stateful_processor import (
 from txpulse.functions import constants as C
 from txpulse.functions.columns import alert_message
 from txpulse.operators.rfm import RfmRules
-from txpulse.schemas import ALERT, SEGMENT
 
-ANOMALY_ENTRY = "event_time long, seq long, cents long"
-RFM_ENTRY = "event_time long, seq long, dep_cents long"
-RFM_META = "first_ts long, last_ts long"
+ANOMALY_STATE = "ts array<long>, seq array<long>, cents array<long>"
+RFM_STATE = "first_ts long, last_ts long, ts array<long>, seq array<long>, dep_cents array<long>"
 
 # Columns of the initial-state frame for the RFM processor (snapshot rows).
 RFM_SEED = "user_id int, is_header boolean, event_time long, seq long, sum double, type string, first_ts long"
 
 
-def _cents(s: pd.Series) -> np.ndarray:
-    return np.rint(s.to_numpy(dtype="float64") * 100.0).astype("int64")
+def _cents(x: np.ndarray) -> np.ndarray:
+    return np.rint(x.astype("float64") * 100.0).astype("int64")
 
 
-def _is_type(s: pd.Series, name: str) -> np.ndarray:
-    return (s.fillna("").str.lower() == name.lower()).to_numpy()
+def _is_type(types, name: str) -> np.ndarray:
+    want = name.lower()
+    return np.fromiter((t is not None and t.lower() == want for t in types), dtype=bool, count=len(types))
 
 
-def _batch(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    df = pd.concat(list(rows), ignore_index=True)
-    return df.sort_values(["event_time", "seq"], kind="stable", ignore_index=True)
+class _Rows:
+    """A user's rows of one micro-batch as numpy arrays, sorted by (event_time, seq).
 
+    Per-user groups are small; plain arrays avoid pandas' per-call overhead.
+    """
 
-def _merge(old: list[tuple], new_ts, new_seq, new_vals, n_cols=3):
-    """Old entries + new rows sorted by (ts, seq); returns arrays and new positions."""
-    o = np.array(old, dtype="int64").reshape(-1, n_cols) if old else np.empty((0, n_cols), dtype="int64")
-    ts = np.concatenate([o[:, 0], new_ts])
-    seq = np.concatenate([o[:, 1], new_seq])
-    val = np.concatenate([o[:, 2], new_vals])
-    is_new = np.concatenate([np.zeros(len(o), bool), np.ones(len(new_ts), bool)])
+    __slots__ = ("user_id", "ts", "seq", "sum", "type", "n")
+
+    def __init__(self, frames: Iterator[pd.DataFrame]):
+        frames = list(frames)
+        df = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        ts = df["event_time"].to_numpy("int64")
+        seq = df["seq"].to_numpy("int64")
+        order = np.lexsort((seq, ts))
+        self.ts, self.seq = ts[order], seq[order]
+        self.sum = df["sum"].to_numpy("float64")[order]
+        self.type = df["type"].to_numpy(dtype=object)[order]
+        self.user_id = df["user_id"].to_numpy()[order].astype("int32")
+        self.n = len(ts)
+
+
+def _merge(old_ts, old_seq, old_val, new_ts, new_seq, new_vals):
+    """Buffered entries + new rows sorted by (ts, seq); returns arrays and new positions."""
+    ts = np.concatenate([np.asarray(old_ts, dtype="int64"), new_ts])
+    seq = np.concatenate([np.asarray(old_seq, dtype="int64"), new_seq])
+    val = np.concatenate([np.asarray(old_val, dtype="int64"), new_vals])
+    is_new = np.concatenate([np.zeros(len(old_ts), bool), np.ones(len(new_ts), bool)])
     order = np.lexsort((seq, ts))
     return ts[order], seq[order], val[order], np.flatnonzero(is_new[order])
 
 
+def _tail(ts, seq, val, horizon):
+    keep = ts >= horizon
+    return ts[keep].tolist(), seq[keep].tolist(), val[keep].tolist()
+
+
 def _prefix(v: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(v, dtype="int64")])
 
@@ -77,39 +98,42 @@ class AnomalyProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("entries", ANOMALY_ENTRY)
+        self.state = handle.getValueState("window", ANOMALY_STATE)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        df = _batch(rows)
-        cents = _cents(df["sum"])
-        ts, seq, val, pos = _merge(
-            list(self.buf.get()), df["event_time"].to_numpy("int64"), df["seq"].to_numpy("int64"), cents
-        )
+        b = _Rows(rows)
+        cents = _cents(b.sum)
+        old = self.state.get() or ([], [], [])
+        ts, seq, val, pos = _merge(old[0], old[1], old[2], b.ts, b.seq, cents)
         csum = _prefix(val)
         lo = np.searchsorted(ts, ts[pos] - self.window_ms, side="left")
         n = pos - lo
         total = csum[pos] - csum[lo]
-        hit = _is_type(df["type"], C.CREDIT) & (n > 0) & (total > 0) & (cents * n >= self.factor * total)
+        hit = _is_type(b.type, C.CREDIT) & (n > 0) & (total > 0) & (cents * n >= self.factor * total)
         self._keep(ts, seq, val)
         if hit.any():
-            out = df.loc[hit, ["user_id", "event_time", "seq", "type", "sum"]].copy()
-            out["avg_check_5min"] = total[hit] / (n[hit] * 100).astype("float64")
-            out["message"] = self.message
-            yield out[ALERT.fieldNames()].astype({"user_id": "int32"})
+            yield pd.DataFrame(
+                {
+                    "user_id": b.user_id[hit],
+                    "event_time": b.ts[hit],
+                    "seq": b.seq[hit],
+                    "type": b.type[hit],
+                    "sum": b.sum[hit],
+                    "avg_check_5min": total[hit] / (n[hit] * 100).astype("float64"),
+                    "message": self.message,
+                }
+            )
 
     def _keep(self, ts, seq, val) -> None:
-        newest = int(ts[-1]) if len(ts) else None
-        if newest is None:
-            return
-        keep = ts >= newest - self.window_ms
-        self.buf.put(list(zip(ts[keep].tolist(), seq[keep].tolist(), val[keep].tolist())))
+        newest = int(ts[-1])
+        self.state.update(_tail(ts, seq, val, newest - self.window_ms))
         if self.timers:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
             self.handle.registerTimer(newest + self.window_ms + 1)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        self.buf.clear()
+        self.state.clear()
         return iter([])
 
     def close(self) -> None:
@@ -125,34 +149,38 @@ class RfmProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("entries", RFM_ENTRY)
-        self.meta = handle.getValueState("meta", RFM_META)
+        self.state = handle.getValueState("rfm", RFM_STATE)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
+        first, last, o_ts, o_seq, o_dep = self.state.get() or (None, None, [], [], [])
         heads = initialState[initialState["is_header"]]
-        ents = initialState[~initialState["is_header"]]
+        ents = initialState[~initialState["is_header"]].sort_values(["event_time", "seq"])
         if len(heads):
             h = heads.iloc[-1]
-            self.meta.update((int(h["first_ts"]), int(h["event_time"])))
-        if len(ents):
-            dep = np.where(_is_type(ents["type"], C.DEPOSIT), _cents(ents["sum"]), 0)
-            self.buf.appendList(
-                list(zip(ents["event_time"].astype("int64").tolist(), ents["seq"].astype("int64").tolist(), dep.tolist()))
+            first, last = int(h["first_ts"]), int(h["event_time"])
+        dep = np.where(_is_type(ents["type"].to_numpy(dtype=object), C.DEPOSIT), _cents(ents["sum"].to_numpy()), 0)
+        self.state.update(
+            (
+                first,
+                last,
+                list(o_ts) + ents["event_time"].astype("int64").tolist(),
+                list(o_seq) + ents["seq"].astype("int64").tolist(),
+                list(o_dep) + dep.astype("int64").tolist(),
             )
+        )
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         r = self.rules
-        df = _batch(rows)
-        new_ts = df["event_time"].to_numpy("int64")
-        dep = np.where(_is_type(df["type"], C.DEPOSIT), _cents(df["sum"]), 0).astype("int64")
-        ts, seq, val, pos = _merge(list(self.buf.get()), new_ts, df["seq"].to_numpy("int64"), dep)
+        b = _Rows(rows)
+        new_ts = b.ts
+        dep = np.where(_is_type(b.type, C.DEPOSIT), _cents(b.sum), 0).astype("int64")
+        first0, last0, o_ts, o_seq, o_dep = self.state.get() or (None, None, [], [], [])
+        ts, seq, val, pos = _merge(o_ts, o_seq, o_dep, new_ts, b.seq, dep)
         csum = _prefix(val)
         lo = np.searchsorted(ts, ts[pos] - r.window_ms, side="left")
         f = pos - lo + 1
         m_cents = csum[pos + 1] - csum[lo]
 
-        meta = self.meta.get() if self.meta.exists() else None
-        first0, last0 = (meta[0], meta[1]) if meta else (None, None)
         # previous transaction: the one before in merged order, else the stored last
         prev = ts[np.maximum(pos - 1, 0)]
         if last0 is not None:
@@ -178,18 +206,17 @@ class RfmProcessor(StatefulProcessor):
         )
 
         newest = int(ts[-1])
-        keep = ts >= newest - r.window_ms
-        self.buf.put(list(zip(ts[keep].tolist(), seq[keep].tolist(), val[keep].tolist())))
-        self.meta.update((int(first[-1]), max(newest, last0 or newest)))
+        last = newest if last0 is None else max(newest, last0)
+        self.state.update((int(first[-1]), last, *_tail(ts, seq, val, newest - r.window_ms)))
         if self.timers:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
             self.handle.registerTimer(newest + r.retention_ms)
 
-        out = pd.DataFrame(
+        yield pd.DataFrame(
             {
-                "user_id": df["user_id"].astype("int32"),
-                "seq": df["seq"].astype("int64"),
+                "user_id": b.user_id,
+                "seq": b.seq,
                 "segment": segment,
                 "r_minutes": r_minutes.astype("float64"),
                 "f": f.astype("int64"),
@@ -197,12 +224,10 @@ class RfmProcessor(StatefulProcessor):
                 "updated_at": new_ts,
             }
         )
-        yield out[SEGMENT.fieldNames()]
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
         # idle for the whole retention: the epoch ends, nothing is emitted
-        self.buf.clear()
-        self.meta.clear()
+        self.state.clear()
         return iter([])
 
     def close(self) -> None:

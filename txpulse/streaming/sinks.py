@@ -12,6 +12,7 @@ batch retried after a failure does not duplicate output.
 from __future__ import annotations
 
 import logging
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
@@ -33,6 +34,7 @@ class BatchFanout:
         self.name = name
         self.sample_rows = sample_rows
         self.last_metrics: dict = {}
+        self.history: deque[dict] = deque(maxlen=256)  # recent batches only
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         obs = Observation(f"{self.name}_{batch_id}")
@@ -42,6 +44,7 @@ class BatchFanout:
         try:
             batch.count()  # materialises the cache and the observed metrics
             self.last_metrics = {"batch_id": batch_id, **obs.get}
+            self.history.append(self.last_metrics)
             log.info("%s batch %s: %s", self.name, batch_id, self.last_metrics)
             if self.sample_rows:
                 for row in batch.limit(self.sample_rows).collect():  # bounded sample
