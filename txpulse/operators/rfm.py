@@ -161,7 +161,8 @@ def rfm_detail(
     """Every row (seed rows included, ``_emit`` false) with its RFM values.
 
     Columns: user_id, type, sum, event_time, seq, _emit, cents, dep_cents,
-    f, m_cents, m, first_ts, prev_ts, r_minutes, segment, is_last, in_tail.
+    f, m_cents, m, first_ts, prev_ts, r_minutes, segment, is_last, in_tail,
+    user_last_ts.
     """
     width = bucket_width(rules.window_ms, bucket_ms, max_ms=rules.retention_ms)
     rows = _rows(tx, seed_entries)
@@ -201,6 +202,7 @@ def rfm_detail(
         # the last row, in (event_time, seq) order, of the user's last bucket
         (F.col("_last_bucket") & next_in.isNull()).alias("is_last"),
         (F.col("event_time") >= last - F.lit(rules.window_ms)).alias("in_tail"),
+        last.alias("user_last_ts"),
     )
 
 

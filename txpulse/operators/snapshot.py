@@ -20,12 +20,23 @@ from pyspark.sql import functions as F
 from txpulse.functions import constants as C
 
 
-def snapshot_from_detail(detail: DataFrame, ttl_ms: int = C.SNAPSHOT_TTL_MS) -> tuple[DataFrame, DataFrame]:
-    """(headers, entries) of the state after each user's last transaction.
+SNAPSHOT_COLUMNS = (
+    "user_id", "event_time", "seq", "sum", "type", "first_ts", "f", "m", "r_minutes", "segment", "is_last", "in_tail",
+    "user_last_ts",
+)
+
+
+def snapshot_rows(detail: DataFrame) -> DataFrame:
+    """The rows a snapshot needs - each user's last row and trailing window - in one table.
 
-    ``written_at`` is the event time of the write, so expiry is replayable.
+    Written once, it yields both views below without recomputing the detail.
     """
-    headers = detail.where(F.col("is_last")).select(
+    return detail.where(F.col("is_last") | F.col("in_tail")).select(*SNAPSHOT_COLUMNS)
+
+
+def headers_of(rows: DataFrame, ttl_ms: int = C.SNAPSHOT_TTL_MS) -> DataFrame:
+    """One header per user; ``written_at`` is the event time of the write, so expiry is replayable."""
+    return rows.where(F.col("is_last")).select(
         "user_id",
         "first_ts",
         F.col("event_time").alias("last_ts"),
@@ -37,8 +48,19 @@ def snapshot_from_detail(detail: DataFrame, ttl_ms: int = C.SNAPSHOT_TTL_MS) ->
         F.col("event_time").alias("written_at"),
         (F.col("event_time") + F.lit(ttl_ms)).alias("expires_at"),
     )
-    entries = detail.where(F.col("in_tail")).select("user_id", "event_time", "seq", "sum", "type")
-    return headers, entries
+
+
+def entries_of(rows: DataFrame, ttl_ms: int = C.SNAPSHOT_TTL_MS) -> DataFrame:
+    """Trailing-window entries; each carries its user's expiry, so liveness is a filter."""
+    return rows.where(F.col("in_tail")).select(
+        "user_id", "event_time", "seq", "sum", "type", (F.col("user_last_ts") + F.lit(ttl_ms)).alias("expires_at")
+    )
+
+
+def snapshot_from_detail(detail: DataFrame, ttl_ms: int = C.SNAPSHOT_TTL_MS) -> tuple[DataFrame, DataFrame]:
+    """(headers, entries) of the state after each user's last transaction."""
+    rows = snapshot_rows(detail)
+    return headers_of(rows, ttl_ms), entries_of(rows, ttl_ms)
 
 
 def live_headers(headers: DataFrame, as_of: int | None) -> DataFrame:
@@ -48,9 +70,11 @@ def live_headers(headers: DataFrame, as_of: int | None) -> DataFrame:
     return headers.where(F.col("expires_at") > F.lit(as_of))
 
 
-def live_entries(entries: DataFrame, headers: DataFrame) -> DataFrame:
-    """Entries of users whose header is live (semi join on user_id)."""
-    return entries.join(headers.select("user_id"), on="user_id", how="left_semi")
+def live_entries(entries: DataFrame, as_of: int | None) -> DataFrame:
+    """Entries of users whose snapshot has not expired at ``as_of``."""
+    if as_of is None:
+        return entries
+    return entries.where(F.col("expires_at") > F.lit(as_of))
 
 
 def merge_snapshot(

@@ -12,16 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txpulse.operators.rfm import RfmRules, rfm_detail, rfm_segments
-from txpulse.operators.snapshot import live_entries, live_headers, snapshot_from_detail
+from txpulse.operators.snapshot import entries_of, headers_of, live_entries, live_headers, snapshot_rows
 from txpulse.session import scratch_path
 
 
-def write_snapshot(spark: SparkSession, headers: DataFrame, entries: DataFrame, name: str = "rfm-snapshot"):
-    """Write both tables; return them read back from storage."""
-    root = scratch_path(spark, name)
-    headers.write.mode("overwrite").parquet(f"{root}/headers")
-    entries.write.mode("overwrite").parquet(f"{root}/entries")
-    return spark.read.parquet(f"{root}/headers"), spark.read.parquet(f"{root}/entries")
+def write_snapshot(spark: SparkSession, detail: DataFrame, name: str = "rfm-snapshot"):
+    """Write the snapshot rows once; return (headers, entries) read back from storage."""
+    path = scratch_path(spark, name)
+    snapshot_rows(detail).write.mode("overwrite").parquet(path)
+    rows = spark.read.parquet(path)
+    return headers_of(rows), entries_of(rows)
 
 
 def split_time(tx: DataFrame) -> int:
@@ -32,8 +32,8 @@ def split_time(tx: DataFrame) -> int:
 def split_and_resume(spark: SparkSession, tx: DataFrame, rules: RfmRules = RfmRules()) -> DataFrame:
     t_split = split_time(tx)
     first = rfm_detail(tx.where(F.col("event_time") < t_split), rules)
-    headers, entries = write_snapshot(spark, *snapshot_from_detail(first))
+    headers, entries = write_snapshot(spark, first)
     headers = live_headers(headers, t_split)
-    entries = live_entries(entries, headers)
+    entries = live_entries(entries, t_split)
     second = tx.where(F.col("event_time") >= t_split)
     return rfm_segments(second, rules, seed_headers=headers, seed_entries=entries)
