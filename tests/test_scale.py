@@ -87,3 +87,28 @@ def test_rfm_big_side_is_shuffled_once(spark):
     assert len(big) == 1, big
     assert "hashpartitioning(user_id" in big[0] and "_bucket" in big[0]
     assert not any("BroadcastExchange" in sec for sec in ex)
+
+
+@pytest.mark.parametrize("bucket_ms", [60_000, 3_600_000, "auto"])
+def test_narrow_and_auto_buckets_agree(spark, bucket_ms):
+    tx = _hot(spark)
+    wide = 40 * DAY
+    r1 = rolling_avg_check(tx, bucket_ms=bucket_ms).select("seq", "prior_n", "prior_cents")
+    r2 = rolling_avg_check(tx, bucket_ms=wide).select("seq", "prior_n", "prior_cents")
+    assert _set(r1) == _set(r2)
+    rules = RfmRules(recency="gap")
+    cols = ("user_id", "seq", "f", "m_cents", "first_ts", "prev_ts", "is_last", "in_tail")
+    narrow = 6 * 3_600_000 if bucket_ms != "auto" else "auto"  # 6 h < the 24 h window
+    a = rfm_detail(tx, rules, bucket_ms=narrow).select(*cols)
+    b = rfm_detail(tx, rules, bucket_ms=rules.retention_ms).select(*cols)
+    assert _set(a) == _set(b)
+
+
+def test_auto_width_narrows_for_a_hot_user(spark):
+    from txpulse.operators.windows import auto_bucket_width
+
+    tx = _hot(spark)
+    plain = auto_bucket_width(tx, "user_id", "event_time", C.RFM_WINDOW_MS, target_rows=10_000)
+    hot = auto_bucket_width(tx, "user_id", "event_time", C.RFM_WINDOW_MS, target_rows=30)
+    assert plain == 4 * C.RFM_WINDOW_MS  # nothing is hot enough: the default
+    assert C.RFM_WINDOW_MS <= hot < plain

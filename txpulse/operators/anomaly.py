@@ -14,6 +14,7 @@ from txpulse.functions import constants as C
 from txpulse.functions.columns import alert_message, anomaly_condition, mean_from_cents, to_cents
 from txpulse.operators.windows import (
     HALO,
+    auto_bucket_width,
     bucket_width,
     frame_count,
     frame_specs,
@@ -25,15 +26,18 @@ from txpulse.operators.windows import (
 def rolling_avg_check(
     tx: DataFrame,
     window_ms: int = C.ANOMALY_WINDOW_MS,
-    bucket_ms: int | None = None,
+    bucket_ms: int | str | None = None,
 ) -> DataFrame:
     """Per transaction: prior_n, prior_cents and avg_check_5min over the trailing window.
 
     Output: user_id, event_time, seq, type, sum, cents, prior_n, prior_cents,
     avg_check_5min (0.0 when the window is empty).
     """
-    width = bucket_width(window_ms, bucket_ms)
     rows = tx.select("user_id", "type", "sum", "event_time", "seq", to_cents("sum").alias("cents"))
+    if bucket_ms == "auto":
+        width = auto_bucket_width(rows, "user_id", "event_time", window_ms)
+    else:
+        width = bucket_width(window_ms, bucket_ms)
     framed = with_halo(rows, "event_time", window_ms, width)
     seen, older = frame_specs("user_id", "event_time", "seq", window_ms, include_current=False)
     stats = framed.select(
@@ -54,7 +58,7 @@ def anomaly_alerts(
     tx: DataFrame,
     window_ms: int = C.ANOMALY_WINDOW_MS,
     factor: float = C.ANOMALY_FACTOR,
-    bucket_ms: int | None = None,
+    bucket_ms: int | str | None = None,
 ) -> DataFrame:
     """Alert rows: user_id, event_time, seq, type (as sent), sum, avg_check_5min, message."""
     checked = rolling_avg_check(tx, window_ms, bucket_ms)

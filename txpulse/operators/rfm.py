@@ -28,6 +28,7 @@ from txpulse.functions.columns import is_type, to_cents
 from txpulse.operators.windows import (
     BUCKET,
     HALO,
+    auto_bucket_width,
     bucket_width,
     frame_count,
     frame_specs,
@@ -154,7 +155,7 @@ def _summary(rows: DataFrame, seed_headers: DataFrame | None, width: int, rules:
 def rfm_detail(
     tx: DataFrame,
     rules: RfmRules = RfmRules(),
-    bucket_ms: int | None = None,
+    bucket_ms: int | str | None = None,
     seed_headers: DataFrame | None = None,
     seed_entries: DataFrame | None = None,
 ) -> DataFrame:
@@ -164,8 +165,11 @@ def rfm_detail(
     f, m_cents, m, first_ts, prev_ts, r_minutes, segment, is_last, in_tail,
     user_last_ts.
     """
-    width = bucket_width(rules.window_ms, bucket_ms, max_ms=rules.retention_ms)
     rows = _rows(tx, seed_entries)
+    if bucket_ms == "auto":
+        width = auto_bucket_width(rows, "user_id", "event_time", rules.window_ms, max_ms=rules.retention_ms)
+    else:
+        width = bucket_width(rules.window_ms, bucket_ms, max_ms=rules.retention_ms)
     framed = with_halo(rows, "event_time", rules.window_ms, width)
     seen, older = frame_specs("user_id", "event_time", "seq", rules.window_ms, include_current=True)
     stats = framed.select(
@@ -209,7 +213,7 @@ def rfm_detail(
 def rfm_segments(
     tx: DataFrame,
     rules: RfmRules = RfmRules(),
-    bucket_ms: int | None = None,
+    bucket_ms: int | str | None = None,
     seed_headers: DataFrame | None = None,
     seed_entries: DataFrame | None = None,
 ) -> DataFrame:

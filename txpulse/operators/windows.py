@@ -12,11 +12,13 @@ A row's trailing frame is every row of the same key with
   leave it. Totals are integer cents, so the difference is exact.
 
 * **No key is one task.** Rows are partitioned by ``(key, bucket)`` with
-  ``bucket = floor(event_time / B)`` and ``B >= W``. A row that a later
-  bucket's frames can reach (``t + W >= start of the next bucket``) is also
-  copied into that bucket as a *halo* row, which takes part in frames but is
-  never emitted. A user with a third of all rows is then spread over
-  ``span / B`` tasks, at the cost of copying a ``W / B`` share of the rows.
+  ``bucket = floor(event_time / B)``. A row that a later bucket's frames can
+  reach (any bucket up to ``floor((t + W) / B)``) is also copied into it as a
+  *halo* row, which takes part in frames but is never emitted. A user with a
+  third of all rows is then spread over ``span / B`` tasks. With ``B >= W`` a
+  row has at most one copy (a ``W / B`` share of rows is copied); a narrower
+  ``B`` splits a burst even finer at about ``W / B`` copies per row.
+  ``bucket_ms="auto"`` sizes ``B`` from the hottest (key, bucket) group.
 """
 
 from __future__ import annotations
@@ -31,31 +33,63 @@ HALO = "_halo"
 
 
 def bucket_width(window_ms: int, bucket_ms: int | None = None, max_ms: int | None = None) -> int:
-    """Bucket width B with window_ms <= B (<= max_ms when given).
+    """Bucket width B (at most ``max_ms`` when given).
 
     Default: the larger of 4 W and one day, so at most a quarter of the rows
     are copied while a bucket still holds little of a long history.
     """
     width = bucket_ms or max(4 * window_ms, DAY_MS)
-    width = max(width, window_ms)
     if max_ms is not None:
         width = min(width, max_ms)
-    if width < window_ms or width <= 0:
-        raise ValueError(f"no bucket width fits window {window_ms} ms within {max_ms} ms")
+    if width <= 0:
+        raise ValueError(f"bucket width must be positive, got {width}")
     return int(width)
 
 
+def auto_bucket_width(
+    df: DataFrame,
+    key: str,
+    time_col: str,
+    window_ms: int,
+    max_ms: int | None = None,
+    target_rows: int = 4_000_000,
+    min_ms: int = 1000,
+) -> int:
+    """Width whose hottest (key, bucket) group holds about ``target_rows`` rows.
+
+    One aggregate over (key, default bucket) - partial aggregation map-side,
+    one scalar to the driver. A hot key narrows the buckets (more copies per
+    row, smaller groups); ordinary data keeps the default.
+    """
+    width = bucket_width(window_ms, None, max_ms)
+    hottest = (
+        df.groupBy(key, time_bucket(time_col, width).alias("_b"))
+        .count()
+        .agg(F.max("count"))
+        .first()[0]
+    )
+    if not hottest or hottest <= target_rows:
+        return width
+    # a task holds its bucket plus the halo, about rate * (B + W) rows: solve for B.
+    # Below B = W the halo dominates and narrowing no longer shrinks the task.
+    rate = hottest / width
+    return int(max(window_ms, min(width, target_rows / rate - window_ms), min_ms))
+
+
 def time_bucket(time_col: str, width: int) -> Column:
     """floor(time / width) in exact integer arithmetic."""
-    return F.expr(f"({time_col} - pmod({time_col}, {width})) div {width}")
+    return _floor_div(time_col, width)
+
+
+def _floor_div(expr_sql: str, width: int) -> Column:
+    return F.expr(f"(({expr_sql}) - pmod({expr_sql}, {width})) div {width}")
 
 
 def with_halo(df: DataFrame, time_col: str, window_ms: int, width: int) -> DataFrame:
-    """Tag each row with its bucket and add halo copies for the next bucket."""
+    """Tag each row with its bucket and add halo copies for the later buckets that reach it."""
     own = time_bucket(time_col, width)
-    reaches_next = F.col(time_col) + F.lit(window_ms) >= (own + 1) * F.lit(width)
-    buckets = F.when(reaches_next, F.array(own, own + 1)).otherwise(F.array(own))
-    return df.select("*", own.alias("_own"), F.explode(buckets).alias(BUCKET)).select(
+    reach = _floor_div(f"{time_col} + {int(window_ms)}", width)
+    return df.select("*", own.alias("_own"), F.explode(F.sequence(own, reach)).alias(BUCKET)).select(
         *df.columns, BUCKET, (F.col(BUCKET) != F.col("_own")).alias(HALO)
     )
 

@@ -15,8 +15,10 @@ from txpulse.functions import constants as C
 from txpulse.operators.rfm import RfmRules
 from txpulse.schemas import ALERT, SEGMENT
 from txpulse.sources.ingest import parse_transactions
+from txpulse.session import checkpoint_root as checkpoint_root_of
+from txpulse.sources.kafka import ALERTS_TOPIC, INPUT_TOPIC, SEGMENTS_TOPIC, kafka_stream
 from txpulse.streaming.processors import RFM_SEED, AnomalyProcessor, RfmProcessor
-from txpulse.streaming.sinks import BatchFanout
+from txpulse.streaming.sinks import BatchFanout, console_writer, kafka_writer, snapshot_upsert_writer
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 TIME_MODES = ("None", "EventTime", "ProcessingTime")
@@ -49,7 +51,8 @@ def alerts_stream(
 ) -> DataFrame:
     """Streaming alerts (T1) with ALERT schema; EventTime mode expires idle users."""
     use_rocksdb(kafka_df.sparkSession)
-    proc = AnomalyProcessor(window_ms, factor, timers=time_mode == "EventTime")
+    ttl = window_ms if time_mode == "ProcessingTime" else None
+    proc = AnomalyProcessor(window_ms, factor, timers=time_mode == "EventTime", ttl_ms=ttl)
     return (
         _keyed(kafka_df, time_mode, watermark)
         .groupBy("user_id")
@@ -66,7 +69,8 @@ def segments_stream(
 ) -> DataFrame:
     """Streaming RFM segments (T2); ``seed`` (see ``seed_frame``) restores state (S3, T5)."""
     use_rocksdb(kafka_df.sparkSession)
-    proc = RfmProcessor(rules, timers=time_mode == "EventTime")
+    ttl = rules.retention_ms if time_mode == "ProcessingTime" else None
+    proc = RfmProcessor(rules, timers=time_mode == "EventTime", ttl_ms=ttl)
     initial = seed.groupBy("user_id") if seed is not None else None
     return (
         _keyed(kafka_df, time_mode, watermark)
@@ -117,3 +121,74 @@ def start(
 def run_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """Block until any query stops (T7); re-raises its failure."""
     spark.streams.awaitAnyTermination()
+
+
+def start_live(
+    spark: SparkSession,
+    bootstrap_servers: str,
+    input_topic: str = INPUT_TOPIC,
+    alerts_topic: str = ALERTS_TOPIC,
+    segments_topic: str = SEGMENTS_TOPIC,
+    checkpoint_root: str | None = None,
+    time_mode: str = "ProcessingTime",
+    trigger: dict | None = None,
+    console_rows: int = 0,
+    max_offsets_per_trigger: int | None = None,
+) -> list[StreamingQuery]:
+    """The two live queries: Kafka in, alerts / segments to Kafka, snapshot table, optional console echo."""
+    root = checkpoint_root or checkpoint_root_of(spark)
+    queries = []
+    for name, build, topic, fields, extra in (
+        ("alerts", lambda k: alerts_stream(k, time_mode=time_mode), alerts_topic, C.ALERT_FIELDS, []),
+        (
+            "segments",
+            lambda k: segments_stream(k, time_mode=time_mode),
+            segments_topic,
+            C.SEGMENT_FIELDS,
+            [snapshot_upsert_writer(f"{root}/snapshot")],
+        ),
+    ):
+        source = kafka_stream(spark, bootstrap_servers, input_topic, max_offsets_per_trigger=max_offsets_per_trigger)
+        writers = [kafka_writer(bootstrap_servers, topic, fields), *extra]
+        if console_rows:
+            writers.append(console_writer(console_rows))
+        sink = BatchFanout(writers, name=name)
+        queries.append(start(build(source), sink, f"{root}/{name}-checkpoint", f"{name}-to-kafka", trigger))
+    return queries
+
+
+def main(argv: list[str] | None = None) -> None:
+    import argparse
+
+    from txpulse.session import build_session
+
+    ap = argparse.ArgumentParser(description="Live anomaly alerts and RFM segments from Kafka")
+    ap.add_argument("--bootstrap-servers", required=True)
+    ap.add_argument("--input-topic", default=INPUT_TOPIC)
+    ap.add_argument("--alerts-topic", default=ALERTS_TOPIC)
+    ap.add_argument("--segments-topic", default=SEGMENTS_TOPIC)
+    ap.add_argument("--checkpoint-root", default=None, help="shared folder; default spark.checkpoint.dir")
+    ap.add_argument("--time-mode", default="ProcessingTime", choices=TIME_MODES)
+    ap.add_argument("--trigger-seconds", type=int, default=0, help="0 = as fast as possible")
+    ap.add_argument("--console-rows", type=int, default=0)
+    ap.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    a = ap.parse_args(argv)
+    spark = build_session()
+    trigger = {"processingTime": f"{a.trigger_seconds} seconds"} if a.trigger_seconds else None
+    qs = start_live(
+        spark,
+        a.bootstrap_servers,
+        a.input_topic,
+        a.alerts_topic,
+        a.segments_topic,
+        a.checkpoint_root,
+        a.time_mode,
+        trigger,
+        a.console_rows,
+        a.max_offsets_per_trigger,
+    )
+    run_all(spark, qs)
+
+
+if __name__ == "__main__":
+    main()

@@ -90,15 +90,22 @@ def _prefix(v: np.ndarray) -> np.ndarray:
 class AnomalyProcessor(StatefulProcessor):
     """Alerts: Credit with sum >= factor * mean of the prior window (all types)."""
 
-    def __init__(self, window_ms: int = C.ANOMALY_WINDOW_MS, factor: float = C.ANOMALY_FACTOR, timers: bool = False):
+    def __init__(
+        self,
+        window_ms: int = C.ANOMALY_WINDOW_MS,
+        factor: float = C.ANOMALY_FACTOR,
+        timers: bool = False,
+        ttl_ms: int | None = None,
+    ):
         self.window_ms = window_ms
         self.factor = factor
         self.timers = timers
+        self.ttl_ms = ttl_ms  # ProcessingTime mode: idle expiry by wall clock, like the reference
         self.message = alert_message(factor)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("window", ANOMALY_STATE)
+        self.state = handle.getValueState("window", ANOMALY_STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         b = _Rows(rows)
@@ -143,13 +150,14 @@ class AnomalyProcessor(StatefulProcessor):
 class RfmProcessor(StatefulProcessor):
     """One segment event per transaction; state = window entries + epoch marks."""
 
-    def __init__(self, rules: RfmRules = RfmRules(), timers: bool = False):
+    def __init__(self, rules: RfmRules = RfmRules(), timers: bool = False, ttl_ms: int | None = None):
         self.rules = rules
         self.timers = timers
+        self.ttl_ms = ttl_ms  # ProcessingTime mode: idle expiry by wall clock, like the reference
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("rfm", RFM_STATE)
+        self.state = handle.getValueState("rfm", RFM_STATE, self.ttl_ms)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
         first, last, o_ts, o_seq, o_dep = self.state.get() or (None, None, [], [], [])
