@@ -110,12 +110,27 @@ def start(
     checkpoint: str,
     name: str,
     trigger: dict | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Start one named query; ``trigger`` e.g. {"availableNow": True} or {"processingTime": "10 seconds"}."""
+    """Start one named query; ``trigger`` e.g. {"availableNow": True} or {"processingTime": "10 seconds"}.
+
+    The state store has one partition per shuffle partition, fixed by the
+    checkpoint's first run; it is set here explicitly (default: the cluster's
+    parallelism) rather than inherited from whatever the session holds. A
+    restarted query keeps the count recorded in its checkpoint.
+    """
+    spark = events.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    n = state_partitions or spark.sparkContext.defaultParallelism
     writer = events.writeStream.queryName(name).option("checkpointLocation", checkpoint).foreachBatch(sink)
     if trigger:
         writer = writer.trigger(**trigger)
-    return writer.start()
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start()  # the query runs on a copy of the session taken here
+    finally:
+        spark.conf.set(key, previous)
 
 
 def run_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
@@ -134,6 +149,7 @@ def start_live(
     trigger: dict | None = None,
     console_rows: int = 0,
     max_offsets_per_trigger: int | None = None,
+    state_partitions: int | None = None,
 ) -> list[StreamingQuery]:
     """The two live queries: Kafka in, alerts / segments to Kafka, snapshot table, optional console echo."""
     root = checkpoint_root or checkpoint_root_of(spark)
@@ -153,7 +169,9 @@ def start_live(
         if console_rows:
             writers.append(console_writer(console_rows))
         sink = BatchFanout(writers, name=name)
-        queries.append(start(build(source), sink, f"{root}/{name}-checkpoint", f"{name}-to-kafka", trigger))
+        queries.append(
+            start(build(source), sink, f"{root}/{name}-checkpoint", f"{name}-to-kafka", trigger, state_partitions)
+        )
     return queries
 
 
@@ -172,6 +190,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trigger-seconds", type=int, default=0, help="0 = as fast as possible")
     ap.add_argument("--console-rows", type=int, default=0)
     ap.add_argument("--max-offsets-per-trigger", type=int, default=None)
+    ap.add_argument("--state-partitions", type=int, default=None, help="fixed at the first start")
     a = ap.parse_args(argv)
     spark = build_session()
     trigger = {"processingTime": f"{a.trigger_seconds} seconds"} if a.trigger_seconds else None
@@ -186,6 +205,7 @@ def main(argv: list[str] | None = None) -> None:
         trigger,
         a.console_rows,
         a.max_offsets_per_trigger,
+        a.state_partitions,
     )
     run_all(spark, qs)
 
