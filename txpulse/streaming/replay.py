@@ -34,20 +34,39 @@ def write_wire_slices(
     partitions: int = 4,
     path: str | None = None,
 ) -> str:
-    """Append the Kafka-shaped records to ``path`` as time slices; returns the folder."""
+    """Append the Kafka-shaped records to ``path`` as time slices; returns the folder.
+
+    The wire is encoded once into a staging table partitioned by slice; each
+    slice is then copied on its own, oldest first (partition pruning reads
+    only that slice), so file times follow event time.
+    """
     path = path or scratch_path(spark, "wire")
+    staging = scratch_path(spark, "wire-staging")
     wire = transactions_as_kafka(tx, corrupt=corrupt, partitions=partitions)
-    lo, hi = tx.agg(F.min("event_time"), F.max("event_time")).first()
-    if lo is None:
-        return path
-    start_ms = lo - lo % slice_ms
-    for s in range(start_ms, hi + 1, slice_ms):  # a handful of time slices, each a distributed write
-        t = F.unix_millis("timestamp")
-        part = wire.where((t >= s) & (t < s + slice_ms))
-        part.repartition(partitions, "partition").write.mode("append").parquet(path)
+    ms = "unix_millis(timestamp)"
+    # one shuffle: each staged file holds whole Kafka partitions of one slice
+    (
+        wire.withColumn("_slice", F.expr(f"({ms} - pmod({ms}, {slice_ms})) div {slice_ms}"))
+        .repartition(partitions, "partition")
+        .write.partitionBy("_slice")
+        .parquet(staging)
+    )
+    staged = spark.read.parquet(staging)
+    for k in _partition_values(spark, staging, "_slice"):  # a handful of time slices, each a distributed copy, no shuffle
+        staged.where(F.col("_slice") == k).drop("_slice").write.mode("append").parquet(path)
     return path
 
 
+def _partition_values(spark: SparkSession, folder: str, column: str) -> list[int]:
+    """Values of a partition column, from the folder names (a metadata listing, no job)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{column}="
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+
+
 def wire_stream(spark: SparkSession, path: str, files_per_batch: int = 4) -> DataFrame:
     return spark.readStream.schema(KAFKA_RECORD).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
