@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 from txpulse.functions import constants as C
 from txpulse.operators.anomaly import anomaly_alerts, rolling_avg_check
-from txpulse.operators.rfm import SCALED_RULES, RfmRules, rfm_detail, rfm_latest, rfm_segments
+from txpulse.functions.envelope import alerts_to_kv, reparse_alert_kv, reparse_segment_kv, segments_to_kv
+from txpulse.operators.rfm import SCALED_RULES, RfmRules, rfm_detail, rfm_latest, rfm_segments, segment_label
 from txpulse.operators.snapshot import live_headers, snapshot_from_detail
+from txpulse.plans.restore import split_and_resume
 from txpulse.sources.events import events_transactions, orders_transactions
 from txpulse.sources.ingest import parse_transactions, parse_typed_transactions
 from txpulse.sources.kafka import transactions_as_kafka
-from txpulse.functions.envelope import alerts_to_kv, segments_to_kv, reparse_alert_kv, reparse_segment_kv
 
 DAY_MS = 86_400_000
 YEAR_MS = 365 * DAY_MS
@@ -116,36 +117,34 @@ def _max_event_time(tx: DataFrame) -> int:
 
 
 def q_rfm_sleeping_asof(spark, sf_dir):
-    """Each user as of the data's end: minutes since last, f/m over the window ending then."""
+    """Each user as of the data's end: minutes since last, f/m over the window ending then.
+
+    One aggregate over each user's trailing rows (the last row is among them):
+    combined map-side, no join, no second pass over the detail.
+    """
     tx = events_transactions(spark, sf_dir)
     as_of = _max_event_time(tx)
     rules = SCALED_RULES
-    d = rfm_detail(tx, rules)
-    # rows that can be inside the window ending at as_of are in each user's tail
-    window = (
-        d.where(F.col("in_tail") & (F.col("event_time") >= F.lit(as_of - rules.window_ms)))
+    in_window = F.col("event_time") >= F.lit(as_of - rules.window_ms)
+    per_user = (
+        rfm_detail(tx, rules)
+        .where(F.col("in_tail"))
         .groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("f"), F.sum("dep_cents").alias("m_cents"))
+        .agg(
+            F.count(F.when(in_window, 1)).alias("f"),
+            F.coalesce(F.sum(F.when(in_window, F.col("dep_cents"))), F.lit(0).cast("long")).alias("m_cents"),
+            F.max("event_time").alias("last_ts"),
+            F.max_by("first_ts", F.struct("event_time", "seq")).alias("first_ts"),
+        )
     )
-    last = rfm_latest(d).select("user_id", F.col("event_time").alias("last_ts"), "first_ts")
     r_minutes = (F.lit(as_of) - F.col("last_ts")) / F.lit(60000.0)
-    from txpulse.operators.rfm import segment_label
-
-    j = last.join(window, on="user_id", how="left").select(
+    return per_user.select(
         "user_id",
         "last_ts",
-        F.coalesce("f", F.lit(0).cast("long")).alias("f"),
-        F.coalesce("m_cents", F.lit(0).cast("long")).alias("m_cents"),
-        "first_ts",
         r_minutes.alias("r_minutes"),
-    )
-    return j.select(
-        "user_id",
-        "last_ts",
-        "r_minutes",
         "f",
         (F.col("m_cents") / F.lit(100.0)).alias("m"),
-        segment_label(rules, F.lit(as_of) - F.col("first_ts"), F.col("f"), F.col("m_cents"), F.col("r_minutes")).alias(
+        segment_label(rules, F.lit(as_of) - F.col("first_ts"), F.col("f"), F.col("m_cents"), r_minutes).alias(
             "segment"
         ),
     )
@@ -161,8 +160,6 @@ def q_kv_retention(spark, sf_dir):
 
 def q_state_restore(spark, sf_dir):
     """Run to a split time, snapshot, then resume from the snapshot only."""
-    from txpulse.plans.restore import split_and_resume
-
     return split_and_resume(spark, events_transactions(spark, sf_dir), SCALED_RULES)
 
 
