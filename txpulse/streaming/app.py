@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from txpulse.functions import constants as C
 from txpulse.operators.rfm import RfmRules
@@ -135,6 +135,41 @@ def start(
         spark.conf.set(key, previous)
 
 
+class ProgressLog(StreamingQueryListener):
+    """Per-batch metrics of every query (T11): rows in, batch time, state size.
+
+    Keeps the most recent entries only; the driver never accumulates history.
+    """
+
+    def __init__(self, keep: int = 512):
+        from collections import deque
+
+        self.events: deque[dict] = deque(maxlen=keep)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        state = p.stateOperators[0] if p.stateOperators else None
+        self.events.append(
+            {
+                "name": p.name,
+                "batch_id": p.batchId,
+                "input_rows": p.numInputRows,
+                "batch_ms": p.durationMs.get("triggerExecution"),
+                "state_rows": state.numRowsTotal if state else None,
+                "state_commit_ms": state.commitTimeMs if state else None,
+            }
+        )
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def run_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
     """Block until any query stops (T7); re-raises its failure."""
     spark.streams.awaitAnyTermination()
@@ -195,6 +230,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--state-partitions", type=int, default=None, help="fixed at the first start")
     a = ap.parse_args(argv)
     spark = build_session()
+    spark.streams.addListener(ProgressLog())
     trigger = {"processingTime": f"{a.trigger_seconds} seconds"} if a.trigger_seconds else None
     qs = start_live(
         spark,
