@@ -9,7 +9,7 @@ from oracle_compare import _rows
 from txpulse.functions import constants as C
 from txpulse.operators.anomaly import rolling_avg_check
 from txpulse.operators.rfm import SCALED_RULES, RfmRules, rfm_detail
-from txpulse.operators.windows import BUCKET, bucket_width, time_bucket, with_halo
+from txpulse.operators.windows import BUCKET, COPY, TimeSplit, bucket_width, time_bucket
 from txpulse.sources.events import events_transactions
 
 DAY = 86_400_000
@@ -28,11 +28,15 @@ def _set(df):
 def test_hot_user_is_spread_over_buckets(spark):
     tx = _hot(spark)
     width = bucket_width(C.RFM_WINDOW_MS, DAY)
-    framed = with_halo(tx, "event_time", C.RFM_WINDOW_MS, width)
+    framed = TimeSplit(C.RFM_WINDOW_MS, width).split(tx, "event_time")
     groups = framed.where(F.col("user_id") == 424242).select(BUCKET).distinct().count()
     assert groups >= 25  # ~30 days of data -> one task group per day, not one for the user
-    copies = framed.count() / tx.count()
-    assert copies <= 2.0
+    assert framed.count() / tx.count() <= 2.0
+    # narrow: hourly buckets for a 24 h window, still two rows per input row
+    narrow = TimeSplit(C.RFM_WINDOW_MS, 3_600_000).split(tx, "event_time")
+    hot = narrow.where((F.col("user_id") == 424242) & ~F.col(COPY)).select(BUCKET).distinct().count()
+    assert hot >= 300
+    assert narrow.count() == 2 * tx.count()
 
 
 @pytest.mark.parametrize("bucket_ms", [C.RFM_WINDOW_MS, 3 * DAY])

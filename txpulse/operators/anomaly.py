@@ -12,15 +12,9 @@ from pyspark.sql import functions as F
 
 from txpulse.functions import constants as C
 from txpulse.functions.columns import alert_message, anomaly_condition, mean_from_cents, to_cents
-from txpulse.operators.windows import (
-    HALO,
-    auto_bucket_width,
-    bucket_width,
-    frame_count,
-    frame_specs,
-    frame_sum,
-    with_halo,
-)
+from txpulse.operators.windows import BUCKET, COPY, TimeSplit, auto_bucket_width, bucket_width, time_bucket
+
+MEASURES = {"prior_n": None, "prior_cents": "cents"}  # None counts rows
 
 
 def rolling_avg_check(
@@ -38,14 +32,23 @@ def rolling_avg_check(
         width = auto_bucket_width(rows, "user_id", "event_time", window_ms)
     else:
         width = bucket_width(window_ms, bucket_ms)
-    framed = with_halo(rows, "event_time", window_ms, width)
-    seen, older = frame_specs("user_id", "event_time", "seq", window_ms, include_current=False)
-    stats = framed.select(
-        *rows.columns,
-        HALO,
-        frame_count(seen, older).alias("prior_n"),
-        frame_sum(F.col("cents"), seen, older).alias("prior_cents"),
-    ).where(~F.col(HALO))
+    split = TimeSplit(window_ms, width)
+    totals = split.totals("user_id", "seq", include_current=False, measures=MEASURES)
+    stats = (
+        split.split(rows, "event_time")
+        .select(*rows.columns, BUCKET, COPY, *[c.alias(n) for n, c in totals.items()])
+        .where(~F.col(COPY))
+    )
+    if split.narrow:
+        # whole buckets between the frame's two ends, from a small summary on the same keys
+        summary = rows.groupBy("user_id", time_bucket("event_time", width).alias(BUCKET)).agg(
+            *split.bucket_sums(MEASURES)
+        )
+        between = split.between("user_id", MEASURES)
+        summary = summary.select("user_id", BUCKET, *[c.alias(f"_between_{n}") for n, c in between.items()])
+        stats = stats.join(summary.hint("merge"), on=["user_id", BUCKET]).select(
+            *rows.columns, *[(F.col(n) + F.col(f"_between_{n}")).alias(n) for n in MEASURES]
+        )
     return stats.select(
         *rows.columns,
         "prior_n",

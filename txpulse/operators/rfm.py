@@ -25,22 +25,13 @@ from pyspark.sql import functions as F
 
 from txpulse.functions import constants as C
 from txpulse.functions.columns import is_type, to_cents
-from txpulse.operators.windows import (
-    BUCKET,
-    HALO,
-    auto_bucket_width,
-    bucket_width,
-    frame_count,
-    frame_specs,
-    frame_sum,
-    next_in_bucket,
-    previous_in_bucket,
-    time_bucket,
-    with_halo,
-)
+from txpulse.operators.windows import BUCKET, COPY, TimeSplit, auto_bucket_width, bucket_width, time_bucket
 
 RECENCY_MODES = ("reference", "gap")
 
+# frame totals: f counts every row, m_cents sums Deposit cents
+MEASURES = {"f": None, "m_cents": "dep_cents"}
+
 
 @dataclass(frozen=True)
 class RfmRules:
@@ -110,30 +101,42 @@ def _rows(tx: DataFrame, seed_entries: DataFrame | None) -> DataFrame:
     )
 
 
-def _summary(rows: DataFrame, seed_headers: DataFrame | None, width: int, rules: RfmRules) -> DataFrame:
-    """One row per (user, bucket): epoch start, previous event, user's last event.
+def _summary(
+    rows: DataFrame, seed_headers: DataFrame | None, split: TimeSplit, rules: RfmRules
+) -> DataFrame:
+    """One row per (user, bucket): epoch start, previous event, user's last event,
+    and (narrow split) the frame totals of the whole buckets in between.
 
-    Plain min/max aggregates, so the map side combines them in a hash table.
+    Plain min/max/sum aggregates, so the map side combines them in a hash table.
     """
+    zero = F.lit(0).cast("long")
     src = rows.select(
         "user_id",
-        time_bucket("event_time", width).alias("_sb"),
+        time_bucket("event_time", split.width).alias("_sb"),
         F.when(F.col("_emit"), F.col("event_time")).alias("_lo"),
         F.col("event_time").alias("_hi"),
         F.lit(False).alias("_seeded"),
+        F.lit(1).cast("long").alias("_v_f"),
+        F.col("dep_cents").alias("_v_m_cents"),
     )
     if seed_headers is not None:
         src = src.unionByName(
             seed_headers.select(
                 F.col("user_id").cast("int").alias("user_id"),
-                time_bucket("last_ts", width).alias("_sb"),
+                time_bucket("last_ts", split.width).alias("_sb"),
                 F.col("first_ts").alias("_lo"),
                 F.col("last_ts").alias("_hi"),
                 F.lit(True).alias("_seeded"),
+                zero.alias("_v_f"),
+                zero.alias("_v_m_cents"),
             )
         )
+    sums = {name: F.col(f"_v_{name}") for name in MEASURES}
     agg = src.groupBy("user_id", "_sb").agg(
-        F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"), F.max("_seeded").alias("_seeded")
+        F.min("_lo").alias("_lo"),
+        F.max("_hi").alias("_hi"),
+        F.max("_seeded").alias("_seeded"),
+        *split.bucket_sums(sums),
     )
     by_time = Window.partitionBy("user_id").orderBy("_sb")
     prev_ts = F.lag("_hi").over(by_time)
@@ -142,6 +145,7 @@ def _summary(rows: DataFrame, seed_headers: DataFrame | None, width: int, rules:
         by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     user_last = F.max("_hi").over(Window.partitionBy("user_id"))
+    between = split.between("user_id", sums, bucket_col="_sb")
     return agg.select(
         "user_id",
         F.col("_sb").alias(BUCKET),
@@ -149,6 +153,7 @@ def _summary(rows: DataFrame, seed_headers: DataFrame | None, width: int, rules:
         epoch_first.alias("first_ts"),
         user_last.alias("_user_last"),
         (F.col("_hi") == user_last).alias("_last_bucket"),
+        *[c.alias(f"_between_{n}") for n, c in between.items()],
     )
 
 
@@ -170,28 +175,32 @@ def rfm_detail(
         width = auto_bucket_width(rows, "user_id", "event_time", rules.window_ms, max_ms=rules.retention_ms)
     else:
         width = bucket_width(rules.window_ms, bucket_ms, max_ms=rules.retention_ms)
-    framed = with_halo(rows, "event_time", rules.window_ms, width)
-    seen, older = frame_specs("user_id", "event_time", "seq", rules.window_ms, include_current=True)
-    stats = framed.select(
-        *rows.columns,
-        BUCKET,
-        HALO,
-        frame_count(seen, older).alias("f"),
-        frame_sum(F.col("dep_cents"), seen, older).alias("m_cents"),
-        previous_in_bucket("user_id", "event_time", "seq").alias("_prev_in"),
-        next_in_bucket("user_id", "event_time", "seq").alias("_next_in"),
-    ).where(~F.col(HALO))
+    split = TimeSplit(rules.window_ms, width)
+    totals = split.totals("user_id", "seq", include_current=True, measures=MEASURES)
+    stats = (
+        split.split(rows, "event_time")
+        .select(
+            *rows.columns,
+            BUCKET,
+            COPY,
+            *[c.alias(f"_in_{n}") for n, c in totals.items()],
+            split.previous_own("user_id", "event_time", "seq").alias("_prev_in"),
+            split.last_own("user_id", "seq").alias("_last_in_bucket"),
+        )
+        .where(~F.col(COPY))
+    )
     # Sort-merge on the frame's own partitioning and order: only the small
     # summary side moves; the plan does not depend on a size estimate.
-    summary = _summary(rows, seed_headers, width, rules).hint("merge")
-    joined = stats.join(summary, on=["user_id", BUCKET], how="inner")
+    summary = _summary(rows, seed_headers, split, rules).hint("merge")
+    joined = stats.join(summary, on=["user_id", BUCKET], how="inner").select(
+        "*", *[(F.col(f"_in_{n}") + F.col(f"_between_{n}")).alias(n) for n in MEASURES]
+    )
     prev_ts = F.coalesce(F.col("_prev_in"), F.col("_prev_bucket_ts"))
     if rules.recency == "gap":
         r_minutes = F.coalesce((F.col("event_time") - prev_ts) / F.lit(60000.0), F.lit(0.0))
     else:
         r_minutes = F.lit(0.0)
     last = F.col("_user_last")
-    next_in = F.col("_next_in")
     return joined.select(
         *rows.columns,
         "f",
@@ -204,7 +213,7 @@ def rfm_detail(
             rules, F.col("event_time") - F.col("first_ts"), F.col("f"), F.col("m_cents"), r_minutes
         ).alias("segment"),
         # the last row, in (event_time, seq) order, of the user's last bucket
-        (F.col("_last_bucket") & next_in.isNull()).alias("is_last"),
+        (F.col("_last_bucket") & F.col("_last_in_bucket")).alias("is_last"),
         (F.col("event_time") >= last - F.lit(rules.window_ms)).alias("in_tail"),
         last.alias("user_last_ts"),
     )
