@@ -20,7 +20,7 @@ MEASURES = {"prior_n": None, "prior_cents": "cents"}  # None counts rows
 def rolling_avg_check(
     tx: DataFrame,
     window_ms: int = C.ANOMALY_WINDOW_MS,
-    bucket_ms: int | str | None = None,
+    bucket_ms: int | str | None = "auto",
 ) -> DataFrame:
     """Per transaction: prior_n, prior_cents and avg_check_5min over the trailing window.
 
@@ -61,7 +61,7 @@ def anomaly_alerts(
     tx: DataFrame,
     window_ms: int = C.ANOMALY_WINDOW_MS,
     factor: float = C.ANOMALY_FACTOR,
-    bucket_ms: int | str | None = None,
+    bucket_ms: int | str | None = "auto",
 ) -> DataFrame:
     """Alert rows: user_id, event_time, seq, type (as sent), sum, avg_check_5min, message."""
     checked = rolling_avg_check(tx, window_ms, bucket_ms)

@@ -160,7 +160,7 @@ def _summary(
 def rfm_detail(
     tx: DataFrame,
     rules: RfmRules = RfmRules(),
-    bucket_ms: int | str | None = None,
+    bucket_ms: int | str | None = "auto",
     seed_headers: DataFrame | None = None,
     seed_entries: DataFrame | None = None,
 ) -> DataFrame:
@@ -222,7 +222,7 @@ def rfm_detail(
 def rfm_segments(
     tx: DataFrame,
     rules: RfmRules = RfmRules(),
-    bucket_ms: int | str | None = None,
+    bucket_ms: int | str | None = "auto",
     seed_headers: DataFrame | None = None,
     seed_entries: DataFrame | None = None,
 ) -> DataFrame:
