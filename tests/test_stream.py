@@ -47,6 +47,21 @@ def test_stream_equals_batch_on_events(spark, time_mode):
     same(replay_segments(spark, tx, SCALED_RULES, time_mode=time_mode), rfm_segments(tx, SCALED_RULES))
 
 
+@pytest.mark.parametrize("time_mode", ["None", "EventTime"])
+def test_stream_equals_batch_across_idle_gaps(spark, time_mode):
+    # every user idle for longer than the retention: state expires (EventTime
+    # timers) and must still agree with the batch epochs
+    tx = events_transactions(spark, SF_SMALL)
+    stretched = tx.withColumn(
+        "event_time", F.col("event_time") + (F.col("seq") % 3) * F.lit(3 * DAY) + F.expr("seq div 97") * F.lit(2 * DAY)
+    )
+    rules = RfmRules(retention_ms=DAY, recency="gap")
+    same(
+        replay_segments(spark, stretched, rules, time_mode=time_mode, slice_ms=6 * DAY),
+        rfm_segments(stretched, rules),
+    )
+
+
 def test_restart_from_checkpoint_continues(spark):
     tx = events_transactions(spark, SF_SMALL)
     t = split_time(tx)

@@ -78,3 +78,13 @@ def test_latest_row_per_user_is_flagged_once(spark):
     assert sorted((r["user_id"], r["seq"]) for r in last) == [(1, 8), (2, 12)]
     tail = d.where(F.col("in_tail") & (F.col("user_id") == 1)).select("seq").collect()
     assert sorted(r["seq"] for r in tail) == [2, 3, 4, 5, 6, 7, 8]
+
+
+def test_gap_recency_resets_with_the_epoch(spark):
+    day = C.RFM_WINDOW_MS
+    rows = [(8, 0, 1, "Credit", 1.0), (8, 3 * day, 2, "Credit", 1.0), (8, 3 * day + 60_000, 3, "Credit", 1.0)]
+    tx = frame(spark, [r + (0, 0.0, "") for r in rows])
+    rules = RfmRules(retention_ms=day, recency="gap")
+    got = _by_seq(rfm_segments(tx, rules), "r_minutes", "segment")
+    assert got[2] == (0.0, "Новичок")  # idle past retention: new epoch, no stored previous row
+    assert got[3] == (1.0, "Новичок")

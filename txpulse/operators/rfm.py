@@ -40,7 +40,7 @@ class RfmRules:
     ``recency="reference"`` keeps the reference's r_minutes, which is always
     0.0 (the last-seen mark is moved before recency is taken, so "sleeping"
     never fires); ``"gap"`` uses the time since the user's previous
-    transaction.
+    transaction within the activity epoch (0.0 on an epoch's first row).
     """
 
     window_ms: int = C.RFM_WINDOW_MS
@@ -197,7 +197,13 @@ def rfm_detail(
     )
     prev_ts = F.coalesce(F.col("_prev_in"), F.col("_prev_bucket_ts"))
     if rules.recency == "gap":
-        r_minutes = F.coalesce((F.col("event_time") - prev_ts) / F.lit(60000.0), F.lit(0.0))
+        # recency resets with the activity epoch: an epoch's first row has no
+        # stored previous transaction (the state expired), as in the stream
+        gap = F.col("event_time") - prev_ts
+        r_minutes = (
+            F.when(prev_ts.isNull() | (gap >= F.lit(rules.retention_ms)), F.lit(0.0))
+            .otherwise(gap / F.lit(60000.0))
+        )
     else:
         r_minutes = F.lit(0.0)
     last = F.col("_user_last")

@@ -68,7 +68,8 @@ def _rfm_ctes(
     active_min_m: float = C.ACTIVE_MIN_M,
 ) -> str:
     r_expr = (
-        "COALESCE(CAST(event_time - prev_ts AS DOUBLE) / 60000.0, 0.0::DOUBLE)"
+        f"CASE WHEN prev_ts IS NULL OR event_time - prev_ts >= {retention_ms} THEN 0.0::DOUBLE "
+        "ELSE CAST(event_time - prev_ts AS DOUBLE) / 60000.0 END"
         if recency == "gap"
         else "0.0::DOUBLE"
     )

@@ -200,7 +200,7 @@ class RfmProcessor(StatefulProcessor):
         idx = np.maximum.accumulate(np.where(starts, np.arange(len(new_ts)), -1))
         first = np.where(idx >= 0, new_ts[np.maximum(idx, 0)], first0 if first0 is not None else 0)
 
-        r_minutes = gap / 60000.0 if r.recency == "gap" else np.zeros(len(new_ts))
+        r_minutes = np.where(starts, 0.0, gap / 60000.0) if r.recency == "gap" else np.zeros(len(new_ts))
         tenure = new_ts - first
         segment = np.select(
             [
