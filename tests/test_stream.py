@@ -108,3 +108,13 @@ def test_fanout_runs_each_writer_once_per_batch(spark):
         assert [w for w, j, _ in calls if j == i] == ["a", "b"]
     assert sum(n for w, _, n in calls if w == "a") == len(RFM)
     assert sum(m["rows"] for m in sink.history) == len(RFM)  # observed counts match what was written
+
+
+def test_reseed_with_event_time_timers(spark):
+    tx = events_transactions(spark, SF_SMALL)
+    rules = RfmRules(retention_ms=DAY, recency="gap")
+    t = split_time(tx)
+    headers, entries = snapshot_from_detail(rfm_detail(tx.where(F.col("event_time") < t), rules))
+    rest = tx.where(F.col("event_time") >= t)
+    resumed = replay_segments(spark, rest, rules, time_mode="EventTime", seed=seed_frame(headers, entries))
+    same(resumed, rfm_segments(tx, rules).where(F.col("updated_at") >= t))

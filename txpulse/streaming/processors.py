@@ -167,6 +167,9 @@ class RfmProcessor(StatefulProcessor):
             h = heads.iloc[-1]
             first, last = int(h["first_ts"]), int(h["event_time"])
         dep = np.where(_is_type(ents["type"].to_numpy(dtype=object), C.DEPOSIT), _cents(ents["sum"].to_numpy()), 0)
+        if self.timers and last is not None:
+            # a restored user expires like any other after a full retention idle
+            self.handle.registerTimer(int(last) + self.rules.retention_ms)
         self.state.update(
             (
                 first,
