@@ -44,7 +44,15 @@ def test_typed_reading_is_strict_on_type_and_exact_on_amount(spark):
         '{"user_id":2,"type":"credit","sum":1}',
         '{"user_id":3,"type":"Deposit","sum":"7.10"}',
         '{"user_id":4,"type":"Deposit"}',
+        '{"user_id":5,"type":"Deposit","sum":10.555}',
+        '{"user_id":6,"type":"Deposit","sum":1e17}',
     ]
     ok, bad = parse_typed_transactions(_wire(spark, values))
     assert {r["user_id"]: str(r["sum"]) for r in ok.collect()} == {1: "10.25", 3: "7.10"}
-    assert {r["offset"]: r["reason"] for r in bad.collect()} == {1: "bad_type", 3: "null_sum"}
+    assert ok.schema["sum"].dataType.simpleString() == "decimal(18,2)"
+    assert {r["offset"]: r["reason"] for r in bad.collect()} == {
+        1: "bad_type",
+        3: "null_sum",
+        4: "bad_sum_precision",
+        5: "bad_sum_precision",
+    }

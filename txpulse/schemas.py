@@ -35,7 +35,8 @@ TYPED_TRANSACTION_JSON = StructType(
         StructField("firstname", StringType()),
         StructField("lastname", StringType()),
         StructField("type", StringType()),
-        StructField("sum", DecimalType(18, 2)),
+        # parsed wide, then checked to fit decimal(18,2) exactly (no silent rounding)
+        StructField("sum", DecimalType(38, 10)),
         StructField(CORRUPT_COLUMN, StringType()),
     ]
 )

@@ -6,7 +6,8 @@ Unlike the reference, a row whose ``sum`` or ``event_time`` is missing is
 quarantined instead of failing the query.
 
 ``parse_typed_transactions`` (S2) is the plain consumer's strict reading:
-exact ``decimal(18,2)`` amount and a closed, case-sensitive type domain.
+exact ``decimal(18,2)`` amount (more digits are rejected, never rounded) and
+a closed, case-sensitive type domain.
 
 Both parse the JSON once: the parsed struct is produced by a generator
 (``inline``), so the optimizer cannot copy the parse into the row filter.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from txpulse.functions import constants as C
 from txpulse.schemas import CORRUPT_COLUMN, TRANSACTION_JSON, TYPED_TRANSACTION_JSON
@@ -24,6 +26,7 @@ JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUM
 
 # The closed type domain of the strict reading.
 TYPE_DOMAIN = (C.DEPOSIT, C.CREDIT)
+AMOUNT = DecimalType(18, 2)
 
 
 def _parse(df: DataFrame, schema) -> DataFrame:
@@ -73,17 +76,19 @@ def parse_transactions(kafka_df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def parse_typed_transactions(kafka_df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejects) under the strict reading; sum is decimal(18,2)."""
     p = _parse(kafka_df, TYPED_TRANSACTION_JSON)
+    exact = F.col("sum").try_cast(AMOUNT)  # null when it overflows decimal(18,2)
     reason = _first_failure(
         [
             (F.col("raw").isNull(), "null_value"),
             (F.col("user_id").isNull(), "null_user_id"),
             (~F.coalesce(F.col("type").isin(*TYPE_DOMAIN), F.lit(False)), "bad_type"),
             (F.col("sum").isNull(), "null_sum"),
+            (F.coalesce(exact != F.col("sum"), F.lit(True)), "bad_sum_precision"),
         ]
     )
     p = p.withColumn("reason", reason)
     accepted = p.where(F.col("reason").isNull()).select(
-        "partition", "offset", "user_id", "firstname", "lastname", "type", "sum"
+        "partition", "offset", "user_id", "firstname", "lastname", "type", exact.alias("sum")
     )
     rejects = p.where(F.col("reason").isNotNull()).select(
         "partition",
