@@ -64,3 +64,22 @@ def test_shuffle_partitions_do_not_change_results(spark):
         assert results[0] == results[1]
     finally:
         spark.conf.set(key, old)
+
+
+def test_kafka_paths_fail_with_a_clear_message_without_the_connector(spark):
+    import pytest
+
+    from txpulse.sources.kafka import kafka_stream
+    from txpulse.streaming.sinks import kafka_writer
+
+    try:
+        spark._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
+        pytest.skip("the Kafka connector is installed here")
+    except Exception as e:
+        if "skip" in type(e).__name__.lower():
+            raise
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        kafka_stream(spark, "localhost:1", "t")
+    batch = spark.createDataFrame([(1, "Credit", 2.0)], "user_id int, type string, sum double")
+    with pytest.raises(RuntimeError, match="spark-sql-kafka"):
+        kafka_writer("localhost:1", "alerts", ("sum", "type", "user_id"))(batch, 0)

@@ -49,7 +49,23 @@ def kafka_stream(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return reader.load()
+    try:
+        return reader.load()
+    except Exception as e:  # connector missing: say what to add
+        raise_if_no_connector(e)
+        raise
+
+
+CONNECTOR_HINT = (
+    "the Kafka connector is not on the classpath; add the spark-sql-kafka-0-10 package "
+    "matching this Spark and Scala version to spark.jars.packages"
+)
+
+
+def raise_if_no_connector(e: Exception) -> None:
+    text = str(e)
+    if "DATA_SOURCE_NOT_FOUND" in text or "Failed to find data source: kafka" in text:
+        raise RuntimeError(CONNECTOR_HINT) from e
 
 
 def transactions_as_kafka(

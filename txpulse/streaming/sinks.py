@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from txpulse.functions import constants as C
 from txpulse.functions.envelope import to_kv
+from txpulse.sources.kafka import raise_if_no_connector
 
 log = logging.getLogger("txpulse.sinks")
 
@@ -68,13 +69,17 @@ def kafka_writer(bootstrap_servers: str, topic: str, fields: tuple[str, ...]) ->
     """Key = user id, value = JSON of ``fields`` (K1, K2); at-least-once."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        (
-            to_kv(batch, fields)
-            .write.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap_servers)
-            .option("topic", topic)
-            .save()
-        )
+        try:
+            (
+                to_kv(batch, fields)
+                .write.format("kafka")
+                .option("kafka.bootstrap.servers", bootstrap_servers)
+                .option("topic", topic)
+                .save()
+            )
+        except Exception as e:
+            raise_if_no_connector(e)
+            raise
 
     return write
 
