@@ -42,21 +42,26 @@ def test_expiry_is_a_filter(spark):
     assert {r["user_id"] for r in live_entries(e, as_of).collect()} == kept
 
 
-def test_streaming_snapshot_writer_upserts_versions(spark):
+def test_streaming_snapshot_writer_deltas_and_compaction(spark):
+    from txpulse.streaming.sinks import read_snapshot
+
     tx = events_transactions(spark, SF_SMALL)
-    seg = rfm_latest(rfm_detail(tx)).select(
-        "user_id", "seq", "segment", "r_minutes", "f", "m", F.col("event_time").alias("updated_at")
-    )
-    allrows = rfm_detail(tx).select(
+    detail = rfm_detail(tx)
+    seg = rfm_latest(detail)
+    allrows = detail.select(
         "user_id", "seq", "segment", "r_minutes", "f", "m", F.col("event_time").alias("updated_at")
     )
-    path = scratch_path(spark, "kv")
-    w = snapshot_upsert_writer(path)
     t = split_time(tx)
-    w(allrows.where(F.col("updated_at") < t), 0)
-    w(allrows.where(F.col("updated_at") >= t), 1)
-    w(allrows.where(F.col("updated_at") >= t), 1)  # retried batch: same version
-    v1 = spark.read.parquet(f"{path}/v=1")
-    got = {r["user_id"]: (r["last_ts"], r["f"], r["segment"]) for r in v1.collect()}
-    want = {r["user_id"]: (r["updated_at"], r["f"], r["segment"]) for r in seg.collect()}
-    assert got == want
+    halves = [allrows.where(F.col("updated_at") < t), allrows.where(F.col("updated_at") >= t)]
+    want = {r["user_id"]: (r["event_time"], r["f"], r["segment"]) for r in seg.collect()}
+    for compact_every in (0, 2):  # deltas only; compaction after the second batch
+        path = scratch_path(spark, "kv")
+        w = snapshot_upsert_writer(path, compact_every=compact_every)
+        w(halves[0], 0)
+        w(halves[1], 1)
+        w(halves[1], 1)  # a retried batch rewrites its own delta
+        got = {r["user_id"]: (r["last_ts"], r["f"], r["segment"]) for r in read_snapshot(spark, path).collect()}
+        assert got == want
+    # the compacted base alone holds the same state
+    base = spark.read.parquet(f"{path}/base/v=1")
+    assert {r["user_id"]: (r["last_ts"], r["f"], r["segment"]) for r in base.collect()} == want

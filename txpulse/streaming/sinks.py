@@ -93,41 +93,72 @@ def console_writer(rows: int = 20) -> Writer:
     return write
 
 
-def snapshot_upsert_writer(path: str, ttl_ms: int = C.SNAPSHOT_TTL_MS) -> Writer:
-    """Keyed snapshot of the latest segment per user with expiry (K5).
-
-    Version ``v=<batch_id>`` = previous version upserted with this batch's
-    newest row per user, minus expired users. Versions are written whole and
-    never modified, so a reader sees either the old or the new one, and a
-    retried batch rewrites the same version.
+SNAPSHOT_VALUE = ("last_ts", "last_seq", "f", "m", "r_minutes", "segment", "expires_at")
+
+
+def _newest_per_user(df: DataFrame) -> DataFrame:
+    """Newest (last_ts, last_seq) row per user; combined map-side, one row per user out."""
+    newest = df.groupBy("user_id").agg(
+        F.max_by(F.struct(*SNAPSHOT_VALUE), F.struct("last_ts", "last_seq")).alias("s")
+    )
+    return newest.select("user_id", *[F.col(f"s.{c}").alias(c) for c in SNAPSHOT_VALUE])
+
+
+def _versions(spark, folder: str, prefix: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit())
+
+
+def read_snapshot(spark, path: str, as_of: int | None = None, upto_batch: int | None = None) -> DataFrame | None:
+    """The keyed snapshot: newest row per user over the base and later deltas, minus expired."""
+    bases = [v for v in _versions(spark, f"{path}/base", "v=") if upto_batch is None or v <= upto_batch]
+    base = bases[-1] if bases else -1
+    deltas = [
+        b
+        for b in _versions(spark, f"{path}/delta", "batch_id=")
+        if b > base and (upto_batch is None or b <= upto_batch)
+    ]
+    parts = [f"{path}/base/v={base}"] if base >= 0 else []
+    parts += [f"{path}/delta/batch_id={b}" for b in deltas]
+    if not parts:
+        return None
+    snap = _newest_per_user(spark.read.parquet(*parts).select("user_id", *SNAPSHOT_VALUE))
+    return snap if as_of is None else snap.where(F.col("expires_at") > F.lit(as_of))
+
+
+def snapshot_upsert_writer(path: str, ttl_ms: int = C.SNAPSHOT_TTL_MS, compact_every: int = 50) -> Writer:
+    """Keyed snapshot of the latest segment per user with expiry (K5), log-structured.
+
+    Each batch writes only a delta - the newest row of each user it touched -
+    so a batch costs O(its users), not O(all users). Every ``compact_every``
+    batches the base and the deltas since are folded into a new base (newest
+    per user, expired users dropped). Deltas and bases are written whole
+    under their batch id, so a retried batch rewrites the same folder and a
+    reader sees a consistent set (``read_snapshot``).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.groupBy("user_id").agg(
-            F.max_by(F.struct("updated_at", "seq", "f", "m", "r_minutes", "segment"), F.struct("updated_at", "seq")).alias("s")
-        )
-        fresh = newest.select(
+        fresh = batch.select(
             "user_id",
-            F.col("s.updated_at").alias("last_ts"),
-            F.col("s.seq").alias("last_seq"),
-            "s.f",
-            "s.m",
-            "s.r_minutes",
-            "s.segment",
-            (F.col("s.updated_at") + F.lit(ttl_ms)).alias("expires_at"),
+            F.col("updated_at").alias("last_ts"),
+            F.col("seq").alias("last_seq"),
+            "f",
+            "m",
+            "r_minutes",
+            "segment",
+            (F.col("updated_at") + F.lit(ttl_ms)).alias("expires_at"),
         )
-        spark = batch.sparkSession
-        merged = fresh
-        if batch_id > 0:
-            try:
-                prev = spark.read.parquet(f"{path}/v={batch_id - 1}")
-                merged = prev.join(fresh.select("user_id"), "user_id", "left_anti").unionByName(fresh)
-            except Exception as e:  # first version not written yet
-                if "PATH_NOT_FOUND" not in str(e):
-                    raise
-        horizon = fresh.agg(F.max("last_ts")).first()[0]
-        if horizon is not None:
-            merged = merged.where(F.col("expires_at") > F.lit(horizon))
-        merged.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        _newest_per_user(fresh).write.mode("overwrite").parquet(f"{path}/delta/batch_id={batch_id}")
+        if compact_every and batch_id % compact_every == compact_every - 1:
+            spark = batch.sparkSession
+            horizon = spark.read.parquet(f"{path}/delta/batch_id={batch_id}").agg(F.max("last_ts")).first()[0]
+            snap = read_snapshot(spark, path, as_of=horizon, upto_batch=batch_id)
+            if snap is not None:
+                snap.write.mode("overwrite").parquet(f"{path}/base/v={batch_id}")
 
     return write
