@@ -15,6 +15,7 @@ from txpulse.operators.rfm import RfmRules, rfm_detail
 W1 = 50  # anomaly window (ms)
 W2 = 80  # rfm window (ms)
 R = 120  # retention (ms)
+R2 = 200  # a second retention, computed in the same pass
 
 rows_strategy = st.lists(
     st.tuples(
@@ -28,8 +29,19 @@ rows_strategy = st.lists(
 )
 
 
+def first_seen(rows, u, t, s, retention):
+    mine = sorted((r for r in rows if r[0] == u), key=lambda r: (r[1], r[2]))
+    first, prev = None, None
+    for r in mine:
+        if prev is None or r[1] - prev >= retention:
+            first = r[1]
+        if (r[1], r[2]) == (t, s):
+            return first
+        prev = r[1]
+
+
 def model(rows):
-    """rows: (user, t, seq, type, cents) -> per seq: prior_n, prior_cents, f, m_cents, first_ts, prev_ts."""
+    """rows: (user, t, seq, type, cents) -> per seq: prior_n, prior_cents, f, m_cents, first_ts, prev_ts, first_ts_r2."""
     out = {}
     for u, t, s, ty, c in rows:
         mine = sorted((r for r in rows if r[0] == u), key=lambda r: (r[1], r[2]))
@@ -46,7 +58,7 @@ def model(rows):
             if (r[1], r[2]) == (t, s):
                 break
             prev = r[1]
-        out[s] = (len(prior), sum(r[4] for r in prior), len(frame), dep, first, prev)
+        out[s] = (len(prior), sum(r[4] for r in prior), len(frame), dep, first, prev, first_seen(rows, u, t, s, R2))
     return out
 
 
@@ -60,10 +72,10 @@ def test_frames_match_brute_force(spark, rows, b1, b2):
     got1 = {r["seq"]: (r["prior_n"], r["prior_cents"]) for r in rolling_avg_check(tx, W1, bucket_ms=b1).collect()}
     rules = RfmRules(window_ms=W2, retention_ms=R, recency="gap")
     got2 = {
-        r["seq"]: (r["f"], r["m_cents"], r["first_ts"], r["prev_ts"])
-        for r in rfm_detail(tx, rules, bucket_ms=b2).collect()
+        r["seq"]: (r["f"], r["m_cents"], r["first_ts"], r["prev_ts"], r["first_ts_r2"])
+        for r in rfm_detail(tx, rules, bucket_ms=b2, tenures={"first_ts_r2": R2}).collect()
     }
     assert set(got1) == set(got2) == set(expect)
-    for s, (pn, pc, f, m, first, prev) in expect.items():
+    for s, (pn, pc, f, m, first, prev, first2) in expect.items():
         assert got1[s] == (pn, pc), (s, got1[s], (pn, pc))
-        assert got2[s] == (f, m, first, prev), (s, got2[s], (f, m, first, prev))
+        assert got2[s] == (f, m, first, prev, first2), (s, got2[s], (f, m, first, prev, first2))

@@ -102,7 +102,11 @@ def _rows(tx: DataFrame, seed_entries: DataFrame | None) -> DataFrame:
 
 
 def _summary(
-    rows: DataFrame, seed_headers: DataFrame | None, split: TimeSplit, rules: RfmRules
+    rows: DataFrame,
+    seed_headers: DataFrame | None,
+    split: TimeSplit,
+    rules: RfmRules,
+    tenures: dict[str, int] | None = None,
 ) -> DataFrame:
     """One row per (user, bucket): epoch start, previous event, user's last event,
     and (narrow split) the frame totals of the whole buckets in between.
@@ -140,17 +144,22 @@ def _summary(
     )
     by_time = Window.partitionBy("user_id").orderBy("_sb")
     prev_ts = F.lag("_hi").over(by_time)
-    starts = F.col("_seeded") | prev_ts.isNull() | (F.col("_lo") - prev_ts >= F.lit(rules.retention_ms))
-    epoch_first = F.last(F.when(starts, F.col("_lo")), ignorenulls=True).over(
-        by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+
+    def epoch_first(retention_ms: int) -> Column:
+        # B <= retention: a gap that long can only fall between buckets
+        starts = F.col("_seeded") | prev_ts.isNull() | (F.col("_lo") - prev_ts >= F.lit(retention_ms))
+        return F.last(F.when(starts, F.col("_lo")), ignorenulls=True).over(
+            by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        )
+
     user_last = F.max("_hi").over(Window.partitionBy("user_id"))
     between = split.between("user_id", sums, bucket_col="_sb")
     return agg.select(
         "user_id",
         F.col("_sb").alias(BUCKET),
         prev_ts.alias("_prev_bucket_ts"),
-        epoch_first.alias("first_ts"),
+        epoch_first(rules.retention_ms).alias("first_ts"),
+        *[epoch_first(ms).alias(name) for name, ms in (tenures or {}).items()],
         user_last.alias("_user_last"),
         (F.col("_hi") == user_last).alias("_last_bucket"),
         *[c.alias(f"_between_{n}") for n, c in between.items()],
@@ -163,18 +172,23 @@ def rfm_detail(
     bucket_ms: int | str | None = "auto",
     seed_headers: DataFrame | None = None,
     seed_entries: DataFrame | None = None,
+    tenures: dict[str, int] | None = None,
 ) -> DataFrame:
     """Every row (seed rows included, ``_emit`` false) with its RFM values.
 
     Columns: user_id, type, sum, event_time, seq, _emit, cents, dep_cents,
     f, m_cents, m, first_ts, prev_ts, r_minutes, segment, is_last, in_tail,
-    user_last_ts.
+    user_last_ts, and one first-seen column per entry of ``tenures``
+    (name -> another retention), computed in the same pass.
     """
     rows = _rows(tx, seed_entries)
+    max_ms = min([rules.retention_ms, *(tenures or {}).values()])
+    if any(ms < rules.window_ms for ms in (tenures or {}).values()):
+        raise ValueError("every retention must be at least the window")
     if bucket_ms == "auto":
-        width = auto_bucket_width(rows, "user_id", "event_time", rules.window_ms, max_ms=rules.retention_ms)
+        width = auto_bucket_width(rows, "user_id", "event_time", rules.window_ms, max_ms=max_ms)
     else:
-        width = bucket_width(rules.window_ms, bucket_ms, max_ms=rules.retention_ms)
+        width = bucket_width(rules.window_ms, bucket_ms, max_ms=max_ms)
     split = TimeSplit(rules.window_ms, width)
     totals = split.totals("user_id", "seq", include_current=True, measures=MEASURES)
     stats = (
@@ -191,7 +205,7 @@ def rfm_detail(
     )
     # Sort-merge on the frame's own partitioning and order: only the small
     # summary side moves; the plan does not depend on a size estimate.
-    summary = _summary(rows, seed_headers, split, rules).hint("merge")
+    summary = _summary(rows, seed_headers, split, rules, tenures).hint("merge")
     joined = stats.join(summary, on=["user_id", BUCKET], how="inner").select(
         "*", *[(F.col(f"_in_{n}") + F.col(f"_between_{n}")).alias(n) for n in MEASURES]
     )
@@ -222,6 +236,7 @@ def rfm_detail(
         (F.col("_last_bucket") & F.col("_last_in_bucket")).alias("is_last"),
         (F.col("event_time") >= last - F.lit(rules.window_ms)).alias("in_tail"),
         last.alias("user_last_ts"),
+        *(tenures or {}),
     )
 
 

@@ -149,7 +149,16 @@ SELECT user_id, event_time, seq, prior_n, {AVG} AS avg_check_5min FROM p""",
     "rfm_metrics": _with(TX, _rfm_ctes("tx", C.SNAPSHOT_TTL_MS, "gap"))
     + "SELECT user_id, seq, event_time, f, m, first_ts, prev_ts, r_minutes FROM seg",
     "rfm_tenure": _with(TX, _rfm_ctes("tx", C.RFM_WINDOW_MS, "reference"))
-    + "SELECT user_id, seq, first_ts, event_time - first_ts AS tenure_ms FROM seg",
+    + f""",
+e7 AS (
+  SELECT *, SUM(CASE WHEN prev_ts IS NULL OR event_time - prev_ts >= {C.SNAPSHOT_TTL_MS} THEN 1 ELSE 0 END)
+              OVER (PARTITION BY user_id ORDER BY event_time, seq
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS epoch7
+  FROM seg),
+g7 AS (SELECT *, MIN(event_time) OVER (PARTITION BY user_id, epoch7) AS first_ts_7d FROM e7)
+SELECT user_id, seq, first_ts AS first_ts_24h, first_ts_7d,
+       event_time - first_ts AS tenure_24h_ms, event_time - first_ts_7d AS tenure_7d_ms
+FROM g7""",
     "rfm_segments": _with(TX, CLEAN, _rfm_ctes("clean", C.SNAPSHOT_TTL_MS, "reference"))
     + f"SELECT {SEGMENT_COLS} FROM seg",
     "rfm_segments_24h": _with(TX, _rfm_ctes("tx", C.RFM_WINDOW_MS, "reference"))

@@ -80,9 +80,19 @@ def q_rfm_metrics(spark, sf_dir):
 
 
 def q_rfm_tenure(spark, sf_dir):
-    d = rfm_detail(events_transactions(spark, sf_dir), RfmRules(retention_ms=C.RFM_WINDOW_MS))
+    """First-seen time and tenure under a 24-hour and a 7-day retention, in one pass."""
+    d = rfm_detail(
+        events_transactions(spark, sf_dir),
+        RfmRules(retention_ms=C.RFM_WINDOW_MS),
+        tenures={"first_ts_7d": C.SNAPSHOT_TTL_MS},
+    )
     return d.select(
-        "user_id", "seq", "first_ts", (F.col("event_time") - F.col("first_ts")).alias("tenure_ms")
+        "user_id",
+        "seq",
+        F.col("first_ts").alias("first_ts_24h"),
+        "first_ts_7d",
+        (F.col("event_time") - F.col("first_ts")).alias("tenure_24h_ms"),
+        (F.col("event_time") - F.col("first_ts_7d")).alias("tenure_7d_ms"),
     )
 
 
