@@ -118,3 +118,16 @@ def test_reseed_with_event_time_timers(spark):
     rest = tx.where(F.col("event_time") >= t)
     resumed = replay_segments(spark, rest, rules, time_mode="EventTime", seed=seed_frame(headers, entries))
     same(resumed, rfm_segments(tx, rules).where(F.col("updated_at") >= t))
+
+
+def test_stream_quarantine_equals_batch_rejects(spark):
+    from txpulse.sources.ingest import parse_transactions
+    from txpulse.sources.kafka import transactions_as_kafka
+    from txpulse.streaming.app import rejects_stream
+
+    tx = events_transactions(spark, SF_SMALL)
+    path = write_wire_slices(spark, tx, corrupt=True)
+    got = run_available(spark, rejects_stream(wire_stream(spark, path)), "quarantine")
+    want = parse_transactions(transactions_as_kafka(tx, corrupt=True))[1]
+    cols = ["offset", "reason", "malformed", "raw"]
+    same(got.select(*cols), want.select(*cols))

@@ -18,7 +18,13 @@ from txpulse.sources.ingest import parse_transactions
 from txpulse.session import checkpoint_root as checkpoint_root_of
 from txpulse.sources.kafka import ALERTS_TOPIC, INPUT_TOPIC, SEGMENTS_TOPIC, kafka_stream
 from txpulse.streaming.processors import RFM_SEED, AnomalyProcessor, RfmProcessor
-from txpulse.streaming.sinks import BatchFanout, console_writer, kafka_writer, snapshot_upsert_writer
+from txpulse.streaming.sinks import (
+    BatchFanout,
+    console_writer,
+    kafka_writer,
+    parquet_table_writer,
+    snapshot_upsert_writer,
+)
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 TIME_MODES = ("None", "EventTime", "ProcessingTime")
@@ -81,6 +87,11 @@ def segments_stream(
     )
 
 
+def rejects_stream(kafka_df: DataFrame) -> DataFrame:
+    """Quarantined records (D4) of a Kafka-shaped stream: stateless, append only."""
+    return parse_transactions(kafka_df)[1]
+
+
 def seed_frame(headers: DataFrame, entries: DataFrame) -> DataFrame:
     """Snapshot headers + entries as one initial-state frame for ``RfmProcessor``."""
     h = headers.select(
@@ -209,6 +220,10 @@ def start_live(
         queries.append(
             start(build(source), sink, f"{root}/{name}-checkpoint", f"{name}-to-kafka", trigger, state_partitions)
         )
+    # malformed records go to a table instead of being dropped
+    source = kafka_stream(spark, bootstrap_servers, input_topic, max_offsets_per_trigger=max_offsets_per_trigger)
+    quarantine = BatchFanout([parquet_table_writer(f"{root}/quarantine")], name="quarantine")
+    queries.append(start(rejects_stream(source), quarantine, f"{root}/quarantine-checkpoint", "quarantine", trigger))
     return queries
 
 

@@ -39,9 +39,10 @@ class BatchFanout:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         obs = Observation(f"{self.name}_{batch_id}")
-        batch = batch.observe(
-            obs, F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("user_id").alias("users")
-        ).persist()
+        metrics = [F.count(F.lit(1)).alias("rows")]
+        if "user_id" in batch.columns:
+            metrics.append(F.approx_count_distinct("user_id").alias("users"))
+        batch = batch.observe(obs, *metrics).persist()
         try:
             batch.count()  # materialises the cache and the observed metrics
             self.last_metrics = {"batch_id": batch_id, **obs.get}
