@@ -104,3 +104,57 @@ def test_processors_match_model(rows, cuts, seed):
             want.add(i)
     got = set(alerts["seq"]) if len(alerts) else set()
     assert got == want
+
+
+class _Timers:
+    def __init__(self, wm):
+        self.wm = wm
+
+    def getCurrentWatermarkInMs(self):
+        return self.wm
+
+
+class _Handle:
+    def __init__(self):
+        self.timers = set()
+
+    def listTimers(self):
+        return iter(sorted(self.timers))
+
+    def deleteTimer(self, t):
+        self.timers.discard(t)
+
+    def registerTimer(self, t):
+        self.timers.add(t)
+
+
+def test_late_row_within_the_watermark_sees_its_whole_window():
+    p = AnomalyProcessor(window_ms=150, factor=3, timers=True)  # EventTime mode
+    p.state, p.handle = MemoryState(), _Handle()
+
+    def rows(*items):
+        return iter([pd.DataFrame({
+            "user_id": np.array([1] * len(items), dtype="int32"),
+            "type": [t for t, _, _, _ in items],
+            "sum": [s for _, s, _, _ in items],
+            "event_time": np.array([e for _, _, e, _ in items], dtype="int64"),
+            "seq": np.array([q for _, _, _, q in items], dtype="int64"),
+        })])
+
+    list(p.handleInputRows((1,), rows(("Deposit", 10.0, 1000, 1), ("Deposit", 10.0, 1200, 3)), _Timers(0)))
+    # a Credit at 1100 arrives late; the watermark (1060) still admits it, and
+    # its window [950, 1100) holds the entry at 1000, although 1000 < newest - W
+    out = list(p.handleInputRows((1,), rows(("Credit", 30.0, 1100, 2)), _Timers(1060)))
+    assert len(out) == 1 and out[0]["avg_check_5min"].tolist() == [10.0]
+
+    assert p.handle.timers == {1200 + 150 + 1}  # one expiry timer, moved forward
+
+
+def test_without_a_watermark_the_buffer_stays_bounded():
+    p = AnomalyProcessor(window_ms=150, factor=3)  # None mode
+    p.state, p.handle = MemoryState(), None
+    for k in range(20):
+        df = pd.DataFrame({"user_id": np.array([1], "int32"), "type": ["Deposit"], "sum": [1.0],
+                           "event_time": np.array([k * 100], "int64"), "seq": np.array([k], "int64")})
+        list(p.handleInputRows((1,), iter([df]), _Timers(0)))
+    assert len(p.state.get()[0]) == 2  # entries within 150 ms of the newest only

@@ -10,8 +10,9 @@ merged arrays, so a user's batch costs O(n log n) vectorised work.
 
 Semantics equal the batch operators: a row sees the entries before it in
 (event_time, seq) order that are within the window. Entries are dropped once
-they are older than ``newest - window`` (they can no longer be in any frame
-of an in-order row); in EventTime mode a timer clears an idle user's state.
+they are older than ``min(newest, watermark) - window``: no row the watermark
+still admits can reach them. In EventTime mode a timer clears an idle user's
+state.
 """
 
 from __future__ import annotations
@@ -83,6 +84,14 @@ def _tail(ts, seq, val, horizon):
     return ts[keep].tolist(), seq[keep].tolist(), val[keep].tolist()
 
 
+def _horizon(newest: int, window_ms: int, timer_values) -> int:
+    """Oldest entry time to keep: ``newest - W``, or ``watermark - W`` when a
+    watermark lags behind, so a late row the watermark still admits sees its
+    whole window (entries older than that can be in no admitted row's frame)."""
+    wm = timer_values.getCurrentWatermarkInMs() if timer_values is not None else -1
+    return (min(newest, wm) if wm is not None and wm >= 0 else newest) - window_ms
+
+
 def _prefix(v: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(v, dtype="int64")])
 
@@ -117,7 +126,7 @@ class AnomalyProcessor(StatefulProcessor):
         n = pos - lo
         total = csum[pos] - csum[lo]
         hit = _is_type(b.type, C.CREDIT) & (n > 0) & (total > 0) & (cents * n >= self.factor * total)
-        self._keep(ts, seq, val)
+        self._keep(ts, seq, val, timerValues)
         if hit.any():
             yield pd.DataFrame(
                 {
@@ -131,9 +140,11 @@ class AnomalyProcessor(StatefulProcessor):
                 }
             )
 
-    def _keep(self, ts, seq, val) -> None:
+    def _keep(self, ts, seq, val, timer_values) -> None:
         newest = int(ts[-1])
-        self.state.update(_tail(ts, seq, val, newest - self.window_ms))
+        # the watermark exists only in EventTime mode (the mode that sets timers)
+        tv = timer_values if self.timers else None
+        self.state.update(_tail(ts, seq, val, _horizon(newest, self.window_ms, tv)))
         if self.timers:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
@@ -218,7 +229,8 @@ class RfmProcessor(StatefulProcessor):
 
         newest = int(ts[-1])
         last = newest if last0 is None else max(newest, last0)
-        self.state.update((int(first[-1]), last, *_tail(ts, seq, val, newest - r.window_ms)))
+        tv = timerValues if self.timers else None  # a watermark exists in EventTime mode only
+        self.state.update((int(first[-1]), last, *_tail(ts, seq, val, _horizon(newest, r.window_ms, tv))))
         if self.timers:
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
