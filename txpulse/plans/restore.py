@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from txpulse.operators.rfm import RfmRules, rfm_detail, rfm_segments
 from txpulse.operators.snapshot import entries_of, headers_of, live_entries, live_headers, snapshot_rows
+from txpulse.operators.windows import auto_bucket_width
 from txpulse.session import scratch_path
 
 
@@ -31,9 +32,11 @@ def split_time(tx: DataFrame) -> int:
 
 def split_and_resume(spark: SparkSession, tx: DataFrame, rules: RfmRules = RfmRules()) -> DataFrame:
     t_split = split_time(tx)
-    first = rfm_detail(tx.where(F.col("event_time") < t_split), rules)
+    # size the time buckets once, on the whole input, for both runs
+    width = auto_bucket_width(tx, "user_id", "event_time", rules.window_ms, max_ms=rules.retention_ms)
+    first = rfm_detail(tx.where(F.col("event_time") < t_split), rules, bucket_ms=width)
     headers, entries = write_snapshot(spark, first)
     headers = live_headers(headers, t_split)
     entries = live_entries(entries, t_split)
     second = tx.where(F.col("event_time") >= t_split)
-    return rfm_segments(second, rules, seed_headers=headers, seed_entries=entries)
+    return rfm_segments(second, rules, bucket_ms=width, seed_headers=headers, seed_entries=entries)
