@@ -49,7 +49,11 @@ def _first_failure(checks: list[tuple[Column, str]]) -> Column:
 
 
 def parse_transactions(kafka_df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(clean, rejects). clean: user_id, type, sum, event_time, seq (= offset)."""
+    """(clean, rejects). clean: user_id, type, sum, event_time, seq (= offset).
+
+    ``offset`` orders a user's records when the topic is keyed by user (one
+    partition per user), which is what the tie rule needs.
+    """
     p = _parse(kafka_df, TRANSACTION_JSON)
     reason = _first_failure(
         [
