@@ -65,3 +65,18 @@ def test_streaming_snapshot_writer_deltas_and_compaction(spark):
     # the compacted base alone holds the same state
     base = spark.read.parquet(f"{path}/base/v=1")
     assert {r["user_id"]: (r["last_ts"], r["f"], r["segment"]) for r in base.collect()} == want
+
+
+def test_resume_from_snapshot_with_narrow_buckets(spark):
+    tx = events_transactions(spark, SF_SMALL)
+    rules = RfmRules(recency="gap")
+    t = split_time(tx)
+    narrow = 6 * 3_600_000  # 6 h buckets for a 24 h window
+    h, e = snapshot_from_detail(rfm_detail(tx.where(F.col("event_time") < t), rules, bucket_ms=narrow))
+    from txpulse.operators.rfm import rfm_segments
+
+    resumed = rfm_segments(
+        tx.where(F.col("event_time") >= t), rules, bucket_ms=narrow, seed_headers=h, seed_entries=e
+    )
+    full = rfm_segments(tx, rules, bucket_ms=narrow).where(F.col("updated_at") >= t)
+    assert sorted(map(tuple, resumed.collect()), key=repr) == sorted(map(tuple, full.collect()), key=repr)
