@@ -79,3 +79,22 @@ def test_frames_match_brute_force(spark, rows, b1, b2):
     for s, (pn, pc, f, m, first, prev, first2) in expect.items():
         assert got1[s] == (pn, pc), (s, got1[s], (pn, pc))
         assert got2[s] == (f, m, first, prev, first2), (s, got2[s], (f, m, first, prev, first2))
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows_strategy, cut=st.integers(-150, 250), b2=st.sampled_from([10, 40, 80, 120]))
+def test_resume_from_snapshot_matches_brute_force(spark, rows, cut, b2):
+    from pyspark.sql import functions as F
+
+    from txpulse.operators.snapshot import snapshot_from_detail
+
+    data = [(u, ty, c / 100.0, t, i) for i, (u, t, ty, c) in enumerate(rows)]
+    tx = spark.createDataFrame(data, "user_id int, type string, sum double, event_time long, seq long")
+    expect = model([(u, t, i, ty, c) for i, (u, t, ty, c) in enumerate(rows)])
+    rules = RfmRules(window_ms=W2, retention_ms=R, recency="gap")
+    h, e = snapshot_from_detail(rfm_detail(tx.where(F.col("event_time") < cut), rules, bucket_ms=b2))
+    resumed = rfm_detail(tx.where(F.col("event_time") >= cut), rules, bucket_ms=b2, seed_headers=h, seed_entries=e)
+    got = {r["seq"]: (r["f"], r["m_cents"], r["first_ts"], r["prev_ts"]) for r in resumed.where("_emit").collect()}
+    assert set(got) == {i for i, r in enumerate(rows) if r[1] >= cut}
+    for s, v in got.items():
+        assert v == expect[s][2:6], (s, v, expect[s][2:6])
