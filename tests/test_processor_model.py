@@ -158,3 +158,18 @@ def test_without_a_watermark_the_buffer_stays_bounded():
                            "event_time": np.array([k * 100], "int64"), "seq": np.array([k], "int64")})
         list(p.handleInputRows((1,), iter([df]), _Timers(0)))
     assert len(p.state.get()[0]) == 2  # entries within 150 ms of the newest only
+
+
+def test_hot_key_buffer_is_reported_once_per_tenfold(caplog, monkeypatch):
+    import txpulse.streaming.processors as P
+
+    monkeypatch.setattr(P, "WARN_ENTRIES", 5)
+    p = AnomalyProcessor(window_ms=10_000, factor=3)
+    p.state, p.handle = MemoryState(), None
+    with caplog.at_level("WARNING", logger="txpulse.state"):
+        for k in range(60):
+            df = pd.DataFrame({"user_id": np.array([1], "int32"), "type": ["Deposit"], "sum": [1.0],
+                               "event_time": np.array([k], "int64"), "seq": np.array([k], "int64")})
+            list(p.handleInputRows((1,), iter([df]), None))
+    warnings = [r for r in caplog.records if "window entries" in r.getMessage()]
+    assert len(warnings) == 2  # at 5 and at 50 entries

@@ -17,6 +17,7 @@ state.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,11 @@ from txpulse.functions import constants as C
 from txpulse.functions.columns import alert_message
 from txpulse.operators.rfm import RfmRules
 
+log = logging.getLogger("txpulse.state")
+
+# a user whose trailing window holds more entries than this is logged (hot key)
+WARN_ENTRIES = 1_000_000
+
 ANOMALY_STATE = "ts array<long>, seq array<long>, cents array<long>"
 RFM_STATE = "first_ts long, last_ts long, ts array<long>, seq array<long>, dep_cents array<long>"
 
@@ -84,6 +90,20 @@ def _tail(ts, seq, val, horizon):
     return ts[keep].tolist(), seq[keep].tolist(), val[keep].tolist()
 
 
+class _BufferWatch:
+    """Logs a hot key when its buffer first passes WARN_ENTRIES, then at each 10x."""
+
+    def __init__(self, name: str):
+        self.name = name
+        self.next_warn = WARN_ENTRIES
+
+    def check(self, key, n: int) -> None:
+        if n >= self.next_warn:
+            log.warning("%s: key %s holds %d window entries in state", self.name, key, n)
+            while self.next_warn <= n:
+                self.next_warn *= 10
+
+
 def _horizon(newest: int, window_ms: int, timer_values) -> int:
     """Oldest entry time to keep: ``newest - W``, or ``watermark - W`` when a
     watermark lags behind, so a late row the watermark still admits sees its
@@ -111,6 +131,7 @@ class AnomalyProcessor(StatefulProcessor):
         self.timers = timers
         self.ttl_ms = ttl_ms  # ProcessingTime mode: idle expiry by wall clock, like the reference
         self.message = alert_message(factor)
+        self.watch = _BufferWatch("anomaly")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -127,6 +148,7 @@ class AnomalyProcessor(StatefulProcessor):
         total = csum[pos] - csum[lo]
         hit = _is_type(b.type, C.CREDIT) & (n > 0) & (total > 0) & (cents * n >= self.factor * total)
         self._keep(ts, seq, val, timerValues)
+        self.watch.check(key, len(ts))
         if hit.any():
             yield pd.DataFrame(
                 {
@@ -165,6 +187,7 @@ class RfmProcessor(StatefulProcessor):
         self.rules = rules
         self.timers = timers
         self.ttl_ms = ttl_ms  # ProcessingTime mode: idle expiry by wall clock, like the reference
+        self.watch = _BufferWatch("rfm")
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -229,6 +252,7 @@ class RfmProcessor(StatefulProcessor):
 
         newest = int(ts[-1])
         last = newest if last0 is None else max(newest, last0)
+        self.watch.check(key, len(ts))
         tv = timerValues if self.timers else None  # a watermark exists in EventTime mode only
         self.state.update((int(first[-1]), last, *_tail(ts, seq, val, _horizon(newest, r.window_ms, tv))))
         if self.timers:
