@@ -111,8 +111,13 @@ def _versions(spark, folder: str, prefix: str) -> list[int]:
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return []
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    return sorted(int(n[len(prefix) :]) for n in names if n.startswith(prefix) and n[len(prefix) :].isdigit())
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        committed = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+        if name.startswith(prefix) and name[len(prefix) :].isdigit() and committed:
+            out.append(int(name[len(prefix) :]))  # only versions whose write committed
+    return sorted(out)
 
 
 def read_snapshot(spark, path: str, as_of: int | None = None, upto_batch: int | None = None) -> DataFrame | None:
