@@ -131,3 +131,15 @@ def test_stream_quarantine_equals_batch_rejects(spark):
     want = parse_transactions(transactions_as_kafka(tx, corrupt=True))[1]
     cols = ["offset", "reason", "malformed", "raw"]
     same(got.select(*cols), want.select(*cols))
+
+
+def test_stream_typed_ingest_equals_batch(spark):
+    from txpulse.sources.ingest import parse_typed_transactions
+    from txpulse.sources.kafka import transactions_as_kafka
+
+    tx = events_transactions(spark, SF_SMALL)
+    path = write_wire_slices(spark, tx, corrupt=True)
+    got = run_available(spark, parse_typed_transactions(wire_stream(spark, path))[0], "typed")
+    want = parse_typed_transactions(transactions_as_kafka(tx, corrupt=True))[0]
+    cols = ["offset", "user_id", "type", "sum"]
+    same(got.select(*cols), want.select(*cols))
