@@ -7,6 +7,10 @@ split by Kafka partition (hash of the user), so each user's rows of a slice
 are in one file, like one Kafka partition. The file stream source then feeds
 the files oldest first with ``availableNow``; every user sees its rows in
 time order across micro-batches, and the result must equal the batch query.
+
+The order rests on file modification times: on a store whose timestamps are
+coarser than the time between two slice copies, feed a Kafka topic instead.
+This is a test and replay harness, not the production source.
 """
 
 from __future__ import annotations
