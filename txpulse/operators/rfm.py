@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from txpulse.functions import constants as C
 from txpulse.functions.columns import is_type, to_cents
-from txpulse.operators.windows import BUCKET, COPY, TimeSplit, auto_bucket_width, bucket_width, time_bucket
+from txpulse.operators.windows import BUCKET, COPY, TimeSplit, bucket_width, time_bucket, width_for_hottest
+from txpulse.session import checkpoint_root
 
 RECENCY_MODES = ("reference", "gap")
 
@@ -101,22 +102,13 @@ def _rows(tx: DataFrame, seed_entries: DataFrame | None) -> DataFrame:
     )
 
 
-def _summary(
-    rows: DataFrame,
-    seed_headers: DataFrame | None,
-    split: TimeSplit,
-    rules: RfmRules,
-    tenures: dict[str, int] | None = None,
-) -> DataFrame:
-    """One row per (user, bucket): epoch start, previous event, user's last event,
-    and (narrow split) the frame totals of the whole buckets in between.
-
-    Plain min/max/sum aggregates, so the map side combines them in a hash table.
-    """
+def _summary_agg(rows: DataFrame, seed_headers: DataFrame | None, width: int) -> DataFrame:
+    """Per (user, bucket): first emitted time, last time, seeded flag, row count
+    and the frame measures' totals. Plain aggregates: combined map-side."""
     zero = F.lit(0).cast("long")
     src = rows.select(
         "user_id",
-        time_bucket("event_time", split.width).alias("_sb"),
+        time_bucket("event_time", width).alias("_sb"),
         F.when(F.col("_emit"), F.col("event_time")).alias("_lo"),
         F.col("event_time").alias("_hi"),
         F.lit(False).alias("_seeded"),
@@ -127,7 +119,7 @@ def _summary(
         src = src.unionByName(
             seed_headers.select(
                 F.col("user_id").cast("int").alias("user_id"),
-                time_bucket("last_ts", split.width).alias("_sb"),
+                time_bucket("last_ts", width).alias("_sb"),
                 F.col("first_ts").alias("_lo"),
                 F.col("last_ts").alias("_hi"),
                 F.lit(True).alias("_seeded"),
@@ -135,13 +127,19 @@ def _summary(
                 zero.alias("_v_m_cents"),
             )
         )
-    sums = {name: F.col(f"_v_{name}") for name in MEASURES}
-    agg = src.groupBy("user_id", "_sb").agg(
+    return src.groupBy("user_id", "_sb").agg(
         F.min("_lo").alias("_lo"),
         F.max("_hi").alias("_hi"),
         F.max("_seeded").alias("_seeded"),
-        *split.bucket_sums(sums),
+        *[F.sum(f"_v_{name}").alias(f"_T_{name}") for name in MEASURES],
     )
+
+
+def _summary(
+    agg: DataFrame, split: TimeSplit, rules: RfmRules, tenures: dict[str, int] | None = None
+) -> DataFrame:
+    """One row per (user, bucket): epoch start, previous event, user's last event,
+    and (narrow split) the frame totals of the whole buckets in between."""
     by_time = Window.partitionBy("user_id").orderBy("_sb")
     prev_ts = F.lag("_hi").over(by_time)
 
@@ -153,7 +151,7 @@ def _summary(
         )
 
     user_last = F.max("_hi").over(Window.partitionBy("user_id"))
-    between = split.between("user_id", sums, bucket_col="_sb")
+    between = split.between("user_id", MEASURES, bucket_col="_sb")
     return agg.select(
         "user_id",
         F.col("_sb").alias(BUCKET),
@@ -186,9 +184,19 @@ def rfm_detail(
     if any(ms < rules.window_ms for ms in (tenures or {}).values()):
         raise ValueError("every retention must be at least the window")
     if bucket_ms == "auto":
-        width = auto_bucket_width(rows, "user_id", "event_time", rules.window_ms, max_ms=max_ms)
+        # the sizing pass is the summary aggregate itself, at the default width:
+        # written to the shared checkpoint folder and reused unless a hot key
+        # asks for narrower buckets
+        checkpoint_root(rows.sparkSession)
+        default = bucket_width(rules.window_ms, None, max_ms=max_ms)
+        agg = _summary_agg(rows, seed_headers, default).checkpoint()
+        hottest = agg.agg(F.max("_T_f")).first()[0]
+        width = width_for_hottest(hottest, rules.window_ms, max_ms=max_ms)
+        if width != default:
+            agg = _summary_agg(rows, seed_headers, width)
     else:
         width = bucket_width(rules.window_ms, bucket_ms, max_ms=max_ms)
+        agg = _summary_agg(rows, seed_headers, width)
     split = TimeSplit(rules.window_ms, width)
     totals = split.totals("user_id", "seq", include_current=True, measures=MEASURES)
     stats = (
@@ -205,7 +213,7 @@ def rfm_detail(
     )
     # Sort-merge on the frame's own partitioning and order: only the small
     # summary side moves; the plan does not depend on a size estimate.
-    summary = _summary(rows, seed_headers, split, rules, tenures).hint("merge")
+    summary = _summary(agg, split, rules, tenures).hint("merge")
     joined = stats.join(summary, on=["user_id", BUCKET], how="inner").select(
         "*", *[(F.col(f"_in_{n}") + F.col(f"_between_{n}")).alias(n) for n in MEASURES]
     )

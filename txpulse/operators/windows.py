@@ -85,6 +85,29 @@ def _floor_div(expr_sql: str, width: int) -> Column:
     return F.expr(f"(({expr_sql}) - pmod({expr_sql}, {width})) div {width}")
 
 
+def width_for_hottest(
+    hottest: int | None,
+    window_ms: int,
+    max_ms: int | None = None,
+    target_rows: int = 4_000_000,
+    min_ms: int = 1000,
+) -> int:
+    """Bucket width given the row count of the hottest (key, default bucket) group.
+
+    Ordinary data keeps the default; a hot key gets narrower buckets (wide: a
+    task holds about rate * (B + W) rows; narrow: about 2 * rate * B).
+    """
+    width = bucket_width(window_ms, None, max_ms)
+    if not hottest or hottest <= target_rows:
+        return width
+    rate = hottest / width  # rows per ms in the hottest bucket
+    wide = target_rows / rate - window_ms
+    if wide >= window_ms:
+        return int(min(width, wide))
+    narrow = max(min_ms, int(target_rows / (2 * rate)))
+    return bucket_width(window_ms, min(narrow, window_ms - 1), max_ms)
+
+
 def auto_bucket_width(
     df: DataFrame,
     key: str,
@@ -97,21 +120,13 @@ def auto_bucket_width(
     """Width whose hottest (key, bucket) task holds about ``target_rows`` rows.
 
     One aggregate over (key, default bucket) - combined map-side, one scalar
-    to the driver. Ordinary data keeps the default; a hot key gets narrower
-    buckets (wide: a task holds about rate * (B + W) rows; narrow: 2 * rate * B).
+    to the driver.
     """
     width = bucket_width(window_ms, None, max_ms)
     hottest = (
         df.groupBy(key, time_bucket(time_col, width).alias("_b")).count().agg(F.max("count")).first()[0]
     )
-    if not hottest or hottest <= target_rows:
-        return width
-    rate = hottest / width  # rows per ms in the hottest bucket
-    wide = target_rows / rate - window_ms
-    if wide >= window_ms:
-        return int(min(width, wide))
-    narrow = max(min_ms, int(target_rows / (2 * rate)))
-    return bucket_width(window_ms, min(narrow, window_ms - 1), max_ms)
+    return width_for_hottest(hottest, window_ms, max_ms, target_rows, min_ms)
 
 
 class TimeSplit:
