@@ -38,8 +38,10 @@ log = logging.getLogger("txpulse.state")
 # a user whose trailing window holds more entries than this is logged (hot key)
 WARN_ENTRIES = 1_000_000
 
-ANOMALY_STATE = "ts array<long>, seq array<long>, cents array<long>"
-RFM_STATE = "first_ts long, last_ts long, ts array<long>, seq array<long>, dep_cents array<long>"
+# timer_at: the expiry timer currently armed (EventTime mode), so moving it
+# costs one delete and one register, not a listing of the key's timers
+ANOMALY_STATE = "ts array<long>, seq array<long>, cents array<long>, timer_at long"
+RFM_STATE = "first_ts long, last_ts long, ts array<long>, seq array<long>, dep_cents array<long>, timer_at long"
 
 # Columns of the initial-state frame for the RFM processor (snapshot rows).
 RFM_SEED = "user_id int, is_header boolean, event_time long, seq long, sum double, type string, first_ts long"
@@ -112,6 +114,14 @@ def _horizon(newest: int, window_ms: int, timer_values) -> int:
     return (min(newest, wm) if wm is not None and wm >= 0 else newest) - window_ms
 
 
+def _move_timer(handle, old: int | None, new: int) -> int:
+    if old != new:
+        if old is not None:
+            handle.deleteTimer(old)
+        handle.registerTimer(new)
+    return new
+
+
 def _prefix(v: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(v, dtype="int64")])
 
@@ -140,14 +150,14 @@ class AnomalyProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         b = _Rows(rows)
         cents = _cents(b.sum)
-        old = self.state.get() or ([], [], [])
+        old = self.state.get() or ([], [], [], None)
         ts, seq, val, pos = _merge(old[0], old[1], old[2], b.ts, b.seq, cents)
         csum = _prefix(val)
         lo = np.searchsorted(ts, ts[pos] - self.window_ms, side="left")
         n = pos - lo
         total = csum[pos] - csum[lo]
         hit = _is_type(b.type, C.CREDIT) & (n > 0) & (total > 0) & (cents * n >= self.factor * total)
-        self._keep(ts, seq, val, timerValues)
+        self._keep(ts, seq, val, timerValues, old[3])
         self.watch.check(key, len(ts))
         if hit.any():
             yield pd.DataFrame(
@@ -162,15 +172,13 @@ class AnomalyProcessor(StatefulProcessor):
                 }
             )
 
-    def _keep(self, ts, seq, val, timer_values) -> None:
+    def _keep(self, ts, seq, val, timer_values, timer_at) -> None:
         newest = int(ts[-1])
+        if self.timers:
+            timer_at = _move_timer(self.handle, timer_at, newest + self.window_ms + 1)
         # the watermark exists only in EventTime mode (the mode that sets timers)
         tv = timer_values if self.timers else None
-        self.state.update(_tail(ts, seq, val, _horizon(newest, self.window_ms, tv)))
-        if self.timers:
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            self.handle.registerTimer(newest + self.window_ms + 1)
+        self.state.update((*_tail(ts, seq, val, _horizon(newest, self.window_ms, tv)), timer_at))
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
         self.state.clear()
@@ -194,7 +202,7 @@ class RfmProcessor(StatefulProcessor):
         self.state = handle.getValueState("rfm", RFM_STATE, self.ttl_ms)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
-        first, last, o_ts, o_seq, o_dep = self.state.get() or (None, None, [], [], [])
+        first, last, o_ts, o_seq, o_dep, timer_at = self.state.get() or (None, None, [], [], [], None)
         heads = initialState[initialState["is_header"]]
         ents = initialState[~initialState["is_header"]].sort_values(["event_time", "seq"])
         if len(heads):
@@ -203,7 +211,7 @@ class RfmProcessor(StatefulProcessor):
         dep = np.where(_is_type(ents["type"].to_numpy(dtype=object), C.DEPOSIT), _cents(ents["sum"].to_numpy()), 0)
         if self.timers and last is not None:
             # a restored user expires like any other after a full retention idle
-            self.handle.registerTimer(int(last) + self.rules.retention_ms)
+            timer_at = _move_timer(self.handle, timer_at, int(last) + self.rules.retention_ms)
         self.state.update(
             (
                 first,
@@ -211,6 +219,7 @@ class RfmProcessor(StatefulProcessor):
                 list(o_ts) + ents["event_time"].astype("int64").tolist(),
                 list(o_seq) + ents["seq"].astype("int64").tolist(),
                 list(o_dep) + dep.astype("int64").tolist(),
+                timer_at,
             )
         )
 
@@ -219,7 +228,7 @@ class RfmProcessor(StatefulProcessor):
         b = _Rows(rows)
         new_ts = b.ts
         dep = np.where(_is_type(b.type, C.DEPOSIT), _cents(b.sum), 0).astype("int64")
-        first0, last0, o_ts, o_seq, o_dep = self.state.get() or (None, None, [], [], [])
+        first0, last0, o_ts, o_seq, o_dep, timer_at = self.state.get() or (None, None, [], [], [], None)
         ts, seq, val, pos = _merge(o_ts, o_seq, o_dep, new_ts, b.seq, dep)
         csum = _prefix(val)
         lo = np.searchsorted(ts, ts[pos] - r.window_ms, side="left")
@@ -254,11 +263,10 @@ class RfmProcessor(StatefulProcessor):
         last = newest if last0 is None else max(newest, last0)
         self.watch.check(key, len(ts))
         tv = timerValues if self.timers else None  # a watermark exists in EventTime mode only
-        self.state.update((int(first[-1]), last, *_tail(ts, seq, val, _horizon(newest, r.window_ms, tv))))
         if self.timers:
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            self.handle.registerTimer(newest + r.retention_ms)
+            timer_at = _move_timer(self.handle, timer_at, last + r.retention_ms)
+        kept = _tail(ts, seq, val, _horizon(newest, r.window_ms, tv))
+        self.state.update((int(first[-1]), last, *kept, timer_at))
 
         yield pd.DataFrame(
             {
