@@ -37,6 +37,8 @@ def build_session(
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
         "spark.ui.enabled": "false",
+        # checkpointed summaries are deleted once nothing references them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
