@@ -88,3 +88,20 @@ def test_gap_recency_resets_with_the_epoch(spark):
     got = _by_seq(rfm_segments(tx, rules), "r_minutes", "segment")
     assert got[2] == (0.0, "Новичок")  # idle past retention: new epoch, no stored previous row
     assert got[3] == (1.0, "Новичок")
+
+
+@pytest.mark.parametrize("bucket_ms", [None, 60_000])
+def test_rows_without_user_or_time_are_kept_with_nulls(spark, bucket_ms):
+    tx = frame(spark, ANOMALY)
+    extra = spark.createDataFrame(
+        [(None, "Credit", 5.0, BASE, 100), (1, "Credit", 5.0, None, 101)],
+        "user_id int, type string, sum double, event_time long, seq long",
+    )
+    both = tx.unionByName(extra)
+    got = {r["seq"]: (r["prior_n"], r["avg_check_5min"]) for r in rolling_avg_check(both, bucket_ms=bucket_ms).collect()}
+    assert got[100] == (None, None) and got[101] == (None, None)
+    clean = {r["seq"]: (r["prior_n"], r["avg_check_5min"]) for r in rolling_avg_check(tx, bucket_ms=bucket_ms).collect()}
+    assert {s: v for s, v in got.items() if s < 100} == clean
+    seg = {r["seq"]: (r["f"], r["segment"]) for r in rfm_segments(both, bucket_ms=bucket_ms and 6 * 3_600_000).collect()}
+    assert seg[100] == (None, None) and seg[101] == (None, None)
+    assert len(seg) == len(ANOMALY) + 2

@@ -25,7 +25,8 @@ def rolling_avg_check(
     """Per transaction: prior_n, prior_cents and avg_check_5min over the trailing window.
 
     Output: user_id, event_time, seq, type, sum, cents, prior_n, prior_cents,
-    avg_check_5min (0.0 when the window is empty).
+    avg_check_5min (0.0 when the window is empty). A row without a user or a
+    time has no window: it is kept, with nulls.
     """
     rows = tx.select("user_id", "type", "sum", "event_time", "seq", to_cents("sum").alias("cents"))
     if bucket_ms == "auto":
@@ -46,14 +47,19 @@ def rolling_avg_check(
         )
         between = split.between("user_id", MEASURES)
         summary = summary.select("user_id", BUCKET, *[c.alias(f"_between_{n}") for n, c in between.items()])
-        stats = stats.join(summary.hint("merge"), on=["user_id", BUCKET]).select(
+        stats = stats.join(summary.hint("merge"), on=["user_id", BUCKET], how="left").select(
             *rows.columns, *[(F.col(n) + F.col(f"_between_{n}")).alias(n) for n in MEASURES]
         )
+    keyed = F.col("user_id").isNotNull() & F.col("event_time").isNotNull()
+
+    def known(c):
+        return F.when(keyed, c)
+
     return stats.select(
         *rows.columns,
-        "prior_n",
-        "prior_cents",
-        mean_from_cents(F.col("prior_cents"), F.col("prior_n")).alias("avg_check_5min"),
+        known(F.col("prior_n")).alias("prior_n"),
+        known(F.col("prior_cents")).alias("prior_cents"),
+        known(mean_from_cents(F.col("prior_cents"), F.col("prior_n"))).alias("avg_check_5min"),
     )
 
 

@@ -214,7 +214,8 @@ def rfm_detail(
     # Sort-merge on the frame's own partitioning and order: only the small
     # summary side moves; the plan does not depend on a size estimate.
     summary = _summary(agg, split, rules, tenures).hint("merge")
-    joined = stats.join(summary, on=["user_id", BUCKET], how="inner").select(
+    # left: a row without a user or a time has no bucket summary; it is kept, with nulls
+    joined = stats.join(summary, on=["user_id", BUCKET], how="left").select(
         "*", *[(F.col(f"_in_{n}") + F.col(f"_between_{n}")).alias(n) for n in MEASURES]
     )
     prev_ts = F.coalesce(F.col("_prev_in"), F.col("_prev_bucket_ts"))
@@ -229,20 +230,25 @@ def rfm_detail(
     else:
         r_minutes = F.lit(0.0)
     last = F.col("_user_last")
+    keyed = F.col("user_id").isNotNull() & F.col("event_time").isNotNull()
+
+    def known(c):
+        return F.when(keyed, c)
+
     return joined.select(
         *rows.columns,
-        "f",
-        "m_cents",
-        (F.col("m_cents") / F.lit(100.0)).alias("m"),
+        known(F.col("f")).alias("f"),
+        known(F.col("m_cents")).alias("m_cents"),
+        known(F.col("m_cents") / F.lit(100.0)).alias("m"),
         "first_ts",
         prev_ts.alias("prev_ts"),
-        r_minutes.alias("r_minutes"),
-        segment_label(
-            rules, F.col("event_time") - F.col("first_ts"), F.col("f"), F.col("m_cents"), r_minutes
+        known(r_minutes).alias("r_minutes"),
+        known(
+            segment_label(rules, F.col("event_time") - F.col("first_ts"), F.col("f"), F.col("m_cents"), r_minutes)
         ).alias("segment"),
         # the last row, in (event_time, seq) order, of the user's last bucket
-        (F.col("_last_bucket") & F.col("_last_in_bucket")).alias("is_last"),
-        (F.col("event_time") >= last - F.lit(rules.window_ms)).alias("in_tail"),
+        F.coalesce(F.col("_last_bucket") & F.col("_last_in_bucket"), F.lit(False)).alias("is_last"),
+        F.coalesce(F.col("event_time") >= last - F.lit(rules.window_ms), F.lit(False)).alias("in_tail"),
         last.alias("user_last_ts"),
         *(tenures or {}),
     )

@@ -153,8 +153,10 @@ class TimeSplit:
                 F.when(F.col(COPY), t + F.lit(w)).otherwise(t).alias(ORD),
             )
         reach = _floor_div(f"{time_col} + {w}", self.width)
-        out = df.select("*", own.alias("_own"), F.explode(F.sequence(own, reach)).alias(BUCKET))
-        return out.select(*df.columns, BUCKET, (F.col(BUCKET) != F.col("_own")).alias(COPY), t.alias(ORD))
+        # explode_outer: a row without a time keeps one (bucket-less) own copy
+        out = df.select("*", own.alias("_own"), F.explode_outer(F.sequence(own, reach)).alias(BUCKET))
+        copy = F.coalesce(F.col(BUCKET) != F.col("_own"), F.lit(False))
+        return out.select(*df.columns, BUCKET, copy.alias(COPY), t.alias(ORD))
 
     def _part(self, key: str):
         return Window.partitionBy(key, BUCKET)
