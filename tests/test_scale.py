@@ -116,3 +116,18 @@ def test_auto_width_narrows_for_a_hot_user(spark):
     hot = auto_bucket_width(tx, "user_id", "event_time", C.RFM_WINDOW_MS, target_rows=30)
     assert plain == 4 * C.RFM_WINDOW_MS  # nothing is hot enough: the default
     assert C.RFM_WINDOW_MS <= hot < plain
+
+
+def test_width_for_hottest_rules():
+    from txpulse.operators.windows import width_for_hottest
+
+    w = C.RFM_WINDOW_MS
+    default = bucket_width(w)  # 4 days
+    assert width_for_hottest(None, w) == default
+    assert width_for_hottest(1000, w) == default
+    # hot, but a width of at least W still fits the target
+    mid = width_for_hottest(8_000_000, w, target_rows=4_000_000)
+    assert w <= mid < default
+    # very hot: narrower than the window, and a divisor of it
+    tiny = width_for_hottest(10**10, w, target_rows=4_000_000)
+    assert tiny < w and w % tiny == 0 and tiny >= 1000
