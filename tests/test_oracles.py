@@ -6,8 +6,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_compare import compare, duck
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+QUERIES = {k: f for k, f in E.queries().items() if k not in E.LLM_QUERIES}
+ORACLES = {k: q for k, q in E.oracle_sql().items() if k not in E.LLM_ORACLES}
 
 
 @pytest.fixture(scope="module")
