@@ -4,20 +4,73 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from txpulse.llm import exact_dedup, mixing
+from txpulse.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    mixing,
+    quality,
+    span_dedup,
+    url_filter,
+)
 from txpulse.llm.common import table, word_count
 
 
+def op1_decontaminate(spark, sf_dir):
+    return decontaminate.contaminated_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_mix(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return mixing.mix_plan(docs, word_count(F.col("text"))).drop("virtual_finish")
 
 
+def op3_line_dedup(spark, sf_dir):
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+
+
+def op4_html_extract(spark, sf_dir):
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_mix, op5_exact_dedup)}
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op7_quality(spark, sf_dir):
+    labels = table(spark, sf_dir, "labels")
+    ratings = labels.select(F.col("doc_id").alias("id"), quality.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.grade_documents(docs, ratings).drop("text")
+
+
+def op8_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100)
+
+
+def op9_url_filter(spark, sf_dir):
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
+def op10_span_dedup(spark, sf_dir):
+    return span_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_decontaminate, op2_mix, op3_line_dedup, op4_html_extract, op5_exact_dedup,
+        op6_language_id, op7_quality, op8_jaccard_join, op9_url_filter, op10_span_dedup,
+    )
+}
 
 ORACLES = {
     "op2_mix": r"""
