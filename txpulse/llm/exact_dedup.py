@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txpulse.llm.common import fresh, slices, written
+from txpulse.llm.common import WS, fresh, slices, written
 from txpulse.llm.tokens import SPACED, text_bytes
 
 #: Two independent (modulus, base) pairs; a fingerprint is both remainders, 62 bits.
@@ -165,16 +165,14 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     repeat id and text become one row (of differing other columns, an
     arbitrary row stays).
     """
-    groups = exact_groups(docs.select(id_col, text_col), id_col, text_col)
-    going = written(groups.where(~F.col("kept")).select(F.col(id_col).alias("id"), F.col("text_sha256").alias("sha"), "keep_id"), "going")
-    sha, rank = fresh(docs, "sha"), fresh(docs, "nth")
-    body = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    named = docs.withColumn(sha, F.sha2(body, 256))
-    dropped = going.where(~F.col("id").eqNullSafe(F.col("keep_id"))).select("id", "sha").distinct()
-    left = named.join(
-        dropped, F.col(id_col).eqNullSafe(dropped["id"]) & (named[sha] == dropped["sha"]), "left_anti"
-    )
-    repeated = going.where(F.col("id").eqNullSafe(F.col("keep_id"))).limit(1).count()
-    if repeated:  # the same id and text more than once
+    groups = exact_groups(docs.select(id_col, text_col), id_col, text_col).where(~F.col("kept"))
+    first = F.col(id_col).eqNullSafe(F.col("keep_id"))
+    groups = written(groups.select(F.col(id_col).alias("id"), F.col("text_sha256").alias("sha"), first.alias("first")), "going")
+    sha, gone = fresh(docs, "sha"), fresh(docs, "gone")
+    body = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WS, " ")
+    going = groups.where("not first").select(F.col("id").alias(gone), F.col("sha").alias(f"{gone}_sha")).distinct()
+    same = F.col(id_col).eqNullSafe(F.col(gone)) & (F.col(sha) == F.col(f"{gone}_sha"))
+    left = docs.withColumn(sha, F.sha2(body, 256)).join(going, same, "left_anti")
+    if not groups.where("first").isEmpty():  # the same id and text more than once
         left = left.dropDuplicates([id_col, sha])
-    return left.drop(sha, rank)
+    return left.drop(sha)

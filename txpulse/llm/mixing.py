@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txpulse.llm.common import written
+from txpulse.llm.common import fresh, written
 
 #: Times that a document may be repeated.
 EPOCHS = 3
@@ -128,3 +128,22 @@ def mix_plan(
         .select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", "virtual_finish")
         .orderBy("virtual_finish", id_col)
     )
+
+
+def mixed_documents(docs: DataFrame, size, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+    """The documents of the mix with all their columns, sorted by virtual finish time.
+
+    Adds size, target, taken (size times repeats) and virtual_finish, named
+    anew where taken; documents of which the mix takes nothing go.
+    """
+    names = {n: fresh(docs, n) for n in ("size", "target", "taken", "virtual_finish")}
+    own_size = names["size"]
+    sized = docs.withColumn(own_size, size)
+    plan = mix_plan(sized, F.col(own_size), id_col, source_col, **options).where("taken > 0")
+    key = fresh(sized, "mix_id")
+    plan = plan.select(
+        F.col(id_col).alias(key), F.col("size").alias(f"{key}_size"),
+        *[F.col(n).alias(names[n]) for n in ("target", "taken", "virtual_finish")],
+    ).dropDuplicates([key, f"{key}_size"])
+    same = F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own_size) == F.col(f"{key}_size"))
+    return sized.join(plan, same).drop(key, f"{key}_size").orderBy(names["virtual_finish"], id_col)

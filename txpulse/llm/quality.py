@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txpulse.llm.common import fresh, slices
-from txpulse.llm.tokens import SPACED, mix, text_bytes, words
+from txpulse.llm.tokens import ALNUM, SPACED, mix, text_bytes, words
 
 #: Hash slots of words, and slots of the text's looks behind them.
 SLOTS, LOOKS = 1 << 17, 512
 #: About so many labelled documents are fitted on.
 TRAIN_ROWS = 10_000
-#: Passes of the fit and its penalty.
-STEPS, PENALTY = 150, 1.0
+#: Passes of the fit, its penalty, and the documents that a slot needs: 3, or one in RARE of the sample.
+STEPS, PENALTY, RARE = 150, 3.0, 500
 #: Grades from worst to best.
 GRADES = ("toxic", "poor", "good")
 
@@ -24,10 +24,12 @@ _KIND[97:123], _KIND[65:91], _KIND[48:58], _KIND[128:], _KIND[~SPACED] = 1, 2, 3
 
 
 def features(texts: pa.Array) -> list[np.ndarray]:
-    """Distinct hash slots of each text: its words, and its looks as binned shares."""
-    hashes, starts, ends, first = words(texts)
+    """Distinct hash slots of each text: its words with and without marks, and its looks as binned shares."""
+    hashes, _, _, first = words(texts)
+    plain, _, _, first_plain = words(texts, ALNUM)
     buf, at = text_bytes(texts)
     slot = (mix(hashes) % np.uint64(SLOTS)).astype(np.int64)
+    plain = (mix(~plain) % np.uint64(SLOTS)).astype(np.int64)
     kinds = _KIND[buf]
     owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
     shares = np.bincount(owner * 6 + kinds, minlength=6 * (len(at) - 1)).reshape(-1, 6)
@@ -40,7 +42,8 @@ def features(texts: pa.Array) -> list[np.ndarray]:
         looks.append(int(20 * len(unique) / max(1, n)))
         looks.append(min(20, int(np.log2(n + 1))))
         looks.append(min(20, int((size / max(1, n)))))
-        out.append(np.concatenate((unique, SLOTS + np.arange(len(looks)) * 21 + looks)))
+        both = np.unique(np.concatenate((unique, plain[first_plain[i] : first_plain[i + 1]])))
+        out.append(np.concatenate((both, SLOTS + np.arange(len(looks)) * 21 + looks)))
     return out
 
 
@@ -66,9 +69,9 @@ class Ordinal:
     @classmethod
     def fit(cls, rows: list[np.ndarray], grades: np.ndarray, n_grades: int, steps: int = STEPS, penalty: float = PENALTY):
         """Penalised maximum likelihood by accelerated gradient steps (Adam) on all rows."""
-        size = np.array([len(r) for r in rows])
-        flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), size)
-        scale = 1 / np.sqrt(np.maximum(size, 1))
+        held = np.bincount(np.concatenate(rows), minlength=SLOTS + LOOKS)
+        rows = [r[held[r] >= max(3, len(rows) / RARE)] for r in rows]
+        flat, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
         weights, n = np.zeros(SLOTS + LOOKS), len(rows)
         share = np.array([(grades > j).mean() for j in range(n_grades - 1)]).clip(1e-6, 1 - 1e-6)
         # cuts are the first one and the logarithms of the gaps, so they stay in order
@@ -78,14 +81,13 @@ class Ordinal:
         for step in range(1, steps + 1):
             gaps = np.exp(free[1:])
             cuts = free[0] + np.concatenate(([0.0], np.cumsum(gaps)))
-            score = np.bincount(owner, weights[flat], minlength=n) * scale
+            score = np.bincount(owner, weights[flat], minlength=n)
             above = sigmoid(score[:, None] - cuts)  # P(grade > j)
             edge = np.concatenate((np.ones((n, 1)), above, np.zeros((n, 1))), axis=1)
             p = np.maximum(edge[np.arange(n), grades] - edge[np.arange(n), grades + 1], 1e-12)
             slope = edge * (1 - edge)
             up, down = slope[np.arange(n), grades] / p, slope[np.arange(n), grades + 1] / p
-            d_score = (up - down) * scale
-            d_weights = np.bincount(flat, d_score[owner], minlength=len(weights)) - penalty * weights / 10
+            d_weights = np.bincount(flat, (up - down)[owner], minlength=len(weights)) - penalty * weights
             d_cuts = np.zeros(n_grades + 1)
             np.add.at(d_cuts, grades, -up)
             np.add.at(d_cuts, grades + 1, down)
@@ -95,12 +97,12 @@ class Ordinal:
             for x, g, (m, v) in ((weights, d_weights, moments[0]), (free, d_free, moments[1])):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
-                x += 0.2 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8) * (1 - step / (steps + 1))
+                x += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8) * (1 - step / (steps + 1))
         return cls(weights, free[0] + np.concatenate(([0.0], np.cumsum(np.exp(free[1:])))))
 
     def tails(self, rows: list[np.ndarray]) -> np.ndarray:
         """P(grade > j) for each row and cut."""
-        score = np.array([self.weights[r].sum() / np.sqrt(max(1, len(r))) for r in rows])
+        score = np.array([self.weights[r].sum() for r in rows])
         return sigmoid(score.reshape(-1, 1) - self.cuts)
 
 
@@ -139,7 +141,7 @@ def fit(docs: DataFrame, ratings: DataFrame, n_grades: int = len(GRADES), train_
 
 
 def grade_documents(
-    docs: DataFrame, ratings: DataFrame, select_from: int = 2, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, ratings: DataFrame, select_from: int = 2, least: float = 0.6, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``docs`` with expected_grade, tail_probability and selected (named anew where taken).
 
