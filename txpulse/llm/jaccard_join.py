@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections import OrderedDict
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txpulse.llm.common import slices, written
+from txpulse.llm.common import fresh, slices, written
 from txpulse.llm.graph import components
 from txpulse.llm.tokens import mix, shingle_sets
 
 #: Counters of the document-frequency sketch, in blocks that are summed each by itself.
-SLOTS, BLOCKS = 1 << 18, 32
+SLOT_BITS, BLOCKS = 20, 32
+SLOTS = 1 << SLOT_BITS
 #: Bits of the filter on classes whose sets are needed.
 FILTER_BITS = 1 << 23
 #: 64-bit words of a set's parity sketch.
@@ -47,24 +49,25 @@ def _classes(k: int):
     """Each row's class; at its end a task adds its counts of all shingles."""
 
     def run(batches):
-        counts, none = np.zeros(SLOTS, np.int64), None
+        counts, none = np.zeros(SLOTS, np.int32), None
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 sets = shingle_sets(texts, k)
                 m = len(sets)
                 if m:
                     every = np.concatenate(sets)
-                    counts += np.bincount((every >> np.uint64(46)).astype(np.int64), minlength=SLOTS)
+                    counts += np.bincount((every >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=SLOTS).astype(np.int32)
                 yield pa.RecordBatch.from_pydict(
                     {"id": part.column("id"), "n": pa.array([len(s) for s in sets], pa.int64()),
                      "cid": pa.array([class_id(s) for s in sets], pa.binary()),
+                     "sketch": pa.array([parity_sketch(s) for s in sets], pa.list_(pa.int64())),
                      "block": pa.nulls(m, pa.int32()), "counts": pa.nulls(m, pa.binary())}
                 )
                 none = part.column("id").type
         if none is not None:
             yield pa.RecordBatch.from_pydict(
                 {"id": pa.nulls(BLOCKS, none), "n": pa.nulls(BLOCKS, pa.int64()), "cid": pa.nulls(BLOCKS, pa.binary()),
-                 "block": pa.array(range(BLOCKS), pa.int32()),
+                 "sketch": pa.nulls(BLOCKS, pa.list_(pa.int64())), "block": pa.array(range(BLOCKS), pa.int32()),
                  "counts": pa.array([c.tobytes() for c in np.split(counts, BLOCKS)], pa.binary())}
             )
 
@@ -76,7 +79,7 @@ def _sum_block(batches):
     held: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            held[block] = held.get(block, 0) + np.frombuffer(counts, np.int64)
+            held[block] = held.get(block, 0) + np.frombuffer(counts, np.int32).astype(np.int64)
     yield pa.RecordBatch.from_pydict(
         {"block": pa.array(list(held), pa.int32()), "counts": pa.array([c.tobytes() for c in held.values()], pa.binary())}
     )
@@ -110,7 +113,7 @@ def _prefixes(k: int, num: int, den: int, sketch):
                     if not len(s) or not once(cid := class_id(s)):
                         continue
                     p = len(s) - -(-num * len(s) // den) + 1
-                    order = np.lexsort((s, counts[(s >> np.uint64(46)).astype(np.int64)]))[:p]
+                    order = np.lexsort((s, counts[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]))[:p]
                     keys.append(s[order])
                     cids.extend([cid] * p)
                     sizes.extend([len(s)] * p)
@@ -137,13 +140,10 @@ def _sets(k: int, bitmap):
                     cid = class_id(s)
                     at = int.from_bytes(cid[:8], "big") % FILTER_BITS
                     if bits[at >> 6] >> np.uint64(at & 63) & np.uint64(1) and once(cid):
-                        out.append((cid, len(s), parity_sketch(s), s.tobytes()))
+                        out.append((cid, s.tobytes()))
                 if out:
-                    cid, n, sketch, body = zip(*out, strict=True)
-                    yield pa.RecordBatch.from_pydict(
-                        {"cid": pa.array(cid, pa.binary()), "n": pa.array(n, pa.int64()),
-                         "sketch": pa.array(sketch, pa.list_(pa.int64())), "body": pa.array(body, pa.binary())}
-                    )
+                    cid, body = zip(*out, strict=True)
+                    yield pa.RecordBatch.from_pydict({"cid": pa.array(cid, pa.binary()), "body": pa.array(body, pa.binary())})
 
     return run
 
@@ -217,25 +217,34 @@ def _verify(num: int, den: int):
 
 def _alike(num: int, den: int):
     """Whether sizes and parity sketches of u and v allow a link."""
-    n_u, n_v = F.col("n_u"), F.col("n_v")
-    total = n_u + n_v
+    total = F.col("n_u") + F.col("n_v")
     need = F.ceil(F.lit(num) * total / F.lit(num + den))
-    sizes = (F.lit(den) * F.least(n_u, n_v) >= F.lit(num) * F.greatest(n_u, n_v))
-    differ = sum(
-        (F.bit_count(F.col("sketch_u")[i].bitwiseXOR(F.col("sketch_v")[i])) for i in range(1, PARITY)),
-        F.bit_count(F.col("sketch_u")[0].bitwiseXOR(F.col("sketch_v")[0])),
-    )
-    return sizes & (differ <= total - 2 * need)
+    differ = [F.bit_count(F.get("sketch_u", F.lit(i)).bitwiseXOR(F.get("sketch_v", F.lit(i)))) for i in range(PARITY)]
+    return reduce(lambda a, b: a + b, differ) <= total - 2 * need
+
+
+def _class_filter(cids: DataFrame) -> np.ndarray:
+    """Bits of the classes in ``cids``: of fixed size, and full, that is without effect, at worst."""
+    at = F.pmod(F.conv(F.hex(F.substring("cid", 5, 4)), 16, 10).cast("long"), F.lit(FILTER_BITS))
+    words = cids.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
+    ).toPandas()
+    bits = np.zeros(FILTER_BITS // 64, np.uint64)
+    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint64)
+    return bits
 
 
-def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Those of the distinct candidate pairs (u, v) that link."""
+def _links(src: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Those of the distinct candidate pairs (u, v) that link, by their whole sets."""
+    cids = pairs.select(F.col("u").alias("cid")).union(pairs.select("v")).distinct()
+    bitmap = src.sparkSession.sparkContext.broadcast(_class_filter(cids))
+    sets = src.mapInArrow(_sets(k, bitmap), "cid binary, body binary").join(cids, "cid", "left_semi")
+    sets = written(sets.dropDuplicates(["cid"]), "sets")
     count = pairs.groupBy("u").agg(F.ceil(F.count("*") / (BLOCK_SETS // 2)).cast("long").alias("salts"))
     pairs = pairs.join(count, "u").withColumn("salt", F.pmod(F.xxhash64("v"), "salts"))
-    body = sets.select("cid", "body")
-    candidates = pairs.select("u", "salt", F.lit(1).alias("role"), F.col("v").alias("cid")).join(body, "cid")
+    candidates = pairs.select("u", "salt", F.lit(1).alias("role"), F.col("v").alias("cid")).join(sets, "cid")
     queries = pairs.select("u", "salt").distinct().select("u", "salt", F.lit(0).alias("role"), F.col("u").alias("cid"))
-    rows = candidates.unionByName(queries.join(body, "cid"))
+    rows = candidates.unionByName(queries.join(sets, "cid"))
     rows = rows.repartition("u", "salt").sortWithinPartitions("u", "salt", "role")
     return rows.select("u", "salt", "role", "cid", "body").mapInArrow(_verify(num, den), "u binary, v binary")
 
@@ -269,8 +278,10 @@ def jaccard_components(
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = src.schema["id"].dataType.simpleString()
-    rows = written(src.mapInArrow(_classes(k), f"id {id_type}, n long, cid binary, block int, counts binary"), "classes")
+    rows = written(src.mapInArrow(_classes(k), f"id {id_type}, n long, cid binary, sketch array<long>, block int, counts binary"), "classes")
     classes = rows.where("block is null").select("id", "n", "cid")
+    marks = rows.where("block is null and n > 0").select("cid", "n", "sketch").dropDuplicates(["cid"])
+    marks = written(marks, "marks")
 
     blocks = rows.where("block is not null").select("block", "counts")
     blocks = blocks.repartition("block").mapInArrow(_sum_block, "block int, counts binary").collect()
@@ -287,45 +298,34 @@ def jaccard_components(
         F.lag("cid").over(by_key).alias("last"),
     )
     shared = written(keys.where("u != cid and last != cid").select("key", "cid", "n", "u", "n_u"), "lists")
-    near = F.lit(den) * F.least("n", "n_u") >= F.lit(num) * F.greatest("n", "n_u")
-    first_pairs = written(shared.where(near).select("u", F.col("cid").alias("v")).distinct(), "pairs")
-
-    # the filter takes every class of a list: step 4 needs their sets too
-    at = F.pmod(F.conv(F.hex(F.substring("cid", 5, 4)), 16, 10).cast("long"), F.lit(FILTER_BITS))
-    words = shared.select("cid").union(shared.select("u")).distinct().select(at.alias("at"))
-    words = words.groupBy(F.shiftright("at", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
-    ).toPandas()
-    bits = np.zeros(FILTER_BITS // 64, np.uint64)
-    bits[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint64)
-    bitmap = spark.sparkContext.broadcast(bits)
-    sets = src.mapInArrow(_sets(k, bitmap), "cid binary, n long, sketch array<long>, body binary")
-    sets = written(sets.dropDuplicates(["cid"]), "sets")
-    marks = sets.select("cid", "n", "sketch")
+    near = lambda a, b: F.lit(den) * F.least(a, b) >= F.lit(num) * F.greatest(a, b)
+    pairs = shared.where(near("n", "n_u")).select("u", F.col("cid").alias("v")).distinct()
 
     def marked(pairs: DataFrame, side: str) -> DataFrame:
         return pairs.join(marks.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
 
-    possible = marked(marked(first_pairs, "u"), "v").where(_alike(num, den)).select("u", "v")
-    found = written(_links(possible, sets, num, den), "first-links")
+    def links(pairs: DataFrame, name: str) -> DataFrame:
+        possible = marked(marked(pairs, "u"), "v").where(_alike(num, den)).select("u", "v")
+        return written(_links(src, written(possible, f"{name}-pairs"), k, num, den), f"{name}-links")
+
+    found = links(pairs, "first")
     roots = components(found)
 
-    named = shared.select("key", "cid").join(roots.withColumnRenamed("u", "cid"), "cid", "left")
-    named = named.select("key", "cid", F.coalesce("root", "cid").alias("root"))
+    named = shared.select("key", "cid", "n").join(roots.withColumnRenamed("u", "cid"), "cid", "left")
+    named = written(named.select("key", "cid", "n", F.coalesce("root", "cid").alias("root")), "named")
     per = named.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key").agg(
         F.count("*").alias("roots"), F.max_by("root", "m").alias("main")
     )
     # the first class of each list has been compared with all others
     named = named.join(per.where("roots > 1").select("key", "main"), "key")
-    named = written(named.join(marks, "cid"), "mixed-lists")
-    side = lambda s: named.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "root", "n", "sketch", "main")])
+    side = lambda s: named.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "root", "main")])
     cross = side("u").where("root_u != main_u").join(side("v"), "key").where(
-        (F.col("root_u") != F.col("root_v")) & ((F.col("root_v") == F.col("main_v")) | (F.col("cid_u") < F.col("cid_v"))) & _alike(num, den)
+        near("n_u", "n_v") & (F.col("root_u") != F.col("root_v"))
+        & ((F.col("root_v") == F.col("main_v")) | (F.col("cid_u") < F.col("cid_v")))
     )
-    cross = written(cross.select(F.col("cid_u").alias("u"), F.col("cid_v").alias("v")).distinct(), "cross-pairs")
-    more = written(_links(cross, sets, num, den), "cross-links")
-    if not more.isEmpty():
-        roots = components(found.union(more))
+    cross = written(cross.select(F.col("cid_u").alias("u"), F.col("cid_v").alias("v")).distinct(), "cross")
+    if not cross.isEmpty():
+        roots = components(found.union(links(cross, "cross")))
 
     rooted = classes.where("n > 0").join(roots.withColumnRenamed("u", "cid"), "cid", "left")
     rooted = rooted.select("id", "n", F.coalesce("root", "cid").alias("root"))
@@ -343,4 +343,6 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: st
     found = jaccard_components(docs, k, num, den, id_col, text_col)
     going = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone")).distinct()
     going = written(going, "going")
-    return docs.join(going, F.col(id_col) == F.col("gone"), "left_anti")
+    gone = fresh(docs, "gone")
+    going = going.withColumnRenamed("gone", gone)
+    return docs.join(going, F.col(id_col) == F.col(gone), "left_anti")
