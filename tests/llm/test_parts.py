@@ -1,0 +1,252 @@
+"""Small parts of the operators against plain versions."""
+
+import hashlib
+import random
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import brute
+from txpulse.llm import decontaminate, exact_dedup, html_extract, jaccard_join, language_id, line_dedup, mixing, quality, span_dedup, tokens, url_filter
+from txpulse.llm.common import word_count
+
+TEXTS = ["", " a  b\tc ", "Größe ÜBER alles", "x" * 9000, " ", "one word", "A B C a b c", "Ω\x1eβ γ\x0b\x0cδ"]
+
+
+def large(texts):
+    return pa.array(texts, pa.large_string())
+
+
+def test_words_are_runs_of_other_characters_than_ascii_space():
+    hashes, starts, ends, first = tokens.words(large(TEXTS))
+    raw = "".join(TEXTS).encode()
+    for i, t in enumerate(TEXTS):
+        own = [raw[a:b].decode() for a, b in zip(starts[first[i] : first[i + 1]], ends[first[i] : first[i + 1]])]
+        assert own == brute.WORD.findall(t)
+    # equal words have equal hashes, whatever their case of A-Z
+    of = {}
+    for h, a, b in zip(hashes, starts, ends):
+        assert of.setdefault(int(h), brute.lower(raw[a:b].decode())) == brute.lower(raw[a:b].decode())
+    assert len(of) == len(set(of.values()))
+
+
+def test_word_count(spark):
+    rows = [(t,) for t in [*TEXTS, None]]
+    got = [r.n for r in spark.createDataFrame(rows, "text string").select(word_count(F.col("text")).alias("n")).collect()]
+    assert got == [len(brute.WORD.findall(t or "")) for t, in rows]
+
+
+@given(st.lists(st.text(alphabet=" \t\nabé", max_size=60), min_size=1, max_size=5), st.integers(0, 9000))
+@settings(max_examples=60, deadline=None)
+def test_fingerprints_compose(texts, grow):
+    texts[0] *= 1 + grow // 20
+    buf, at = exact_dedup.normalised(large(texts))
+    prints = exact_dedup.fingerprints(buf, at)
+    for i, t in enumerate(texts):
+        raw = buf[at[i] : at[i + 1]].tobytes()
+        assert raw.decode() == __import__("re").sub(r"[\x20\x09-\x0D]+", " ", t)
+        want = []
+        for p, base in exact_dedup.FIELDS:
+            h = 0
+            for x in raw:
+                h = (h * base + x) % p
+            want.append(h)
+        assert prints[i] == want[0] << 31 | want[1]
+
+
+def test_streaming_comparison_parts_a_collision():
+    body = [b"a" * 70_000, b"a" * 69_999 + b"b", b"a" * 70_000]
+    rows = pa.RecordBatch.from_pydict(
+        {"id": [1, 2, 3], "fp": [7] * 3, "n_bytes": [70_000] * 3, "salt": [0] * 3, "body": body, "sha": [hashlib.sha256(b).hexdigest() for b in body]}
+    )
+    sha = next(exact_dedup._compare([rows])).to_pydict()["sha"]
+    assert sha[0] == sha[2] != sha[1]
+
+
+def test_targets_stop_at_three_times_the_source(spark):
+    rows = [("a", 10)] * 1 + [("b", 1000)] * 3 + [("c", 500), (None, 200)]
+    df = spark.createDataFrame(rows, "source string, size long").withColumn("source_key", F.coalesce("source", F.lit("~")))
+    got = {r.source_key: r.target for r in mixing.source_targets(df).collect()}
+    total, weight, size = 3710, {"a": 5, "b": 2, "c": 1, "~": 5}, {"a": 10, "b": 3000, "c": 500, "~": 200}
+    want, full = {}, set()
+    while True:
+        left = total - sum(3 * size[s] for s in full)
+        heft = sum(weight[s] for s in size if s not in full)
+        want = {s: 3.0 * size[s] if s in full else left * weight[s] / heft for s in size}
+        over = {s for s in size if want[s] > 3 * size[s]}
+        if not over:
+            break
+        full |= over
+    assert got == pytest.approx(want) and sum(got.values()) == pytest.approx(total)
+
+
+@given(st.integers(0, 10**9))
+@settings(max_examples=60, deadline=None)
+def test_divide_skip_finds_exactly_the_links(seed):
+    rng = random.Random(seed)
+    base = [rng.randrange(1, 2**63) for _ in range(rng.randrange(1, 60))]
+    sets = []
+    for _ in range(rng.randrange(1, 30)):
+        s = {x for x in base if rng.random() < rng.choice((0.5, 0.9, 1.0))} | {rng.randrange(1, 2**63) for _ in range(rng.randrange(0, 8))}
+        sets.append(np.array(sorted(s or {1}), np.uint64))
+    query = np.array(sorted(set(base)), np.uint64)
+    num, den = rng.choice(((4, 5), (90, 100), (1, 2)))
+    want = []
+    for i, s in enumerate(sets):
+        n = len(np.intersect1d(query, s))
+        if den * n >= num * (len(query) + len(s) - n):
+            want.append(i)
+    assert jaccard_join.divide_skip(query, sets, num, den) == want
+
+
+@given(st.integers(0, 10**9))
+@settings(max_examples=40, deadline=None)
+def test_parity_sketch_is_a_lower_bound(seed):
+    rng = random.Random(seed)
+    a = {rng.randrange(2**64) for _ in range(200)}
+    b = {x for x in a if rng.random() < 0.9} | {rng.randrange(2**64) for _ in range(rng.randrange(40))}
+    x, y = (jaccard_join.parity_sketch(np.array(sorted(s), np.uint64)) for s in (a, b))
+    assert sum(((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(x, y)) <= len(a ^ b)
+
+
+def _changed(rng, line, n):
+    line = list(line)
+    for _ in range(n):
+        at = rng.randrange(len(line))
+        kind = rng.randrange(3)
+        if kind == 0:
+            line[at] = rng.choice("abcé")
+        elif kind == 1:
+            line.insert(at, rng.choice("abcé"))
+        else:
+            del line[at]
+    return "".join(line)
+
+
+def test_edit_automaton_and_signatures(spark):
+    rng = random.Random(5)
+    pairs = []
+    for _ in range(400):
+        a = "".join(rng.choice("abcdé ") for _ in range(rng.randrange(45, 70)))
+        pairs.append((a, _changed(rng, a, rng.randrange(0, 5))))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    df = df.withColumn("near", line_dedup.within(F.col("a"), F.col("b"), 2))
+    sign = lambda c: line_dedup.signatures(F.col(c), F.length(c), 2)
+    bits = F.bit_count(line_dedup.parity_sketch(F.col("a")).bitwiseXOR(line_dedup.parity_sketch(F.col("b"))))
+    for r in df.withColumns({"sa": sign("a"), "sb": sign("b"), "bits": bits}).collect():
+        near = brute.edits(r.a, r.b) <= 2
+        assert r.near == near
+        if near and min(len(r.a), len(r.b)) >= line_dedup.LEAST_CHARS:
+            # the shorter line's own segments meet a signature of the longer one
+            short, long = sorted((r.sa, r.sb), key=lambda s: len(r.a) if s is r.sa else len(r.b))
+            assert {s.key for s in short if s.side == 0} & {s.key for s in long}
+            assert r.bits <= 8
+
+
+@pytest.mark.parametrize("window", range(5, 14))
+def test_masks_find_every_allowed_substitution(window):
+    masks = decontaminate.seed_masks(window)
+    assert len(masks) <= decontaminate.MASKS
+    for wrong in combinations(range(window), decontaminate.allowed(window)):
+        assert any(not {p + m for m in mask} & set(wrong) for mask in masks for p in range(window - mask[-1]))
+
+
+def test_gram_counts_of_pieces_equal_those_of_the_whole(monkeypatch):
+    text = "Größe, und   Übermut! 12 ça  va" * 7
+    whole = language_id.gram_counts(text)
+    monkeypatch.setattr(language_id, "PIECE", 5)
+    for a, b in zip(whole, language_id.gram_counts(text)):
+        assert a.tolist() == b.tolist()
+    letters = [w for w in __import__("re").split("[^a-zßöüç]+", text.lower()) if w]
+    want = {}
+    for w in letters:
+        p = f" {w} "
+        for n in (1, 2, 3):
+            for i in range(len(p) - n + 1):
+                g = p[i : i + n]
+                if g != " " and not (n == 3 and g[1] == " "):
+                    want[g] = want.get(g, 0) + 1
+    keys = {"".join(chr(int(k) >> s & 0x1FFFFF) for s in (42, 21, 0) if int(k) >> s): int(n) for k, n in zip(*whole)}
+    assert keys == want
+
+
+def test_main_text_of_templates():
+    weights = {"": 0.3, "p": -0.05, "div": -6.0, "li": -8.0, "a": -0.3, "ul": -8.0, "h1": -0.3, "b": -0.1}
+    article = "<h1>A title &amp; more</h1><p>First   part<br>of the <b>text</b>.<p>Second&nbsp;part with <a href=x>a link</a>.</p>"
+    page = f"""<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p><article>";</script></head><body>
+      <nav><ul><li><a>Home</a></li></ul></nav><div class="cookie-notice">We use cookies, many words of them, again and again and again.</div>
+      <article>{article}<div class="advert">Buy now</div><form>Mail <input></form></article>
+      <section id="comments"><p>I disagree with every single word of it.</p></section><aside>See also</aside><footer>&copy; x</footer>"""
+    want = "A title & more\n\nFirst part of the text.\n\nSecond part with a link."
+    assert html_extract.main_text(page, weights) == want
+    plain = page.replace("<article>", "<div>").replace("</article>", "</div>")
+    assert html_extract.main_text(plain, weights) == want
+    odd = "<article><p title=don't class='a>b' id=\"x>y\">It's <a href='>'>one</a> <b>text</b></article>"
+    assert html_extract.main_text(odd, weights) == "It's one text"
+    for empty in (None, "", "<p></p>", "<a href='x", "<!-- x", "<script>x", "<nav>only a menu</nav>"):
+        assert html_extract.main_text(empty, weights) == ""
+
+
+def test_rules_and_host(spark):
+    cases = [
+        ("https://WWW.Example.ORG/es/x?y#z", "www.example.org", "/es/x", "example.org/es/", "block"),
+        ("http://example.org/en/12", "example.org", "/en/12", "example.org/en/1", "block"),
+        ("http://example.org/en/2", "example.org", "/en/2", "org/", "allow"),
+        ("http://notexample.org/es/", "notexample.org", "/es/", "org/", "allow"),
+        ("http://a.com/fr/1", "a.com", "/fr/1", "com/fr/", "allow"),
+        ("http://a.com/de/", "a.com", "/de/", "com/de/", "block"),
+        ("http://a.org", "a.org", "", None, None),
+        ("http://a.org?x=/fr/", "a.org", "", None, None),
+        ("no scheme", "", "", None, None),
+        ("", "", "", None, None),
+        (None, "", "", None, None),
+    ]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i int, url string")
+    host, path = url_filter.host_and_path(F.col("url"))
+    df = df.select("i", host.alias("h"), path.alias("p"))
+    df = df.withColumn("r", url_filter.rule_of(F.col("h"), F.col("p"))).orderBy("i")
+    got = [(r.h, r.p, r.r.rule if r.r else None, r.r.verdict if r.r else None) for r in df.collect()]
+    assert got == [c[1:] for c in cases]
+
+
+def test_least_error():
+    at = lambda s: int((s + url_filter.RANGE) * url_filter.BINS / (2 * url_filter.RANGE))
+    t = url_filter.least_error([(at(-1), "block", 5), (at(-0.5), "block", 3), (at(0.5), "allow", 9), (at(2), "allow", 1)])
+    assert -0.5 < t <= 0.5 and abs(t) < 0.02
+    assert url_filter.least_error([(at(1), "allow", 4)]) == 0.0
+
+
+def test_ordinal_fit_orders_the_grades():
+    rng = np.random.default_rng(1)
+    rows, grades = [], []
+    for _ in range(600):
+        g = int(rng.integers(3))
+        rows.append(np.unique(np.concatenate((rng.integers(100, 200, 30), [g * 3 + int(rng.integers(3))]))))
+        grades.append(g)
+    model = quality.Ordinal.fit(rows, np.array(grades), 3)
+    assert np.all(np.diff(model.cuts) > 0)
+    expected = model.tails(rows).sum(axis=1)
+    assert (np.rint(expected) == grades).mean() > 0.97
+
+
+def test_spans_cover_shared_passages():
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    mark = lambda: rng.choice(["", "", "", ",", ".", ";", "!", ".\n"])
+    say = lambda n: " ".join(word() + mark() for _ in range(n))
+    for _ in range(40):
+        passage = say(60)
+        texts = [f"{say(30)} {passage} {say(30)}", f"{say(17)} {passage} {say(50)}", say(120)]
+        owner, h, n, start, end = span_dedup.spans(large(texts))
+        by = [set(h[owner == i].tolist()) for i in range(3)]
+        assert by[0] & by[1] and not (by[0] | by[1]) & by[2]
+        shared = by[0] & by[1]
+        for o, x, a, b in zip(owner, h, start, end):
+            if int(x) in shared:
+                raw = texts[o].encode()[a:b].decode().split()
+                assert set(w.strip(",.;!") for w in raw) <= set(w.strip(",.;!") for w in passage.split())

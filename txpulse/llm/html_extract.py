@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 LABELLED_PAGES, TAG_NAMES = 20_000, 1000
 #: Least gain of a word, least and greatest cost of a tag.
 LEAST, MOST = 0.05, 12.0
+#: Cost of a tag within a sentence, such as a link, no more than a word gains: menus pay for their items and lists.
+MOST_INLINE = LEAST
 
 # fixed values of the HTML standard
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
@@ -24,6 +26,11 @@ BLOCK = {
     "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody",
     "tfoot", "thead", "tr", "ul",
 }
+INLINE = {
+    "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "del", "dfn", "em", "font", "i", "img",
+    "ins", "kbd", "mark", "q", "ruby", "s", "samp", "small", "span", "strong", "sub", "sup", "time", "tt", "u", "var",
+    "wbr",
+}
 #: Elements that end an open paragraph or item of the same kind.
 ENDS_SAME = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 #: Elements and class, id or role words of what is not the article.
@@ -39,7 +46,9 @@ ASIDE_WORDS = {
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    # quotes count after = only, and no part is tried twice
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[\"'])*+)>"
+    r"|</?[a-zA-Z][^>]*\Z",  # a tag that never ends
     re.S,
 )
 MARKS = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -139,7 +148,8 @@ def learn_weights(pages: DataFrame, html_col: str = "html", id_col: str = "page_
     weights = {}
     for r in counts:
         odds = math.log((r["i"] + 1) / total_in) - math.log((r["o"] + 1) / total_out)
-        weights[r["name"]] = max(LEAST, odds) if not r["name"] else -min(MOST, max(LEAST, -odds))
+        most = MOST_INLINE if r["name"] in INLINE else MOST
+        weights[r["name"]] = max(LEAST, odds) if not r["name"] else -min(most, max(LEAST, -odds))
     return {"": 1.0} | weights
 
 
@@ -159,13 +169,13 @@ def main_text(page: str | None, weights: dict[str, float], unseen: float = -1.0)
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
     for i, (name, text, article, beside) in enumerate(found):
         if name:
-            cost = weights.get(name[:32], unseen)
+            cost = weights.get(name[:32], -MOST_INLINE if name in INLINE else unseen)
             total += -LEAST / 10 if article and not beside else cost
         elif not beside and (article or not marked):
             total += word * len(text.split())
         if total <= 0:
             total, start = 0.0, i + 1
-        elif total > best:
+        elif total > best - 1e-9:  # a word may just make up for its tag
             best, best_at = total, (start, i + 1)
     blocks, block = [], []
     for name, text, article, beside in found[best_at[0] : best_at[1]]:
