@@ -69,10 +69,10 @@ def test_frames_match_brute_force(spark, rows, b1, b2):
     tx = spark.createDataFrame(data, "user_id int, type string, sum double, event_time long, seq long")
     expect = model([(u, t, i, ty, c) for i, (u, t, ty, c) in enumerate(rows)])
 
-    got1 = {r["seq"]: (r["prior_n"], r["prior_cents"]) for r in rolling_avg_check(tx, W1, bucket_ms=b1).collect()}
+    got1 = {r["seq"]: (r["prior_n"], r["prior_units"] // 100) for r in rolling_avg_check(tx, W1, bucket_ms=b1).collect()}
     rules = RfmRules(window_ms=W2, retention_ms=R, recency="gap")
     got2 = {
-        r["seq"]: (r["f"], r["m_cents"], r["first_ts"], r["prev_ts"], r["first_ts_r2"])
+        r["seq"]: (r["f"], r["m_units"] // 100, r["first_ts"], r["prev_ts"], r["first_ts_r2"])
         for r in rfm_detail(tx, rules, bucket_ms=b2, tenures={"first_ts_r2": R2}).collect()
     }
     assert set(got1) == set(got2) == set(expect)
@@ -94,7 +94,7 @@ def test_resume_from_snapshot_matches_brute_force(spark, rows, cut, b2):
     rules = RfmRules(window_ms=W2, retention_ms=R, recency="gap")
     h, e = snapshot_from_detail(rfm_detail(tx.where(F.col("event_time") < cut), rules, bucket_ms=b2))
     resumed = rfm_detail(tx.where(F.col("event_time") >= cut), rules, bucket_ms=b2, seed_headers=h, seed_entries=e)
-    got = {r["seq"]: (r["f"], r["m_cents"], r["first_ts"], r["prev_ts"]) for r in resumed.where("_emit").collect()}
+    got = {r["seq"]: (r["f"], r["m_units"] // 100, r["first_ts"], r["prev_ts"]) for r in resumed.where("_emit").collect()}
     assert set(got) == {i for i, r in enumerate(rows) if r[1] >= cut}
     for s, v in got.items():
         assert v == expect[s][2:6], (s, v, expect[s][2:6])

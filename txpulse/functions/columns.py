@@ -5,6 +5,8 @@ All of them are built-in expressions, so they stay inside whole-stage codegen.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
@@ -18,10 +20,25 @@ def is_type(col: Column | str, name: str) -> Column:
     return F.coalesce(F.lower(c) == F.lit(name.lower()), F.lit(False))
 
 
-def to_cents(col: Column | str) -> Column:
-    """Amount as exact integer cents; window sums are done on these."""
+def to_units(col: Column | str) -> Column:
+    """Amount as an exact integer number of units of 1/UNITS; window sums are done on these.
+
+    Half a unit rounds away from zero, here and in the streaming form. Null if
+    it is no number or too large for a long, so one bad row fails no job.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.round(c * F.lit(C.UNITS)).try_cast("long")
+
+
+def amount_fault(col: Column | str) -> Column:
+    """Why an amount cannot be kept exactly: ``sum_out_of_range``, ``sum_too_fine``, else null."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c * F.lit(100)).cast("long")
+    scaled = c * F.lit(float(C.UNITS))
+    # a double of a few digits is off its decimal value by some units in the last place
+    slack = F.greatest(F.lit(1e-6), F.abs(scaled) * F.lit(2.0**-50))
+    return F.when(F.isnan(c) | (F.abs(c) > F.lit(C.MAX_AMOUNT)), F.lit("sum_out_of_range")).when(
+        F.abs(scaled - F.round(scaled)) > slack, F.lit("sum_too_fine")
+    )
 
 
 def epoch_millis(df_field_type, col: Column) -> Column:
@@ -42,15 +59,15 @@ def epoch_millis(df_field_type, col: Column) -> Column:
     return col.cast("long")
 
 
-def mean_from_cents(total_cents: Column, n: Column) -> Column:
-    """Mean amount from a cents total and a count, one rounding; 0.0 when n = 0."""
-    return F.when(n > 0, total_cents.cast("double") / (n * F.lit(100)).cast("double")).otherwise(
+def mean_from_units(total_units: Column, n: Column) -> Column:
+    """Mean amount from a total in units and a count, one rounding; 0.0 when n = 0."""
+    return F.when(n > 0, total_units.cast("double") / (n * F.lit(C.UNITS)).cast("double")).otherwise(
         F.lit(0.0)
     )
 
 
 def anomaly_condition(
-    type_col: Column, sum_cents: Column, prior_cents: Column, prior_n: Column, factor: float
+    type_col: Column, sum_units: Column, prior_units: Column, prior_n: Column, factor: float
 ) -> Column:
     """Credit AND mean > 0 AND sum >= factor * mean, in exact integer arithmetic.
 
@@ -59,8 +76,11 @@ def anomaly_condition(
     return (
         is_type(type_col, C.CREDIT)
         & (prior_n > 0)
-        & (prior_cents > 0)
-        & (sum_cents * prior_n >= F.lit(factor) * prior_cents)
+        & (prior_units > 0)
+        & (
+            sum_units.cast("decimal(20,0)") * prior_n.cast("decimal(12,0)")
+            >= F.lit(Decimal(str(factor))) * prior_units.cast("decimal(20,0)")
+        )
     )
 
 

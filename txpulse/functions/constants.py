@@ -11,6 +11,13 @@ DEPOSIT = "Deposit"
 ANOMALY_FACTOR = 3
 ALERT_MESSAGE = "Credit >= 3 * avg_check_5min"
 
+# Amounts are kept exactly in units of 1/UNITS; a window total stays below 2**63
+# units for over 900,000 amounts of MAX_AMOUNT. Times lie in the years 1 to 9999.
+UNITS = 10_000
+MAX_AMOUNT = 1e9
+MIN_TIME_MS = -62_135_596_800_000
+MAX_TIME_MS = 253_402_300_799_999
+
 # Windows and expiries, in milliseconds.
 ANOMALY_WINDOW_MS = 5 * 60 * 1000  # 5 minutes
 RFM_WINDOW_MS = 24 * 60 * 60 * 1000  # 24 hours

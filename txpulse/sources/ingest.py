@@ -3,7 +3,8 @@
 ``parse_transactions`` (S1, P1-P5, D4) follows the stream job's reading:
 PERMISSIVE JSON, types compared case-insensitively later, unknown keys ignored.
 Unlike the reference, a row whose ``sum`` or ``event_time`` is missing is
-quarantined instead of failing the query.
+quarantined instead of failing the query, and so is one whose amount or time
+is out of range or whose amount is finer than the exact unit.
 
 ``parse_typed_transactions`` (S2) is the plain consumer's strict reading:
 exact ``decimal(18,2)`` amount (more digits are rejected, never rounded) and
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from txpulse.functions import constants as C
+from txpulse.functions.columns import amount_fault
 from txpulse.schemas import CORRUPT_COLUMN, TRANSACTION_JSON, TYPED_TRANSACTION_JSON
 
 JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}
@@ -48,33 +50,39 @@ def _first_failure(checks: list[tuple[Column, str]]) -> Column:
     return out
 
 
-def parse_transactions(kafka_df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(clean, rejects). clean: user_id, type, sum, event_time, seq (= offset).
+CLEAN = ("user_id", "type", "sum", "event_time", "seq")
+REJECT = ("partition", "offset", "reason", "malformed", "raw")
 
-    ``offset`` orders a user's records when the topic is keyed by user (one
-    partition per user), which is what the tie rule needs.
-    """
+
+def judged_transactions(kafka_df: DataFrame) -> DataFrame:
+    """Every record once, parsed, with the ``reason`` why it is rejected (null: clean)."""
     p = _parse(kafka_df, TRANSACTION_JSON)
+    fault = amount_fault("sum")
     reason = _first_failure(
         [
             (F.col("raw").isNull(), "null_value"),
             (F.col("user_id").isNull(), "null_user_id"),
             (F.col("sum").isNull(), "null_sum"),
             (F.col("event_time").isNull(), "null_event_time"),
+            (fault == "sum_out_of_range", "sum_out_of_range"),
+            (fault == "sum_too_fine", "sum_too_fine"),
+            (~F.col("event_time").between(C.MIN_TIME_MS, C.MAX_TIME_MS), "event_time_out_of_range"),
         ]
     )
-    p = p.withColumn("reason", reason)
-    clean = p.where(F.col("reason").isNull()).select(
-        "user_id", "type", "sum", "event_time", F.col("offset").alias("seq")
-    )
-    rejects = p.where(F.col("reason").isNotNull()).select(
-        "partition",
-        "offset",
-        "reason",
-        F.col(CORRUPT_COLUMN).isNotNull().alias("malformed"),
-        "raw",
+    return p.select(
+        "user_id", "type", "sum", "event_time", F.col("offset").alias("seq"),
+        "partition", "offset", reason.alias("reason"), F.col(CORRUPT_COLUMN).isNotNull().alias("malformed"), "raw",
     )
-    return clean, rejects
+
+
+def parse_transactions(kafka_df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(clean, rejects). clean: user_id, type, sum, event_time, seq (= offset).
+
+    ``offset`` orders a user's records when the topic is keyed by user (one
+    partition per user), which is what the tie rule needs.
+    """
+    rows = judged_transactions(kafka_df)
+    return rows.where(F.col("reason").isNull()).select(*CLEAN), rows.where(F.col("reason").isNotNull()).select(*REJECT)
 
 
 def parse_typed_transactions(kafka_df: DataFrame) -> tuple[DataFrame, DataFrame]:

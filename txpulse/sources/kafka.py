@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from txpulse.functions import constants as C
+
 # Default topic names.
 INPUT_TOPIC = "user-transactions"
 ALERTS_TOPIC = "alerts"
@@ -31,6 +33,28 @@ CORRUPT_KINDS = (
 )
 
 
+# Every 13th event that ``strained`` changes, by (event_id div 13) % 5.
+STRAIN_EVERY = 13
+STRAINS = (
+    "sum_out_of_range",  # 0: 1e20
+    "sum_too_fine",  # 1: the amount plus a millionth
+    "event_time_out_of_range",  # 2: the greatest long
+    "",  # 3: an amount of four decimals, kept
+    "",  # 4: the greatest amount that is kept
+)
+
+
+def strained(tx: DataFrame) -> DataFrame:
+    """Transactions of which every 13th has an amount or time at or past what is kept exactly."""
+    kind = F.when(F.pmod("seq", F.lit(STRAIN_EVERY)) == 0, F.pmod(F.expr(f"seq div {STRAIN_EVERY}"), F.lit(len(STRAINS))))
+    amount = (
+        F.when(kind == 0, F.lit(1e20)).when(kind == 1, F.col("sum") + 1e-6)
+        .when(kind == 3, F.lit(0.0004)).when(kind == 4, F.lit(1e9)).otherwise(F.col("sum"))
+    )
+    time = F.when(kind == 2, F.lit(2**63 - 1)).otherwise(F.col("event_time"))
+    return tx.withColumns({"sum": amount, "event_time": time})
+
+
 def kafka_stream(
     spark: SparkSession,
     bootstrap_servers: str,
@@ -119,6 +143,7 @@ def transactions_as_kafka(
         F.lit(topic).alias("topic"),
         F.pmod(F.hash(u), F.lit(partitions)).cast("int").alias("partition"),
         F.col("seq").alias("offset"),
-        F.timestamp_millis(e).alias("timestamp"),
+        # the record's own time; a producer's clock is not the event's
+        F.timestamp_millis(F.when(e.between(C.MIN_TIME_MS, C.MAX_TIME_MS), e)).alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

@@ -1,7 +1,7 @@
 """Keyed stateful processors (T1-T4) for ``transformWithStateInPandas``.
 
 Per user, the state is one ValueState row: the trailing window's entries as
-parallel arrays (event_time, seq, cents) - and for RFM also the epoch start
+parallel arrays (event_time, seq, units) - and for RFM also the epoch start
 and last-seen time. One row means one read and one write per user and
 micro-batch, instead of a round trip per list element. Each micro-batch's
 rows for a user are sorted by (event_time, seq) and merged with the buffered
@@ -40,15 +40,19 @@ WARN_ENTRIES = 1_000_000
 
 # timer_at: the expiry timer currently armed (EventTime mode), so moving it
 # costs one delete and one register, not a listing of the key's timers
-ANOMALY_STATE = "ts array<long>, seq array<long>, cents array<long>, timer_at long"
-RFM_STATE = "first_ts long, last_ts long, ts array<long>, seq array<long>, dep_cents array<long>, timer_at long"
+ANOMALY_STATE = "ts array<long>, seq array<long>, units array<long>, timer_at long"
+RFM_STATE = "first_ts long, last_ts long, ts array<long>, seq array<long>, dep_units array<long>, timer_at long"
 
 # Columns of the initial-state frame for the RFM processor (snapshot rows).
 RFM_SEED = "user_id int, is_header boolean, event_time long, seq long, sum double, type string, first_ts long"
 
 
-def _cents(x: np.ndarray) -> np.ndarray:
-    return np.rint(x.astype("float64") * 100.0).astype("int64")
+def _units(x: np.ndarray) -> np.ndarray:
+    """Like ``to_units``: half a unit away from zero. What no ingest lets through ends the batch, not the sums."""
+    scaled = x.astype("float64") * float(C.UNITS)
+    if not (np.abs(scaled) <= C.MAX_AMOUNT * C.UNITS).all():
+        raise ValueError("an amount is out of range; quarantine it before the operator")
+    return (np.sign(scaled) * np.floor(np.abs(scaled) + 0.5)).astype("int64")
 
 
 def _is_type(types, name: str) -> np.ndarray:
@@ -149,14 +153,14 @@ class AnomalyProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         b = _Rows(rows)
-        cents = _cents(b.sum)
+        units = _units(b.sum)
         old = self.state.get() or ([], [], [], None)
-        ts, seq, val, pos = _merge(old[0], old[1], old[2], b.ts, b.seq, cents)
+        ts, seq, val, pos = _merge(old[0], old[1], old[2], b.ts, b.seq, units)
         csum = _prefix(val)
         lo = np.searchsorted(ts, ts[pos] - self.window_ms, side="left")
         n = pos - lo
         total = csum[pos] - csum[lo]
-        hit = _is_type(b.type, C.CREDIT) & (n > 0) & (total > 0) & (cents * n >= self.factor * total)
+        hit = _is_type(b.type, C.CREDIT) & (n > 0) & (total > 0) & (units * n >= self.factor * total)
         self._keep(ts, seq, val, timerValues, old[3])
         self.watch.check(key, len(ts))
         if hit.any():
@@ -167,7 +171,7 @@ class AnomalyProcessor(StatefulProcessor):
                     "seq": b.seq[hit],
                     "type": b.type[hit],
                     "sum": b.sum[hit],
-                    "avg_check_5min": total[hit] / (n[hit] * 100).astype("float64"),
+                    "avg_check_5min": total[hit] / (n[hit] * C.UNITS).astype("float64"),
                     "message": self.message,
                 }
             )
@@ -208,7 +212,7 @@ class RfmProcessor(StatefulProcessor):
         if len(heads):
             h = heads.iloc[-1]
             first, last = int(h["first_ts"]), int(h["event_time"])
-        dep = np.where(_is_type(ents["type"].to_numpy(dtype=object), C.DEPOSIT), _cents(ents["sum"].to_numpy()), 0)
+        dep = np.where(_is_type(ents["type"].to_numpy(dtype=object), C.DEPOSIT), _units(ents["sum"].to_numpy()), 0)
         if self.timers and last is not None:
             # a restored user expires like any other after a full retention idle
             timer_at = _move_timer(self.handle, timer_at, int(last) + self.rules.retention_ms)
@@ -227,21 +231,25 @@ class RfmProcessor(StatefulProcessor):
         r = self.rules
         b = _Rows(rows)
         new_ts = b.ts
-        dep = np.where(_is_type(b.type, C.DEPOSIT), _cents(b.sum), 0).astype("int64")
+        dep = np.where(_is_type(b.type, C.DEPOSIT), _units(b.sum), 0).astype("int64")
         first0, last0, o_ts, o_seq, o_dep, timer_at = self.state.get() or (None, None, [], [], [], None)
         ts, seq, val, pos = _merge(o_ts, o_seq, o_dep, new_ts, b.seq, dep)
         csum = _prefix(val)
         lo = np.searchsorted(ts, ts[pos] - r.window_ms, side="left")
         f = pos - lo + 1
-        m_cents = csum[pos + 1] - csum[lo]
+        m_units = csum[pos + 1] - csum[lo]
 
         # previous transaction: the one before in merged order, else the stored last
+        # unless that one is later (a late row); a late row inside the stored
+        # epoch belongs to it
+        stored = last0 is not None
         prev = ts[np.maximum(pos - 1, 0)]
-        if last0 is not None:
-            prev = np.where(pos == 0, last0, prev)
-        has_prev = (pos > 0) | (last0 is not None)
+        if stored:
+            prev = np.where(pos == 0, np.minimum(last0, new_ts), prev)
+        has_prev = (pos > 0) | (np.full(len(new_ts), stored) & (new_ts >= (last0 if stored else 0)))
         gap = np.where(has_prev, new_ts - prev, 0)
-        starts = ~has_prev | (gap >= r.retention_ms)
+        inside = np.full(len(new_ts), stored and first0 is not None) & (new_ts >= (first0 or 0)) & (pos == 0)
+        starts = np.where(has_prev, gap >= r.retention_ms, ~inside)
         # first_ts: the latest epoch start at or before each row, else the stored one
         idx = np.maximum.accumulate(np.where(starts, np.arange(len(new_ts)), -1))
         first = np.where(idx >= 0, new_ts[np.maximum(idx, 0)], first0 if first0 is not None else 0)
@@ -251,8 +259,8 @@ class RfmProcessor(StatefulProcessor):
         segment = np.select(
             [
                 tenure < r.newcomer_ms,
-                (m_cents > r.vip_min_m * 100) & (f > r.vip_min_f),
-                (m_cents > r.active_min_m * 100) & (f > r.active_min_f),
+                (m_units > r.vip_min_m * C.UNITS) & (f > r.vip_min_f),
+                (m_units > r.active_min_m * C.UNITS) & (f > r.active_min_f),
                 r_minutes > r.sleeping_min_r_minutes,
             ],
             [C.SEGMENT_NEWCOMER, C.SEGMENT_VIP, C.SEGMENT_ACTIVE, C.SEGMENT_SLEEPING],
@@ -275,7 +283,7 @@ class RfmProcessor(StatefulProcessor):
                 "segment": segment,
                 "r_minutes": r_minutes.astype("float64"),
                 "f": f.astype("int64"),
-                "m": m_cents / 100.0,
+                "m": m_units / float(C.UNITS),
                 "updated_at": new_ts,
             }
         )
