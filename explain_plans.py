@@ -16,7 +16,7 @@ from txpulse.plans.queries import QUERIES  # noqa: E402
 from txpulse.session import build_session  # noqa: E402
 
 # queries whose callables run jobs before returning (they write or stream)
-EAGER = {"state_restore", "stream_anomaly", "stream_rfm"}
+EAGER = {"state_restore", "snapshot_upsert", "stream_anomaly", "stream_rfm", "stream_restore"}
 
 
 def main() -> None:

@@ -44,12 +44,12 @@ def test_results_do_not_depend_on_bucket_width(spark, bucket_ms):
     tx = _hot(spark)
     wide = 40 * DAY  # one bucket holds everything: the plain per-user window
     rules = RfmRules(recency="gap")  # 7-day retention: buckets of 1 to 7 days are allowed
-    cols = ("user_id", "seq", "f", "m_cents", "first_ts", "prev_ts", "is_last", "in_tail")
+    cols = ("user_id", "seq", "f", "m_units", "first_ts", "prev_ts", "is_last", "in_tail")
     a = rfm_detail(tx, rules, bucket_ms=bucket_ms).select(*cols)
     b = rfm_detail(tx, rules, bucket_ms=rules.retention_ms).select(*cols)
     assert _set(a) == _set(b)
-    r1 = rolling_avg_check(tx, bucket_ms=300_000).select("seq", "prior_n", "prior_cents")
-    r2 = rolling_avg_check(tx, bucket_ms=wide).select("seq", "prior_n", "prior_cents")
+    r1 = rolling_avg_check(tx, bucket_ms=300_000).select("seq", "prior_n", "prior_units")
+    r2 = rolling_avg_check(tx, bucket_ms=wide).select("seq", "prior_n", "prior_units")
     assert _set(r1) == _set(r2)
 
 
@@ -87,7 +87,7 @@ def _exchange_inputs(df):
 def test_rfm_big_side_is_shuffled_once(spark):
     tx = events_transactions(spark, SF_SMALL)
     ex = _exchange_inputs(rfm_detail(tx, SCALED_RULES))
-    big = [sec for sec in ex if "dep_cents" in sec]  # only the transaction rows carry amounts
+    big = [sec for sec in ex if "dep_units" in sec]  # only the transaction rows carry amounts
     assert len(big) == 1, big
     assert "hashpartitioning(user_id" in big[0] and "_bucket" in big[0]
     assert not any("BroadcastExchange" in sec for sec in ex)
@@ -97,11 +97,11 @@ def test_rfm_big_side_is_shuffled_once(spark):
 def test_narrow_and_auto_buckets_agree(spark, bucket_ms):
     tx = _hot(spark)
     wide = 40 * DAY
-    r1 = rolling_avg_check(tx, bucket_ms=bucket_ms).select("seq", "prior_n", "prior_cents")
-    r2 = rolling_avg_check(tx, bucket_ms=wide).select("seq", "prior_n", "prior_cents")
+    r1 = rolling_avg_check(tx, bucket_ms=bucket_ms).select("seq", "prior_n", "prior_units")
+    r2 = rolling_avg_check(tx, bucket_ms=wide).select("seq", "prior_n", "prior_units")
     assert _set(r1) == _set(r2)
     rules = RfmRules(recency="gap")
-    cols = ("user_id", "seq", "f", "m_cents", "first_ts", "prev_ts", "is_last", "in_tail")
+    cols = ("user_id", "seq", "f", "m_units", "first_ts", "prev_ts", "is_last", "in_tail")
     narrow = 6 * 3_600_000 if bucket_ms != "auto" else "auto"  # 6 h < the 24 h window
     a = rfm_detail(tx, rules, bucket_ms=narrow).select(*cols)
     b = rfm_detail(tx, rules, bucket_ms=rules.retention_ms).select(*cols)
@@ -131,3 +131,46 @@ def test_width_for_hottest_rules():
     # very hot: narrower than the window, and a divisor of it
     tiny = width_for_hottest(10**10, w, target_rows=4_000_000)
     assert tiny < w and w % tiny == 0 and tiny >= 1000
+
+
+@pytest.mark.parametrize("kind, target", [("rfm", 30), ("alerts", 8)])
+def test_only_hot_users_are_split_more(spark, monkeypatch, kind, target):
+    from txpulse.operators import windows
+
+    tx = _hot(spark)
+    if kind == "rfm":
+        cols = ("user_id", "seq", "f", "m_units", "first_ts", "prev_ts", "r_minutes", "segment", "is_last", "in_tail")
+        run = lambda: _set(rfm_detail(tx, RfmRules(recency="gap")).select(*cols))
+    else:
+        run = lambda: _set(rolling_avg_check(tx).select("seq", "prior_n", "prior_units"))
+    plain, parts, split = run(), [], TimeSplit.split
+
+    def watched(self, df, time_col):
+        parts.append((self.width, {r[0] for r in df.select("user_id").distinct().collect()}))
+        return split(self, df, time_col)
+
+    monkeypatch.setattr(windows, "TARGET_ROWS", target)
+    monkeypatch.setattr(TimeSplit, "split", watched)
+    assert run() == plain
+    (wide, others), (narrow, users) = parts
+    assert 424242 in users and not others & users and len(others) > len(users) and narrow < wide
+
+
+def test_rows_without_a_time_are_many_tasks(spark):
+    rows = spark.range(5000).selectExpr("cast(null as int) user_id", "'Credit' type", "1.0D sum", "cast(null as long) event_time", "id seq")
+    for width in (DAY, 3_600_000):
+        framed = TimeSplit(C.RFM_WINDOW_MS, bucket_width(C.RFM_WINDOW_MS, width)).split(rows, "event_time")
+        assert framed.where(~F.col(COPY)).count() == 5000 and framed.select(BUCKET).distinct().count() > 1000
+    assert rolling_avg_check(rows).where("prior_n IS NULL").count() == rfm_detail(rows).where("f IS NULL").count() == 5000
+
+
+def test_current_state_equals_the_last_row_of_the_detail(spark):
+    from txpulse.operators.rfm import rfm_current, rfm_latest
+
+    tx = _hot(spark)
+    tx = tx.union(tx.limit(200).withColumn("seq", F.col("seq") + 10**9))  # ties on the last time, too
+    cols = ("user_id", "seq", "event_time", "f", "m_units", "m", "first_ts", "r_minutes", "segment")
+    for rules in (RfmRules(), RfmRules(recency="gap"), RfmRules(retention_ms=C.RFM_WINDOW_MS, recency="gap", vip_min_m=300)):
+        assert _set(rfm_current(tx, rules).select(*cols)) == _set(rfm_latest(rfm_detail(tx, rules)).select(*cols))
+    plan = rfm_current(tx)._jdf.queryExecution().executedPlan().toString()
+    assert "seq" not in " ".join(x for x in plan.split("\n") if "Window" in x)

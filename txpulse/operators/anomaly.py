@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txpulse.functions import constants as C
-from txpulse.functions.columns import alert_message, anomaly_condition, mean_from_cents, to_cents
-from txpulse.operators.windows import BUCKET, COPY, TimeSplit, auto_bucket_width, bucket_width, time_bucket
+from txpulse.functions.columns import alert_message, anomaly_condition, mean_from_units, to_units
+from txpulse.operators.windows import BUCKET, COPY, TimeSplit, bucket_width, hot_groups, time_bucket, width_for_hottest
 
-MEASURES = {"prior_n": None, "prior_cents": "cents"}  # None counts rows
+MEASURES = {"prior_n": None, "prior_units": "units"}  # None counts rows
 
 
 def rolling_avg_check(
@@ -22,17 +22,24 @@ def rolling_avg_check(
     window_ms: int = C.ANOMALY_WINDOW_MS,
     bucket_ms: int | str | None = "auto",
 ) -> DataFrame:
-    """Per transaction: prior_n, prior_cents and avg_check_5min over the trailing window.
+    """Per transaction: prior_n, prior_units and avg_check_5min over the trailing window.
 
-    Output: user_id, event_time, seq, type, sum, cents, prior_n, prior_cents,
+    Output: user_id, event_time, seq, type, sum, units, prior_n, prior_units,
     avg_check_5min (0.0 when the window is empty). A row without a user or a
     time has no window: it is kept, with nulls.
     """
-    rows = tx.select("user_id", "type", "sum", "event_time", "seq", to_cents("sum").alias("cents"))
     if bucket_ms == "auto":
-        width = auto_bucket_width(rows, "user_id", "event_time", window_ms)
-    else:
-        width = bucket_width(window_ms, bucket_ms)
+        width = bucket_width(window_ms)
+        counts = tx.groupBy("user_id", time_bucket("event_time", width).alias("_b")).agg(F.count("*").alias("n"))
+        hot, hottest = hot_groups(counts.where("_b IS NOT NULL"), "user_id", "n")
+        if hottest is None:
+            return rolling_avg_check(tx, window_ms, width)
+        hot = hot.checkpoint()
+        narrow = width_for_hottest(hottest, window_ms)
+        rest = rolling_avg_check(tx.join(hot, "user_id", "left_anti"), window_ms, width)
+        return rest.unionByName(rolling_avg_check(tx.join(hot, "user_id", "left_semi"), window_ms, narrow))
+    rows = tx.select("user_id", "type", "sum", "event_time", "seq", to_units("sum").alias("units"))
+    width = bucket_width(window_ms, bucket_ms)
     split = TimeSplit(window_ms, width)
     totals = split.totals("user_id", "seq", include_current=False, measures=MEASURES)
     stats = (
@@ -58,8 +65,8 @@ def rolling_avg_check(
     return stats.select(
         *rows.columns,
         known(F.col("prior_n")).alias("prior_n"),
-        known(F.col("prior_cents")).alias("prior_cents"),
-        known(mean_from_cents(F.col("prior_cents"), F.col("prior_n"))).alias("avg_check_5min"),
+        known(F.col("prior_units")).alias("prior_units"),
+        known(mean_from_units(F.col("prior_units"), F.col("prior_n"))).alias("avg_check_5min"),
     )
 
 
@@ -72,7 +79,7 @@ def anomaly_alerts(
     """Alert rows: user_id, event_time, seq, type (as sent), sum, avg_check_5min, message."""
     checked = rolling_avg_check(tx, window_ms, bucket_ms)
     hit = anomaly_condition(
-        F.col("type"), F.col("cents"), F.col("prior_cents"), F.col("prior_n"), factor
+        F.col("type"), F.col("units"), F.col("prior_units"), F.col("prior_n"), factor
     )
     return checked.where(hit).select(
         "user_id",

@@ -24,14 +24,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txpulse.functions import constants as C
-from txpulse.functions.columns import is_type, to_cents
-from txpulse.operators.windows import BUCKET, COPY, TimeSplit, bucket_width, time_bucket, width_for_hottest
+from txpulse.functions.columns import is_type, to_units
+from txpulse.operators.windows import BUCKET, COPY, TimeSplit, bucket_width, hot_groups, time_bucket, width_for_hottest
 from txpulse.session import checkpoint_root
 
 RECENCY_MODES = ("reference", "gap")
 
-# frame totals: f counts every row, m_cents sums Deposit cents
-MEASURES = {"f": None, "m_cents": "dep_cents"}
+# frame totals: f counts every row, m_units sums Deposit units
+MEASURES = {"f": None, "m_units": "dep_units"}
 
 
 @dataclass(frozen=True)
@@ -70,13 +70,13 @@ SCALED_RULES = RfmRules(
 )
 
 
-def segment_label(rules: RfmRules, tenure_ms: Column, f: Column, m_cents: Column, r_minutes: Column) -> Column:
-    """The ordered segment CASE, strict inequalities, m compared in cents."""
+def segment_label(rules: RfmRules, tenure_ms: Column, f: Column, m_units: Column, r_minutes: Column) -> Column:
+    """The ordered segment CASE, strict inequalities, m compared in units."""
     return (
         F.when(tenure_ms < F.lit(rules.newcomer_ms), F.lit(C.SEGMENT_NEWCOMER))
-        .when((m_cents > F.lit(rules.vip_min_m * 100)) & (f > F.lit(rules.vip_min_f)), F.lit(C.SEGMENT_VIP))
+        .when((m_units > F.lit(rules.vip_min_m * C.UNITS)) & (f > F.lit(rules.vip_min_f)), F.lit(C.SEGMENT_VIP))
         .when(
-            (m_cents > F.lit(rules.active_min_m * 100)) & (f > F.lit(rules.active_min_f)),
+            (m_units > F.lit(rules.active_min_m * C.UNITS)) & (f > F.lit(rules.active_min_f)),
             F.lit(C.SEGMENT_ACTIVE),
         )
         .when(r_minutes > F.lit(float(rules.sleeping_min_r_minutes)), F.lit(C.SEGMENT_SLEEPING))
@@ -97,8 +97,8 @@ def _rows(tx: DataFrame, seed_entries: DataFrame | None) -> DataFrame:
         rows = rows.unionByName(seed_entries.select(*cols, F.lit(False).alias("_emit")))
     return rows.select(
         "*",
-        to_cents("sum").alias("cents"),
-        F.when(is_type("type", C.DEPOSIT), to_cents("sum")).otherwise(F.lit(0).cast("long")).alias("dep_cents"),
+        to_units("sum").alias("units"),
+        F.when(is_type("type", C.DEPOSIT), to_units("sum")).otherwise(F.lit(0).cast("long")).alias("dep_units"),
     )
 
 
@@ -113,7 +113,7 @@ def _summary_agg(rows: DataFrame, seed_headers: DataFrame | None, width: int) ->
         F.col("event_time").alias("_hi"),
         F.lit(False).alias("_seeded"),
         F.lit(1).cast("long").alias("_v_f"),
-        F.col("dep_cents").alias("_v_m_cents"),
+        F.col("dep_units").alias("_v_m_units"),
     )
     if seed_headers is not None:
         src = src.unionByName(
@@ -124,7 +124,7 @@ def _summary_agg(rows: DataFrame, seed_headers: DataFrame | None, width: int) ->
                 F.col("last_ts").alias("_hi"),
                 F.lit(True).alias("_seeded"),
                 zero.alias("_v_f"),
-                zero.alias("_v_m_cents"),
+                zero.alias("_v_m_units"),
             )
         )
     return src.groupBy("user_id", "_sb").agg(
@@ -174,8 +174,8 @@ def rfm_detail(
 ) -> DataFrame:
     """Every row (seed rows included, ``_emit`` false) with its RFM values.
 
-    Columns: user_id, type, sum, event_time, seq, _emit, cents, dep_cents,
-    f, m_cents, m, first_ts, prev_ts, r_minutes, segment, is_last, in_tail,
+    Columns: user_id, type, sum, event_time, seq, _emit, units, dep_units,
+    f, m_units, m, first_ts, prev_ts, r_minutes, segment, is_last, in_tail,
     user_last_ts, and one first-seen column per entry of ``tenures``
     (name -> another retention), computed in the same pass.
     """
@@ -185,15 +185,22 @@ def rfm_detail(
         raise ValueError("every retention must be at least the window")
     if bucket_ms == "auto":
         # the sizing pass is the summary aggregate itself, at the default width:
-        # written to the shared checkpoint folder and reused unless a hot key
-        # asks for narrower buckets
+        # written to the shared checkpoint folder and reused unless there are
+        # hot users, whose rows alone are then split more narrowly
         checkpoint_root(rows.sparkSession)
         default = bucket_width(rules.window_ms, None, max_ms=max_ms)
         agg = _summary_agg(rows, seed_headers, default).checkpoint()
-        hottest = agg.agg(F.max("_T_f")).first()[0]
-        width = width_for_hottest(hottest, rules.window_ms, max_ms=max_ms)
-        if width != default:
-            agg = _summary_agg(rows, seed_headers, width)
+        hot, hottest = hot_groups(agg.where("_sb IS NOT NULL"), "user_id", "_T_f")
+        if hottest is not None:
+            hot = hot.checkpoint()
+            narrow = width_for_hottest(hottest, rules.window_ms, max_ms=max_ms)
+
+            def part(how: str, width: int) -> DataFrame:
+                seeds = [s if s is None else s.join(hot, "user_id", how) for s in (seed_headers, seed_entries)]
+                return rfm_detail(tx.join(hot, "user_id", how), rules, width, *seeds, tenures)
+
+            return part("left_anti", default).unionByName(part("left_semi", narrow))
+        width = default
     else:
         width = bucket_width(rules.window_ms, bucket_ms, max_ms=max_ms)
         agg = _summary_agg(rows, seed_headers, width)
@@ -238,13 +245,13 @@ def rfm_detail(
     return joined.select(
         *rows.columns,
         known(F.col("f")).alias("f"),
-        known(F.col("m_cents")).alias("m_cents"),
-        known(F.col("m_cents") / F.lit(100.0)).alias("m"),
+        known(F.col("m_units")).alias("m_units"),
+        known(F.col("m_units") / F.lit(float(C.UNITS))).alias("m"),
         "first_ts",
         prev_ts.alias("prev_ts"),
         known(r_minutes).alias("r_minutes"),
         known(
-            segment_label(rules, F.col("event_time") - F.col("first_ts"), F.col("f"), F.col("m_cents"), r_minutes)
+            segment_label(rules, F.col("event_time") - F.col("first_ts"), F.col("f"), F.col("m_units"), r_minutes)
         ).alias("segment"),
         # the last row, in (event_time, seq) order, of the user's last bucket
         F.coalesce(F.col("_last_bucket") & F.col("_last_in_bucket"), F.lit(False)).alias("is_last"),
@@ -281,3 +288,47 @@ def rfm_latest(detail: DataFrame) -> DataFrame:
     so this is a filter: no extra shuffle, no per-user sort.
     """
     return detail.where(F.col("is_last"))
+
+
+def rfm_current(tx: DataFrame, rules: RfmRules = RfmRules(), as_of: int | None = None) -> DataFrame:
+    """Each user's state after the last transaction, or at ``as_of`` (epoch ms): one row per user.
+
+    Columns: user_id, seq, event_time (of the last row), f, m_units, m,
+    first_ts, prev_ts, r_minutes, segment. Equals the last row of
+    ``rfm_detail``, without a window over the transactions: the last time and
+    the epoch start come from the per-(user, bucket) summary, and one
+    conditional aggregate over the rows that follow gives the rest. Where the
+    per-user table is small enough to be broadcast, that aggregate is combined
+    map-side and no transaction is shuffled. With ``as_of``, the frame ends
+    there and recency is the time since the last transaction.
+    """
+    rows = _rows(tx, None).where("user_id IS NOT NULL AND event_time IS NOT NULL")
+    width = bucket_width(rules.window_ms, None, max_ms=rules.retention_ms)
+    summary = _summary(_summary_agg(rows, None, width), TimeSplit(rules.window_ms, width), rules)
+    users = summary.where("_last_bucket").select("user_id", "first_ts", F.col("_user_last").alias("last_ts"))
+    time, last = F.col("event_time"), F.col("last_ts")
+    inside = time >= (last if as_of is None else F.lit(as_of)) - F.lit(rules.window_ms)
+    per_user = (
+        rows.join(users, "user_id")
+        .where(time > last - F.lit(rules.retention_ms))  # an older previous row is of another epoch
+        .groupBy("user_id", "first_ts", "last_ts")
+        .agg(
+            F.count_if(inside).alias("f"),
+            F.coalesce(F.sum(F.when(inside, F.col("dep_units"))), F.lit(0).cast("long")).alias("m_units"),
+            F.max(F.when(time == last, F.col("seq"))).alias("seq"),
+            F.when(F.count_if(time == last) > 1, last).otherwise(F.max(F.when(time < last, time))).alias("prev_ts"),
+        )
+    )
+    if as_of is not None:
+        r_minutes = (F.lit(as_of) - last) / F.lit(60000.0)
+    elif rules.recency == "gap":
+        r_minutes = F.coalesce((last - F.col("prev_ts")) / F.lit(60000.0), F.lit(0.0))
+    else:
+        r_minutes = F.lit(0.0)
+    tenure = (last if as_of is None else F.lit(as_of)) - F.col("first_ts")
+    return per_user.select(
+        "user_id", "seq", last.alias("event_time"), "f", "m_units",
+        (F.col("m_units") / F.lit(float(C.UNITS))).alias("m"), "first_ts", "prev_ts",
+        r_minutes.alias("r_minutes"),
+        segment_label(rules, tenure, F.col("f"), F.col("m_units"), r_minutes).alias("segment"),
+    )

@@ -90,19 +90,9 @@ def merge_snapshot(
     the same batch gives the same result (the newest header is unchanged).
     """
     tagged = old_headers.withColumn("_side", F.lit(0)).unionByName(new_headers.withColumn("_side", F.lit(1)))
-    winner = tagged.groupBy("user_id").agg(
-        F.max(F.struct("last_ts", "last_seq", "_side")).alias("_w")
-    )
-    heads = (
-        tagged.join(winner, on="user_id")
-        .where(
-            (F.col("last_ts") == F.col("_w.last_ts"))
-            & (F.col("last_seq") == F.col("_w.last_seq"))
-            & (F.col("_side") == F.col("_w._side"))
-        )
-        .drop("_w")
-    )
-    heads = live_headers(heads, as_of)
+    whole = F.struct(*[c for c in tagged.columns if c != "user_id"])
+    newest = F.max_by(whole, F.struct("last_ts", "last_seq", "_side"))
+    heads = live_headers(tagged.groupBy("user_id").agg(newest.alias("_w")).select("user_id", "_w.*"), as_of)
     ents = old_entries.withColumn("_side", F.lit(0)).unionByName(new_entries.withColumn("_side", F.lit(1)))
     ents = ents.join(heads.select("user_id", "_side"), on=["user_id", "_side"], how="left_semi").drop("_side")
     return heads.drop("_side"), ents

@@ -7,7 +7,7 @@ A row's trailing frame is every row of the same key with
 * **O(n) frames.** Frame totals are built from running totals over frames
   that start at UNBOUNDED PRECEDING, which Spark evaluates incrementally (a
   sliding ``rangeBetween(-W, -1)`` frame is re-aggregated from its buffer
-  whenever rows leave it). Totals are integer cents, so differences are exact.
+  whenever rows leave it). Totals are integer units, so differences are exact.
 
 * **No key is one task.** Rows are partitioned by ``(key, bucket)`` with
   ``bucket = floor(event_time / B)``. Copies of rows (never emitted) bring
@@ -23,8 +23,13 @@ A row's trailing frame is every row of the same key with
     which come from a small per-(key, bucket) summary. A hot key then splits
     into tasks of ``2B`` of its data, for any ``B`` down to a second.
 
-* **Sizing.** ``bucket_ms`` picks ``B``; ``"auto"`` derives it from the
-  hottest (key, bucket) group with one map-side-combined aggregate.
+* **Sizing.** ``bucket_ms`` picks ``B``; ``"auto"`` keeps the default for
+  all keys but those with a (key, default bucket) group above ``TARGET_ROWS``,
+  found with one map-side-combined aggregate. Only those hot keys' rows take a
+  narrower ``B``; everyone else's are neither copied more nor split further.
+
+Rows without a time are in no frame; they are dealt over many buckets of
+their own, not one.
 """
 
 from __future__ import annotations
@@ -34,6 +39,11 @@ from pyspark.sql import functions as F
 
 DAY_MS = 86_400_000
 
+#: Rows that a (key, bucket) task should hold at most, about.
+TARGET_ROWS = 4_000_000
+#: Buckets far before all others, for rows without a time.
+TIMELESS, TIMELESS_BUCKETS = -(2**40), 4096
+
 BUCKET = "_bucket"
 COPY = "_copy"  # a copy of a row from an earlier bucket: in frames, never emitted
 ORD = "_ord"  # order time inside a bucket (shifted by +W for narrow copies)
@@ -89,7 +99,7 @@ def width_for_hottest(
     hottest: int | None,
     window_ms: int,
     max_ms: int | None = None,
-    target_rows: int = 4_000_000,
+    target_rows: int | None = None,
     min_ms: int = 1000,
 ) -> int:
     """Bucket width given the row count of the hottest (key, default bucket) group.
@@ -97,6 +107,7 @@ def width_for_hottest(
     Ordinary data keeps the default; a hot key gets narrower buckets (wide: a
     task holds about rate * (B + W) rows; narrow: about 2 * rate * B).
     """
+    target_rows = target_rows or TARGET_ROWS
     width = bucket_width(window_ms, None, max_ms)
     if not hottest or hottest <= target_rows:
         return width
@@ -114,21 +125,28 @@ def auto_bucket_width(
     time_col: str,
     window_ms: int,
     max_ms: int | None = None,
-    target_rows: int = 4_000_000,
+    target_rows: int | None = None,
     min_ms: int = 1000,
 ) -> int:
-    """Width whose hottest (key, bucket) task holds about ``target_rows`` rows.
+    """One width for all keys, whose hottest (key, bucket) task holds about ``target_rows`` rows.
 
     One aggregate over (key, default bucket) - combined map-side, one scalar
     to the driver.
     """
     width = bucket_width(window_ms, None, max_ms)
     hottest = (
-        df.groupBy(key, time_bucket(time_col, width).alias("_b")).count().agg(F.max("count")).first()[0]
+        df.where(F.col(key).isNotNull() & F.col(time_col).isNotNull())
+        .groupBy(key, time_bucket(time_col, width).alias("_b")).count().agg(F.max("count")).first()[0]
     )
     return width_for_hottest(hottest, window_ms, max_ms, target_rows, min_ms)
 
 
+def hot_groups(counts: DataFrame, key: str, n: str) -> tuple[DataFrame, int | None]:
+    """(keys with a group above TARGET_ROWS, the largest group or None) of per-(key, bucket) counts."""
+    over = counts.where(F.col(key).isNotNull() & (F.col(n) > F.lit(TARGET_ROWS)))
+    return over.select(key).distinct(), over.agg(F.max(n)).first()[0]
+
+
 class TimeSplit:
     """How rows are split by time for trailing frames of width ``window_ms``."""
 
@@ -146,9 +164,10 @@ class TimeSplit:
         own = time_bucket(time_col, self.width)
         if self.narrow:
             out = df.select("*", own.alias("_own"), F.explode(F.array(F.lit(False), F.lit(True))).alias(COPY))
-            return out.select(
+            bucket = F.when(F.col(COPY), F.col("_own") + self.k).otherwise(F.col("_own"))
+            return out.where(F.col("_own").isNotNull() | ~F.col(COPY)).select(
                 *df.columns,
-                F.when(F.col(COPY), F.col("_own") + self.k).otherwise(F.col("_own")).alias(BUCKET),
+                F.coalesce(bucket, self._timeless(df)).alias(BUCKET),
                 COPY,
                 F.when(F.col(COPY), t + F.lit(w)).otherwise(t).alias(ORD),
             )
@@ -156,7 +175,12 @@ class TimeSplit:
         # explode_outer: a row without a time keeps one (bucket-less) own copy
         out = df.select("*", own.alias("_own"), F.explode_outer(F.sequence(own, reach)).alias(BUCKET))
         copy = F.coalesce(F.col(BUCKET) != F.col("_own"), F.lit(False))
-        return out.select(*df.columns, BUCKET, copy.alias(COPY), t.alias(ORD))
+        bucket = F.coalesce(F.col(BUCKET), self._timeless(df))
+        return out.select(*df.columns, bucket.alias(BUCKET), copy.alias(COPY), t.alias(ORD))
+
+    @staticmethod
+    def _timeless(df: DataFrame) -> Column:
+        return F.lit(TIMELESS) - F.pmod(F.xxhash64(*df.columns), F.lit(TIMELESS_BUCKETS))
 
     def _part(self, key: str):
         return Window.partitionBy(key, BUCKET)

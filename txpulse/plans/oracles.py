@@ -8,7 +8,24 @@ microseconds (``epoch_us(ts) // 1000``), like the Spark side.
 
 from __future__ import annotations
 
-from txpulse.functions import constants as C
+class C:
+    """The rules' values, written out anew: a wrong one in the engine must not pass here too."""
+
+    CREDIT, DEPOSIT = "Credit", "Deposit"
+    ANOMALY_FACTOR = 3
+    ALERT_MESSAGE = "Credit >= 3 * avg_check_5min"
+    ANOMALY_WINDOW_MS = 300_000
+    RFM_WINDOW_MS = 86_400_000
+    SNAPSHOT_TTL_MS = 604_800_000
+    NEWCOMER_MS = 300_000
+    VIP_MIN_M, VIP_MIN_F = 10_000, 5
+    ACTIVE_MIN_M, ACTIVE_MIN_F = 1_000, 1
+    SLEEPING_MIN_R_MINUTES = 30
+    SEGMENT_NEWCOMER, SEGMENT_VIP, SEGMENT_ACTIVE = "Новичок", "VIP", "Активный"
+    SEGMENT_SLEEPING, SEGMENT_STANDARD = "Спящий", "Стандартный"
+    ALERT_FIELDS = ("avg_check_5min", "event_time", "message", "sum", "type", "user_id")
+    SEGMENT_FIELDS = ("f", "m", "r_minutes", "segment", "updated_at", "user_id")
+
 
 DAY_MS = 86_400_000
 YEAR_MS = 365 * DAY_MS
@@ -113,6 +130,13 @@ def _scaled() -> str:
 
 ORACLES: dict[str, str] = {
     "tx_ingest": _with(TX, CLEAN) + "SELECT user_id, type, \"sum\", event_time, seq FROM clean",
+    "tx_rejects_range": _with(TX)
+    + """
+SELECT seq AS "offset",
+       CASE (seq // 13) % 5 WHEN 0 THEN 'sum_out_of_range' WHEN 1 THEN 'sum_too_fine'
+            ELSE 'event_time_out_of_range' END AS reason,
+       false AS malformed
+FROM tx WHERE seq % 13 = 0 AND (seq // 13) % 5 < 3""",
     "tx_rejects": _with(TX)
     + """
 SELECT seq AS "offset",
@@ -144,7 +168,7 @@ p AS (
    AND (b.event_time < a.event_time OR (b.event_time = a.event_time AND b.seq < a.seq))
   GROUP BY a.user_id, a.event_time, a.seq)
 SELECT user_id, event_time, seq, prior_n, {AVG} AS avg_check_5min FROM p""",
-    "anomaly_alerts": _alerts("clean", C.ANOMALY_WINDOW_MS),
+    "anomaly_alerts": _alerts("tx", C.ANOMALY_WINDOW_MS),
     "anomaly_alerts_24h": _alerts("tx", C.RFM_WINDOW_MS),
     "rfm_metrics": _with(TX, _rfm_ctes("tx", C.SNAPSHOT_TTL_MS, "gap"))
     + "SELECT user_id, seq, event_time, f, m, first_ts, prev_ts, r_minutes FROM seg",
@@ -159,7 +183,7 @@ g7 AS (SELECT *, MIN(event_time) OVER (PARTITION BY user_id, epoch7) AS first_ts
 SELECT user_id, seq, first_ts AS first_ts_24h, first_ts_7d,
        event_time - first_ts AS tenure_24h_ms, event_time - first_ts_7d AS tenure_7d_ms
 FROM g7""",
-    "rfm_segments": _with(TX, CLEAN, _rfm_ctes("clean", C.SNAPSHOT_TTL_MS, "reference"))
+    "rfm_segments": _with(TX, _rfm_ctes("tx", C.SNAPSHOT_TTL_MS, "reference"))
     + f"SELECT {SEGMENT_COLS} FROM seg",
     "rfm_segments_24h": _with(TX, _rfm_ctes("tx", C.RFM_WINDOW_MS, "reference"))
     + f"SELECT {SEGMENT_COLS} FROM seg",
@@ -197,6 +221,12 @@ SELECT user_id, event_time AS last_ts, f, m, segment, event_time + {C.SNAPSHOT_T
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_time DESC, seq DESC) AS rn FROM seg)
 WHERE rn = 1
   AND event_time + {C.SNAPSHOT_TTL_MS} > (SELECT max(event_time) FROM tx) + {C.SNAPSHOT_TTL_MS - DAY_MS // 2}""",
+    "snapshot_upsert": _scaled()
+    + f"""
+SELECT user_id, event_time AS last_ts, seq AS last_seq, first_ts, f, m, segment,
+       event_time + {C.SNAPSHOT_TTL_MS} AS expires_at
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_time DESC, seq DESC) AS rn FROM seg)
+WHERE rn = 1""",
     "state_restore": _scaled()
     + f"""
 SELECT {SEGMENT_COLS} FROM seg
@@ -210,14 +240,15 @@ WHERE event_time >= (SELECT (min(event_time) + max(event_time)) // 2 FROM tx)"""
 SELECT CAST(user_id AS VARCHAR) AS key, '{','.join(C.SEGMENT_FIELDS)}' AS json_keys,
        f, m, r_minutes, segment, event_time AS updated_at, user_id
 FROM seg""",
-    "batch_observe_counts": _with(TX, CLEAN)
+    "batch_observe_counts": _with(TX)
     + f"""
 SELECT user_id, event_time // {DAY_MS} AS batch_day, COUNT(*) AS n_tx,
        COUNT(CASE WHEN lower(type) = 'credit' THEN 1 END) AS n_credit,
        COUNT(CASE WHEN lower(type) = 'deposit' THEN 1 END) AS n_deposit
-FROM clean GROUP BY user_id, event_time // {DAY_MS}""",
+FROM tx GROUP BY user_id, event_time // {DAY_MS}""",
 }
 
 # The streaming replays must equal the batch answers.
 ORACLES["stream_anomaly"] = ORACLES["anomaly_alerts_24h"]
 ORACLES["stream_rfm"] = ORACLES["rfm_segments_scaled"]
+ORACLES["stream_restore"] = ORACLES["rfm_segments_scaled"]

@@ -15,12 +15,12 @@ from pyspark.sql import functions as F
 from txpulse.functions import constants as C
 from txpulse.operators.anomaly import anomaly_alerts, rolling_avg_check
 from txpulse.functions.envelope import alerts_to_kv, reparse_alert_kv, reparse_segment_kv, segments_to_kv
-from txpulse.operators.rfm import SCALED_RULES, RfmRules, rfm_detail, rfm_latest, rfm_segments, segment_label
-from txpulse.operators.snapshot import live_headers, snapshot_from_detail
-from txpulse.plans.restore import split_and_resume
+from txpulse.operators.rfm import SCALED_RULES, RfmRules, rfm_current, rfm_detail, rfm_segments
+from txpulse.operators.snapshot import headers_of, live_headers
+from txpulse.plans.restore import split_and_resume, split_and_upsert
 from txpulse.sources.events import events_transactions, orders_transactions
 from txpulse.sources.ingest import parse_transactions, parse_typed_transactions
-from txpulse.sources.kafka import transactions_as_kafka
+from txpulse.sources.kafka import strained, transactions_as_kafka
 
 DAY_MS = 86_400_000
 YEAR_MS = 365 * DAY_MS
@@ -34,11 +34,12 @@ def _wire(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_transactions(_wire(spark, sf_dir))[0]
+    """All events as they come back from undamaged Kafka records."""
+    return parse_transactions(transactions_as_kafka(events_transactions(spark, sf_dir)))[0]
 
 
 def q_tx_ingest(spark, sf_dir):
-    return _clean(spark, sf_dir)
+    return parse_transactions(_wire(spark, sf_dir))[0]
 
 
 def q_tx_rejects(spark, sf_dir):
@@ -46,6 +47,12 @@ def q_tx_rejects(spark, sf_dir):
     return rejects.select("offset", "reason", "malformed")
 
 
+def q_tx_rejects_range(spark, sf_dir):
+    """Rejects of a wire on which every 13th amount or time cannot be kept exactly."""
+    rejects = parse_transactions(transactions_as_kafka(strained(events_transactions(spark, sf_dir))))[1]
+    return rejects.select("offset", "reason", "malformed")
+
+
 def q_tx_typed_ingest(spark, sf_dir):
     accepted = parse_typed_transactions(_wire(spark, sf_dir))[0]
     return accepted.select("offset", "user_id", "type", "sum")
@@ -109,8 +116,7 @@ def q_rfm_segments_scaled(spark, sf_dir):
 
 
 def q_rfm_latest(spark, sf_dir):
-    d = rfm_detail(events_transactions(spark, sf_dir), SCALED_RULES)
-    return rfm_latest(d).select(
+    return rfm_current(events_transactions(spark, sf_dir), SCALED_RULES).select(
         "user_id",
         "seq",
         F.col("event_time").alias("updated_at"),
@@ -127,45 +133,23 @@ def _max_event_time(tx: DataFrame) -> int:
 
 
 def q_rfm_sleeping_asof(spark, sf_dir):
-    """Each user as of the data's end: minutes since last, f/m over the window ending then.
-
-    One aggregate over each user's trailing rows (the last row is among them):
-    combined map-side, no join, no second pass over the detail.
-    """
+    """Each user as of the data's end: minutes since last, f/m over the window ending then."""
     tx = events_transactions(spark, sf_dir)
-    as_of = _max_event_time(tx)
-    rules = SCALED_RULES
-    in_window = F.col("event_time") >= F.lit(as_of - rules.window_ms)
-    per_user = (
-        rfm_detail(tx, rules)
-        .where(F.col("in_tail"))
-        .groupBy("user_id")
-        .agg(
-            F.count(F.when(in_window, 1)).alias("f"),
-            F.coalesce(F.sum(F.when(in_window, F.col("dep_cents"))), F.lit(0).cast("long")).alias("m_cents"),
-            F.max("event_time").alias("last_ts"),
-            F.max_by("first_ts", F.struct("event_time", "seq")).alias("first_ts"),
-        )
-    )
-    r_minutes = (F.lit(as_of) - F.col("last_ts")) / F.lit(60000.0)
-    return per_user.select(
-        "user_id",
-        "last_ts",
-        r_minutes.alias("r_minutes"),
-        "f",
-        (F.col("m_cents") / F.lit(100.0)).alias("m"),
-        segment_label(rules, F.lit(as_of) - F.col("first_ts"), F.col("f"), F.col("m_cents"), r_minutes).alias(
-            "segment"
-        ),
-    )
+    now = rfm_current(tx, SCALED_RULES, as_of=_max_event_time(tx))
+    return now.select("user_id", F.col("event_time").alias("last_ts"), "r_minutes", "f", "m", "segment")
 
 
 def q_kv_retention(spark, sf_dir):
     """Snapshot headers still live 12 h before the last write's 7-day expiry."""
     tx = events_transactions(spark, sf_dir)
     as_of = _max_event_time(tx) + C.SNAPSHOT_TTL_MS - DAY_MS // 2
-    headers, _ = snapshot_from_detail(rfm_detail(tx, RfmRules()))
-    return live_headers(headers, as_of).select("user_id", "last_ts", "f", "m", "segment", "expires_at")
+    rows = rfm_current(tx, RfmRules()).withColumn("is_last", F.lit(True))
+    return live_headers(headers_of(rows), as_of).select("user_id", "last_ts", "f", "m", "segment", "expires_at")
+
+
+def q_snapshot_upsert(spark, sf_dir):
+    """Snapshot of the first half of the time, upserted with that of the resumed second half."""
+    return split_and_upsert(spark, events_transactions(spark, sf_dir), SCALED_RULES)
 
 
 def q_state_restore(spark, sf_dir):
@@ -205,9 +189,17 @@ def q_stream_rfm(spark, sf_dir):
     return replay_rfm(spark, sf_dir)
 
 
+def q_stream_restore(spark, sf_dir):
+    """Stream half of the time, lose every checkpoint, resume from the transaction table."""
+    from txpulse.streaming.replay import replay_restored
+
+    return replay_restored(spark, events_transactions(spark, sf_dir), SCALED_RULES)
+
+
 QUERIES: dict[str, Query] = {
     "tx_ingest": q_tx_ingest,
     "tx_rejects": q_tx_rejects,
+    "tx_rejects_range": q_tx_rejects_range,
     "tx_typed_ingest": q_tx_typed_ingest,
     "tx_typed_rejects": q_tx_typed_rejects,
     "rolling_avg_check": q_rolling_avg_check,
@@ -222,10 +214,12 @@ QUERIES: dict[str, Query] = {
     "rfm_latest": q_rfm_latest,
     "rfm_sleeping_asof": q_rfm_sleeping_asof,
     "kv_retention": q_kv_retention,
+    "snapshot_upsert": q_snapshot_upsert,
     "state_restore": q_state_restore,
     "alerts_kv": q_alerts_kv,
     "segments_kv": q_segments_kv,
     "batch_observe_counts": q_batch_observe_counts,
     "stream_anomaly": q_stream_anomaly,
     "stream_rfm": q_stream_rfm,
+    "stream_restore": q_stream_restore,
 }

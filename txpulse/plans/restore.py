@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txpulse.operators.rfm import RfmRules, rfm_detail, rfm_segments
-from txpulse.operators.snapshot import entries_of, headers_of, live_entries, live_headers, snapshot_rows
-from txpulse.operators.windows import auto_bucket_width
+from txpulse.operators.snapshot import entries_of, headers_of, live_entries, live_headers, merge_snapshot, snapshot_rows
 from txpulse.session import scratch_path
 
 
@@ -30,13 +29,25 @@ def split_time(tx: DataFrame) -> int:
     return (lo + hi) // 2
 
 
+def split_and_upsert(spark: SparkSession, tx: DataFrame, rules: RfmRules = RfmRules()) -> DataFrame:
+    """Headers after the split run's second snapshot is upserted into the first (K5)."""
+    t_split = split_time(tx)
+    old = write_snapshot(spark, rfm_detail(tx.where(F.col("event_time") < t_split), rules))
+    live = [live(part, t_split) for live, part in zip((live_headers, live_entries), old, strict=True)]
+    second = rfm_detail(
+        tx.where(F.col("event_time") >= t_split), rules, seed_headers=live[0], seed_entries=live[1]
+    )
+    # a user whose last row is a seed row keeps the header of the first half
+    new = write_snapshot(spark, second.withColumn("is_last", F.col("is_last") & F.col("_emit")))
+    headers, _ = merge_snapshot(*old, *new)
+    return headers.select("user_id", "last_ts", "last_seq", "first_ts", "f", "m", "segment", "expires_at")
+
+
 def split_and_resume(spark: SparkSession, tx: DataFrame, rules: RfmRules = RfmRules()) -> DataFrame:
     t_split = split_time(tx)
-    # size the time buckets once, on the whole input, for both runs
-    width = auto_bucket_width(tx, "user_id", "event_time", rules.window_ms, max_ms=rules.retention_ms)
-    first = rfm_detail(tx.where(F.col("event_time") < t_split), rules, bucket_ms=width)
+    first = rfm_detail(tx.where(F.col("event_time") < t_split), rules)
     headers, entries = write_snapshot(spark, first)
     headers = live_headers(headers, t_split)
     entries = live_entries(entries, t_split)
     second = tx.where(F.col("event_time") >= t_split)
-    return rfm_segments(second, rules, bucket_ms=width, seed_headers=headers, seed_entries=entries)
+    return rfm_segments(second, rules, seed_headers=headers, seed_entries=entries)
