@@ -9,7 +9,7 @@ from txpulse.operators.snapshot import live_entries, live_headers, merge_snapsho
 from txpulse.plans.restore import split_time
 from txpulse.session import scratch_path
 from txpulse.sources.events import events_transactions
-from txpulse.streaming.sinks import snapshot_upsert_writer
+from txpulse.streaming.sinks import latest_per_user, parquet_table_writer
 
 
 def test_merge_equals_snapshot_of_whole_run(spark):
@@ -42,29 +42,24 @@ def test_expiry_is_a_filter(spark):
     assert {r["user_id"] for r in live_entries(e, as_of).collect()} == kept
 
 
-def test_streaming_snapshot_writer_deltas_and_compaction(spark):
-    from txpulse.streaming.sinks import read_snapshot
-
+def test_latest_per_user_of_the_segments_table(spark):
     tx = events_transactions(spark, SF_SMALL)
     detail = rfm_detail(tx)
-    seg = rfm_latest(detail)
-    allrows = detail.select(
-        "user_id", "seq", "segment", "r_minutes", "f", "m", F.col("event_time").alias("updated_at")
-    )
+    rows = detail.select("user_id", "seq", "segment", "r_minutes", "f", "m", F.col("event_time").alias("updated_at"))
     t = split_time(tx)
-    halves = [allrows.where(F.col("updated_at") < t), allrows.where(F.col("updated_at") >= t)]
-    want = {r["user_id"]: (r["event_time"], r["f"], r["segment"]) for r in seg.collect()}
-    for compact_every in (0, 2):  # deltas only; compaction after the second batch
-        path = scratch_path(spark, "kv")
-        w = snapshot_upsert_writer(path, compact_every=compact_every)
-        w(halves[0], 0)
-        w(halves[1], 1)
-        w(halves[1], 1)  # a retried batch rewrites its own delta
-        got = {r["user_id"]: (r["last_ts"], r["f"], r["segment"]) for r in read_snapshot(spark, path).collect()}
-        assert got == want
-    # the compacted base alone holds the same state
-    base = spark.read.parquet(f"{path}/base/v=1")
-    assert {r["user_id"]: (r["last_ts"], r["f"], r["segment"]) for r in base.collect()} == want
+    path = scratch_path(spark, "segments")
+    write = parquet_table_writer(path)
+    write(rows.where(F.col("updated_at") < t), 0)
+    write(rows.where(F.col("updated_at") >= t), 1)
+    write(rows.where(F.col("updated_at") >= t), 1)  # a retried batch rewrites its own folder
+    want = {r["user_id"]: (r["event_time"], r["f"], r["segment"]) for r in rfm_latest(detail).collect()}
+    table = spark.read.schema(rows.schema).parquet(path)
+    assert {r["user_id"]: (r["last_ts"], r["f"], r["segment"]) for r in latest_per_user(table).collect()} == want
+    # another user's clock, far ahead, expires nobody: expiry is each user's own
+    write(rows.limit(1).withColumns({"user_id": F.lit(-1), "updated_at": F.col("updated_at") + 8 * 86_400_000}), 2)
+    snap = {r["user_id"]: r["expires_at"] for r in latest_per_user(spark.read.schema(rows.schema).parquet(path)).collect()}
+    assert set(snap) == set(want) | {-1}
+    assert all(snap[u] == want[u][0] + C.SNAPSHOT_TTL_MS for u in want)
 
 
 def test_resume_from_snapshot_with_narrow_buckets(spark):

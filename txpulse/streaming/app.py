@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from txpulse.functions import constants as C
-from txpulse.operators.rfm import RfmRules
+from txpulse.operators.rfm import RfmRules, rfm_detail
+from txpulse.operators.snapshot import live_entries, live_headers, snapshot_from_detail
 from txpulse.schemas import ALERT, SEGMENT
-from txpulse.sources.ingest import parse_transactions
+from txpulse.sources.ingest import CLEAN, REJECT, judged_transactions, parse_transactions
 from txpulse.session import checkpoint_root as checkpoint_root_of
 from txpulse.sources.kafka import ALERTS_TOPIC, INPUT_TOPIC, SEGMENTS_TOPIC, kafka_stream
 from txpulse.streaming.processors import RFM_SEED, AnomalyProcessor, RfmProcessor
@@ -23,7 +24,7 @@ from txpulse.streaming.sinks import (
     console_writer,
     kafka_writer,
     parquet_table_writer,
-    snapshot_upsert_writer,
+    where_writer,
 )
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -44,9 +45,10 @@ def _keyed(kafka_df: DataFrame, time_mode: str, watermark: str | None) -> DataFr
         raise ValueError(f"time_mode must be one of {TIME_MODES}")
     clean, _ = parse_transactions(kafka_df)
     if time_mode == "EventTime":
-        clean = clean.withColumn("event_ts", F.timestamp_millis("event_time")).withWatermark(
-            "event_ts", watermark or "0 seconds"
-        )
+        if not watermark:
+            # rows behind the watermark are dropped; how late rows may come is the caller's to say
+            raise ValueError("EventTime mode needs a watermark, e.g. '1 hour'")
+        clean = clean.withColumn("event_ts", F.timestamp_millis("event_time")).withWatermark("event_ts", watermark)
     return clean
 
 
@@ -117,6 +119,16 @@ def seed_frame(headers: DataFrame, entries: DataFrame) -> DataFrame:
     return out
 
 
+def restore_seed(transactions: DataFrame, rules: RfmRules = RfmRules(), as_of: int | None = None) -> DataFrame:
+    """Initial state (S3, T5) from the table of clean transactions that the live job appends.
+
+    The batch operator works out each user's epoch start and trailing window,
+    so a lost checkpoint loses nothing; users expired at ``as_of`` stay out.
+    """
+    headers, entries = snapshot_from_detail(rfm_detail(transactions, rules))
+    return seed_frame(live_headers(headers, as_of), live_entries(entries, as_of))
+
+
 def start(
     events: DataFrame,
     sink: BatchFanout,
@@ -198,35 +210,60 @@ def start_live(
     console_rows: int = 0,
     max_offsets_per_trigger: int | None = None,
     state_partitions: int | None = None,
+    watermark: str | None = None,
+    restore: bool = False,
+    sample_rows: int = 10,
 ) -> list[StreamingQuery]:
-    """The two live queries: Kafka in, alerts / segments to Kafka, snapshot table, optional console echo."""
+    """The live queries: Kafka in, alerts / segments to Kafka, tables, optional console echo.
+
+    Tables under the shared folder, one folder a batch: ``segments`` (read it
+    with ``latest_per_user``), ``transactions`` and ``quarantine``. With
+    ``restore``, and new checkpoints, the segments' state starts from the
+    ``transactions`` table.
+    """
+    if state_partitions is None and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("state_partitions is fixed by the first start; set it on a cluster")
     root = checkpoint_root or checkpoint_root_of(spark)
+    seed = restore_seed(spark.read.parquet(f"{root}/transactions").select(*CLEAN)) if restore else None
     queries = []
     for name, build, topic, fields, extra in (
-        ("alerts", lambda k: alerts_stream(k, time_mode=time_mode), alerts_topic, C.ALERT_FIELDS, []),
+        (
+            "alerts",
+            lambda k: alerts_stream(k, time_mode=time_mode, watermark=watermark),
+            alerts_topic,
+            C.ALERT_FIELDS,
+            [],
+        ),
         (
             "segments",
-            lambda k: segments_stream(k, time_mode=time_mode),
+            lambda k: segments_stream(k, time_mode=time_mode, watermark=watermark, seed=seed),
             segments_topic,
             C.SEGMENT_FIELDS,
-            [snapshot_upsert_writer(f"{root}/snapshot")],
+            [parquet_table_writer(f"{root}/segments")],
         ),
     ):
         source = kafka_stream(spark, bootstrap_servers, input_topic, max_offsets_per_trigger=max_offsets_per_trigger)
         writers = [kafka_writer(bootstrap_servers, topic, fields), *extra]
         if console_rows:
             writers.append(console_writer(console_rows))
-        sink = BatchFanout(writers, name=name)
+        sink = BatchFanout(writers, name=name, sample_rows=sample_rows, per_key=sample_rows > 0)
         queries.append(
             start(build(source), sink, f"{root}/{name}-checkpoint", f"{name}-to-kafka", trigger, state_partitions)
         )
-    # malformed records go to a table instead of being dropped
     source = kafka_stream(spark, bootstrap_servers, input_topic, max_offsets_per_trigger=max_offsets_per_trigger)
-    quarantine = BatchFanout([parquet_table_writer(f"{root}/quarantine")], name="quarantine")
-    queries.append(start(rejects_stream(source), quarantine, f"{root}/quarantine-checkpoint", "quarantine", trigger))
+    tables = BatchFanout(ingest_writers(root), name="ingest")
+    queries.append(start(judged_transactions(source), tables, f"{root}/ingest-checkpoint", "ingest", trigger))
     return queries
 
 
+def ingest_writers(root: str) -> list:
+    """Clean transactions and rejects to their tables, from one parse of the records."""
+    return [
+        where_writer("reason IS NULL", CLEAN, parquet_table_writer(f"{root}/transactions")),
+        where_writer("reason IS NOT NULL", REJECT, parquet_table_writer(f"{root}/quarantine")),
+    ]
+
+
 def main(argv: list[str] | None = None) -> None:
     import argparse
 
@@ -242,7 +279,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--trigger-seconds", type=int, default=0, help="0 = as fast as possible")
     ap.add_argument("--console-rows", type=int, default=0)
     ap.add_argument("--max-offsets-per-trigger", type=int, default=None)
-    ap.add_argument("--state-partitions", type=int, default=None, help="fixed at the first start")
+    ap.add_argument("--state-partitions", type=int, default=None, help="fixed at the first start; needed on a cluster")
+    ap.add_argument("--watermark", default=None, help="how late rows may come; needed with EventTime")
+    ap.add_argument("--restore", action="store_true", help="start the state from the transactions table")
+    ap.add_argument("--sample-rows", type=int, default=10, help="rows and busiest users logged a batch; 0: none")
     a = ap.parse_args(argv)
     spark = build_session()
     spark.streams.addListener(ProgressLog())
@@ -259,6 +299,9 @@ def main(argv: list[str] | None = None) -> None:
         a.console_rows,
         a.max_offsets_per_trigger,
         a.state_partitions,
+        a.watermark,
+        a.restore,
+        a.sample_rows,
     )
     run_all(spark, qs)
 

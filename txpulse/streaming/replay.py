@@ -24,7 +24,9 @@ from txpulse.schemas import KAFKA_RECORD
 from txpulse.session import scratch_path
 from txpulse.sources.events import events_transactions
 from txpulse.sources.kafka import transactions_as_kafka
-from txpulse.streaming.app import alerts_stream, segments_stream, start
+from txpulse.plans.restore import split_time
+from txpulse.sources.ingest import parse_transactions
+from txpulse.streaming.app import alerts_stream, restore_seed, segments_stream, start
 from txpulse.streaming.sinks import BatchFanout, parquet_table_writer
 
 DAY_MS = 86_400_000
@@ -35,7 +37,7 @@ def write_wire_slices(
     tx: DataFrame,
     slice_ms: int = 5 * DAY_MS,
     corrupt: bool = False,
-    partitions: int = 4,
+    partitions: int | None = None,
     path: str | None = None,
 ) -> str:
     """Append the Kafka-shaped records to ``path`` as time slices; returns the folder.
@@ -45,6 +47,7 @@ def write_wire_slices(
     only that slice), so file times follow event time.
     """
     path = path or scratch_path(spark, "wire")
+    partitions = partitions or spark.sparkContext.defaultParallelism
     staging = scratch_path(spark, "wire-staging")
     wire = transactions_as_kafka(tx, corrupt=corrupt, partitions=partitions)
     ms = "unix_millis(timestamp)"
@@ -61,6 +64,11 @@ def write_wire_slices(
     return path
 
 
+def _exists(spark: SparkSession, folder: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _partition_values(spark: SparkSession, folder: str, column: str) -> list[int]:
     """Values of a partition column, from the folder names (a metadata listing, no job)."""
     jvm = spark.sparkContext._jvm
@@ -71,7 +79,9 @@ def _partition_values(spark: SparkSession, folder: str, column: str) -> list[int
     return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
 
 
-def wire_stream(spark: SparkSession, path: str, files_per_batch: int = 4) -> DataFrame:
+def wire_stream(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """The slices, oldest files first, by default as many a batch as a slice has."""
+    files_per_batch = files_per_batch or spark.sparkContext.defaultParallelism
     return spark.readStream.schema(KAFKA_RECORD).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
@@ -90,12 +100,9 @@ def run_available(
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    try:
-        return spark.read.parquet(out).drop("batch_id")
-    except Exception as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], events.schema)
-        raise
+    if not _exists(spark, out):  # nothing was available
+        return spark.createDataFrame([], events.schema)
+    return spark.read.schema(events.schema).parquet(out).select(*events.columns)
 
 
 def replay_alerts(
@@ -128,6 +135,17 @@ def replay_segments(
     return run_available(spark, segments, "segments")
 
 
+def replay_restored(spark: SparkSession, tx: DataFrame, rules: RfmRules = RfmRules()) -> DataFrame:
+    """Stream half of the time, lose the checkpoint, seed a new query from the transactions table, go on."""
+    t = split_time(tx)
+    path = write_wire_slices(spark, tx.where(F.col("event_time") < t))
+    first = run_available(spark, segments_stream(wire_stream(spark, path), rules), "segments")
+    clean = run_available(spark, parse_transactions(wire_stream(spark, path))[0], "transactions")
+    seed = restore_seed(clean, rules, as_of=t)
+    second = replay_segments(spark, tx.where(F.col("event_time") >= t), rules, seed=seed)
+    return first.unionByName(second)
+
+
 def replay_anomaly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver query: 24-hour alerts over the replayed events."""
     return replay_alerts(spark, events_transactions(spark, sf_dir), window_ms=C.RFM_WINDOW_MS)

@@ -30,10 +30,11 @@ Writer = Callable[[DataFrame, int], None]
 class BatchFanout:
     """Persist once, observe counts, run each writer; bounded logging only."""
 
-    def __init__(self, writers: list[Writer], name: str = "batch", sample_rows: int = 0):
+    def __init__(self, writers: list[Writer], name: str = "batch", sample_rows: int = 0, per_key: bool = False):
         self.writers = list(writers)
         self.name = name
         self.sample_rows = sample_rows
+        self.per_key = per_key
         self.last_metrics: dict = {}
         self.history: deque[dict] = deque(maxlen=256)  # recent batches only
 
@@ -51,6 +52,10 @@ class BatchFanout:
             if self.sample_rows:
                 for row in batch.limit(self.sample_rows).collect():  # bounded sample
                     log.info("%s: %s", self.name, row.asDict())
+            if self.per_key:  # the batch's busiest keys, bounded like the sample
+                counts = batch.groupBy("user_id").agg(F.count("*").alias("n"))
+                for row in counts.orderBy(F.desc("n"), "user_id").limit(max(1, self.sample_rows)).collect():
+                    log.info("%s batch %s: user %s has %s rows", self.name, batch_id, row["user_id"], row["n"])
             for write in self.writers:
                 write(batch, batch_id)
         finally:
@@ -97,74 +102,32 @@ def console_writer(rows: int = 20) -> Writer:
 SNAPSHOT_VALUE = ("last_ts", "last_seq", "f", "m", "r_minutes", "segment", "expires_at")
 
 
-def _newest_per_user(df: DataFrame) -> DataFrame:
-    """Newest (last_ts, last_seq) row per user; combined map-side, one row per user out."""
-    newest = df.groupBy("user_id").agg(
-        F.max_by(F.struct(*SNAPSHOT_VALUE), F.struct("last_ts", "last_seq")).alias("s")
-    )
-    return newest.select("user_id", *[F.col(f"s.{c}").alias(c) for c in SNAPSHOT_VALUE])
-
-
-def _versions(spark, folder: str, prefix: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        committed = fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
-        if name.startswith(prefix) and name[len(prefix) :].isdigit() and committed:
-            out.append(int(name[len(prefix) :]))  # only versions whose write committed
-    return sorted(out)
-
-
-def read_snapshot(spark, path: str, as_of: int | None = None, upto_batch: int | None = None) -> DataFrame | None:
-    """The keyed snapshot: newest row per user over the base and later deltas, minus expired."""
-    bases = [v for v in _versions(spark, f"{path}/base", "v=") if upto_batch is None or v <= upto_batch]
-    base = bases[-1] if bases else -1
-    deltas = [
-        b
-        for b in _versions(spark, f"{path}/delta", "batch_id=")
-        if b > base and (upto_batch is None or b <= upto_batch)
-    ]
-    parts = [f"{path}/base/v={base}"] if base >= 0 else []
-    parts += [f"{path}/delta/batch_id={b}" for b in deltas]
-    if not parts:
-        return None
-    snap = _newest_per_user(spark.read.parquet(*parts).select("user_id", *SNAPSHOT_VALUE))
-    return snap if as_of is None else snap.where(F.col("expires_at") > F.lit(as_of))
+def where_writer(condition: str, columns: tuple[str, ...], write: Writer) -> Writer:
+    """Hands one part of the batch to ``write``, for several tables from one stream."""
 
+    def part(batch: DataFrame, batch_id: int) -> None:
+        write(batch.where(condition).select(*columns), batch_id)
 
-def snapshot_upsert_writer(path: str, ttl_ms: int = C.SNAPSHOT_TTL_MS, compact_every: int = 50) -> Writer:
-    """Keyed snapshot of the latest segment per user with expiry (K5), log-structured.
+    return part
 
-    Each batch writes only a delta - the newest row of each user it touched -
-    so a batch costs O(its users), not O(all users). Every ``compact_every``
-    batches the base and the deltas since are folded into a new base (newest
-    per user, expired users dropped). Deltas and bases are written whole
-    under their batch id, so a retried batch rewrites the same folder and a
-    reader sees a consistent set (``read_snapshot``).
-    """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.select(
-            "user_id",
-            F.col("updated_at").alias("last_ts"),
-            F.col("seq").alias("last_seq"),
-            "f",
-            "m",
-            "r_minutes",
-            "segment",
-            (F.col("updated_at") + F.lit(ttl_ms)).alias("expires_at"),
-        )
-        _newest_per_user(fresh).write.mode("overwrite").parquet(f"{path}/delta/batch_id={batch_id}")
-        if compact_every and batch_id % compact_every == compact_every - 1:
-            spark = batch.sparkSession
-            horizon = spark.read.parquet(f"{path}/delta/batch_id={batch_id}").agg(F.max("last_ts")).first()[0]
-            snap = read_snapshot(spark, path, as_of=horizon, upto_batch=batch_id)
-            if snap is not None:
-                snap.write.mode("overwrite").parquet(f"{path}/base/v={batch_id}")
+def latest_per_user(segments: DataFrame, as_of: int | None = None, ttl_ms: int = C.SNAPSHOT_TTL_MS) -> DataFrame:
+    """The keyed snapshot (K5): each user's newest row of the segments table, with its own expiry.
 
-    return write
+    A plain aggregate over what ``parquet_table_writer`` appended, combined
+    map-side. A user expires ``ttl_ms`` after the user's own last write, so no
+    other user's clock matters; ``as_of`` leaves out the expired ones.
+    """
+    rows = segments.select(
+        "user_id",
+        F.col("updated_at").alias("last_ts"),
+        F.col("seq").alias("last_seq"),
+        "f",
+        "m",
+        "r_minutes",
+        "segment",
+        (F.col("updated_at") + F.lit(ttl_ms)).alias("expires_at"),
+    )
+    newest = F.max_by(F.struct(*SNAPSHOT_VALUE), F.struct("last_ts", "last_seq"))
+    snap = rows.groupBy("user_id").agg(newest.alias("s")).select("user_id", "s.*")
+    return snap if as_of is None else snap.where(F.col("expires_at") > F.lit(as_of))
