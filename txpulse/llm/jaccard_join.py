@@ -12,15 +12,17 @@ from pyspark.sql import functions as F
 
 from txpulse.llm.common import fresh, slices, written
 from txpulse.llm.graph import components
-from txpulse.llm.tokens import mix, shingle_sets
+from txpulse.llm.tokens import mix, shingle_sets, weighed_shingles, words
 
-#: Counters of the document-frequency sketch, in blocks that are summed each by itself.
+#: Counters of the sketch of shingles, and of that of words, in blocks that are summed each by itself.
 SLOT_BITS, BLOCKS = 20, 32
 SLOTS = 1 << SLOT_BITS
 #: Bits of the filter on classes whose sets are needed.
 FILTER_BITS = 1 << 23
 #: 64-bit words of a set's parity sketch.
 PARITY = 16
+#: Rounds in which the class with most links is the query of a list, before all pairs left are.
+HUB_ROUNDS = 2
 #: Sets searched at once for one query set.
 BLOCK_SETS = 512
 #: Classes a task remembers, so as to send copies of one text once.
@@ -32,6 +34,28 @@ def needed(n_a: int, n_b: int, num: int, den: int) -> int:
     return -(-num * (n_a + n_b) // (num + den))
 
 
+def slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+class Rarity:
+    """An order of all shingles from rare to frequent, the same in every task.
+
+    Shingles that stand out of their sketch's noise come last, by count; the
+    others in the order of their words' counts multiplied, as if words were
+    independent. Any order gives whole results; this one gives short lists.
+    """
+
+    def __init__(self, counts: np.ndarray):
+        shingles, word_counts = counts.reshape(2, SLOTS)
+        mean = shingles.mean()
+        self.excess = np.maximum(0, shingles - int(mean + 6 * np.sqrt(mean) + 3))
+        self.weight = np.rint(1000 * np.log2(1 + word_counts)).astype(np.int64)
+
+    def rarest(self, s: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
+        return s[np.lexsort((s, weights, self.excess[slots(s)]))[:n]]
+
+
 def class_id(s: np.ndarray) -> bytes:
     """128-bit name of a set: sums of two mixes of its members, and its size."""
     a = np.add.reduce(mix(s + np.uint64(1)), dtype=np.uint64)
@@ -49,14 +73,14 @@ def _classes(k: int):
     """Each row's class; at its end a task adds its counts of all shingles."""
 
     def run(batches):
-        counts, none = np.zeros(SLOTS, np.int32), None
+        counts, none = np.zeros((2, SLOTS), np.int32), None
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                sets = shingle_sets(texts, k)
+                hashes, _, _, first = words(texts)
+                sets = shingle_sets(hashes, first, k)
                 m = len(sets)
-                if m:
-                    every = np.concatenate(sets)
-                    counts += np.bincount((every >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=SLOTS).astype(np.int32)
+                for i, every in enumerate((np.concatenate(sets) if m else hashes, hashes)):
+                    counts[i] += np.bincount(slots(every), minlength=SLOTS).astype(np.int32)
                 yield pa.RecordBatch.from_pydict(
                     {"id": part.column("id"), "n": pa.array([len(s) for s in sets], pa.int64()),
                      "cid": pa.array([class_id(s) for s in sets], pa.binary()),
@@ -66,9 +90,9 @@ def _classes(k: int):
                 none = part.column("id").type
         if none is not None:
             yield pa.RecordBatch.from_pydict(
-                {"id": pa.nulls(BLOCKS, none), "n": pa.nulls(BLOCKS, pa.int64()), "cid": pa.nulls(BLOCKS, pa.binary()),
-                 "sketch": pa.nulls(BLOCKS, pa.list_(pa.int64())), "block": pa.array(range(BLOCKS), pa.int32()),
-                 "counts": pa.array([c.tobytes() for c in np.split(counts, BLOCKS)], pa.binary())}
+                {"id": pa.nulls(2 * BLOCKS, none), "n": pa.nulls(2 * BLOCKS, pa.int64()), "cid": pa.nulls(2 * BLOCKS, pa.binary()),
+                 "sketch": pa.nulls(2 * BLOCKS, pa.list_(pa.int64())), "block": pa.array(range(2 * BLOCKS), pa.int32()),
+                 "counts": pa.array([c.tobytes() for c in np.split(counts.reshape(-1), 2 * BLOCKS)], pa.binary())}
             )
 
     return run
@@ -105,16 +129,16 @@ def _prefixes(k: int, num: int, den: int, sketch):
     """Each class's rarest shingles, so many that two sets which link share one of them."""
 
     def run(batches):
-        counts, once = sketch.value, _Once()
+        rarity, once = sketch.value, _Once()
         for batch in batches:
             for _, texts in slices(batch, "text"):
                 keys, cids, sizes = [], [], []
-                for s in shingle_sets(texts, k):
+                hashes, _, _, first = words(texts)
+                for s, weights in weighed_shingles(hashes, first, k, rarity.weight[slots(hashes)]):
                     if not len(s) or not once(cid := class_id(s)):
                         continue
                     p = len(s) - -(-num * len(s) // den) + 1
-                    order = np.lexsort((s, counts[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]))[:p]
-                    keys.append(s[order])
+                    keys.append(rarity.rarest(s, weights, p))
                     cids.extend([cid] * p)
                     sizes.extend([len(s)] * p)
                 if keys:
@@ -134,7 +158,8 @@ def _sets(k: int, bitmap):
         for batch in batches:
             for _, texts in slices(batch, "text"):
                 out = []
-                for s in shingle_sets(texts, k):
+                hashes, _, _, first = words(texts)
+                for s in shingle_sets(hashes, first, k):
                     if not len(s):
                         continue
                     cid = class_id(s)
@@ -260,14 +285,15 @@ def jaccard_components(
     component_id is the least id that links reach.
 
     1. Equal sets are one class, so copies cost nothing further on.
-    2. A count sketch of all shingles puts them in order from rare to
-       frequent. Two sets that link share one of their rarest ones: the
+    2. Count sketches of all shingles and words put shingles in order from
+       rare to frequent. Two sets that link share one of their rarest ones: the
        inverted lists of those hold all candidates.
     3. The first class of each list is a query against the others. Sizes and
        parity sketches, then the T-occurrence search over the whole sets, leave
        the links, and these the components.
-    4. Classes of different components that share a list are searched in the
-       same way. So every pair that can link and is not joined already is
+    4. In lists that more than one component is in, the class with most links
+       so far is the next query; then all pairs of different components are
+       candidates. So every pair that can link and is not joined already is
        decided, and no pair within a component is made.
 
     Null and empty texts, and texts without words, have no shingles and are
@@ -285,10 +311,10 @@ def jaccard_components(
 
     blocks = rows.where("block is not null").select("block", "counts")
     blocks = blocks.repartition("block").mapInArrow(_sum_block, "block int, counts binary").collect()
-    counts = np.zeros(SLOTS, np.int64)
+    counts = np.zeros((2 * BLOCKS, SLOTS // BLOCKS), np.int64)
     for r in blocks:
-        counts[r["block"] * (SLOTS // BLOCKS) :][: SLOTS // BLOCKS] += np.frombuffer(r["counts"], np.int64)
-    sketch = spark.sparkContext.broadcast(counts)
+        counts[r["block"]] += np.frombuffer(r["counts"], np.int64)
+    sketch = spark.sparkContext.broadcast(Rarity(counts))
 
     keys = src.mapInArrow(_prefixes(k, num, den, sketch), "key long, cid binary, n long")
     by_key = Window.partitionBy("key").orderBy("cid")
@@ -304,28 +330,53 @@ def jaccard_components(
     def marked(pairs: DataFrame, side: str) -> DataFrame:
         return pairs.join(marks.select(F.col("cid").alias(side), F.col("n").alias(f"n_{side}"), F.col("sketch").alias(f"sketch_{side}")), side)
 
-    def links(pairs: DataFrame, name: str) -> DataFrame:
-        possible = marked(marked(pairs, "u"), "v").where(_alike(num, den)).select("u", "v")
-        return written(_links(src, written(possible, f"{name}-pairs"), k, num, den), f"{name}-links")
-
+    def links(pairs: DataFrame, name: str) -> DataFrame | None:
+        """The pairs that link; None if sizes and sketches leave none."""
+        possible = written(marked(marked(pairs, "u"), "v").where(_alike(num, den)).select("u", "v"), f"{name}-pairs")
+        if possible.isEmpty():
+            return None
+        return written(_links(src, possible, k, num, den), f"{name}-links")
+
+    def mixed(roots: DataFrame) -> DataFrame:
+        """(key, cid, n, root, main): the lists, without their first class, that more than one component is in."""
+        named = shared.select("key", "cid", "n").join(roots.withColumnRenamed("u", "cid"), "cid", "left")
+        named = written(named.select("key", "cid", "n", F.coalesce("root", "cid").alias("root")), "named")
+        per = named.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key").agg(
+            F.count("*").alias("roots"), F.max_by("root", "m").alias("main")
+        )
+        return written(named.join(per.where("roots > 1").select("key", "main"), "key"), "mixed")
+
+    nothing = spark.createDataFrame([], "u binary, v binary")
     found = links(pairs, "first")
+    found = nothing if found is None else found
     roots = components(found)
-
-    named = shared.select("key", "cid", "n").join(roots.withColumnRenamed("u", "cid"), "cid", "left")
-    named = written(named.select("key", "cid", "n", F.coalesce("root", "cid").alias("root")), "named")
-    per = named.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key").agg(
-        F.count("*").alias("roots"), F.max_by("root", "m").alias("main")
+    lists = mixed(roots)
+    for i in range(HUB_ROUNDS):
+        # the class with most links so far is each list's next query
+        degree = found.select("u").union(found.select("v")).groupBy(F.col("u").alias("cid")).agg(F.count("*").alias("links"))
+        ranked = lists.join(degree, "cid", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+        hub = ranked.groupBy("key").agg(
+            F.max_by(F.struct("cid", "n", "root"), F.struct("links", "cid")).alias("hub"), F.max("links").alias("links")
+        )
+        hub = hub.where("links > 0").select("key", F.col("hub.cid").alias("u"), F.col("hub.n").alias("n_u"), F.col("hub.root").alias("root_u"))
+        pairs = lists.join(hub, "key").where(F.col("root") != F.col("root_u")).where(near("n", "n_u"))
+        more = links(pairs.select("u", F.col("cid").alias("v")).distinct(), f"hub-{i}")
+        if more is None:
+            break
+        found = written(found.union(more), "found")
+        roots = components(found)
+        lists = mixed(roots)
+
+    side = lambda s: lists.join(marks.select("cid", "sketch"), "cid").select(
+        "key", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "root", "main", "sketch")]
     )
-    # the first class of each list has been compared with all others
-    named = named.join(per.where("roots > 1").select("key", "main"), "key")
-    side = lambda s: named.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "root", "main")])
     cross = side("u").where("root_u != main_u").join(side("v"), "key").where(
         near("n_u", "n_v") & (F.col("root_u") != F.col("root_v"))
-        & ((F.col("root_v") == F.col("main_v")) | (F.col("cid_u") < F.col("cid_v")))
+        & ((F.col("root_v") == F.col("main_v")) | (F.col("cid_u") < F.col("cid_v"))) & _alike(num, den)
     )
-    cross = written(cross.select(F.col("cid_u").alias("u"), F.col("cid_v").alias("v")).distinct(), "cross")
-    if not cross.isEmpty():
-        roots = components(found.union(links(cross, "cross")))
+    more = links(cross.select(F.col("cid_u").alias("u"), F.col("cid_v").alias("v")).distinct(), "cross")
+    if more is not None:
+        roots = components(found.union(more))
 
     rooted = classes.where("n > 0").join(roots.withColumnRenamed("u", "cid"), "cid", "left")
     rooted = rooted.select("id", "n", F.coalesce("root", "cid").alias("root"))

@@ -78,9 +78,8 @@ def runs(hashes: np.ndarray, k: int, offsets: tuple[int, ...] | None = None) ->
     return mix(out + U64(k))
 
 
-def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
+def shingle_sets(hashes: np.ndarray, first: np.ndarray, k: int) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's k-word shingles; a shorter text is one shingle."""
-    hashes, _, _, first = words(texts)
     grams = runs(hashes, k)
     out = []
     for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
@@ -89,3 +88,17 @@ def shingle_sets(texts: pa.Array, k: int) -> list[np.ndarray]:
         else:
             out.append(runs(hashes[a:b], b - a) if b > a else np.zeros(0, np.uint64))
     return out
+
+
+def weighed_shingles(hashes: np.ndarray, first: np.ndarray, k: int, weights: np.ndarray):
+    """(set, weights) of each text as in ``shingle_sets``, a shingle weighing what its words do (integers)."""
+    grams, total = runs(hashes, k), np.concatenate(([0], np.cumsum(weights)))
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        if b - a >= k:
+            s, at = np.unique(grams[a : b - k + 1], return_index=True)
+            out.append((s, total[a + at + k] - total[a + at]))
+        else:
+            s = runs(hashes[a:b], b - a) if b > a else np.zeros(0, np.uint64)
+            out.append((s, np.full(len(s), total[b] - total[a])))
+    return out
