@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections import OrderedDict
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ SLOT_BITS, BLOCKS = 20, 32
 SLOTS = 1 << SLOT_BITS
 #: Bits of the filter on classes whose sets are needed.
 FILTER_BITS = 1 << 23
-#: 64-bit words of a set's parity sketch.
+#: 64-bit words of a set's parity sketch at least; a larger set has at least four bits a member.
 PARITY = 16
 #: Rounds in which the class with most links is the query of a list, before all pairs left are.
 HUB_ROUNDS = 2
@@ -64,8 +63,15 @@ def class_id(s: np.ndarray) -> bytes:
 
 
 def parity_sketch(s: np.ndarray) -> list[int]:
-    """Bit i: whether an odd number of members hash to i. Sketches differ in no more bits than sets in members."""
-    odd = np.bincount((mix(s) >> np.uint64(40)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
+    """Bit i: whether an odd number of members hash to i. Sketches differ in no more bits than sets in members.
+
+    The number of words is a power of two, so a longer sketch folds to a
+    shorter one by taking its halves' exclusive or.
+    """
+    n_words = PARITY
+    while 64 * n_words < 4 * len(s):
+        n_words *= 2
+    odd = np.bincount((mix(s) >> np.uint64(24)).astype(np.int64) % (64 * n_words), minlength=64 * n_words) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
@@ -244,8 +250,18 @@ def _alike(num: int, den: int):
     """Whether sizes and parity sketches of u and v allow a link."""
     total = F.col("n_u") + F.col("n_v")
     need = F.ceil(F.lit(num) * total / F.lit(num + den))
-    differ = [F.bit_count(F.get("sketch_u", F.lit(i)).bitwiseXOR(F.get("sketch_v", F.lit(i)))) for i in range(PARITY)]
-    return reduce(lambda a, b: a + b, differ) <= total - 2 * need
+    n_words = F.least(F.size("sketch_u"), F.size("sketch_v"))
+
+    def folded(side: str):
+        # sizes that allow a link are less than a factor of two apart, or the fold is not needed
+        x, half = F.col(f"sketch_{side}"), F.size(f"sketch_{side}") / 2
+        fold = F.zip_with(F.slice(x, 1, half.cast("int")), F.slice(x, (half + 1).cast("int"), half.cast("int")), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(x) == 2 * n_words, fold).otherwise(x)
+
+    bits = F.zip_with(folded("u"), folded("v"), lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    differ = F.aggregate(bits, F.lit(0), lambda total_bits, b: total_bits + b)
+    comparable = F.greatest(F.size("sketch_u"), F.size("sketch_v")) <= 2 * n_words
+    return ~comparable | (differ <= total - 2 * need)
 
 
 def _class_filter(cids: DataFrame) -> np.ndarray:

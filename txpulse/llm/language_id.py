@@ -18,7 +18,7 @@ RANKS = 400
 #: About so many labelled documents of each language are learned from.
 TRAIN_ROWS = 5000
 #: Labels that are learned at most, the most frequent ones.
-MAX_LANGS = 1000
+MAX_LANGS = 200
 #: Code points handled at once.
 PIECE = 1 << 20
 UNKNOWN = "und"
