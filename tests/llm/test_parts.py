@@ -197,6 +197,18 @@ def test_main_text_of_templates():
         assert html_extract.main_text(empty, weights) == ""
 
 
+def test_boxes_within_an_article_do_not_cut_it():
+    weights = {"": 0.9, "p": -0.05, "div": -10.0, "li": -12.0, "a": -0.05, "ul": -10.0, "h1": -0.05, "article": -1.8}
+    advert, share = '<div class="advert"><div><a>Buy now</a></div></div>', "<ul class=share>" + "<li><a>Send</a></li>" * 5 + "</ul>"
+    related = "<aside><ul>" + "<li><a>Read this too</a></li>" * 9 + "</ul></aside>"
+    form = "<form><div><label>Mail</label><input></div></form>"
+    lead, last = "A lead of a few words.", "The last words of all."
+    for box in (advert, share, related, form):
+        for inner in (f"<h1>Title</h1>{box}<p>{lead}</p>{box}<p>{last}</p>", f"<div><h1>Title</h1></div>{box}{box}<p>{lead}</p><div>{box}<p>{last}</p></div>"):
+            page = f"<body><nav><ul><li>Home</li></ul></nav><article>{inner}</article><footer>x</footer></body>"
+            assert html_extract.main_text(page, weights) == f"Title\n\n{lead}\n\n{last}"
+
+
 def test_rules_and_host(spark):
     cases = [
         ("https://WWW.Example.ORG/es/x?y#z", "www.example.org", "/es/x", "example.org/es/", "block"),

@@ -158,8 +158,9 @@ def main_text(page: str | None, weights: dict[str, float], unseen: float = -1.0)
 
     One pass over the words and tags finds the region with the greatest sum.
     Where a page marks its article, words outside gain nothing and tags inside
-    cost least. Text beside the article (menus, notices, adverts, forms,
-    comments and so on) gains nothing and is not part of the result.
+    cost least, those of an advert or list beside its text too. Text beside the
+    article (menus, notices, adverts, forms, comments and so on) gains nothing
+    and is not part of the result.
     """
     if not page:
         return ""
@@ -170,7 +171,7 @@ def main_text(page: str | None, weights: dict[str, float], unseen: float = -1.0)
     for i, (name, text, article, beside) in enumerate(found):
         if name:
             cost = weights.get(name[:32], -MOST_INLINE if name in INLINE else unseen)
-            total += -LEAST / 10 if article and not beside else cost
+            total += -LEAST / 10 if article else cost
         elif not beside and (article or not marked):
             total += word * len(text.split())
         if total <= 0:
