@@ -209,6 +209,19 @@ def test_boxes_within_an_article_do_not_cut_it():
             assert html_extract.main_text(page, weights) == f"Title\n\n{lead}\n\n{last}"
 
 
+def test_article_mark_does_not_decide_the_region():
+    weights = {"": 0.9, "p": -0.05, "div": -10.0, "li": -12.0, "a": -0.05, "ul": -10.0, "h1": -0.05, "article": -1.8}
+    said = [" ".join(f"word{i}x{j}" for j in range(60)) for i in range(3)]
+    body = "<div><h1>Title</h1>" + "".join(f"<p>{p}</p>" for p in said) + "</div>"
+    cards = "".join(f"<article><h1><a>Card {i}</a></h1><p>A teaser.</p></article>" for i in range(4))
+    menu = "<ul>" + "<li><a>Item</a></li>" * 20 + "</ul>"
+    want = "\n\n".join(["Title", *said])
+    for page in (f"<body>{body}{menu}{cards}</body>", f"<body>{cards}{menu}{body}</body>"):
+        assert html_extract.main_text(page, weights) == want
+    # cards next to the body may come along, but it stays
+    assert html_extract.main_text(f"<body>{body}{cards}</body>", weights).startswith(want)
+
+
 def test_rules_and_host(spark):
     cases = [
         ("https://WWW.Example.ORG/es/x?y#z", "www.example.org", "/es/x", "example.org/es/", "block"),

@@ -157,35 +157,35 @@ def main_text(page: str | None, weights: dict[str, float], unseen: float = -1.0)
     """The blocks of the best contiguous region, joined by an empty line.
 
     One pass over the words and tags finds the region with the greatest sum.
-    Where a page marks its article, words outside gain nothing and tags inside
-    cost least, those of an advert or list beside its text too. Text beside the
+    Words gain the same wherever they are, since a marked article may be a teaser
+    card and the main text stand elsewhere; tags inside a marked article cost
+    least, those of an advert or list beside its text too. Text beside the
     article (menus, notices, adverts, forms, comments and so on) gains nothing
     and is not part of the result.
     """
     if not page:
         return ""
     found = list(tokens(page))
-    marked = any(article and not beside and text.strip() for _, text, article, beside in found)
     word = weights.get("", 1.0)
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
     for i, (name, text, article, beside) in enumerate(found):
         if name:
             cost = weights.get(name[:32], -MOST_INLINE if name in INLINE else unseen)
             total += -LEAST / 10 if article else cost
-        elif not beside and (article or not marked):
+        elif not beside:
             total += word * len(text.split())
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best - 1e-9:  # a word may just make up for its tag
             best, best_at = total, (start, i + 1)
     blocks, block = [], []
-    for name, text, article, beside in found[best_at[0] : best_at[1]]:
+    for name, text, _, beside in found[best_at[0] : best_at[1]]:
         if name in BLOCK:
             blocks.append("".join(block))
             block = []
         elif name in ("br", "td", "th"):
             block.append(" ")
-        elif not name and not beside and (article or not marked):
+        elif not name and not beside:
             block.append(text)
     blocks.append("".join(block))
     clean = (" ".join(html.unescape(b).split()) for b in blocks)
@@ -196,7 +196,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """(id, url, text, n_chars), one row per page, from the whole html.
 
     The weights come from about LABELLED_PAGES pages that mark their article.
-    Null or empty html, and a page without article words, give an empty text.
+    Null or empty html, and a page with no words but those beside an article, give an empty text.
     Repeated rows give repeated rows; other columns are not read; an empty
     table gives no rows.
     """
