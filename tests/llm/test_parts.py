@@ -244,6 +244,39 @@ def test_rules_and_host(spark):
     assert got == [c[1:] for c in cases]
 
 
+def test_url_scores_are_those_of_exact_counts(spark):
+    """More distinct contexts than any fixed table of counts keeps apart."""
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzABC0123456789-_/"
+    tail = lambda: "".join(rng.choice(letters) for _ in range(60))
+    urls = [rng.choice(("https://a.org/", "https://b.com/fr/", "https://c.com/de/", "https://d.net/")) + tail() for _ in range(400)]
+    urls += ["", urls[0], "https://e.net/ü" + tail()]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string").repartition(3)
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "url"), F.lit(url_filter.FOLDS))
+    folds = {r.page_id: r.fold for r in df.select("page_id", fold.alias("fold")).collect()}
+    order = url_filter.ORDER
+    padded = [b"\2" * order + brute.lower(u).encode() + b"\3" for u in urls]
+    got = {r.page_id: r for r in url_filter.judge_urls(df).collect()}
+    seen = {"allow": {}, "block": {}}
+    for i, p in enumerate(padded):
+        if got[i].rule and folds[i]:
+            n = seen[got[i].verdict]
+            for at in range(order, len(p)):
+                for o in range(order + 1):
+                    for key in ((o, p[at - o : at + 1]), (o, p[at - o : at], "all")):
+                        n[key] = n.get(key, 0) + 1
+    for i, p in enumerate(padded):
+        total = 0.0
+        for at in range(order, len(p)):
+            for sign, n in ((1, seen["allow"]), (-1, seen["block"])):
+                prob = 1 / 256
+                for o in range(order + 1):
+                    prob = (n.get((o, p[at - o : at + 1]), 0) + url_filter.PRIOR * prob) / (n.get((o, p[at - o : at], "all"), 0) + url_filter.PRIOR)
+                total += sign * np.log(prob)
+        assert got[i].score == pytest.approx(total / (len(p) - order), abs=1e-9)
+    assert got[0].score == got[401].score
+
+
 def test_least_error():
     at = lambda s: int((s + url_filter.RANGE) * url_filter.BINS / (2 * url_filter.RANGE))
     t = url_filter.least_error([(at(-1), "block", 5), (at(-0.5), "block", 3), (at(0.5), "allow", 9), (at(2), "allow", 1)])

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txpulse.llm.common import slices, written
-from txpulse.llm.tokens import mix, text_bytes
+from txpulse.llm.tokens import text_bytes
 
 #: (verdict, host, path) of the stated rules.
 RULES = (
@@ -19,8 +22,8 @@ RULES = (
     ("block", "com", "/de/"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Longest context in bytes; slots of counts for each length; weight of the next shorter context.
-ORDER, SLOTS, PRIOR = 5, 1 << 16, 4.0
+#: Longest context in bytes (with the byte that follows, a long holds 7); weight of the next shorter context.
+ORDER, PRIOR = 5, 4.0
 #: One fifth of the rule-decided URLs sets the threshold, the others the counts.
 FOLDS = 5
 #: Score bins of the calibration, over -RANGE..RANGE nats a byte.
@@ -45,8 +48,8 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
-def _events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slots of (context, byte) and of the context for each length 0..ORDER, and each text's first row.
+def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Each byte with the ORDER bytes before it as one number, its own the lowest, and each text's first row.
 
     A text is padded by ORDER marks in front and one at its end, which is predicted too.
     """
@@ -54,7 +57,7 @@ def _events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(at) - 1
     pad = ORDER + 1
     where = np.arange(len(buf)) + np.repeat(np.arange(n) * pad + ORDER, np.diff(at))
-    padded = np.full(len(buf) + n * pad, 2, dtype=np.uint64)
+    padded = np.full(len(buf) + n * pad, 2, dtype=np.int64)
     lower = buf.copy()
     lower[(buf >= 65) & (buf <= 90)] += 32
     padded[where] = lower
@@ -64,58 +67,76 @@ def _events(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for j in range(ORDER):
         predicted[first[:-1] + j] = False
     rows = np.flatnonzero(predicted)
-    grams, contexts = [], []
-    context = np.zeros(len(rows), np.uint64)
+    grams = np.zeros(len(rows), np.int64)
     for o in range(ORDER + 1):
-        if o:
-            context = mix(context + padded[rows - o] + np.uint64(o << 16))
-        grams.append(mix(context ^ (padded[rows] << np.uint64(20))) % np.uint64(SLOTS))
-        contexts.append(context % np.uint64(SLOTS))
-    return np.array(grams).astype(np.int64), np.array(contexts).astype(np.int64), at[:-1] + np.arange(n)
+        grams |= padded[rows - o] << (8 * o)
+    return grams, at[:-1] + np.arange(n)
+
+
+def _number(batches):
+    """The rows with the number of their chunk, which is small enough to be held at once."""
+    chunk = TaskContext.get().partitionId() << 32
+    for batch in batches:
+        for part, _ in slices(batch, "url"):
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array(np.full(len(part), chunk), pa.int64())], names=[*part.schema.names, "chunk"]
+            )
+            chunk += 1
 
 
 def _count(batches):
-    """Counts of a task's rule-decided URLs, one row a slot that occurs."""
-    held: dict[tuple[str, int, int], np.ndarray] = {}
+    """The distinct grams of each chunk, and how often they occur in its allowed and blocked examples."""
     for batch in batches:
-        verdicts = np.array(batch.column(0).to_pylist())
-        for verdict in ("allow", "block"):
-            own = batch.filter(pa.array(verdicts == verdict))
-            for _, texts in slices(own, "url"):
-                for kind, slots in enumerate(_events(texts)[:2]):
-                    for o in range(ORDER + 1):
-                        n = np.bincount(slots[o], minlength=SLOTS)
-                        held[verdict, kind, o] = held.get((verdict, kind, o), 0) + n
-    for (verdict, kind, o), n in held.items():
-        at = np.flatnonzero(n)
-        k = len(at)
-        yield pa.RecordBatch.from_pydict(
-            {"verdict": [verdict] * k, "kind": pa.array([kind] * k, pa.int32()), "len": pa.array([o] * k, pa.int32()),
-             "slot": pa.array(at, pa.int64()), "n": pa.array(n[at], pa.int64())}
-        )
+        for part, texts in slices(batch, "url"):
+            chunks = part.column(part.schema.get_field_index("chunk")).to_numpy()
+            kinds = np.array(part.column(part.schema.get_field_index("example")).to_pylist(), dtype=object)
+            edges = [0, *(np.flatnonzero(np.diff(chunks)) + 1).tolist(), len(chunks)]
+            for a, b in pairwise(edges):
+                grams, first = _grams(texts.slice(a, b - a))
+                kind = np.repeat(kinds[a:b], np.diff(np.append(first, len(grams))))
+                own, at = np.unique(grams, return_inverse=True)
+                n = [np.bincount(at[kind == verdict], minlength=len(own)) for verdict in ("allow", "block")]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(own), chunks[a]), pa.int64()), pa.array(own, pa.int64()), *(pa.array(x, pa.int64()) for x in n)],
+                    names=["chunk", "gram", "allow", "block"],
+                )
 
 
-def _score(model: np.ndarray):
-    """model[verdict, kind, length, slot]: adds the length-normalised log-likelihood difference."""
+def gram_ratios(events: DataFrame) -> DataFrame:
+    """(gram, ratio): the difference of the two models' log probabilities of each distinct gram's last byte.
 
-    def likelihood(verdict: int, grams: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-        p = np.full(grams.shape[1], 1 / 256)
-        for o in range(ORDER + 1):
-            p = (model[verdict, 0, o][grams[o]] + PRIOR * p) / (model[verdict, 1, o][contexts[o]] + PRIOR)
-        return np.log(p)
+    Counts for shorter contexts are sums of those for longer ones. A gram of one
+    length meets its context and its next shorter gram, each shared by 256 grams
+    at most, so no join has a hot key.
+    """
+    sums = [F.sum(v).alias(v) for v in ("allow", "block")]
+    lengths = [written(events.groupBy("gram").agg(*sums), "grams")]
+    for o in range(ORDER - 1, -1, -1):
+        shorter = F.col("gram").bitwiseAND(F.lit((1 << 8 * (o + 1)) - 1)).alias("gram")
+        lengths.insert(0, written(lengths[0].groupBy(shorter).agg(*sums), f"grams-{o}"))
+    known = None
+    for o, grams in enumerate(lengths):
+        context = F.shiftright("gram", 8)
+        after = grams.groupBy(context.alias("context")).agg(*[F.sum(v).alias(f"{v}_all") for v in ("allow", "block")])
+        rows = grams.withColumn("context", context).join(after, "context")
+        if known is None:
+            rows = rows.withColumns({f"{v}_less": F.lit(1 / 256) for v in ("allow", "block")})
+        else:
+            less = known.select(F.col("gram").alias("less"), *[F.col(f"{v}_p").alias(f"{v}_less") for v in ("allow", "block")])
+            rows = rows.withColumn("less", F.col("gram").bitwiseAND(F.lit((1 << 8 * o) - 1))).join(less, "less")
+        known = rows.select(
+            "gram", *[((F.col(v) + PRIOR * F.col(f"{v}_less")) / (F.col(f"{v}_all") + PRIOR)).alias(f"{v}_p") for v in ("allow", "block")]
+        )
+    return known.select("gram", (F.log("allow_p") - F.log("block_p")).alias("ratio"))
 
-    def run(batches):
-        for batch in batches:
-            for part, texts in slices(batch, "url"):
-                grams, contexts, first = _events(texts)
-                ratio = likelihood(0, grams, contexts) - likelihood(1, grams, contexts)
-                size = np.diff(np.append(first, len(ratio)))
-                score = np.add.reduceat(ratio, first) / size
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(score, pa.float64())], names=[*part.schema.names, "score"]
-                )
 
-    return run
+def _score(rows: pa.Table, ratios: pa.Table) -> pa.Table:
+    """A chunk's rows with the length-normalised log-likelihood difference, from the ratios of its grams."""
+    grams, first = _grams(rows["url"].combine_chunks().cast(pa.large_string()))
+    own, at = np.unique(ratios["gram"].to_numpy(), return_index=True)
+    ratio = ratios["ratio"].to_numpy()[at][np.searchsorted(own, grams)]
+    score = np.add.reduceat(ratio, first) / np.diff(np.append(first, len(ratio)))
+    return rows.drop_columns(["url", "chunk", "example"]).append_column("score", pa.array(score, pa.float64()))
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:
@@ -124,10 +145,12 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     The longest rule that fits decides. The URLs that rules decide are the
     accepted and rejected examples: four fifths of them, all of these rows,
     give the byte counts of one smoothed variable-order Markov model each
-    (contexts of 0 to 5 bytes, hashed to a fixed number of slots, so the model
-    has a fixed size whatever the input). The rest sets the threshold on the
-    difference of the two log-likelihoods a byte at the least balanced error.
-    URLs without a rule are allowed from that threshold on.
+    (contexts of 0 to 5 bytes). The counts are an exact table with a row for
+    each distinct context and byte, so it grows with the input. Chunks of rows
+    look up their distinct grams in it by a join and are scored with what they
+    found. The rest sets the threshold on the difference of the two
+    log-likelihoods a byte at the least balanced error. URLs without a rule are
+    allowed from that threshold on.
 
     A null URL counts as empty; repeated rows are judged alike; a null id is
     kept. Without examples of both verdicts the threshold is 0, and equal
@@ -138,14 +161,16 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     found = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("found", found).select("id", "url", "host", "path", F.col("found.rule").alias("rule"), F.col("found.verdict").alias("ruled"))
     fold = F.pmod(F.xxhash64(F.lit("fold"), "url"), F.lit(FOLDS))
-    examples = rows.where(F.col("ruled").isNotNull() & (fold != 0)).select("ruled", "url")
-    counts = examples.mapInArrow(_count, "verdict string, kind int, len int, slot long, n long")
-    counts = counts.groupBy("verdict", "kind", "len", "slot").agg(F.sum("n").alias("n")).toPandas()
-    model = np.zeros((2, 2, ORDER + 1, SLOTS), dtype=np.float32)
-    model[(counts["verdict"] == "block").to_numpy(dtype=int), counts["kind"], counts["len"], counts["slot"]] = counts["n"]
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    scored = rows.mapInArrow(_score(model), ", ".join(f"{c} {t}" for c, t in kinds.items()) + ", score double")
-    scored = written(scored.withColumn("held", fold == 0).drop("url"), "urls")
+    example = F.when(fold != 0, F.col("ruled"))
+    rows = rows.withColumns({"held": fold == 0, "example": example})
+    typed = lambda fields, more: ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in fields), more])
+    rows = written(rows.mapInArrow(_number, typed(rows.schema, "chunk long")), "chunks")
+    events = rows.select("chunk", "url", "example").mapInArrow(_count, "chunk long, gram long, allow long, block long")
+    events = written(events, "events")
+    found = events.select("chunk", "gram").join(gram_ratios(events), "gram")
+    out = [f for f in rows.schema if f.name not in ("url", "chunk", "example")]
+    scored = rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(_score, typed(out, "score double"))
+    scored = written(scored, "urls")
     at = F.floor((F.col("score") + RANGE) * (BINS / (2 * RANGE)))
     held = scored.where("ruled is not null and held").groupBy(
         F.greatest(F.lit(0), F.least(F.lit(BINS), at)).alias("bin"), "ruled"
