@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -149,6 +150,37 @@ def test_lines_with_a_common_segment(spark):
     assert sum(n for n in (len(v[1]) for v in got.values())) >= 29
 
 
+def test_lines_share_brute(spark):
+    """The threshold grows with the shorter line's length, and short lines have one too."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice(["er", "in", "the", "ü", "an", "on", "sta"]) for _ in range(rng.randrange(1, 5)))
+    lines = [" ".join(word() for _ in range(rng.choice((2, 4, 6, 12, 20, 50)))) for _ in range(60)] + ["hah " * 30, "x" * 25]
+    for line in list(lines):
+        for share in (40, 20, 15):  # edits spread evenly, in clumps or by chance, around the threshold
+            own, n = list(line), len(line) // share + rng.randrange(2)
+            where = rng.choice((lambda j: j * len(own) // (n + 1), lambda j: j, lambda j: rng.randrange(len(own))))
+            for j in range(n):
+                at = min(where(j), len(own) - 1)
+                kind = rng.randrange(3)
+                own[at : at + (kind > 0)] = [rng.choice("qzé")] * (kind < 2)
+            lines.append("".join(own).strip())
+    rng.shuffle(lines)
+    cases = {i: f"{line}\n" for i, line in enumerate(lines)}
+    groups, distinct = brute.Groups(lines), sorted(set(lines), key=len)
+    for i, a in enumerate(distinct):
+        most = len(a) // line_dedup.SHARE
+        for b in distinct[i + 1 :]:
+            if len(b) - len(a) <= most and sum((Counter(b) - Counter(a)).values()) <= most and brute.edits(a, b) <= most:
+                groups.join(a, b)
+    seen, want = set(), {}
+    for i, line in enumerate(lines):
+        want[i] = (1, [0] if groups.find(line) in seen else [])
+        seen.add(groups.find(line))
+    docs = spark.createDataFrame(list(cases.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_lines, list(r.dropped)) for r in line_dedup.repeated_lines(docs, share=line_dedup.SHARE).collect()}
+    assert got == want and 60 < sum(len(v[1]) for v in want.values()) < len(lines) - 60
+
+
 def test_lines_odd(odd, none):
     got = {r.doc_id: (r.n_lines, r.n_dropped, list(r.dropped)) for r in line_dedup.repeated_lines(odd).collect()}
     assert set(got) == {r[0] for r in ROWS}

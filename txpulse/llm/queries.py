@@ -29,7 +29,7 @@ def op2_mix(spark, sf_dir):
 
 
 def op3_line_dedup(spark, sf_dir):
-    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"), share=line_dedup.SHARE)
 
 
 def op4_html_extract(spark, sf_dir):
