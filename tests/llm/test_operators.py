@@ -238,6 +238,16 @@ def test_language_id(spark, odd, none):
     assert [x[0] for x in none_learned] == ["und"]
 
 
+def test_every_label_is_learned(spark):
+    rng, names = random.Random(8), set()
+    while len(names) < 260:
+        names.add("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)))
+    docs = [(i, f"{n} {n[:6]} {n[3:]} " * 3, n) for i, n in enumerate(sorted(names) * 6)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)
+    got = language_id.identify(df).where("held_out").select("lang", "lang_pred").collect()
+    assert len({r.lang for r in got}) > 200 and all(r.lang == r.lang_pred for r in got)
+
+
 def test_label_and_source_are_no_inputs(documents):
     as_is = language_id.identify(documents.where(~language_id.held_out(F.col("doc_id"))).union(documents.where(language_id.held_out(F.col("doc_id"))).withColumn("lang", F.lit(None).cast("string"))))
     assert rows(as_is, "doc_id", "lang_pred", "score") == rows(language_id.identify(documents), "doc_id", "lang_pred", "score")

@@ -17,8 +17,6 @@ from txpulse.llm.common import fresh
 RANKS = 400
 #: About so many labelled documents of each language are learned from.
 TRAIN_ROWS = 5000
-#: Labels that are learned at most, the most frequent ones.
-MAX_LANGS = 200
 #: Code points handled at once.
 PIECE = 1 << 20
 UNKNOWN = "und"
@@ -85,14 +83,12 @@ def _merge(parts: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def learn_profiles(labelled: DataFrame, ranks: int = RANKS, train_rows: int = TRAIN_ROWS) -> dict[str, list[int]]:
-    """The ranked n-grams of each label in ``labelled`` (id, lang, text); at most MAX_LANGS * ranks numbers."""
+    """The ranked n-grams of every label in ``labelled`` (id, lang, text); ``ranks`` numbers a label at most."""
     labelled = labelled.where("lang is not null and text is not null")
-    per = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()
-    share = F.lit(0.0)
-    for r in per:
-        share = F.when(F.col("lang") == r["lang"], min(1.0, train_rows / r["n"])).otherwise(share)
-    chosen = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share * 1_000_000
-    grams = labelled.where(chosen).select("lang", "text").mapInArrow(_train, "lang string, gram long, n long")
+    # one row a label, as few as the profiles that every task gets
+    per = labelled.groupBy("lang").agg(F.least(F.lit(1.0), F.lit(train_rows) / F.count("*")).alias("share"))
+    chosen = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < F.col("share") * 1_000_000
+    grams = labelled.join(F.broadcast(per), "lang").where(chosen).select("lang", "text").mapInArrow(_train, "lang string, gram long, n long")
     grams = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     top = grams.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= ranks)
@@ -103,15 +99,18 @@ def learn_profiles(labelled: DataFrame, ranks: int = RANKS, train_rows: int = TR
 
 
 class Profiles:
-    """All profiles as one table of ranks: a row an n-gram, a column a language."""
+    """All profiles as one sparse table (gram, label, rank), sorted by n-gram."""
 
     def __init__(self, learned: dict[str, list[int]], ranks: int):
         self.ranks = ranks
         self.langs = sorted(learned)
-        self.grams = np.unique(np.array([g for p in learned.values() for g in p], dtype=np.uint64))
-        self.rank = np.full((len(self.grams), len(self.langs)), -1, dtype=np.int32)
-        for j, lang in enumerate(self.langs):
-            self.rank[np.searchsorted(self.grams, np.array(learned[lang], dtype=np.uint64)), j] = np.arange(len(learned[lang]))
+        sizes = [len(learned[lang]) for lang in self.langs]
+        every = np.array([g for lang in self.langs for g in learned[lang]], dtype=np.uint64)
+        order = np.argsort(every, kind="stable")
+        self.grams, first = np.unique(every[order], return_index=True)
+        self.first = np.append(first, len(every))
+        self.label = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)[order]
+        self.rank = np.concatenate([np.zeros(0, np.int32), *(np.arange(n, dtype=np.int32) for n in sizes)])[order]
 
     def judge(self, text: str | None) -> tuple[str, float]:
         """(label, score): the least out-of-place distance, as a share of the greatest possible one taken from 1."""
@@ -121,9 +120,11 @@ class Profiles:
             return UNKNOWN, 0.0
         own = ranked(keys, counts, self.ranks)
         at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)
-        theirs = np.where((self.grams[at] == own)[:, None], self.rank[at], -1)
-        apart = np.where(theirs < 0, self.ranks, np.abs(theirs - np.arange(len(own))[:, None]))
-        distance = apart.sum(axis=0)
+        known = np.flatnonzero(self.grams[at] == own)
+        low, n = self.first[at[known]], self.first[at[known] + 1] - self.first[at[known]]
+        rows = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        near = self.ranks - np.abs(self.rank[rows] - np.repeat(known, n))
+        distance = len(own) * self.ranks - np.bincount(self.label[rows], weights=near, minlength=len(self.langs))
         best = int(distance.argmin())
         return self.langs[best], float(1 - distance[best] / (len(own) * self.ranks))
 
@@ -144,8 +145,8 @@ def identify(
     """``docs`` with held_out, lang_pred and score (named anew where taken).
 
     Profiles come from the text and non-null label of documents that are not
-    held out, about ``train_rows`` of each label by a hash of the id; label,
-    source and id are not inputs of a prediction. Each whole text's own most
+    held out, about ``train_rows`` of each label by a hash of the id, and every
+    label has one; label, source and id are not inputs of a prediction. Each whole text's own most
     frequent n-grams are compared with every profile by out-of-place distance;
     the nearest label wins, ties by code point. A text that is null or has no
     letter is ``und`` with score 0, and so is every text if nothing could be
