@@ -120,6 +120,18 @@ def test_jaccard_odd(odd, none):
     assert jaccard_join.keep_one(odd).columns == odd.columns
 
 
+def test_keep_one_of_rows_that_share_an_id(spark):
+    """A clean text stays though another row with its id is a near copy."""
+    rng = random.Random(21)
+    say = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(80))
+    first, clean, other = say(), say(), say()
+    docs = [(1, first, "a"), (2, f"{first} end", "b"), (2, clean, "c"), (2, "", "d"), (3, f"{first} so", "e"), (4, other, "f"), (None, other, "g")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, cid string").repartition(3)
+    left = jaccard_join.keep_one(df)
+    assert left.columns == df.columns
+    assert sorted(r.cid for r in left.collect()) == ["a", "c", "d", "f", "g"]
+
+
 def test_lines_brute(spark, texts):
     rng = random.Random(4)
     cases = dict(list(texts.items())[:80])

@@ -317,6 +317,12 @@ def jaccard_components(
     repeat id and text are one class, and each stays a row. An empty table
     gives no rows.
     """
+    out = _components(docs, k, num, den, id_col, text_col)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _components(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, n, cid, component_id), as ``jaccard_components`` and with the class of the document's set."""
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = src.schema["id"].dataType.simpleString()
@@ -395,21 +401,38 @@ def jaccard_components(
         roots = components(found.union(more))
 
     rooted = classes.where("n > 0").join(roots.withColumnRenamed("u", "cid"), "cid", "left")
-    rooted = rooted.select("id", "n", F.coalesce("root", "cid").alias("root"))
+    rooted = rooted.select("id", "n", "cid", F.coalesce("root", "cid").alias("root"))
     least = rooted.groupBy("root").agg(F.min("id").alias("component_id"))
-    out = rooted.join(least, "root").select("id", "n", "component_id")
-    out = out.unionByName(classes.where("n = 0").select("id", "n", F.col("id").alias("component_id")))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+    out = rooted.join(least, "root").select("id", "n", "cid", "component_id")
+    return out.unionByName(classes.where("n = 0").select("id", "n", "cid", F.col("id").alias("component_id")))
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns: those with the least id of their component.
 
-    Null ids stay. Rows that share this least id all stay.
+    Null ids stay. Rows that share this least id all stay. Of rows that share
+    an id but not the set, each stays or goes by its own component.
     """
-    found = jaccard_components(docs, k, num, den, id_col, text_col)
-    going = found.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("gone")).distinct()
-    going = written(going, "going")
-    gone = fresh(docs, "gone")
-    going = going.withColumnRenamed("gone", gone)
-    return docs.join(going, F.col(id_col) == F.col(gone), "left_anti")
+    found = _components(docs, k, num, den, id_col, text_col).where("id is not null")
+    found = found.select("id", "cid", (F.col("id") != F.col("component_id")).alias("goes"))
+    going = found.groupBy("id").agg(F.max("goes").alias("any"), F.min("goes").alias("all")).where("any")
+    going = written(going.select("id", "all"), "going")
+    gone, cid = fresh(docs, "gone"), fresh(docs, "cid")
+    by_id = F.col(id_col) == F.col(gone)
+    left = docs.join(going.select(F.col("id").alias(gone)), by_id, "left_anti")
+    mixed = going.where("not all").select("id")
+    if mixed.isEmpty():
+        return left
+
+    @F.pandas_udf("binary")
+    def class_of(texts):
+        import pandas as pd
+
+        hashes, _, _, first = words(pa.array(texts.fillna(""), pa.large_string()))
+        return pd.Series([class_id(s) for s in shingle_sets(hashes, first, k)], dtype=object)
+
+    pairs = written(found.where("goes").join(mixed, "id", "left_semi").select("id", "cid").distinct(), "going-classes")
+    pairs = pairs.select(F.col("id").alias(gone), F.col("cid").alias(f"{gone}_{cid}"))
+    shared = docs.join(mixed.select(F.col("id").alias(gone)), by_id, "left_semi").withColumn(cid, class_of(F.col(text_col)))
+    shared = shared.join(pairs, by_id & (F.col(cid) == F.col(f"{gone}_{cid}")), "left_anti").drop(cid)
+    return left.unionByName(shared)
