@@ -12,6 +12,7 @@ from txpulse.llm import (
     language_id,
     line_dedup,
     mixing,
+    periodic_runs,
     quality,
     span_dedup,
     url_filter,
@@ -64,11 +65,18 @@ def op10_span_dedup(spark, sf_dir):
     return span_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    planted = docs.withColumn("text", periodic_runs.with_planted_runs(F.col("text"), F.col("doc_id")))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(planted))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_mix, op3_line_dedup, op4_html_extract, op5_exact_dedup,
         op6_language_id, op7_quality, op8_jaccard_join, op9_url_filter, op10_span_dedup,
+        op13_periodic_runs,
     )
 }
 
