@@ -23,18 +23,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def temporary(spark: SparkSession, name: str) -> str:
+    """A new folder's path under the shared one; Spark removes the folder when the application ends."""
+    path = scratch_path(spark, f"llm-{name}")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts the lineage and has a known size.
 
     Spark removes the folder when the application ends.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}")
+    path = temporary(df.sparkSession, name)
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame, name: str) -> str:

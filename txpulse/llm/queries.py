@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from txpulse.llm import (
@@ -11,13 +12,15 @@ from txpulse.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    merkle,
     mixing,
     periodic_runs,
     quality,
     span_dedup,
+    token_counts,
     url_filter,
 )
-from txpulse.llm.common import table, word_count
+from txpulse.llm.common import table, temporary, word_count
 
 
 def op1_decontaminate(spark, sf_dir):
@@ -65,6 +68,26 @@ def op10_span_dedup(spark, sf_dir):
     return span_dedup.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    even = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(2)) == 0
+    text = F.when(even, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = merkle.leaf_digest([*map(F.col, fields[:-1]), text])
+    proofs = merkle.manifest(docs, fields, carry={"tampered": tampered}).proofs
+    folded = proofs.withColumn("folded_root", merkle.fold(F.col("tampered"), F.col("path")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op12_token_counts(spark, sf_dir):
+    tokenizer = token_counts.TokenizerFile.read(public_tokenizers.path("byte_bpe_50k.json"))
+    cache = token_counts.TokenCache(spark, temporary(spark, "token-cache"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer, cache)
+
+
 def op13_periodic_runs(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     planted = docs.withColumn("text", periodic_runs.with_planted_runs(F.col("text"), F.col("doc_id")))
@@ -76,11 +99,69 @@ QUERIES = {
     for f in (
         op1_decontaminate, op2_mix, op3_line_dedup, op4_html_extract, op5_exact_dedup,
         op6_language_id, op7_quality, op8_jaccard_join, op9_url_filter, op10_span_dedup,
-        op13_periodic_runs,
+        op11_merkle_manifest, op12_token_counts, op13_periodic_runs,
     )
 }
 
+def _merkle_sql(levels: int = 16, top_levels: int = 10) -> str:
+    """The trees level by level, for up to 3**levels documents a source and 3**top_levels sources."""
+
+    def fields(text: str) -> str:
+        parts = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+        return f"sha256({' || '.join(parts)})"
+
+    def tree(name: str, depth: int) -> list[str]:
+        """Levels of ``name``0 (tree, i, d); steps (k, tree, i, l, r) of all nodes that have one above."""
+        out = []
+        for k in range(depth):
+            near = "string_agg(d, '') OVER (PARTITION BY tree, i // 3 ORDER BY i ROWS BETWEEN"
+            out.append(
+                f"{name}s{k} AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY tree) AS n, "
+                f"coalesce({near} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l, "
+                f"coalesce({near} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})"
+            )
+            out.append(
+                f"{name}{k + 1} AS MATERIALIZED (SELECT tree, i // 3 AS i, CASE WHEN any_value(n) = 1 THEN any_value(d) "
+                f"ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d FROM {name}s{k} GROUP BY tree, i // 3)"
+            )
+        return out
+
+    def climb(start: str, name: str, depth: int, tag: str) -> list[str]:
+        """From ``start`` (tree, i, f, proof, ...) up the levels of ``name``."""
+        out = []
+        for k in range(depth):
+            last = start if k == 0 else f"{tag}{k}"
+            out.append(
+                f"{tag}{k + 1} AS MATERIALIZED (SELECT c.* REPLACE (c.i // 3 AS i, CASE WHEN n = 1 THEN f ELSE sha256(l || f || r) END AS f, "
+                f"CASE WHEN n = 1 THEN proof ELSE proof || l || r END AS proof) "
+                f"FROM {last} c JOIN {name}s{k} s ON c.tree IS NOT DISTINCT FROM s.tree AND c.i = s.i)"
+            )
+        return out
+
+    bits = "flatten([[(ascii(c) >> k) & 1 for k in range(8)] for c in string_split(CAST(doc_id AS VARCHAR), '')])"
+    crc = f"list_reduce(list_prepend(4294967295, {bits}), lambda c, b: xor(c >> 1, CASE WHEN (c & 1) != b THEN 3988292384 ELSE 0 END))"
+    return "WITH " + ",\n".join(
+        [
+            f"leaves AS MATERIALIZED (SELECT doc_id, source, {fields('text')} AS leaf, CASE WHEN xor({crc}, 4294967295) % 2 = 0 "
+            f"THEN {fields("replace(text, chr(10), '')")} ELSE {fields('text')} END AS f FROM documents)",
+            "placed AS MATERIALIZED (SELECT *, source AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves)",
+            "a0 AS MATERIALIZED (SELECT tree, i, leaf AS d FROM placed)",
+            *tree("a", levels),
+            f"b0 AS MATERIALIZED (SELECT 0 AS tree, tree AS source, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS i, d FROM a{levels})",
+            *tree("b", top_levels),
+            "c0 AS MATERIALIZED (SELECT doc_id, source, tree, i, leaf, f, '' AS proof FROM placed)",
+            *climb("c0", "a", levels, "c"),
+            f"e0 AS MATERIALIZED (SELECT c.* REPLACE (b.tree AS tree, b.i AS i), b.d AS subroot FROM c{levels} c JOIN b0 b ON c.source IS NOT DISTINCT FROM b.source)",
+            *climb("e0", "b", top_levels, "e"),
+        ]
+    ) + (
+        f"\nSELECT doc_id, leaf, subroot, b.d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = b.d AS verified "
+        f"FROM e{top_levels} e JOIN b{top_levels} b ON e.tree = b.tree"
+    )
+
+
 ORACLES = {
+    "op11_merkle_manifest": _merkle_sql(),
     "op2_mix": r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
