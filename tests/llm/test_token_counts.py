@@ -1,7 +1,11 @@
 """Token counts against the libraries, and what the cache keeps."""
 
+import json
+
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
@@ -9,6 +13,7 @@ from tokenizers import Tokenizer
 from fixtures_llm import ROWS, frame
 from txpulse.llm.common import temporary
 from txpulse.llm.queries import QUERIES
+from txpulse.llm import token_counts as T
 from txpulse.llm.token_counts import TokenCache, TokenizerFile, count_tokens
 
 BPE, PIECE = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
@@ -87,3 +92,37 @@ def test_query_equals_library(spark, texts):
     got = QUERIES["op12_token_counts"](spark, "/root/testdata/sf0.001").collect()
     want = [(i, len((t or "").encode()), count(t), count(t) > 512) for i, t in texts.items()]
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+MIXED = st.lists(
+    st.sampled_from([" ", "  ", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\x85", "'s", "'", "don't", "<|endoftext|>", "<|", "word", "Wort", "é", "e\u0301", "漢字", "12", "٣", "!?", "😀", "\u200b", "."])
+    | st.text(max_size=3),
+    max_size=25,
+).map("".join)
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(MIXED, min_size=1, max_size=4))
+def test_pieces_add_up_to_the_text(texts):
+    count = TokenizerFile.read(BPE).counter()
+    assert isinstance(count, T.PieceCounter)
+    assert count(texts) == [plain_bpe(t) for t in texts]
+
+
+plain_bpe = plain(BPE)
+
+
+def test_pieces_are_forgotten_in_time(monkeypatch):
+    monkeypatch.setattr(T, "MOST_PIECES", 3)
+    count = T.PieceCounter(lambda xs: [len(x) for x in xs])
+    assert [count([f"a{i} b{i} c"]) for i in range(9)] == [[7]] * 9
+    assert len(count.known) <= 6
+
+
+def test_which_vocabularies_allow_pieces():
+    bpe = json.loads(open(BPE).read())
+    assert T._cuttable(bpe)
+    changes = [("normalizer", {"type": "NFC"}), ("pre_tokenizer", None), ("pre_tokenizer", bpe["pre_tokenizer"] | {"add_prefix_space": True})]
+    changes += [("added_tokens", [bpe["added_tokens"][0] | {"rstrip": True}]), ("added_tokens", [bpe["added_tokens"][0] | {"content": "a b"}])]
+    assert not any(T._cuttable(bpe | {k: v}) for k, v in changes)
+    assert not T._cuttable(json.loads(open(public_tokenizers.path("word_bpe_49k.json")).read()))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -17,6 +20,46 @@ MOST_VOCABULARY_BYTES = 256 << 20
 
 CACHE = "content string, n_tokens long"
 
+#: Counts of pieces that a worker process holds at once.
+MOST_PIECES = 1 << 19
+
+_counters: dict[str, Callable] = {}
+
+
+def _cuttable(vocabulary: dict) -> bool:
+    """Whether texts may be cut before a single space between two characters that are no space.
+
+    The byte-level pattern ends a word before such a space and begins the next
+    one with it, whatever stands around, so the pieces' tokens are the text's.
+    That needs the text as it is (no normaliser, no added first space), no
+    template, and added tokens that hold no space and take none along.
+    """
+    split = vocabulary.get("pre_tokenizer") or {}
+    plain = not any(vocabulary.get(k) for k in ("normalizer", "post_processor"))
+    byte_level = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space", True)
+    added = all(
+        not re.search(r"\s", t["content"]) and not any(t.get(k) for k in ("lstrip", "rstrip", "single_word"))
+        for t in vocabulary.get("added_tokens", ())
+    )
+    return plain and byte_level and added and not vocabulary["model"].get("dropout")
+
+
+class PieceCounter:
+    """Counts of texts from those of their pieces; each piece is encoded once while the worker remembers it."""
+
+    def __init__(self, count: Callable[[list[str]], list[int]]):
+        self.count = count
+        self.known: dict[str, int] = {}
+        self.cut = re.compile(r"(?<=\S)(?= \S)")
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        pieces = [self.cut.split(t) for t in texts]
+        if len(self.known) > MOST_PIECES:
+            self.known = {}
+        new = list({x for p in pieces for x in p} - self.known.keys())
+        self.known.update(zip(new, self.count(new), strict=True))
+        return [sum(map(self.known.__getitem__, p)) for p in pieces]
+
 
 @dataclass(frozen=True)
 class TokenizerFile:
@@ -42,8 +85,16 @@ class TokenizerFile:
         version = __import__(library).__version__
         return cls(library, content, hashlib.sha256(f"{library} {version} ".encode() + content).hexdigest())
 
-    def counter(self):
-        """A function from texts to their numbers of tokens, without begin, end or added special tokens."""
+    def counter(self) -> Callable[[list[str]], list[int]]:
+        """A function from texts to their numbers of tokens, without begin, end or added special tokens.
+
+        One a worker process, so that tasks share what it has read and counted.
+        """
+        if self.digest not in _counters:
+            _counters[self.digest] = self._load()
+        return _counters[self.digest]
+
+    def _load(self) -> Callable[[list[str]], list[int]]:
         if self.library == "tokenizers":
             os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
             from tokenizers import Tokenizer
@@ -51,7 +102,11 @@ class TokenizerFile:
             model = Tokenizer.from_str(self.content.decode())
             model.no_truncation()
             model.no_padding()
-            return lambda texts: [len(e) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+
+            def whole(texts):
+                return [len(e) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+
+            return PieceCounter(whole) if _cuttable(json.loads(self.content)) else whole
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_proto=self.content)
@@ -123,8 +178,9 @@ def count_tokens(
     by (content, id), for the semi join with the missing contents; a group of
     copies is spread by id, rows that repeat both are split by the join and
     encoded once a task. Special strings within a text are handled as is the
-    library's default. An empty text has no tokens. Very long texts are encoded
-    whole, one at a time, in memory that grows with their tokens. Repeated rows
+    library's default. An empty text has no tokens. Very long texts are counted
+    whole, one at a time, in memory that grows with the text: by pieces where
+    the vocabulary allows it (``_cuttable``), else in one call. Repeated rows
     and ids give one row each, a null id stays null; other columns are not read,
     whatever their names. An empty table gives no rows and stores none.
     """
