@@ -1,0 +1,165 @@
+"""The window's bucketed state: results do not depend on it, and a batch touches few buckets."""
+
+import time
+
+import numpy as np
+import pandas as pd
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import txpulse.streaming.processors as P
+from test_processor_model import MemoryState, _feed, _Handle, _Timers
+from test_property import R, W1, W2, rows_strategy
+from txpulse.operators.rfm import RfmRules
+
+
+class MemoryMap:
+    def __init__(self):
+        self.rows, self.read, self.written = {}, 0, 0
+
+    def getValue(self, key):
+        self.read += 1
+        return self.rows[key]
+
+    def updateValue(self, key, value):
+        self.written += 1
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+    def clear(self):
+        self.rows = {}
+
+
+RULES = RfmRules(
+    window_ms=W2, retention_ms=R, recency="gap", newcomer_ms=30, vip_min_m=20, vip_min_f=3,
+    active_min_m=5, active_min_f=1, sleeping_min_r_minutes=0.0005,
+)
+
+
+def _with_map(make):
+    def build():
+        p = make()
+        p.buckets = MemoryMap()
+        return p
+
+    return build
+
+
+def _table(df):
+    return sorted(map(tuple, df.to_numpy().tolist()), key=repr) if len(df) else []
+
+
+@settings(max_examples=150, deadline=None)
+@given(rows=rows_strategy, cuts=st.lists(st.integers(0, 40), max_size=8), seed=st.integers(0, 9), buckets=st.sampled_from([1, 3, 7, 64]), held=st.integers(0, 4))
+def test_results_do_not_depend_on_buckets(rows, cuts, seed, buckets, held):
+    makers = [lambda: P.RfmProcessor(RULES), lambda: P.AnomalyProcessor(window_ms=W1)]
+    want = [_table(_feed(m, rows, cuts, seed)) for m in makers]
+    old = P.BUCKETS, P.HEAD_ENTRIES
+    P.BUCKETS, P.HEAD_ENTRIES = buckets, held
+    try:
+        assert [_table(_feed(_with_map(m), rows, cuts, seed)) for m in makers] == want
+    finally:
+        P.BUCKETS, P.HEAD_ENTRIES = old
+
+
+@settings(max_examples=80, deadline=None)
+@given(rows=rows_strategy, cuts=st.lists(st.integers(0, 40), max_size=8), seed=st.integers(0, 9), held=st.integers(0, 4))
+def test_live_gives_segments_and_alerts_of_both(rows, cuts, seed, held):
+    segments = _feed(lambda: P.RfmProcessor(RULES), rows, cuts, seed)
+    alerts = _feed(lambda: P.AnomalyProcessor(window_ms=W1), rows, cuts, seed)
+    old = P.BUCKETS, P.HEAD_ENTRIES
+    P.BUCKETS, P.HEAD_ENTRIES = 5, held
+    try:
+        live = _feed(_with_map(lambda: P.LiveProcessor(RULES, W1, timers=False)), rows, cuts, seed)
+    finally:
+        P.BUCKETS, P.HEAD_ENTRIES = old
+    got = live[live.kind == "segment"].rename(columns={"event_time": "updated_at"})[list(segments.columns)]
+    assert _table(got.astype(segments.dtypes.to_dict())) == _table(segments)
+    got = live[live.kind == "alert"]
+    assert sorted(got.seq.astype(int)) == sorted(alerts.seq if len(alerts) else [])
+    # every epoch but a user's last one ends with an expiry
+    by_user = {}
+    for u, t, *_ in rows:
+        by_user.setdefault(u, []).append(t)
+    ends = sorted((u, a) for u, ts in by_user.items() for a, b in zip(sorted(ts), sorted(ts)[1:]) if b - a >= R)
+    expired = live[live.kind == "expired"]
+    assert sorted(zip(expired.user_id.astype(int), expired.event_time.astype(int))) == ends
+
+
+def _batch(ts, seq0=0, kind="Deposit"):
+    n = len(ts)
+    return iter([pd.DataFrame({
+        "user_id": np.ones(n, "int32"), "type": [kind] * n, "sum": np.full(n, 1.0),
+        "event_time": np.asarray(ts, "int64"), "seq": np.arange(seq0, seq0 + n, dtype="int64"),
+    })])
+
+
+def test_a_user_with_a_million_entries_touches_few_buckets():
+    day = 86_400_000
+    p = P.RfmProcessor(RfmRules())
+    p.state, p.buckets, p.handle = MemoryState(), MemoryMap(), None
+    ts = np.arange(1_000_000) * (day // 1_000_000)
+    list(p.handleInputRows((1,), _batch(ts), None))
+    assert sum(len(v[0]) for v in p.buckets.rows.values()) + len(p.state.get()[0]) == 1_000_000
+    p.buckets.read = p.buckets.written = 0
+    began = time.perf_counter()
+    out = list(p.handleInputRows((1,), _batch(ts[-1] + 1 + np.arange(100), 1_000_000), None))
+    took = time.perf_counter() - began
+    assert out[0].f.tolist() == [int(((ts >= t - day) & (ts < t)).sum()) + i + 1 for i, t in enumerate(ts[-1] + 1 + np.arange(100))]
+    assert p.buckets.read <= 2 and p.buckets.written == 0
+    assert len(p.state.get()[0]) <= 2 * 1_000_000 // P.BUCKETS
+    assert took < 1.0
+
+
+def test_a_late_row_changes_its_bucket():
+    p = P.RfmProcessor(RfmRules(window_ms=6400, retention_ms=100_000))
+    p.state, p.buckets, p.handle = MemoryState(), MemoryMap(), None
+    list(p.handleInputRows((1,), _batch(np.arange(6000)), None))
+    list(p.handleInputRows((1,), _batch([1005], 9000), None))
+    out = list(p.handleInputRows((1,), _batch([6010], 9001), None))
+    assert out[0].f.tolist() == [6002]
+    assert 9000 in p.buckets.rows[(1005 // 100,)][2]
+
+
+def test_rows_of_one_millisecond_go_by_partition_then_offset():
+    p = P.LiveProcessor(RfmRules(), timers=False)
+    p.state, p.buckets, p.handle = MemoryState(), MemoryMap(), None
+    rows = pd.DataFrame({
+        "user_id": np.ones(4, "int32"), "type": ["Deposit", "Credit", "Deposit", "Credit"], "sum": [1.0, 3.0, 50.0, 2.0],
+        "event_time": np.full(4, 1000, "int64"), "partition": np.array([0, 0, 1, 1], "int32"), "seq": np.array([5, 6, 5, 2], "int64"),
+    })
+    out = pd.concat(p.handleInputRows((1,), iter([rows.sample(frac=1, random_state=1)]), None))
+    seg = out[out.kind == "segment"]
+    assert list(zip(seg.partition, seg.seq)) == [(0, 5), (0, 6), (1, 2), (1, 5)]
+    # (0, 6) sees 1.0 before it: an alert; (1, 2) sees 1.0 and 3.0: none
+    assert out[out.kind == "alert"].seq.tolist() == [6]
+
+
+def test_late_rows_are_set_aside_with_the_reason():
+    p = P.LiveProcessor(RfmRules())
+    p.state, p.buckets, p.handle = MemoryState(), MemoryMap(), _Handle()
+    list(p.handleInputRows((1,), _batch([5000, 6000]), _Timers(0)))
+    out = pd.concat(p.handleInputRows((1,), _batch([4000, 4500, 7000], 10), _Timers(4500)))
+    assert out[out.kind == "late"].seq.tolist() == [10, 11]
+    assert set(out[out.kind == "late"].reason) == {"behind_watermark"}
+    assert out[out.kind == "segment"].f.tolist() == [3]
+    out = list(p.handleInputRows((1,), _batch([100], 20), _Timers(4500)))
+    assert [x.kind.tolist() for x in out] == [["late"]]
+
+
+def test_an_expired_user_leaves_a_row_and_no_state():
+    p = P.LiveProcessor(RfmRules(retention_ms=86_400_000))
+    p.state, p.buckets, p.handle = MemoryState(), MemoryMap(), _Handle()
+    list(p.handleInputRows((7,), _batch(np.arange(1, 3000) * 1000), _Timers(0)))
+    assert p.handle.timers == {2_999_000 + 86_400_000} and p.buckets.rows
+    out = list(p.handleExpiredTimer((7,), _Timers(0), None))
+    assert out[0][["kind", "user_id", "event_time"]].to_numpy().tolist() == [["expired", 7, 2_999_000]]
+    assert p.state.get() is None and not p.buckets.rows
+
+
+def test_windows_must_nest():
+    with pytest.raises(ValueError):
+        P.LiveProcessor(RfmRules(), anomaly_window_ms=RfmRules().window_ms + 1)

@@ -252,3 +252,58 @@ FROM tx GROUP BY user_id, event_time // {DAY_MS}""",
 ORACLES["stream_anomaly"] = ORACLES["anomaly_alerts_24h"]
 ORACLES["stream_rfm"] = ORACLES["rfm_segments_scaled"]
 ORACLES["stream_restore"] = ORACLES["rfm_segments_scaled"]
+
+
+# The live job's tables (replayed in slices of five days; watermark five days behind the newest time).
+SLICE_MS = 5 * DAY_MS
+REASONS = """
+CASE (seq // 17) % 7 WHEN 2 THEN 'null_sum' WHEN 3 THEN 'null_sum'
+     WHEN 4 THEN 'null_event_time' ELSE 'null_user_id' END"""
+ORACLES["live_restart"] = _scaled() + """
+SELECT user_id, seq, type, "sum", event_time AS updated_at, segment, r_minutes, f, m FROM seg"""
+ORACLES["live_accounting"] = _with(TX, CLEAN) + f"""
+, mid AS (SELECT (min(event_time) + max(event_time)) // 2 AS t FROM tx),
+judged AS (SELECT c.*, seq % 23 = 0 AND event_time < mid.t AS late FROM clean c, mid)
+SELECT seq, 'segment' AS kind, CAST(NULL AS VARCHAR) AS reason,
+       COUNT(*) OVER (PARTITION BY user_id ORDER BY event_time RANGE BETWEEN {C.RFM_WINDOW_MS} PRECEDING AND CURRENT ROW) AS f
+FROM judged WHERE NOT late
+UNION ALL SELECT seq, 'late', 'behind_watermark', NULL FROM judged WHERE late
+UNION ALL SELECT seq, 'reject', {REASONS}, NULL FROM tx WHERE seq % 17 = 0 AND (seq // 17) % 7 < 6"""
+ORACLES["live_expiry"] = _with(TX) + f"""
+SELECT user_id, event_time AS last_ts
+FROM (SELECT *, LEAD(event_time) OVER (PARTITION BY user_id ORDER BY event_time, seq) AS next_ts FROM tx)
+WHERE next_ts - event_time >= {C.RFM_WINDOW_MS}
+   OR (next_ts IS NULL AND event_time + {C.RFM_WINDOW_MS} < (SELECT max(event_time) FROM tx) - {SLICE_MS})"""
+ORACLES["live_current"] = ORACLES["kv_retention"]
+ORACLES["live_batch_metrics"] = _with(TX) + f"""
+, t AS (SELECT *, seq % 17 = 0 AND (seq // 17) % 7 < 6 AS bad, event_time // {SLICE_MS} AS slice FROM tx)
+SELECT slice, COUNT(*) FILTER (NOT bad) AS n_segment, CAST(0 AS BIGINT) AS n_late, COUNT(*) FILTER (bad) AS n_reject,
+       COUNT(*) FILTER (NOT bad AND type = '{C.CREDIT}') AS n_credit,
+       COUNT(*) FILTER (NOT bad AND type = '{C.DEPOSIT}') AS n_deposit,
+       MAX(event_time) FILTER (NOT bad) AS max_time
+FROM t GROUP BY slice"""
+ORACLES["live_unkeyed"] = f"""
+WITH o AS (
+  SELECT CAST(o_custkey AS INTEGER) AS user_id, epoch_us(o_orderdate) // 1000 AS event_time,
+         CAST(7 - o_orderkey % 8 AS INTEGER) AS part, o_orderkey AS seq,
+         CASE WHEN o_orderstatus = 'F' THEN 0 ELSE CAST(round(o_totalprice * 100) AS BIGINT) END AS cents
+  FROM orders),
+p AS (
+  SELECT a.user_id, a.part, a.seq, a.event_time, COUNT(*) AS f, SUM(b.cents) AS cents,
+         MAX(b.event_time) FILTER (b.part <> a.part OR b.seq <> a.seq) AS prev_ts
+  FROM o a JOIN o b
+    ON a.user_id = b.user_id AND b.event_time >= a.event_time - {YEAR_MS}
+   AND (b.event_time, b.part, b.seq) <= (a.event_time, a.part, a.seq)
+  GROUP BY a.user_id, a.part, a.seq, a.event_time)
+SELECT user_id, part AS "partition", seq, event_time, f, CAST(cents AS DOUBLE) / 100.0 AS m,
+       CASE WHEN prev_ts IS NULL OR event_time - prev_ts >= {YEAR_MS} THEN 0.0::DOUBLE
+            ELSE CAST(event_time - prev_ts AS DOUBLE) / 60000.0 END AS r_minutes
+FROM p"""
+ORACLES["state_export"] = _scaled() + f"""
+, last AS (
+  SELECT user_id, event_time AS last_ts, first_ts
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_time DESC, seq DESC) AS rn FROM seg)
+  WHERE rn = 1)
+SELECT s.user_id, s.event_time, s.seq, CAST(round(s."sum" * 100) AS BIGINT) * 100 AS units,
+       lower(s.type) = 'deposit' AS deposit, l.first_ts, l.last_ts
+FROM seg s JOIN last l ON s.user_id = l.user_id WHERE s.event_time >= l.last_ts - {C.RFM_WINDOW_MS}"""

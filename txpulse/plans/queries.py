@@ -196,6 +196,15 @@ def q_stream_restore(spark, sf_dir):
     return replay_restored(spark, events_transactions(spark, sf_dir), SCALED_RULES)
 
 
+def _replay(name: str) -> Query:
+    def query(spark, sf_dir):
+        from txpulse.streaming import replay
+
+        return getattr(replay, name)(spark, sf_dir)
+
+    return query
+
+
 QUERIES: dict[str, Query] = {
     "tx_ingest": q_tx_ingest,
     "tx_rejects": q_tx_rejects,
@@ -222,4 +231,11 @@ QUERIES: dict[str, Query] = {
     "stream_anomaly": q_stream_anomaly,
     "stream_rfm": q_stream_rfm,
     "stream_restore": q_stream_restore,
+    "live_restart": _replay("restart_rows"),
+    "live_accounting": _replay("accounting_rows"),
+    "live_expiry": _replay("expiry_rows"),
+    "live_current": _replay("current_rows"),
+    "live_batch_metrics": _replay("metrics_rows"),
+    "live_unkeyed": _replay("unkeyed_rows"),
+    "state_export": _replay("export_rows"),
 }

@@ -38,6 +38,7 @@ def _parse(df: DataFrame, schema) -> DataFrame:
     return df.select(
         "partition",
         "offset",
+        "timestamp",
         raw.alias("raw"),
         F.inline(F.array(parsed)),
     )
@@ -54,21 +55,25 @@ CLEAN = ("user_id", "type", "sum", "event_time", "seq")
 REJECT = ("partition", "offset", "reason", "malformed", "raw")
 
 
-def judged_transactions(kafka_df: DataFrame) -> DataFrame:
-    """Every record once, parsed, with the ``reason`` why it is rejected (null: clean)."""
+def judged_transactions(kafka_df: DataFrame, max_ahead_ms: int | None = None) -> DataFrame:
+    """Every record once, parsed, with the ``reason`` why it is rejected (null: clean).
+
+    With ``max_ahead_ms`` a time further ahead of the record's own timestamp is
+    a reason too: one such row would move a stream's watermark past all others.
+    """
     p = _parse(kafka_df, TRANSACTION_JSON)
-    fault = amount_fault("sum")
-    reason = _first_failure(
+    missing = _first_failure(
         [
             (F.col("raw").isNull(), "null_value"),
             (F.col("user_id").isNull(), "null_user_id"),
             (F.col("sum").isNull(), "null_sum"),
             (F.col("event_time").isNull(), "null_event_time"),
-            (fault == "sum_out_of_range", "sum_out_of_range"),
-            (fault == "sum_too_fine", "sum_too_fine"),
-            (~F.col("event_time").between(C.MIN_TIME_MS, C.MAX_TIME_MS), "event_time_out_of_range"),
         ]
     )
+    times = [(~F.col("event_time").between(C.MIN_TIME_MS, C.MAX_TIME_MS), "event_time_out_of_range")]
+    if max_ahead_ms is not None:
+        times.append((F.col("event_time") > F.unix_millis("timestamp") + F.lit(max_ahead_ms), "event_time_ahead"))
+    reason = F.coalesce(missing, amount_fault("sum"), _first_failure(times))
     return p.select(
         "user_id", "type", "sum", "event_time", F.col("offset").alias("seq"),
         "partition", "offset", reason.alias("reason"), F.col(CORRUPT_COLUMN).isNotNull().alias("malformed"), "raw",

@@ -8,6 +8,8 @@ timestampType``), batch or streaming.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +82,29 @@ def kafka_stream(
         raise
 
 
+EARLIEST = -2  # Kafka's name for a partition's first offset
+
+
+def kafka_offsets(topic: str, offsets: dict[int, int], partitions: int | None = None) -> str:
+    """``startingOffsets`` for a topic of ``partitions`` partitions; one without an offset starts at its beginning."""
+    if partitions is None:
+        raise ValueError("startingOffsets needs the topic's number of partitions")
+    return json.dumps({topic: {str(p): offsets.get(p, EARLIEST) for p in range(partitions)}})
+
+
+def from_offsets(kafka_df: DataFrame, offsets: dict[int, int]) -> DataFrame:
+    """Records at or after the given offset of their partition; partitions without one are whole.
+
+    For a source that starts by itself at ``startingOffsets`` this keeps all;
+    for any other Kafka-shaped frame it is the same start. ``offsets`` has one
+    entry a source partition.
+    """
+    if not offsets:
+        return kafka_df
+    start = F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair])
+    return kafka_df.where(F.col("offset") >= F.coalesce(F.try_element_at(start, F.col("partition")), F.lit(0)))
+
+
 CONNECTOR_HINT = (
     "the Kafka connector is not on the classpath; add the spark-sql-kafka-0-10 package "
     "matching this Spark and Scala version to spark.jars.packages"
@@ -93,13 +118,15 @@ def raise_if_no_connector(e: Exception) -> None:
 
 
 def transactions_as_kafka(
-    tx: DataFrame, topic: str = INPUT_TOPIC, partitions: int = 8, corrupt: bool = False
+    tx: DataFrame, topic: str = INPUT_TOPIC, partitions: int = 8, corrupt: bool = False, keyed: bool = True
 ) -> DataFrame:
     """Kafka-shaped records carrying transactions as JSON values.
 
     The key is the user id, so one user's records share a partition and
     ``offset`` orders them (``seq`` becomes the offset). With ``corrupt``,
-    every 17th record is damaged as listed in ``CORRUPT_KINDS``.
+    every 17th record is damaged as listed in ``CORRUPT_KINDS``. Without
+    ``keyed`` a user's records are dealt over all partitions, against the order
+    of their offsets.
     """
     u, t, s, e = (F.col(c) for c in ("user_id", "type", "sum", "event_time"))
     valid = F.to_json(F.struct(u.alias("user_id"), t.alias("type"), s.alias("sum"), e.alias("event_time")))
@@ -141,7 +168,9 @@ def transactions_as_kafka(
         u.cast("string").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.pmod(F.hash(u), F.lit(partitions)).cast("int").alias("partition"),
+        (F.pmod(F.hash(u), F.lit(partitions)) if keyed else partitions - 1 - F.pmod("seq", F.lit(partitions)))
+        .cast("int")
+        .alias("partition"),
         F.col("seq").alias("offset"),
         # the record's own time; a producer's clock is not the event's
         F.timestamp_millis(F.when(e.between(C.MIN_TIME_MS, C.MAX_TIME_MS), e)).alias("timestamp"),

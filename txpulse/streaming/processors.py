@@ -1,18 +1,20 @@
 """Keyed stateful processors (T1-T4) for ``transformWithStateInPandas``.
 
-Per user, the state is one ValueState row: the trailing window's entries as
-parallel arrays (event_time, seq, units) - and for RFM also the epoch start
-and last-seen time. One row means one read and one write per user and
-micro-batch, instead of a round trip per list element. Each micro-batch's
-rows for a user are sorted by (event_time, seq) and merged with the buffered
-entries; frame totals come from prefix sums and ``searchsorted`` over the
-merged arrays, so a user's batch costs O(n log n) vectorised work.
+A user's trailing window is kept in time buckets. One head row holds the epoch
+marks, the newest entries and, for each older bucket, its count and sums; the
+older entries themselves are one map row a bucket. A micro-batch reads the head
+and only those buckets in which a frame of its rows begins or a row falls: a
+whole bucket in between counts by its sums. A batch of a user with a million
+entries so touches a few per cent of them, and a small user is one head row.
+
+Each micro-batch's rows for a user are sorted by (event_time, partition, seq)
+and merged with the entries; frame totals come from prefix sums and
+``searchsorted``, so a batch costs O(n log n) vectorised work.
 
 Semantics equal the batch operators: a row sees the entries before it in
-(event_time, seq) order that are within the window. Entries are dropped once
-they are older than ``min(newest, watermark) - window``: no row the watermark
-still admits can reach them. In EventTime mode a timer clears an idle user's
-state.
+that order that are within the window. Entries are dropped once they are
+older than ``min(newest, watermark) - window``: no row the watermark still
+admits can reach them. In EventTime mode a timer clears an idle user's state.
 """
 
 from __future__ import annotations
@@ -38,13 +40,23 @@ log = logging.getLogger("txpulse.state")
 # a user whose trailing window holds more entries than this is logged (hot key)
 WARN_ENTRIES = 1_000_000
 
+# buckets a window is cut into, and entries that a head row holds before its
+# older buckets move to the map (a bucket is never split)
+BUCKETS = 64
+HEAD_ENTRIES = 1024
+
+ENTRIES = "ts array<long>, part array<int>, seq array<long>, units array<long>, deposit array<boolean>"
 # timer_at: the expiry timer currently armed (EventTime mode), so moving it
 # costs one delete and one register, not a listing of the key's timers
-ANOMALY_STATE = "ts array<long>, seq array<long>, units array<long>, timer_at long"
-RFM_STATE = "first_ts long, last_ts long, ts array<long>, seq array<long>, dep_units array<long>, timer_at long"
+HEAD_STATE = (
+    f"{ENTRIES}, b_id array<long>, b_n array<long>, b_last array<long>, b_units array<long>, b_deposits array<long>, "
+    "first_ts long, last_ts long, timer_at long"
+)
+_KINDS = ("int64", "int32", "int64", "int64", "bool")
+_NO_HEAD = ((),) * 10 + (None, None, None)
 
 # Columns of the initial-state frame for the RFM processor (snapshot rows).
-RFM_SEED = "user_id int, is_header boolean, event_time long, seq long, sum double, type string, first_ts long"
+RFM_SEED = "user_id int, is_header boolean, event_time long, seq long, sum double, type string, first_ts long, partition int"
 
 
 def _units(x: np.ndarray) -> np.ndarray:
@@ -61,39 +73,44 @@ def _is_type(types, name: str) -> np.ndarray:
 
 
 class _Rows:
-    """A user's rows of one micro-batch as numpy arrays, sorted by (event_time, seq).
+    """A user's rows of one micro-batch as numpy arrays, sorted by (event_time, partition, seq).
 
     Per-user groups are small; plain arrays avoid pandas' per-call overhead.
     """
 
-    __slots__ = ("user_id", "ts", "seq", "sum", "type", "n")
+    __slots__ = ("user_id", "ts", "part", "seq", "sum", "type", "n")
 
     def __init__(self, frames: Iterator[pd.DataFrame]):
         frames = list(frames)
         df = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        ts = df["event_time"].to_numpy("int64")
-        seq = df["seq"].to_numpy("int64")
-        order = np.lexsort((seq, ts))
-        self.ts, self.seq = ts[order], seq[order]
-        self.sum = df["sum"].to_numpy("float64")[order]
-        self.type = df["type"].to_numpy(dtype=object)[order]
-        self.user_id = df["user_id"].to_numpy()[order].astype("int32")
-        self.n = len(ts)
-
-
-def _merge(old_ts, old_seq, old_val, new_ts, new_seq, new_vals):
-    """Buffered entries + new rows sorted by (ts, seq); returns arrays and new positions."""
-    ts = np.concatenate([np.asarray(old_ts, dtype="int64"), new_ts])
-    seq = np.concatenate([np.asarray(old_seq, dtype="int64"), new_seq])
-    val = np.concatenate([np.asarray(old_val, dtype="int64"), new_vals])
-    is_new = np.concatenate([np.zeros(len(old_ts), bool), np.ones(len(new_ts), bool)])
-    order = np.lexsort((seq, ts))
-    return ts[order], seq[order], val[order], np.flatnonzero(is_new[order])
-
+        part = df["partition"].to_numpy("int32") if "partition" in df else np.zeros(len(df), "int32")
+        self.ts, self.part, self.seq = df["event_time"].to_numpy("int64"), part, df["seq"].to_numpy("int64")
+        self.sum = df["sum"].to_numpy("float64")
+        self.type = df["type"].to_numpy(dtype=object)
+        self.user_id = df["user_id"].to_numpy().astype("int32")
+        self.take(np.lexsort((self.seq, self.part, self.ts)))
+
+    def take(self, index: np.ndarray) -> None:
+        for name in ("user_id", "ts", "part", "seq", "sum", "type"):
+            setattr(self, name, getattr(self, name)[index])
+        self.n = len(self.ts)
+
+    def split_late(self, watermark: int | None) -> pd.DataFrame | None:
+        """Takes out the rows at or behind the watermark, if any."""
+        if watermark is None or watermark <= 0 or self.n == 0 or self.ts[0] > watermark:
+            return None
+        late = self.ts <= watermark
+        out = pd.DataFrame(
+            {
+                "user_id": self.user_id[late], "partition": self.part[late], "seq": self.seq[late], "type": self.type[late],
+                "sum": self.sum[late], "event_time": self.ts[late], "reason": "behind_watermark",
+            }
+        )
+        self.take(~late)
+        return out
 
-def _tail(ts, seq, val, horizon):
-    keep = ts >= horizon
-    return ts[keep].tolist(), seq[keep].tolist(), val[keep].tolist()
+    def entries(self) -> tuple[np.ndarray, ...]:
+        return self.ts, self.part, self.seq, _units(self.sum), _is_type(self.type, C.DEPOSIT)
 
 
 class _BufferWatch:
@@ -110,27 +127,143 @@ class _BufferWatch:
                 self.next_warn *= 10
 
 
-def _horizon(newest: int, window_ms: int, timer_values) -> int:
-    """Oldest entry time to keep: ``newest - W``, or ``watermark - W`` when a
-    watermark lags behind, so a late row the watermark still admits sees its
-    whole window (entries older than that can be in no admitted row's frame)."""
-    wm = timer_values.getCurrentWatermarkInMs() if timer_values is not None else -1
-    return (min(newest, wm) if wm is not None and wm >= 0 else newest) - window_ms
+def _prefix(v: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(v, dtype="int64")])
 
 
-def _move_timer(handle, old: int | None, new: int) -> int:
-    if old != new:
-        if old is not None:
-            handle.deleteTimer(old)
-        handle.registerTimer(new)
-    return new
+class _Frames:
+    """Stored entries, whole buckets as one entry each, and new rows in one order; totals before each new row."""
 
+    def __init__(self, entries, whole, is_new: np.ndarray):
+        ts, part, seq, units, deposit = entries
+        b_ts, b_n, b_last, b_units, b_deposits = whole
+        k = len(b_ts)
+        at = np.concatenate([b_ts, ts])
+        order = np.lexsort((np.concatenate([np.zeros(k, "int64"), seq]), np.concatenate([np.full(k, -1, "int32"), part]), at))
+        self.ts = at[order]
+        self.last = np.concatenate([b_last, ts])[order]
+        self.pos = np.flatnonzero(np.concatenate([np.zeros(k, bool), is_new])[order])
+        self.count = _prefix(np.concatenate([b_n, np.ones(len(ts), "int64")])[order])
+        self.units = _prefix(np.concatenate([b_units, units])[order])
+        self.deposits = _prefix(np.concatenate([b_deposits, np.where(deposit, units, 0)])[order])
 
-def _prefix(v: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(v, dtype="int64")])
+    def before(self, name: str, window_ms: int) -> np.ndarray:
+        total = getattr(self, name)
+        return total[self.pos] - total[np.searchsorted(self.ts, self.ts[self.pos] - window_ms, side="left")]
+
+    def own(self, name: str) -> np.ndarray:
+        total = getattr(self, name)
+        return total[self.pos + 1] - total[self.pos]
+
+
+class WindowProcessor(StatefulProcessor):
+    """A user's bucketed trailing window, epoch marks and expiry timer; subclasses judge the rows."""
+
+    #: Longest window, other windows asked for, and idle time after which the state goes.
+    window_ms: int
+    windows: tuple[int, ...] = ()
+    idle_ms: int
 
+    def __init__(self, name: str, timers: bool, ttl_ms: int | None):
+        self.name = name
+        self.timers = timers
+        self.ttl_ms = ttl_ms  # ProcessingTime mode: idle expiry by wall clock, like the reference
+        self.watch = _BufferWatch(name)
 
-class AnomalyProcessor(StatefulProcessor):
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("head", HEAD_STATE, self.ttl_ms)
+        self.buckets = handle.getMapState("buckets", "bucket long", ENTRIES, self.ttl_ms)
+
+    @property
+    def width(self) -> int:
+        return max(1, self.window_ms // BUCKETS)
+
+    def _watermark(self, timer_values) -> int | None:
+        # the watermark exists only in EventTime mode (the mode that sets timers)
+        return timer_values.getCurrentWatermarkInMs() if self.timers and timer_values is not None else None
+
+    def _merge(self, rows: _Rows) -> _Frames:
+        """Reads what the rows' frames need; keeps it for ``_store``."""
+        head = self.state.get() or _NO_HEAD
+        self.first, self.last, self.timer_at = head[10:]
+        stored = [np.asarray(x, "int64") for x in head[5:10]]
+        loaded: dict[int, tuple[np.ndarray, ...]] = {}
+        if len(stored[0]):
+            asked = [rows.ts // self.width] + [(rows.ts - w) // self.width for w in (self.window_ms, *self.windows)]
+            for b in np.intersect1d(np.concatenate(asked), stored[0]).tolist():
+                loaded[b] = self._arrays(self.buckets.getValue((b,)))
+        out = ~np.isin(stored[0], list(loaded)) if loaded else np.ones(len(stored[0]), bool)
+        new = rows.entries()
+        parts = [self._arrays(head[:5]), *loaded.values(), new]
+        entries = tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+        is_new = np.zeros(len(entries[0]), bool)
+        is_new[len(is_new) - rows.n :] = True
+        self._held, self._is_new, self._stored, self._loaded = entries, is_new, stored, loaded
+        return _Frames(entries, [stored[0][out] * self.width, *(x[out] for x in stored[1:])], is_new)
+
+    @staticmethod
+    def _arrays(lists) -> tuple[np.ndarray, ...]:
+        return tuple(np.asarray(x, dtype=k) for x, k in zip(lists, _KINDS, strict=True))
+
+    def _store(self, key, newest: int, watermark: int | None) -> None:
+        """Writes the head, the buckets that gained rows or filled up, and removes those behind the horizon.
+
+        The horizon is ``newest - W``, or ``watermark - W`` when a watermark
+        lags behind, so a late row the watermark still admits sees its whole
+        window (entries older than that can be in no admitted row's frame).
+        """
+        horizon = (min(newest, watermark) if watermark is not None and watermark >= 0 else newest) - self.window_ms
+        stored = {b: row for b, *row in zip(*(x.tolist() for x in self._stored), strict=True)}
+        for b in [b for b, (_, last, *_) in stored.items() if last < horizon]:
+            self.buckets.removeKey((b,))
+            del stored[b]
+        bucket = self._held[0] // self.width
+        kept = self._held[0] >= horizon
+        if stored:
+            known = np.isin(bucket, list(stored))
+            for b in np.unique(bucket[known & self._is_new]).tolist():
+                stored[b] = self._write(b, bucket == b)
+            kept &= ~known
+        if kept.sum() > HEAD_ENTRIES:
+            newest_bucket = bucket[kept].max()
+            for b in np.unique(bucket[kept & (bucket < newest_bucket)]).tolist():
+                stored[b] = self._write(b, kept & (bucket == b))
+            kept &= bucket == newest_bucket
+        order = np.lexsort((self._held[2][kept], self._held[1][kept], self._held[0][kept]))
+        ids = sorted(stored)
+        summary = [ids, *([stored[b][i] for b in ids] for i in range(4))]
+        self.watch.check(key, int(kept.sum()) + sum(summary[1]))
+        if self.timers:
+            self.timer_at = self._move_timer(self.last + self.idle_ms)
+        self.state.update((*(x[kept][order].tolist() for x in self._held), *summary, self.first, self.last, self.timer_at))
+
+    def _write(self, b: int, rows: np.ndarray) -> tuple[int, int, int, int]:
+        ts, part, seq, units, deposit = (x[rows] for x in self._held)
+        order = np.lexsort((seq, part, ts))
+        self.buckets.updateValue((b,), tuple(x[order].tolist() for x in (ts, part, seq, units, deposit)))
+        return len(ts), int(ts.max()), int(units.sum()), int(units[deposit].sum())
+
+    def _move_timer(self, new: int) -> int:
+        if self.timer_at != new:
+            if self.timer_at is not None:
+                self.handle.deleteTimer(self.timer_at)
+            self.handle.registerTimer(new)
+        return new
+
+    def _clear(self) -> None:
+        self.state.clear()
+        self.buckets.clear()
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
+        self._clear()  # nothing is emitted
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+class AnomalyProcessor(WindowProcessor):
     """Alerts: Credit with sum >= factor * mean of the prior window (all types)."""
 
     def __init__(
@@ -140,158 +273,175 @@ class AnomalyProcessor(StatefulProcessor):
         timers: bool = False,
         ttl_ms: int | None = None,
     ):
+        super().__init__("anomaly", timers, ttl_ms)
         self.window_ms = window_ms
+        self.idle_ms = window_ms + 1
         self.factor = factor
-        self.timers = timers
-        self.ttl_ms = ttl_ms  # ProcessingTime mode: idle expiry by wall clock, like the reference
-        self.message = alert_message(factor)
-        self.watch = _BufferWatch("anomaly")
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("window", ANOMALY_STATE, self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         b = _Rows(rows)
-        units = _units(b.sum)
-        old = self.state.get() or ([], [], [], None)
-        ts, seq, val, pos = _merge(old[0], old[1], old[2], b.ts, b.seq, units)
-        csum = _prefix(val)
-        lo = np.searchsorted(ts, ts[pos] - self.window_ms, side="left")
-        n = pos - lo
-        total = csum[pos] - csum[lo]
-        hit = _is_type(b.type, C.CREDIT) & (n > 0) & (total > 0) & (units * n >= self.factor * total)
-        self._keep(ts, seq, val, timerValues, old[3])
-        self.watch.check(key, len(ts))
-        if hit.any():
-            yield pd.DataFrame(
-                {
-                    "user_id": b.user_id[hit],
-                    "event_time": b.ts[hit],
-                    "seq": b.seq[hit],
-                    "type": b.type[hit],
-                    "sum": b.sum[hit],
-                    "avg_check_5min": total[hit] / (n[hit] * C.UNITS).astype("float64"),
-                    "message": self.message,
-                }
-            )
-
-    def _keep(self, ts, seq, val, timer_values, timer_at) -> None:
-        newest = int(ts[-1])
-        if self.timers:
-            timer_at = _move_timer(self.handle, timer_at, newest + self.window_ms + 1)
-        # the watermark exists only in EventTime mode (the mode that sets timers)
-        tv = timer_values if self.timers else None
-        self.state.update((*_tail(ts, seq, val, _horizon(newest, self.window_ms, tv)), timer_at))
+        frames = self._merge(b)
+        newest = int(frames.last[-1])
+        self.last = newest
+        self._store(key, newest, self._watermark(timerValues))
+        yield from _alerts(b, frames, self.window_ms, self.factor)
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        self.state.clear()
-        return iter([])
 
-    def close(self) -> None:
-        pass
+def _alerts(b: _Rows, frames: _Frames, window_ms: int, factor: float) -> Iterator[pd.DataFrame]:
+    n, total = frames.before("count", window_ms), frames.before("units", window_ms)
+    hit = _is_type(b.type, C.CREDIT) & (n > 0) & (total > 0) & (frames.own("units") * n >= factor * total)
+    if hit.any():
+        yield pd.DataFrame(
+            {
+                "user_id": b.user_id[hit],
+                "event_time": b.ts[hit],
+                "seq": b.seq[hit],
+                "type": b.type[hit],
+                "sum": b.sum[hit],
+                "avg_check_5min": total[hit] / (n[hit] * C.UNITS).astype("float64"),
+                "message": alert_message(factor),
+            }
+        )
 
 
-class RfmProcessor(StatefulProcessor):
+class RfmProcessor(WindowProcessor):
     """One segment event per transaction; state = window entries + epoch marks."""
 
     def __init__(self, rules: RfmRules = RfmRules(), timers: bool = False, ttl_ms: int | None = None):
+        super().__init__("rfm", timers, ttl_ms)
         self.rules = rules
-        self.timers = timers
-        self.ttl_ms = ttl_ms  # ProcessingTime mode: idle expiry by wall clock, like the reference
-        self.watch = _BufferWatch("rfm")
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("rfm", RFM_STATE, self.ttl_ms)
+        self.window_ms = rules.window_ms
+        self.idle_ms = rules.retention_ms
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
-        first, last, o_ts, o_seq, o_dep, timer_at = self.state.get() or (None, None, [], [], [], None)
         heads = initialState[initialState["is_header"]]
-        ents = initialState[~initialState["is_header"]].sort_values(["event_time", "seq"])
+        ents = initialState[~initialState["is_header"]]
+        self._merge(_Rows(iter([ents])))
         if len(heads):
             h = heads.iloc[-1]
-            first, last = int(h["first_ts"]), int(h["event_time"])
-        dep = np.where(_is_type(ents["type"].to_numpy(dtype=object), C.DEPOSIT), _units(ents["sum"].to_numpy()), 0)
-        if self.timers and last is not None:
-            # a restored user expires like any other after a full retention idle
-            timer_at = _move_timer(self.handle, timer_at, int(last) + self.rules.retention_ms)
-        self.state.update(
-            (
-                first,
-                last,
-                list(o_ts) + ents["event_time"].astype("int64").tolist(),
-                list(o_seq) + ents["seq"].astype("int64").tolist(),
-                list(o_dep) + dep.astype("int64").tolist(),
-                timer_at,
-            )
-        )
+            self.first, self.last = int(h["first_ts"]), int(h["event_time"])
+        if self.last is None:  # entries without a header: no epoch to go on with
+            return
+        # a restored user expires like any other after a full retention idle
+        self._store(key, self.last, None)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        r = self.rules
         b = _Rows(rows)
-        new_ts = b.ts
-        dep = np.where(_is_type(b.type, C.DEPOSIT), _units(b.sum), 0).astype("int64")
-        first0, last0, o_ts, o_seq, o_dep, timer_at = self.state.get() or (None, None, [], [], [], None)
-        ts, seq, val, pos = _merge(o_ts, o_seq, o_dep, new_ts, b.seq, dep)
-        csum = _prefix(val)
-        lo = np.searchsorted(ts, ts[pos] - r.window_ms, side="left")
-        f = pos - lo + 1
-        m_units = csum[pos + 1] - csum[lo]
+        frames = self._merge(b)
+        judged = self._judge(b, frames)
+        self._store(key, int(frames.last[-1]), self._watermark(timerValues))
+        yield judged[["user_id", "seq", "segment", "r_minutes", "f", "m", "updated_at"]]
+
+    def _judge(self, b: _Rows, frames: _Frames) -> pd.DataFrame:
+        """Every row's values; moves the epoch marks on. ``ended``: the epoch that the row closes, by its last time."""
+        r, new_ts, pos = self.rules, b.ts, frames.pos
+        first0, last0 = self.first, self.last
+        f = frames.before("count", r.window_ms) + 1
+        deposits = frames.before("deposits", r.window_ms) + frames.own("deposits")
 
         # previous transaction: the one before in merged order, else the stored last
         # unless that one is later (a late row); a late row inside the stored
         # epoch belongs to it
         stored = last0 is not None
-        prev = ts[np.maximum(pos - 1, 0)]
+        prev = frames.last[np.maximum(pos - 1, 0)]
         if stored:
             prev = np.where(pos == 0, np.minimum(last0, new_ts), prev)
-        has_prev = (pos > 0) | (np.full(len(new_ts), stored) & (new_ts >= (last0 if stored else 0)))
+        has_prev = (pos > 0) | (np.full(b.n, stored) & (new_ts >= (last0 if stored else 0)))
         gap = np.where(has_prev, new_ts - prev, 0)
-        inside = np.full(len(new_ts), stored and first0 is not None) & (new_ts >= (first0 or 0)) & (pos == 0)
+        inside = np.full(b.n, stored and first0 is not None) & (new_ts >= (first0 or 0)) & (pos == 0)
         starts = np.where(has_prev, gap >= r.retention_ms, ~inside)
         # first_ts: the latest epoch start at or before each row, else the stored one
-        idx = np.maximum.accumulate(np.where(starts, np.arange(len(new_ts)), -1))
+        idx = np.maximum.accumulate(np.where(starts, np.arange(b.n), -1))
         first = np.where(idx >= 0, new_ts[np.maximum(idx, 0)], first0 if first0 is not None else 0)
 
-        r_minutes = np.where(starts, 0.0, gap / 60000.0) if r.recency == "gap" else np.zeros(len(new_ts))
-        tenure = new_ts - first
+        r_minutes = np.where(starts, 0.0, gap / 60000.0) if r.recency == "gap" else np.zeros(b.n)
         segment = np.select(
             [
-                tenure < r.newcomer_ms,
-                (m_units > r.vip_min_m * C.UNITS) & (f > r.vip_min_f),
-                (m_units > r.active_min_m * C.UNITS) & (f > r.active_min_f),
+                new_ts - first < r.newcomer_ms,
+                (deposits > r.vip_min_m * C.UNITS) & (f > r.vip_min_f),
+                (deposits > r.active_min_m * C.UNITS) & (f > r.active_min_f),
                 r_minutes > r.sleeping_min_r_minutes,
             ],
             [C.SEGMENT_NEWCOMER, C.SEGMENT_VIP, C.SEGMENT_ACTIVE, C.SEGMENT_SLEEPING],
             default=C.SEGMENT_STANDARD,
         )
-
-        newest = int(ts[-1])
-        last = newest if last0 is None else max(newest, last0)
-        self.watch.check(key, len(ts))
-        tv = timerValues if self.timers else None  # a watermark exists in EventTime mode only
-        if self.timers:
-            timer_at = _move_timer(self.handle, timer_at, last + r.retention_ms)
-        kept = _tail(ts, seq, val, _horizon(newest, r.window_ms, tv))
-        self.state.update((int(first[-1]), last, *kept, timer_at))
-
-        yield pd.DataFrame(
+        newest = int(frames.last[-1])
+        self.first, self.last = int(first[-1]), newest if last0 is None else max(newest, last0)
+        return pd.DataFrame(
             {
                 "user_id": b.user_id,
                 "seq": b.seq,
                 "segment": segment,
                 "r_minutes": r_minutes.astype("float64"),
                 "f": f.astype("int64"),
-                "m": m_units / float(C.UNITS),
+                "m": deposits / float(C.UNITS),
                 "updated_at": new_ts,
+                "first_ts": first.astype("int64"),
+                "ended": np.where(starts & has_prev, prev, -(2**63)),
             }
         )
 
+
+class LiveProcessor(RfmProcessor):
+    """Alerts, segments, late rows and expiries of a user from one window (LIVE schema).
+
+    ``segment``: one row per transaction with its own values; ``alert``: one
+    more for each that is an anomaly; ``late``: a transaction at or behind the
+    watermark, which no state can judge any more; ``expired``: the end of an
+    activity epoch, when a timer fires or a transaction opens the next one.
+    Each record so leaves exactly one ``segment`` or ``late`` row.
+    """
+
+    def __init__(
+        self,
+        rules: RfmRules = RfmRules(),
+        anomaly_window_ms: int = C.ANOMALY_WINDOW_MS,
+        factor: float = C.ANOMALY_FACTOR,
+        timers: bool = True,
+    ):
+        if anomaly_window_ms > rules.window_ms:
+            raise ValueError("the anomaly window must lie within the segment window")
+        super().__init__(rules, timers)
+        self.name = "live"
+        self.windows = (anomaly_window_ms,)
+        self.factor = factor
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        b = _Rows(rows)
+        watermark = self._watermark(timerValues)
+        late = b.split_late(watermark)
+        if late is not None:
+            yield _live(late, "late")
+        if not b.n:
+            return
+        frames = self._merge(b)
+        judged = self._judge(b, frames)
+        self._store(key, int(frames.last[-1]), watermark)
+        own = {"partition": b.part, "type": b.type, "sum": b.sum}
+        yield _live(judged.rename(columns={"updated_at": "event_time"}).assign(**own), "segment")
+        for alerts in _alerts(b, frames, self.windows[0], self.factor):
+            yield _live(alerts, "alert")
+        ended = judged["ended"].to_numpy()
+        ended = ended[ended != -(2**63)]
+        if len(ended):
+            yield _live(pd.DataFrame({"user_id": b.user_id[: len(ended)], "event_time": ended}), "expired")
+
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        # idle for the whole retention: the epoch ends, nothing is emitted
-        self.state.clear()
-        return iter([])
+        head = self.state.get()
+        self._clear()
+        if head is not None:
+            yield _live(pd.DataFrame({"user_id": np.array([key[0]], "int32"), "event_time": [head[11]]}), "expired")
 
-    def close(self) -> None:
-        pass
+
+LIVE = {
+    "kind": "string", "user_id": "int", "partition": "int", "seq": "long", "type": "string", "sum": "double",
+    "event_time": "long", "avg_check_5min": "double", "message": "string", "segment": "string", "r_minutes": "double",
+    "f": "long", "m": "double", "first_ts": "long", "reason": "string",
+}
+
+
+def _live(rows: pd.DataFrame, kind: str) -> pd.DataFrame:
+    """Rows with all columns of LIVE, missing ones null."""
+    nothing = np.full(len(rows), None, dtype=object)
+    columns = {c: rows[c].to_numpy(dtype=object) if c in rows else nothing for c in LIVE}
+    return pd.DataFrame(columns | {"kind": np.full(len(rows), kind, dtype=object)}, dtype=object)

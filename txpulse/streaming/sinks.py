@@ -28,7 +28,10 @@ Writer = Callable[[DataFrame, int], None]
 
 
 class BatchFanout:
-    """Persist once, observe counts, run each writer; bounded logging only."""
+    """Persist once, observe counts, run each writer; bounded logging only.
+
+    An empty batch (a trigger that only moves the watermark or timers) reaches no writer.
+    """
 
     def __init__(self, writers: list[Writer], name: str = "batch", sample_rows: int = 0, per_key: bool = False):
         self.writers = list(writers)
@@ -49,6 +52,8 @@ class BatchFanout:
             self.last_metrics = {"batch_id": batch_id, **obs.get}
             self.history.append(self.last_metrics)
             log.info("%s batch %s: %s", self.name, batch_id, self.last_metrics)
+            if not self.last_metrics["rows"]:
+                return
             if self.sample_rows:
                 for row in batch.limit(self.sample_rows).collect():  # bounded sample
                     log.info("%s: %s", self.name, row.asDict())
