@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 from itertools import combinations
 
 import numpy as np
@@ -222,6 +223,61 @@ def test_article_mark_does_not_decide_the_region():
     assert html_extract.main_text(f"<body>{body}{cards}</body>", weights).startswith(want)
 
 
+TAG_WEIGHTS = {"": 0.9, "p": -0.05, "div": -10.0, "li": -12.0, "a": -0.05, "ul": -10.0, "h1": -0.05, "article": -1.8}
+
+
+@pytest.mark.parametrize("page", [
+    '<article class="post share-enabled">{}</article>', '<main class="no-sidebar has-comments">{}</main>',
+    '<div class="content social-science">{}</div>', '<div id="page-header-wrapper">{}</div>', '<form id="aspnetForm">{}</form>',
+    "<article>{}</article>", '<form id="f"><header>Site</header><div class="main-nav">Menu</div>{}</form><footer>x</footer>',
+])
+def test_a_name_or_form_does_not_empty_the_page(page):
+    text = " ".join(f"word{i}" for i in range(240))
+    head = "<header><h1>The title</h1></header>" if "<article>" in page else "<h1>The title</h1>"
+    assert html_extract.main_text(f"<html><body>{page.format(f'{head}<p>{text}</p>')}</body></html>", TAG_WEIGHTS) == f"The title\n\n{text}"
+
+
+def test_long_comments_and_site_parts_go():
+    text, talk = " ".join(f"word{i}" for i in range(60)), "I disagree with all of it. " * 100
+    for box in ('<section id="comments">{}</section>', '<div class="comment-list box">{}</div>', '<div class="site-footer">{}</div>', '<div role="complementary">{}</div>'):
+        page = f"<body><article><h1>T</h1><p>{text}</p>{box.format(f'<p>{talk}</p>')}</article>{box.format(f'<p>{talk}</p>')}</body>"
+        assert html_extract.main_text(page, TAG_WEIGHTS) == f"T\n\n{text}"
+
+
+def test_labelled_pages_clear_a_name(spark):
+    page = '<body><article><h1>T</h1><div class="alert">Part of the text</div></article><div class="share">x</div></body>'
+    weights = html_extract.learn_weights(spark.createDataFrame([(i, page) for i in range(40)], "page_id long, html string"))
+    assert weights[".alert"] < 0 < weights[".share"]
+    assert html_extract.main_text(page, weights) == "T\n\nPart of the text"
+
+
+def test_region_is_the_best_of_all_intervals():
+    rng = random.Random(4)
+    for _ in range(300):
+        gains = [rng.choice([-3, -1, -0.5, 0, 0.5, 1, 2]) for _ in range(rng.randrange(0, 25))]
+        a, b = html_extract.best_region(gains)
+        every = [sum(gains[i:j]) for i in range(len(gains)) for j in range(i, len(gains) + 1)]
+        assert sum(gains[a:b]) == max(every, default=0)
+    names = ["p", "div", "li", "a", "nav", "article", "b", "form", "header", "br"]
+    for _ in range(100):
+        page = "".join(rng.choice([f"<{rng.choice(names)}>", f"</{rng.choice(names)}>", "some words ", "word", '<div class="ad">']) for _ in range(30))
+        found = html_extract.tokens(page, TAG_WEIGHTS)
+        gains = html_extract.scores(found, TAG_WEIGHTS)
+        a, b = html_extract.best_region(gains)
+        every = max([sum(gains[i:j]) for i in range(len(gains)) for j in range(i, len(gains) + 1)])
+        assert abs(sum(gains[a:b]) - every) < 1e-6
+
+
+def test_nested_tags_take_time_in_proportion():
+    def took(n):
+        began = time.perf_counter()
+        html_extract.main_text("<div><b>" * n + "text" + "</i></u>" * n + "</div>" * n, TAG_WEIGHTS)
+        return time.perf_counter() - began
+
+    took(100)
+    assert took(40_000) < 12 * took(8_000) and took(40_000) < 5
+
+
 def test_rules_and_host(spark):
     cases = [
         ("https://WWW.Example.ORG/es/x?y#z", "www.example.org", "/es/x", "example.org/es/", "block"),
