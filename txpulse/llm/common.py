@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -23,24 +25,63 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders of the scopes that are open, innermost last.
+_scopes: list[list[str]] = []
+
+
 def temporary(spark: SparkSession, name: str) -> str:
-    """A new folder's path under the shared one; Spark removes the folder when the application ends."""
+    """A new folder's path under the shared one; removed with its scope, or when the application ends."""
     path = scratch_path(spark, f"llm-{name}")
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    if _scopes:
+        _scopes[-1].append(path)
     return path
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts the lineage and has a known size.
 
-    Spark removes the folder when the application ends.
+    The table goes with the scope that it is written in, or when the
+    application ends.
     """
     path = temporary(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the tables written within when it ends; what is read later must be written after it or ``kept``.
+
+    The driver's garbage is collected too, so that Spark removes the shuffle
+    files of the jobs that are done.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+        gc.collect()
+        spark._jvm.System.gc()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table of the scope outside the present one."""
+    inner = _scopes.pop() if _scopes else None
+    try:
+        return written(df, name)
+    finally:
+        if inner is not None:
+            _scopes.append(inner)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have."""
     taken = {c.lower() for c in df.columns}

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txpulse.llm.common import WS, fresh, slices, written
+from txpulse.llm.common import WS, fresh, kept, scope, slices, written
 from txpulse.llm.tokens import SPACED, text_bytes
 
 #: Two independent (modulus, base) pairs; a fingerprint is both remainders, 62 bits.
@@ -125,8 +125,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     The smallest id of a class stays; a null id stays only if the class has no
     other. Rows that repeat both id and text are one document more each, and
-    exactly one of them is kept. Extra columns are not read. An empty table
-    gives no rows.
+    exactly one of them is kept. Very long texts are hashed and compared whole,
+    chunk by chunk. Extra columns are not read, whatever their names. An empty
+    table gives no rows.
     """
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = src.schema["id"].dataType.simpleString()
@@ -165,9 +166,10 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     repeat id and text become one row (of differing other columns, an
     arbitrary row stays).
     """
-    groups = exact_groups(docs.select(id_col, text_col), id_col, text_col).where(~F.col("kept"))
     first = F.col(id_col).eqNullSafe(F.col("keep_id"))
-    groups = written(groups.select(F.col(id_col).alias("id"), F.col("text_sha256").alias("sha"), first.alias("first")), "going")
+    with scope(docs.sparkSession):
+        groups = exact_groups(docs.select(id_col, text_col), id_col, text_col).where(~F.col("kept"))
+        groups = kept(groups.select(F.col(id_col).alias("id"), F.col("text_sha256").alias("sha"), first.alias("first")), "going")
     sha, gone = fresh(docs, "sha"), fresh(docs, "gone")
     body = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), WS, " ")
     going = groups.where("not first").select(F.col("id").alias(gone), F.col("sha").alias(f"{gone}_sha")).distinct()

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txpulse.llm.common import fresh, slices, written
+from txpulse.llm.common import fresh, kept, scope, slices, written
 from txpulse.llm.graph import components
 from txpulse.llm.tokens import mix, shingle_sets, weighed_shingles, words
 
@@ -308,14 +308,17 @@ def jaccard_components(
        parity sketches, then the T-occurrence search over the whole sets, leave
        the links, and these the components.
     4. In lists that more than one component is in, the class with most links
-       so far is the next query; then all pairs of different components are
-       candidates. So every pair that can link and is not joined already is
-       decided, and no pair within a component is made.
+       so far is the next query. Then lists with the same such class are taken
+       together, so that they make each pair once, and their pairs of
+       different components that sizes and sketches leave are candidates. So
+       every pair that can link and is not joined already is decided, and no
+       pair within a component is made.
 
     Null and empty texts, and texts without words, have no shingles and are
     alone. A null id counts only if its component has no other. Rows that
-    repeat id and text are one class, and each stays a row. An empty table
-    gives no rows.
+    repeat id and text are one class, and each stays a row. Very long texts are
+    read whole, one at a time. Other columns are not read, whatever their names.
+    An empty table gives no rows.
     """
     out = _components(docs, k, num, den, id_col, text_col)
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
@@ -323,6 +326,11 @@ def jaccard_components(
 
 def _components(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     """(id, n, cid, component_id), as ``jaccard_components`` and with the class of the document's set."""
+    with scope(docs.sparkSession):
+        return kept(_found(docs, k, num, den, id_col, text_col), "components")
+
+
+def _found(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = src.schema["id"].dataType.simpleString()
@@ -354,19 +362,29 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_c
 
     def links(pairs: DataFrame, name: str) -> DataFrame | None:
         """The pairs that link; None if sizes and sketches leave none."""
-        possible = written(marked(marked(pairs, "u"), "v").where(_alike(num, den)).select("u", "v"), f"{name}-pairs")
-        if possible.isEmpty():
-            return None
-        return written(_links(src, possible, k, num, den), f"{name}-links")
+        with scope(spark):
+            possible = written(marked(marked(pairs, "u"), "v").where(_alike(num, den)).select("u", "v"), f"{name}-pairs")
+            return None if possible.isEmpty() else kept(_links(src, possible, k, num, den), f"{name}-links")
 
     def mixed(roots: DataFrame) -> DataFrame:
         """(key, cid, n, root, main): the lists, without their first class, that more than one component is in."""
-        named = shared.select("key", "cid", "n").join(roots.withColumnRenamed("u", "cid"), "cid", "left")
-        named = written(named.select("key", "cid", "n", F.coalesce("root", "cid").alias("root")), "named")
-        per = named.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key").agg(
-            F.count("*").alias("roots"), F.max_by("root", "m").alias("main")
+        with scope(spark):
+            named = shared.select("key", "cid", "n").join(roots.withColumnRenamed("u", "cid"), "cid", "left")
+            named = written(named.select("key", "cid", "n", F.coalesce("root", "cid").alias("root")), "named")
+            per = named.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key").agg(
+                F.count("*").alias("roots"), F.max_by("root", "m").alias("main")
+            )
+            return kept(named.join(per.where("roots > 1").select("key", "main"), "key"), "mixed")
+
+    def with_hub() -> DataFrame:
+        """The lists, each with the class that has most links so far: hub, n_hub, root_hub, links."""
+        degree = found.select("u").union(found.select("v")).groupBy(F.col("u").alias("cid")).agg(F.count("*").alias("links"))
+        ranked = lists.join(degree, "cid", "left").withColumn("links", F.coalesce("links", F.lit(0)))
+        hub = ranked.groupBy("key").agg(
+            F.max_by(F.struct("cid", "n", "root"), F.struct("links", "cid")).alias("h"), F.max("links").alias("links")
         )
-        return written(named.join(per.where("roots > 1").select("key", "main"), "key"), "mixed")
+        hub = hub.select("key", "links", F.col("h.cid").alias("hub"), F.col("h.n").alias("n_hub"), F.col("h.root").alias("root_hub"))
+        return lists.join(hub, "key")
 
     nothing = spark.createDataFrame([], "u binary, v binary")
     found = links(pairs, "first")
@@ -374,25 +392,20 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_c
     roots = components(found)
     lists = mixed(roots)
     for i in range(HUB_ROUNDS):
-        # the class with most links so far is each list's next query
-        degree = found.select("u").union(found.select("v")).groupBy(F.col("u").alias("cid")).agg(F.count("*").alias("links"))
-        ranked = lists.join(degree, "cid", "left").withColumn("links", F.coalesce("links", F.lit(0)))
-        hub = ranked.groupBy("key").agg(
-            F.max_by(F.struct("cid", "n", "root"), F.struct("links", "cid")).alias("hub"), F.max("links").alias("links")
-        )
-        hub = hub.where("links > 0").select("key", F.col("hub.cid").alias("u"), F.col("hub.n").alias("n_u"), F.col("hub.root").alias("root_u"))
-        pairs = lists.join(hub, "key").where(F.col("root") != F.col("root_u")).where(near("n", "n_u"))
-        more = links(pairs.select("u", F.col("cid").alias("v")).distinct(), f"hub-{i}")
+        pairs = with_hub().where("links > 0").where(F.col("root") != F.col("root_hub")).where(near("n", "n_hub"))
+        more = links(pairs.select(F.col("hub").alias("u"), F.col("cid").alias("v")).distinct(), f"hub-{i}")
         if more is None:
             break
         found = written(found.union(more), "found")
         roots = components(found)
         lists = mixed(roots)
 
-    side = lambda s: lists.join(marks.select("cid", "sketch"), "cid").select(
-        "key", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "root", "main", "sketch")]
-    )
-    cross = side("u").where("root_u != main_u").join(side("v"), "key").where(
+    # lists of one hub hold mostly the same classes: together they make each pair once
+    members = with_hub().select("hub", "cid", "n", "root").distinct()
+    main = members.groupBy("hub", "root").agg(F.count("*").alias("m")).groupBy("hub").agg(F.max_by("root", "m").alias("main"))
+    members = written(members.join(main, "hub").join(marks.select("cid", "sketch"), "cid"), "members")
+    side = lambda s: members.select("hub", *[F.col(c).alias(f"{c}_{s}") for c in ("cid", "n", "root", "main", "sketch")])
+    cross = side("u").where("root_u != main_u").join(side("v"), "hub").where(
         near("n_u", "n_v") & (F.col("root_u") != F.col("root_v"))
         & ((F.col("root_v") == F.col("main_v")) | (F.col("cid_u") < F.col("cid_v"))) & _alike(num, den)
     )
