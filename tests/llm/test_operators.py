@@ -286,7 +286,7 @@ def test_spans_brute(documents, texts):
 
     first, covered = {}, {}
     for d in sorted(texts):
-        _, h, n, start, end = span_dedup.spans(pa.array([texts[d]], pa.large_string()))
+        _, h, _, n, start, end = span_dedup.spans(pa.array([texts[d]], pa.large_string()))
         for x, k, a, b in zip(h.tolist(), n.tolist(), start.tolist(), end.tolist()):
             if first.setdefault((x, k), d) != d or (x, k, d) in covered:
                 covered.setdefault(d, []).append((a, b))
@@ -336,3 +336,45 @@ def test_urls(spark):
     odd = spark.createDataFrame([(1, None, "a"), (1, None, "a"), (None, "http://x.org/", "b"), (2, "", "c"), (3, "x" * 200_000, "d")], "page_id long, url string, host string")
     assert rows(url_filter.judge_urls(odd), "page_id", "host", "rule", "verdict")[:2] == [(1, "", None, "allow")] * 2
     assert url_filter.judge_urls(odd.limit(0)).count() == 0
+
+
+def test_mixed_documents_keep_the_budget_when_ids_repeat(spark):
+    # 600 rows, 200 ids in each of three sources
+    rng = random.Random(8)
+    data = [(i, " ".join(["w"] * rng.choice([5, 10, 10, 20])), "en", s) for s in ("a", "b", "c") for i in range(200)]
+    docs = frame(spark, data, clash=False)
+    size = word_count(F.col("text"))
+    plan = {}
+    for r in mixing._plan(docs, size, "doc_id", "source", mixing.WEIGHTS, mixing.EPOCHS, "mix").where("taken > 0").collect():
+        plan[r.id, r.source] = (r["size"], r.target, r.taken, r.virtual_finish)
+    mixed = mixing.mixed_documents(docs.repartition(5), size).collect()
+    assert {(r.doc_id, r.source): (r["size"], r.target, r.taken, r.virtual_finish) for r in mixed} == plan
+    assert len(mixed) == len(plan)
+    total = sum(len(t.split()) for _, t, _, _ in data)
+    assert total - 60 <= sum(r.taken for r in mixed) <= total
+    assert all(r.taken <= 3 * r["size"] for r in mixed)
+    for s in "abc":
+        own = [r for r in mixed if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 60
+
+
+def test_scopes_remove_their_tables(spark):
+    from txpulse.llm import common
+
+    def there(df):
+        import os
+
+        return os.path.exists(df.inputFiles()[0].replace("file://", "").rsplit("/", 1)[0])
+
+    with common.scope(spark):
+        a = common.written(spark.range(3), "a")
+        with common.scope(spark):
+            b = common.written(spark.range(3), "b")
+            c = common.kept(b, "c")
+            files = b.inputFiles()[0]
+        assert there(a) and there(c) and c.count() == 3
+        import os
+
+        assert not os.path.exists(files.replace("file://", ""))
+        gone = c.inputFiles()[0]
+    assert not os.path.exists(gone.replace("file://", ""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from txpulse.llm.common import fresh, written
+from txpulse.llm.common import fresh, kept, scope, written
 
 #: Times that a document may be repeated.
 EPOCHS = 3
@@ -70,8 +70,16 @@ def mix_plan(
 
     ``size`` is a column of longs. Null ids share one shuffle key; rows that
     repeat id and size are taken or left together; a source whose target is 0
-    gives nothing (null virtual_finish). An empty table gives no rows.
+    gives nothing (null virtual_finish). Texts are not read but by ``size``; other
+    columns are not read, whatever their names. An empty table gives no rows.
     """
+    plan = _plan(docs, size, id_col, source_col, weights, epochs, seed).withColumnRenamed("id", id_col)
+    columns = (id_col, "size", "source_size", "target", "taken", "virtual_finish")
+    return plan.select(*columns).orderBy("virtual_finish", id_col)
+
+
+def _plan(docs: DataFrame, size, id_col: str, source_col: str, weights: tuple[int, ...], epochs: int, seed: str) -> DataFrame:
+    """(id, source, size, source_size, target, taken, virtual_finish) of every document."""
     source = F.col(source_col)
     sized = docs.select(
         F.col(id_col).alias("id"),
@@ -122,28 +130,36 @@ def mix_plan(
     repeats = F.aggregate(
         F.filter("finish", lambda f: F.coalesce(stays(f), F.lit(False))), F.lit(0), lambda n, _: n + 1
     )
-    return (
-        rows.withColumn("taken", F.col("size") * repeats)
-        .withColumn("virtual_finish", F.get("finish", F.lit(0)))
-        .select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", "virtual_finish")
-        .orderBy("virtual_finish", id_col)
-    )
+    rows = rows.withColumn("taken", F.col("size") * repeats).withColumn("virtual_finish", F.get("finish", F.lit(0)))
+    return rows.select("id", "source", "size", "source_size", "target", "taken", "virtual_finish")
 
 
-def mixed_documents(docs: DataFrame, size, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+def mixed_documents(
+    docs: DataFrame,
+    size,
+    id_col: str = "doc_id",
+    source_col: str = "source",
+    weights: tuple[int, ...] = WEIGHTS,
+    epochs: int = EPOCHS,
+    seed: str = "mix",
+) -> DataFrame:
     """The documents of the mix with all their columns, sorted by virtual finish time.
 
     Adds size, target, taken (size times repeats) and virtual_finish, named
-    anew where taken; documents of which the mix takes nothing go.
+    anew where taken; documents of which the mix takes nothing go. A row is
+    known by id, source and size, so one id may stand in several sources.
     """
     names = {n: fresh(docs, n) for n in ("size", "target", "taken", "virtual_finish")}
-    own_size = names["size"]
-    sized = docs.withColumn(own_size, size)
-    plan = mix_plan(sized, F.col(own_size), id_col, source_col, **options).where("taken > 0")
-    key = fresh(sized, "mix_id")
+    keys = {n: fresh(docs, f"mix_{n}") for n in ("id", "source", "size")}
+    sized = docs.withColumn(names["size"], size)
+    with scope(docs.sparkSession):
+        plan = _plan(sized, F.col(names["size"]), id_col, source_col, weights, epochs, seed).where("taken > 0")
+        plan = kept(plan.select("id", "source", "size", "target", "taken", "virtual_finish").distinct(), "plan")
     plan = plan.select(
-        F.col(id_col).alias(key), F.col("size").alias(f"{key}_size"),
+        *[F.col(c).alias(k) for c, k in keys.items()],
         *[F.col(n).alias(names[n]) for n in ("target", "taken", "virtual_finish")],
-    ).dropDuplicates([key, f"{key}_size"])
-    same = F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own_size) == F.col(f"{key}_size"))
-    return sized.join(plan, same).drop(key, f"{key}_size").orderBy(names["virtual_finish"], id_col)
+    )
+    own = (id_col, source_col, names["size"])
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(own, keys.values(), strict=True)]
+    mixed = sized.join(plan, same).drop(*keys.values())
+    return mixed.orderBy(names["virtual_finish"], id_col)
