@@ -361,7 +361,7 @@ def test_spans_cover_shared_passages():
     for _ in range(40):
         passage = say(60)
         texts = [f"{say(30)} {passage} {say(30)}", f"{say(17)} {passage} {say(50)}", say(120)]
-        owner, h, n, start, end = span_dedup.spans(large(texts))
+        owner, h, _, n, start, end = span_dedup.spans(large(texts))
         by = [set(h[owner == i].tolist()) for i in range(3)]
         assert by[0] & by[1] and not (by[0] | by[1]) & by[2]
         shared = by[0] & by[1]
@@ -369,3 +369,75 @@ def test_spans_cover_shared_passages():
             if int(x) in shared:
                 raw = texts[o].encode()[a:b].decode().split()
                 assert set(w.strip(",.;!") for w in raw) <= set(w.strip(",.;!") for w in passage.split())
+
+
+def test_spans_of_few_words_and_of_scripts_without_spaces():
+    rng = random.Random(6)
+
+    def shared(a, b):
+        owner, h, other, n, *_ = span_dedup.spans(large([a, b]))
+        found = [set(zip(h[owner == i].tolist(), other[owner == i].tolist(), n[owner == i].tolist())) for i in (0, 1)]
+        return found[0] & found[1]
+
+    few = ["tick", "tock", "ping", "pong"]
+    for _ in range(200):
+        passage = " ".join(rng.choice(few) for _ in range(120))
+        assert shared(f"Before it. {passage}", f"{passage} and what comes after")
+    for word in ("a", "zzz", "same", "x1", "é", "what", "no", "yes"):
+        assert shared(" ".join([word] * 200), "Other words first. " + " ".join([word] * 200))
+    han = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(90))
+    thai = "".join(chr(rng.randrange(0x0E01, 0x0E2E)) for _ in range(90))
+    for passage in (han, thai, han[:30] + "。" + han[30:60] + "！" + han[60:]):
+        assert shared(f"你好。{passage}", f"{passage}再见")
+    assert not shared(han, thai)
+
+
+def test_words_of_scripts_without_spaces():
+    texts = ["ab漢字c。de", "カナ x ไทย", "漢", "。", "naïve 12", "한국어 말"]
+    _, starts, ends, first = tokens.words(large(texts), tokens.ALNUM, unspaced=True)
+    at = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
+    got = [[texts[i].encode()[a - at[i] : b - at[i]].decode() for a, b in zip(starts[f:g], ends[f:g])] for i, (f, g) in enumerate(zip(first, first[1:]))]
+    assert got == [["ab", "漢", "字", "c", "de"], ["カ", "ナ", "x", "ไ", "ท", "ย"], ["漢"], [], ["naïve", "12"], ["한국어", "말"]]
+
+
+def test_repeated_words_take_little_memory():
+    import tracemalloc
+
+    seeds = decontaminate.Seeds([(1, " ".join(["same"] * 400)), (2, "其他的文字是一个测试题目没有空格")])
+    tracemalloc.start()
+    began = time.perf_counter()
+    found = list(seeds.overlaps(*decontaminate.doc_words(large([" ".join(["same"] * 20_000), "他说其他的文字是一个测试题目没有空格吗"]))))
+    assert time.perf_counter() - began < 60
+    assert tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
+    assert [(d, i) for d, i, *_ in found] == [(0, 0), (1, 1)] and found[0][3:] == (400, 400)
+
+
+def test_language_is_the_least_out_of_place_distance():
+    import unicodedata
+    from collections import Counter
+
+    def grams(text):
+        text = "".join(c if unicodedata.category(c)[0] in "LM" else " " for c in text.lower())
+        out = Counter()
+        for w in text.split():
+            w = f" {w} "
+            for n in (1, 2, 3):
+                out.update(g for i in range(len(w) - n + 1) if (g := w[i : i + n]) != " ")
+        return out
+
+    ranks = 40
+    own = lambda c: [g for g, _ in sorted(c.items(), key=lambda x: (-x[1], [0] * (3 - len(x[0])) + [ord(y) for y in x[0]]))][:ranks]
+    code = lambda g: sum(ord(c) << (21 * (len(g) - 1 - i)) for i, c in enumerate(g))
+    said = {"de": "das ist ein haus und der hund läuft über die straße", "en": "this is a house and the dog runs over the street", "fr": "ceci est une maison et le chien court sur la rue é"}
+    profiles = {k: own(grams(t)) for k, t in said.items()}
+    judge = language_id.Profiles({k: [code(g) for g in p] for k, p in profiles.items()}, ranks).judge
+    rng = random.Random(2)
+    for _ in range(60):
+        text = " ".join(rng.choice(rng.choice(list(said.values())).split()) for _ in range(rng.randrange(1, 30)))
+        mine = own(grams(text))
+        far = {k: sum(abs(p.index(g) - i) if g in p else ranks for i, g in enumerate(mine)) for k, p in profiles.items()}
+        best = min(sorted(far), key=far.get)
+        assert judge(text) == (best, 1 - far[best] / (len(mine) * ranks))
+    for nothing in (None, "", "12 !", "\u0301\u0300", "१२"):
+        assert judge(nothing) == ("und", 0.0)

@@ -25,6 +25,8 @@ MASKS = 8
 BLOCK_BYTES = 1 << 22
 #: Bits of the first look at a hash.
 FILTER_BITS = 22
+#: Hits that are laid out at once.
+HITS = 1 << 20
 
 
 def allowed(window: int) -> int:
@@ -68,7 +70,7 @@ class Seeds:
 
     def __init__(self, items: list[tuple[object, str]]):
         texts = pc.utf8_lower(pa.array([t for _, t in items], pa.large_string()))
-        hashes, _, _, first = words(texts, ALNUM)
+        hashes, _, _, first = words(texts, ALNUM, unspaced=True)
         self.ids, self.words, self.window = [], [], []
         found: dict[tuple[int, ...], list] = {}
         for (item_id, _), a, b in zip(items, first[:-1], first[1:], strict=True):
@@ -91,22 +93,32 @@ class Seeds:
 
     def overlaps(self, hashes: np.ndarray, first: np.ndarray):
         """(document, item, first word, words, agreeing words) of each item's best verified overlap."""
-        pairs = []
+        found: list[np.ndarray] = []
+        longest = max((len(w) for w in self.words), default=0)
+        span = len(hashes) + longest + 1  # a hit is one number: document, item, place of the item's first word
         for mask, seeds, item, place, look in self.masks:
             h = runs(hashes, mask[-1] + 1, mask)
             at = np.flatnonzero(look[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
             low, high = np.searchsorted(seeds, h[at]), np.searchsorted(seeds, h[at], side="right")
-            n = high - low
-            at, low, n = at[n > 0], low[n > 0], n[n > 0]
-            seed = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            at = np.repeat(at, n)
-            doc = np.searchsorted(first, at, side="right") - 1
-            inside = at + mask[-1] < first[doc + 1]  # no mask lies across two documents
-            pairs.append(np.stack((doc, item[seed], at - place[seed]), axis=1)[inside])
-        if not pairs:
+            every = high - low
+            at, low, every = at[every > 0], low[every > 0], every[every > 0]
+            # many equal words give many hits of few places: they are thinned out as they come
+            parts = np.cumsum(every) // HITS
+            for k in np.unique(parts).tolist():
+                a, b = np.searchsorted(parts, k), np.searchsorted(parts, k, side="right")
+                n, here = every[a:b], np.repeat(at[a:b], every[a:b])
+                seed = np.repeat(low[a:b], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                doc = np.searchsorted(first, here, side="right") - 1
+                inside = here + mask[-1] < first[doc + 1]  # no mask lies across two documents
+                hits = (doc * len(self.ids) + item[seed]) * span + (here - place[seed] + longest)
+                found.append(np.unique(hits[inside]))
+                if len(found) > 8:
+                    found = [np.unique(np.concatenate(found))]
+        if not found:
             return
+        pair, start = np.divmod(np.unique(np.concatenate(found)), span)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for doc, i, start in np.unique(np.concatenate(pairs), axis=0).tolist():
+        for doc, i, start in zip(*(x.tolist() for x in np.divmod(pair, len(self.ids))), (start - longest).tolist(), strict=True):
             own, window = self.words[i], self.window[i]
             low, high = max(start, first[doc]), min(start + len(own), first[doc + 1])
             if high - low < window:
@@ -124,7 +136,7 @@ class Seeds:
 
 
 def doc_words(texts: pa.Array):
-    hashes, _, _, first = words(pc.utf8_lower(texts), ALNUM)
+    hashes, _, _, first = words(pc.utf8_lower(texts), ALNUM, unspaced=True)
     return hashes, first
 
 
@@ -148,7 +160,8 @@ def contaminated_spans(
 ) -> DataFrame:
     """(id, item_id, start_word, n_words, n_same): each document's best overlap with each item it contains.
 
-    Words are runs of letters and digits in lower case. Masks that ignore some
+    Words are runs of letters and digits in lower case; in scripts without spaces
+    each character is one. Masks that ignore some
     positions are hashed at every place of the items and of the documents; on
     equal hashes the two are laid side by side and compared word by word. An
     overlap counts if WINDOW words in a row (or the whole shorter item) agree
@@ -159,7 +172,9 @@ def contaminated_spans(
     one pass over the documents for each, and no document leaves its task.
     Null and empty texts, and items under MIN_WORDS words, overlap with
     nothing; null ids are kept; repeated documents or items give repeated
-    rows; an empty table on either side gives no rows.
+    rows. Very long texts are searched whole, and hits laid out HITS at a time,
+    so equal words take no more memory than others. Other columns are not read,
+    whatever their names. An empty table on either side gives no rows.
     """
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kinds = [src.schema["id"].dataType, benchmark.schema[item_id_col].dataType]

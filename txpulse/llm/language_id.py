@@ -28,6 +28,12 @@ def _letters() -> np.ndarray:
     return np.array([unicodedata.category(chr(i))[0] in "LM" for i in range(sys.maxunicode + 1)])
 
 
+@cache
+def _plain_letters() -> np.ndarray:
+    """Whether a code point is a letter by itself."""
+    return np.array([unicodedata.category(chr(i))[0] == "L" for i in range(sys.maxunicode + 1)])
+
+
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted n-grams (1 to 3 code points, 21 bits each) of the whole text and their counts.
 
@@ -115,8 +121,8 @@ class Profiles:
     def judge(self, text: str | None) -> tuple[str, float]:
         """(label, score): the least out-of-place distance, as a share of the greatest possible one taken from 1."""
         keys, counts = gram_counts(text or "")
-        has_letter = len(keys) and (keys < (1 << 21)).any() and (keys[keys < (1 << 21)] != 32).any()
-        if not self.langs or not has_letter:
+        singles = keys[keys < np.uint64(1 << 21)].astype(np.int64)
+        if not self.langs or not _plain_letters()[singles].any():
             return UNKNOWN, 0.0
         own = ranked(keys, counts, self.ranks)
         at = np.minimum(np.searchsorted(self.grams, own), len(self.grams) - 1)

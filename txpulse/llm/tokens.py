@@ -45,13 +45,59 @@ def _power_table(n: int) -> np.ndarray:
     return _powers
 
 
-def words(texts: pa.Array, inside: np.ndarray = SPACED) -> tuple[np.ndarray, ...]:
+#: Lead bytes and second bytes (from, to) in UTF-8 of scripts written without spaces:
+#: Thai and Lao, Myanmar, Khmer, kana, Han; and the marks that end their sentences.
+UNSPACED = ((0xE0, 0xB8, 0xBB), (0xE1, 0x80, 0x82), (0xE1, 0x9E, 0x9F), (0xE3, 0x81, 0x83), (0xE3, 0x90, 0xBF))
+HAN = (0xE4, 0xE9)
+STOPS = ("。", "！", "？", "；", "：", "、", "，")
+
+
+def _at(buf: np.ndarray, i: int) -> np.ndarray:
+    """The byte ``i`` places on, zero past the end."""
+    return np.concatenate((buf[i:], np.zeros(i, np.uint8)))
+
+
+def unspaced_letters(buf: np.ndarray) -> np.ndarray:
+    """Where a character of a script without spaces begins (all take three bytes)."""
+    second = _at(buf, 1)
+    out = (buf >= HAN[0]) & (buf <= HAN[1])
+    for lead, low, high in UNSPACED:
+        out |= (buf == lead) & (second >= low) & (second <= high)
+    return out
+
+
+def unspaced_stops(buf: np.ndarray) -> np.ndarray:
+    """Where a stop of those scripts begins."""
+    out = np.zeros(len(buf), bool)
+    if (buf >= 0xE3).any():
+        for mark in STOPS:
+            a, b, c = mark.encode()
+            out |= (buf == a) & (_at(buf, 1) == b) & (_at(buf, 2) == c)
+    return out
+
+
+def words(texts: pa.Array, inside: np.ndarray = SPACED, unspaced: bool = False) -> tuple[np.ndarray, ...]:
     """(hashes, starts, ends, first): every word's hash and byte range, A-Z lower-cased,
-    and the number of each text's first word (one more at the end)."""
+    and the number of each text's first word (one more at the end).
+
+    With ``unspaced`` each character of a script without spaces is a word, and its stops are none.
+    """
     buf, at = text_bytes(texts)
     is_in = inside[buf]
+    single = np.zeros(len(buf), bool)
+    if unspaced and (buf >= 0xE0).any():
+        single = unspaced_letters(buf)
+        for i in np.flatnonzero(unspaced_stops(buf)).tolist():
+            is_in[i : i + 3] = False
     before, after = np.zeros(len(buf), bool), np.zeros(len(buf), bool)
     before[1:], after[:-1] = is_in[:-1], is_in[1:]
+    if single.any():
+        alone = np.flatnonzero(single)
+        before[alone] = False
+        after[alone[alone > 0] - 1] = False
+        last = alone + 2
+        after[last] = False
+        before[last[last + 1 < len(buf)] + 1] = False
     cuts = at[:-1][at[:-1] < len(buf)]
     before[cuts] = False
     after[cuts[cuts > 0] - 1] = False
