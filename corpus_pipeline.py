@@ -3,6 +3,12 @@
 Each stage reads the Parquet table that the one before wrote. ORACLE_SQL is
 None: profiles, fingerprint search and spaced seeds are not expressible in SQL;
 ``tests/llm/test_pipeline.py`` holds the result against a brute-force version.
+
+Every stage takes any table with doc_id, text, lang and source: other columns
+pass through whatever their names, an empty table gives an empty one, texts are
+read whole whatever their length, and rows that repeat an id are judged by
+their own texts. What null and empty texts, null ids and ties give is said at
+each stage.
 """
 
 from __future__ import annotations
@@ -18,7 +24,7 @@ LEAST_SCORE = 0.2
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter or in no learned language."""
+    """Drops documents without a letter, so null and empty ones too, or in no learned language."""
     label, score = fresh(docs, "lang_pred"), fresh(docs, "score")
     judged = language_id.identify(docs)
     known = (F.col(label) != language_id.UNKNOWN) & (F.col(score) >= LEAST_SCORE)
@@ -26,22 +32,31 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest doc_id stays."""
+    """Of equal texts the one with the smallest doc_id stays; rows that repeat id and text become one.
+
+    A null id stays only where its text has no other; null and empty texts are equal.
+    """
     return exact_dedup.keep_first(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents joined by links of Jaccard 0.8 on five-word shingles the smallest doc_id stays."""
+    """Of documents joined by links of Jaccard 0.8 on five-word shingles the smallest doc_id stays.
+
+    Null ids, and texts without words, stay.
+    """
     return jaccard_join.keep_one(docs, k=5, num=4, den=5)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that contain a benchmark passage."""
+    """Drops documents that contain a benchmark passage; null and empty texts contain none."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix in its order, with the words that it takes of each."""
+    """The documents of the mix in its order, with the words that it takes of each.
+
+    Documents of no words go. Rows that repeat id, source and size are taken alike.
+    """
     return mixing.mixed_documents(docs, word_count(F.col("text")))
 
 
