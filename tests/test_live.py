@@ -227,3 +227,42 @@ def test_live_needs_nested_windows(spark):
     stream = wire_stream(spark, write_wire_slices(spark, events_transactions(spark, SF_SMALL)))
     with pytest.raises(ValueError):
         live_stream(stream, anomaly_window_ms=C.RFM_WINDOW_MS * 2)
+
+
+def test_a_hot_users_batch_is_many_tasks(spark):
+    from txpulse.operators.windows import BUCKET, TimeSplit
+    from txpulse.streaming.replay import HOT_BUCKET_MS, HOT_USER, hot_transactions
+
+    tx = hot_transactions(spark, SF_SMALL)
+    hot = tx.where(F.col("user_id") == HOT_USER)
+    assert hot.count() >= tx.count() // 3
+    split = TimeSplit(C.RFM_WINDOW_MS, HOT_BUCKET_MS).split(hot, "event_time")
+    sizes = [r["count"] for r in split.groupBy(BUCKET).count().collect()]
+    assert len(sizes) > 50 and max(sizes) < hot.count() // 10
+
+
+def test_table_state_goes_on_after_a_lost_batch(spark):
+    from txpulse.sources.ingest import judged_transactions
+    from txpulse.streaming.table_state import TableState
+
+    tx = events_transactions(spark, SF_SMALL)
+    lo, hi = tx.agg(F.min("event_time"), F.max("event_time")).first()
+    tables = LiveTables(spark, scratch_path(spark, "live"))
+    sink = TableState(tables, SCALED_RULES)
+    third = (hi - lo) // 3 + 1
+    parts = [judged_transactions(transactions_as_kafka(tx.where(F.expr(f"(event_time - {lo}) div {third}") == k), corrupt=True)) for k in range(3)]
+    sink.write_batch(parts[0], "run-a", 0)
+    create, tables.files.create = tables.files.create, None  # the second batch dies at its commit
+    with pytest.raises(TypeError):
+        sink.write_batch(parts[1], "run-a", 1)
+    tables.files.create = create
+    sink.write_batch(parts[1], "run-a", 1)
+    sink.write_batch(parts[1], "run-a", 1)  # tried again after its commit
+    sink.write_batch(parts[2], "run-b", 0)  # a new run
+    from txpulse.sources.ingest import parse_transactions
+
+    clean, rejects = parse_transactions(transactions_as_kafka(tx, corrupt=True))
+    got = tables.read("segments").withColumnRenamed("event_time", "updated_at")
+    same(got.select("user_id", "seq", "segment", "r_minutes", "f", "m", "updated_at"), rfm_segments(clean, SCALED_RULES))
+    assert tables.read("quarantine").count() == rejects.count()
+    assert SharedFiles(spark).names(f"{tables.root}/state") == ["number=2", "number=3"]

@@ -307,3 +307,20 @@ ORACLES["state_export"] = _scaled() + f"""
 SELECT s.user_id, s.event_time, s.seq, CAST(round(s."sum" * 100) AS BIGINT) * 100 AS units,
        lower(s.type) = 'deposit' AS deposit, l.first_ts, l.last_ts
 FROM seg s JOIN last l ON s.user_id = l.user_id WHERE s.event_time >= l.last_ts - {C.RFM_WINDOW_MS}"""
+
+# One user has a third of the rows, so rows may share a millisecond: those after a row in seq order are taken off its frame.
+ORACLES["live_hot_user"] = _with(
+    TX, "hot AS (SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN 1 ELSE user_id END AS user_id) FROM tx)", _rfm_ctes("hot", **SCALED)
+) + f"""
+, exact AS (
+  SELECT user_id, seq, event_time, first_ts, r_minutes, f - COUNT(*) OVER later AS f,
+         m_cents - COALESCE(SUM(CASE WHEN lower(type) = 'deposit' THEN CAST(round("sum" * 100) AS BIGINT) ELSE 0 END) OVER later, 0) AS m_cents
+  FROM seg
+  WINDOW later AS (PARTITION BY user_id, event_time ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING))
+SELECT user_id, seq, event_time AS updated_at, r_minutes, f, CAST(m_cents AS DOUBLE) / 100.0 AS m,
+       CASE WHEN event_time - first_ts < {C.NEWCOMER_MS} THEN '{C.SEGMENT_NEWCOMER}'
+            WHEN m_cents > 30000 AND f > {C.VIP_MIN_F} THEN '{C.SEGMENT_VIP}'
+            WHEN m_cents > 10000 AND f > {C.ACTIVE_MIN_F} THEN '{C.SEGMENT_ACTIVE}'
+            WHEN r_minutes > {C.SLEEPING_MIN_R_MINUTES} THEN '{C.SEGMENT_SLEEPING}'
+            ELSE '{C.SEGMENT_STANDARD}' END AS segment
+FROM exact"""

@@ -237,5 +237,6 @@ QUERIES: dict[str, Query] = {
     "live_current": _replay("current_rows"),
     "live_batch_metrics": _replay("metrics_rows"),
     "live_unkeyed": _replay("unkeyed_rows"),
+    "live_hot_user": _replay("hot_user_rows"),
     "state_export": _replay("export_rows"),
 }

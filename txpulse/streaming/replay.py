@@ -24,7 +24,7 @@ from txpulse.schemas import KAFKA_RECORD
 from txpulse.session import scratch_path
 from txpulse.plans.restore import split_time
 from txpulse.sources.events import events_transactions, orders_transactions
-from txpulse.sources.ingest import parse_transactions
+from txpulse.sources.ingest import judged_transactions, parse_transactions
 from txpulse.streaming.app import (
     alerts_stream,
     live_metrics,
@@ -37,6 +37,7 @@ from txpulse.streaming.app import (
 from txpulse.sources.kafka import from_offsets, transactions_as_kafka
 from txpulse.streaming.export import exported_state
 from txpulse.streaming.sinks import BatchFanout, parquet_table_writer
+from txpulse.streaming.table_state import TableState
 from txpulse.streaming.tables import RECORD_KINDS, LiveTables, SharedFiles
 
 DAY_MS = 86_400_000
@@ -317,3 +318,29 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     run_available(spark, segments_stream(wire_stream(spark, wire), SCALED_RULES), "segments", checkpoint=checkpoint)
     marks, entries = exported_state(spark, checkpoint, SCALED_RULES.window_ms)
     return entries.join(marks, "user_id").select("user_id", "event_time", "seq", "units", "deposit", "first_ts", "last_ts")
+
+
+#: Of every three transactions one goes to this user; a bucket is a quarter of a day.
+HOT_USER, HOT_EVERY, HOT_BUCKET_MS = 1, 3, DAY_MS // 4
+
+
+def hot_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events, a third of them one user's."""
+    hot = F.pmod("seq", F.lit(HOT_EVERY)) == 0
+    return events_transactions(spark, sf_dir).withColumn("user_id", F.when(hot, F.lit(HOT_USER)).otherwise(F.col("user_id")))
+
+
+def hot_user_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Driver query: segments with the state in a table, so that one user's batch is many tasks' work."""
+    tables = LiveTables(spark, scratch_path(spark, "live"))
+    wire = write_wire_slices(spark, hot_transactions(spark, sf_dir), 2 * SLICE_MS)
+    q = start(
+        judged_transactions(wire_stream(spark, wire)),
+        BatchFanout([TableState(tables, SCALED_RULES, HOT_BUCKET_MS).write], name="table-state"),
+        f"{tables.root}/checkpoint",
+        f"table_state_{abs(hash(tables.root)) % 10**8}",
+        {"availableNow": True},
+    )
+    q.awaitTermination()
+    rows = tables.read("segments").withColumnRenamed("event_time", "updated_at")
+    return rows.select("user_id", "seq", "segment", "r_minutes", "f", "m", "updated_at")

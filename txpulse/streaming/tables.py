@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -167,7 +168,10 @@ class LiveTables:
         run_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         self.commit_batch(batch, run_id, batch_id)
 
-    def commit_batch(self, batch: DataFrame, run_id: str, batch_id: int) -> None:
+    def commit_batch(
+        self, batch: DataFrame, run_id: str, batch_id: int, before: Callable[[int, int], None] | None = None
+    ) -> None:
+        """``before`` writes what belongs to the commit, given its number and the newest time."""
         last = self.last() or {"number": 0, "offsets": {}, "max_time": None, "snapshot": 0, "run_id": None}
         if last["run_id"] == run_id and last["batch_id"] >= batch_id:
             return  # committed before a restart
@@ -190,6 +194,8 @@ class LiveTables:
             live = self._newest(last["snapshot"], since).where(F.col("expires_at") > F.lit(record["max_time"]))
             live.write.mode("overwrite").parquet(f"{self.root}/current/number={record['number']}")
             record["snapshot"] = record["number"]
+        if before is not None:
+            before(record["number"], record["max_time"])
         self.files.create(f"{self.root}/commits/{record['number']:012d}.json", json.dumps(record))
         if due:  # the snapshot before this one stays for readers that began with it
             for name in self.files.names(f"{self.root}/current"):
