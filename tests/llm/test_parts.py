@@ -441,3 +441,35 @@ def test_language_is_the_least_out_of_place_distance():
         assert judge(text) == (best, 1 - far[best] / (len(mine) * ranks))
     for nothing in (None, "", "12 !", "\u0301\u0300", "१२"):
         assert judge(nothing) == ("und", 0.0)
+
+
+def test_ordinal_fit_reaches_the_optimum_of_a_plain_search():
+    rng = np.random.default_rng(3)
+    rows = [np.flatnonzero(rng.random(6) < 0.5) for _ in range(120)]
+    score = np.array([[0.8, -1.2, 0.3, 1.5, -0.7, 0.1][i] for i in range(6)])
+    grades = np.array([int((score[r].sum() + rng.logistic() > np.array([-0.5, 1.0])).sum()) for r in rows])
+    penalty = 0.5
+
+    def value(x):  # written out from the model: P(grade > j) = 1 / (1 + exp(cut j - score)), penalised weights
+        total = -penalty / 2 * (x[:6] ** 2).sum()
+        for r, g in zip(rows, grades):
+            above = [1.0, *(1 / (1 + np.exp(c - x[r].sum())) for c in x[6:]), 0.0]
+            total += np.log(max(above[g] - above[g + 1], 1e-300))
+        return total
+
+    x, step = np.array([0.0] * 6 + [-1.0, 1.0]), 0.05
+    best = value(x)
+    for _ in range(400):
+        slope = np.array([(value(x + d) - value(x - d)) / 2e-5 for d in np.eye(8) * 1e-5])
+        while step > 1e-9 and not (x[6] + step * slope[6] < x[7] + step * slope[7] and value(x + step * slope) > best):
+            step /= 2
+        if step <= 1e-9:
+            break
+        x, step = x + step * slope, step * 1.5
+        best = value(x)
+    model = quality.Ordinal.fit(rows, grades, 3, steps=4000, penalty=penalty)
+    own = value(np.concatenate((model.weights[:6], model.cuts)))
+    assert abs(own - best) < 1e-2
+    assert np.abs(model.weights[:6] - x[:6]).max() < 0.05 and np.abs(model.cuts - x[6:]).max() < 0.05
+    want = np.array([[1 / (1 + np.exp(c - model.weights[r].sum())) for c in model.cuts] for r in rows])
+    assert np.allclose(model.tails(rows), want)
