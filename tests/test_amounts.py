@@ -87,7 +87,7 @@ def test_a_late_row_has_no_negative_gap():
     assert late["r_minutes"].tolist() == [0.0] and late["f"].tolist() == [1]
     inside = next(p.handleInputRows((1,), iter([day.assign(event_time=120 * hour)]), None))
     assert inside["r_minutes"].tolist()[0] >= 0.0
-    assert p.state.get()[1] == 130 * hour  # the last time seen stays
+    assert p.last == p.state.get()[11] == 130 * hour  # the last time seen stays
 
 
 def test_event_time_needs_a_watermark(spark):
