@@ -156,8 +156,8 @@ def identify(
     frequent n-grams are compared with every profile by out-of-place distance;
     the nearest label wins, ties by code point. A text that is null or has no
     letter is ``und`` with score 0, and so is every text if nothing could be
-    learned. A null id is not held out. Repeated rows are judged alike, an
-    empty table gives no rows.
+    learned. A null id is not held out. Very long texts are counted whole, a
+    piece at a time. Repeated rows are judged alike, an empty table gives no rows.
     """
     held = held_out(F.col(id_col))
     source = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), held.alias("held"))

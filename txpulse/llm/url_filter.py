@@ -154,7 +154,8 @@ def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     A null URL counts as empty; repeated rows are judged alike; a null id is
     kept. Without examples of both verdicts the threshold is 0, and equal
-    models allow. An empty table gives no rows.
+    models allow. Very long URLs are scored whole. Other columns are not read,
+    whatever their names. An empty table gives no rows.
     """
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), host.alias("host"), path.alias("path"))
