@@ -20,7 +20,7 @@ from txpulse.schemas import ALERT, SEGMENT
 from txpulse.sources.ingest import judged_transactions, parse_transactions
 from txpulse.session import checkpoint_root as checkpoint_root_of
 from txpulse.sources.kafka import ALERTS_TOPIC, INPUT_TOPIC, SEGMENTS_TOPIC, from_offsets, kafka_offsets, kafka_stream
-from txpulse.streaming.processors import LIVE, RFM_SEED, AnomalyProcessor, LiveProcessor, RfmProcessor
+from txpulse.streaming.processors import LIVE, RFM_SEED, AnomalyProcessor, LiveProcessor, RfmProcessor, ShardProcessor
 from txpulse.streaming.sinks import BatchFanout, console_writer, kafka_writer, where_writer
 from txpulse.streaming.tables import TABLES, LiveTables
 
@@ -37,6 +37,19 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
+#: Keys of a stream's state; a checkpoint's first run fixes them.
+SHARDS = 1024
+
+
+def _sharded(rows: DataFrame) -> DataFrame:
+    """Rows with the shard of their user, the key of the state (see ``ShardProcessor``)."""
+    return rows.withColumn("shard", F.pmod(F.hash("user_id"), F.lit(SHARDS)))
+
+
+def _seeds(seed: DataFrame | None):
+    return _sharded(seed).groupBy("shard") if seed is not None else None
+
+
 def _keyed(kafka_df: DataFrame, time_mode: str, watermark: str | None) -> DataFrame:
     if time_mode not in TIME_MODES:
         raise ValueError(f"time_mode must be one of {TIME_MODES}")
@@ -61,9 +74,9 @@ def alerts_stream(
     ttl = window_ms if time_mode == "ProcessingTime" else None
     proc = AnomalyProcessor(window_ms, factor, timers=time_mode == "EventTime", ttl_ms=ttl)
     return (
-        _keyed(kafka_df, time_mode, watermark)
-        .groupBy("user_id")
-        .transformWithStateInPandas(proc, ALERT, "Append", time_mode)
+        _sharded(_keyed(kafka_df, time_mode, watermark))
+        .groupBy("shard")
+        .transformWithStateInPandas(ShardProcessor(proc), ALERT, "Append", time_mode)
     )
 
 
@@ -78,11 +91,10 @@ def segments_stream(
     use_rocksdb(kafka_df.sparkSession)
     ttl = rules.retention_ms if time_mode == "ProcessingTime" else None
     proc = RfmProcessor(rules, timers=time_mode == "EventTime", ttl_ms=ttl)
-    initial = seed.groupBy("user_id") if seed is not None else None
     return (
-        _keyed(kafka_df, time_mode, watermark)
-        .groupBy("user_id")
-        .transformWithStateInPandas(proc, SEGMENT, "Append", time_mode, initialState=initial)
+        _sharded(_keyed(kafka_df, time_mode, watermark))
+        .groupBy("shard")
+        .transformWithStateInPandas(ShardProcessor(proc), SEGMENT, "Append", time_mode, initialState=_seeds(seed))
     )
 
 
@@ -241,14 +253,14 @@ def live_stream(
     clean = judged.where(F.col("reason").isNull())
     timed = clean.withColumn("ts", F.timestamp_millis("event_time")).withWatermark("ts", f"{delay_ms} milliseconds")
     out = (
-        timed.select(*columns)  # without the time column nothing is dropped on the way to the operator
-        .groupBy("user_id")
+        _sharded(timed.select(*columns))  # without the time column nothing is dropped on the way to the operator
+        .groupBy("shard")
         .transformWithStateInPandas(
-            LiveProcessor(rules, anomaly_window_ms),
+            ShardProcessor(LiveProcessor(rules, anomaly_window_ms)),
             ", ".join(f"{c} {t}" for c, t in LIVE.items()),
             "Append",
             "EventTime",
-            initialState=seed.groupBy("user_id") if seed is not None else None,
+            initialState=_seeds(seed),
         )
     )
     rejects = judged.where(F.col("reason").isNotNull()).select(

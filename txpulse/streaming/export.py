@@ -18,14 +18,14 @@ def exported_state(spark: SparkSession, checkpoint: str, window_ms: int, operato
 
     The checkpoint's last committed batch is read in place, a task for each
     state partition; neither the query's input nor its output is. Entries are
-    those of the user's trailing window, from the head row and the buckets.
+    those of the user's trailing window, from the shards' heads and the buckets.
     """
-    head = _variable(spark, checkpoint, operator, "head").select("key.user_id", "value.*")
-    buckets = _variable(spark, checkpoint, operator, "buckets").select("key.user_id", "user_map_value.*")
+    heads = _variable(spark, checkpoint, operator, "heads").select("value.*")
+    buckets = _variable(spark, checkpoint, operator, "buckets").select("user_map_key.user_id", "user_map_value.*")
     names = ("ts", "part", "seq", "units", "deposit")
-    rows = head.select("user_id", *names).unionByName(buckets.select("user_id", *names))
-    each = rows.select("user_id", F.inline(F.arrays_zip(*names)))
-    marks = head.select("user_id", "first_ts", "last_ts")
+    held = heads.select(F.inline(F.arrays_zip(F.col("owner").alias("user_id"), *names)))
+    each = held.unionByName(buckets.select("user_id", F.inline(F.arrays_zip(*names))))
+    marks = heads.select(F.inline(F.arrays_zip("user_id", "first_ts", "last_ts"))).where(F.col("last_ts").isNotNull())
     entries = each.join(marks.select("user_id", "last_ts"), "user_id").where(F.col("ts") >= F.col("last_ts") - window_ms)
     return marks, entries.select("user_id", F.col("ts").alias("event_time"), F.col("part").alias("partition"), "seq", "units", "deposit")
 

@@ -11,6 +11,11 @@ Each micro-batch's rows for a user are sorted by (event_time, partition, seq)
 and merged with the entries; frame totals come from prefix sums and
 ``searchsorted``, so a batch costs O(n log n) vectorised work.
 
+A call of the operator costs some milliseconds whatever it does (state reads and
+writes, timers, an Arrow batch out), so a stream is not keyed by user but by
+shard: ``ShardProcessor`` judges a shard's users in one call, holds their heads
+in one state row and sets one timer for the first of them to expire.
+
 Semantics equal the batch operators: a row sees the entries before it in
 that order that are within the window. Entries are dropped once they are
 older than ``min(newest, watermark) - window``: no row the watermark still
@@ -88,24 +93,34 @@ class _Rows:
         self.sum = df["sum"].to_numpy("float64")
         self.type = df["type"].to_numpy(dtype=object)
         self.user_id = df["user_id"].to_numpy().astype("int32")
-        self.take(np.lexsort((self.seq, self.part, self.ts)))
+        self.take(np.lexsort((self.seq, self.part, self.ts, self.user_id)))
+
+    def users(self) -> Iterator[_Rows]:
+        """Each user's rows."""
+        at = [0, *(np.flatnonzero(np.diff(self.user_id)) + 1).tolist(), self.n]
+        for a, b in zip(at, at[1:]):
+            one = _Rows.__new__(_Rows)
+            for name in ("user_id", "ts", "part", "seq", "sum", "type"):
+                setattr(one, name, getattr(self, name)[a:b])
+            one.n = b - a
+            if one.n:
+                yield one
 
     def take(self, index: np.ndarray) -> None:
         for name in ("user_id", "ts", "part", "seq", "sum", "type"):
             setattr(self, name, getattr(self, name)[index])
         self.n = len(self.ts)
 
-    def split_late(self, watermark: int | None) -> pd.DataFrame | None:
+    def split_late(self, watermark: int | None) -> dict | None:
         """Takes out the rows at or behind the watermark, if any."""
         if watermark is None or watermark <= 0 or self.n == 0 or self.ts[0] > watermark:
             return None
         late = self.ts <= watermark
-        out = pd.DataFrame(
-            {
-                "user_id": self.user_id[late], "partition": self.part[late], "seq": self.seq[late], "type": self.type[late],
-                "sum": self.sum[late], "event_time": self.ts[late], "reason": "behind_watermark",
-            }
-        )
+        out = {
+            "user_id": self.user_id[late], "partition": self.part[late], "seq": self.seq[late], "type": self.type[late],
+            "sum": self.sum[late], "event_time": self.ts[late],
+            "reason": np.full(int(late.sum()), "behind_watermark", dtype=object),
+        }
         self.take(~late)
         return out
 
@@ -179,6 +194,23 @@ class WindowProcessor(StatefulProcessor):
     def width(self) -> int:
         return max(1, self.window_ms // BUCKETS)
 
+    def judge(self, key, b: _Rows, timer_values) -> Iterator[dict[str, np.ndarray]]:
+        """Judges a user's rows and keeps the state; yields the rows that come out, by column."""
+        raise NotImplementedError
+
+    def gone(self, key) -> Iterator[dict[str, np.ndarray]]:
+        """Drops an expired user's state; yields the rows that come out."""
+        self._clear()  # nothing is emitted
+        return iter([])
+
+    def frame(self, parts: list[dict[str, np.ndarray]]) -> pd.DataFrame:
+        """Rows of ``judge`` or ``gone`` as the operator emits them."""
+        return pd.DataFrame({c: np.concatenate([p[c] for p in parts]) for c in parts[0]})
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        for part in self.judge(key, _Rows(rows), timerValues):
+            yield self.frame([part])
+
     def _watermark(self, timer_values) -> int | None:
         # the watermark exists only in EventTime mode (the mode that sets timers)
         return timer_values.getCurrentWatermarkInMs() if self.timers and timer_values is not None else None
@@ -252,12 +284,12 @@ class WindowProcessor(StatefulProcessor):
         return new
 
     def _clear(self) -> None:
+        self.buckets.clear()  # before the head, which names them
         self.state.clear()
-        self.buckets.clear()
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
-        self._clear()  # nothing is emitted
-        return iter([])
+        for part in self.gone(key):
+            yield self.frame([part])
 
     def close(self) -> None:
         pass
@@ -278,30 +310,27 @@ class AnomalyProcessor(WindowProcessor):
         self.idle_ms = window_ms + 1
         self.factor = factor
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        b = _Rows(rows)
+    def judge(self, key, b: _Rows, timer_values) -> Iterator[dict[str, np.ndarray]]:
         frames = self._merge(b)
         newest = int(frames.last[-1])
         self.last = newest
-        self._store(key, newest, self._watermark(timerValues))
+        self._store(key, newest, self._watermark(timer_values))
         yield from _alerts(b, frames, self.window_ms, self.factor)
 
 
-def _alerts(b: _Rows, frames: _Frames, window_ms: int, factor: float) -> Iterator[pd.DataFrame]:
+def _alerts(b: _Rows, frames: _Frames, window_ms: int, factor: float) -> Iterator[dict[str, np.ndarray]]:
     n, total = frames.before("count", window_ms), frames.before("units", window_ms)
     hit = _is_type(b.type, C.CREDIT) & (n > 0) & (total > 0) & (frames.own("units") * n >= factor * total)
     if hit.any():
-        yield pd.DataFrame(
-            {
-                "user_id": b.user_id[hit],
-                "event_time": b.ts[hit],
-                "seq": b.seq[hit],
-                "type": b.type[hit],
-                "sum": b.sum[hit],
-                "avg_check_5min": total[hit] / (n[hit] * C.UNITS).astype("float64"),
-                "message": alert_message(factor),
-            }
-        )
+        yield {
+            "user_id": b.user_id[hit],
+            "event_time": b.ts[hit],
+            "seq": b.seq[hit],
+            "type": b.type[hit],
+            "sum": b.sum[hit],
+            "avg_check_5min": total[hit] / (n[hit] * C.UNITS).astype("float64"),
+            "message": np.full(int(hit.sum()), alert_message(factor), dtype=object),
+        }
 
 
 class RfmProcessor(WindowProcessor):
@@ -314,25 +343,37 @@ class RfmProcessor(WindowProcessor):
         self.idle_ms = rules.retention_ms
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
-        heads = initialState[initialState["is_header"]]
-        ents = initialState[~initialState["is_header"]]
-        self._merge(_Rows(iter([ents])))
-        if len(heads):
-            h = heads.iloc[-1]
-            self.first, self.last = int(h["first_ts"]), int(h["event_time"])
-        if self.last is None:  # entries without a header: no epoch to go on with
+        heads = initialState[initialState["is_header"].astype(bool)]
+        ents = initialState[~initialState["is_header"].astype(bool)]
+        mark = (int(heads["first_ts"].iloc[-1]), int(heads["event_time"].iloc[-1])) if len(heads) else None
+        self.seed(key, _Rows(iter([ents])), mark)
+
+    def seed(self, key, entries: _Rows, mark: tuple[int, int] | None) -> None:
+        """Takes over a user's entries and (first_ts, last_ts), which may come in several calls."""
+        self._merge(entries)
+        if mark is not None:
+            self.first, self.last = mark
+        if self.last is None:  # entries whose header has not come yet
+            order = np.lexsort((self._held[2], self._held[1], self._held[0]))
+            self.state.update((*(x[order].tolist() for x in self._held), *((),) * 5, None, None, None))
             return
         # a restored user expires like any other after a full retention idle
         self._store(key, self.last, None)
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        b = _Rows(rows)
+    def judge(self, key, b: _Rows, timer_values) -> Iterator[dict[str, np.ndarray]]:
+        self._drop_headless()
         frames = self._merge(b)
         judged = self._judge(b, frames)
-        self._store(key, int(frames.last[-1]), self._watermark(timerValues))
-        yield judged[["user_id", "seq", "segment", "r_minutes", "f", "m", "updated_at"]]
+        self._store(key, int(frames.last[-1]), self._watermark(timer_values))
+        yield {c: judged[c] for c in ("user_id", "seq", "segment", "r_minutes", "f", "m", "updated_at")}
 
-    def _judge(self, b: _Rows, frames: _Frames) -> pd.DataFrame:
+    def _drop_headless(self) -> None:
+        """Seeded entries without a header are no epoch to go on with."""
+        head = self.state.get()
+        if head is not None and head[11] is None:
+            self.state.clear()
+
+    def _judge(self, b: _Rows, frames: _Frames) -> dict[str, np.ndarray]:
         """Every row's values; moves the epoch marks on. ``ended``: the epoch that the row closes, by its last time."""
         r, new_ts, pos = self.rules, b.ts, frames.pos
         first0, last0 = self.first, self.last
@@ -367,19 +408,17 @@ class RfmProcessor(WindowProcessor):
         )
         newest = int(frames.last[-1])
         self.first, self.last = int(first[-1]), newest if last0 is None else max(newest, last0)
-        return pd.DataFrame(
-            {
-                "user_id": b.user_id,
-                "seq": b.seq,
-                "segment": segment,
-                "r_minutes": r_minutes.astype("float64"),
-                "f": f.astype("int64"),
-                "m": deposits / float(C.UNITS),
-                "updated_at": new_ts,
-                "first_ts": first.astype("int64"),
-                "ended": np.where(starts & has_prev, prev, -(2**63)),
-            }
-        )
+        return {
+            "user_id": b.user_id,
+            "seq": b.seq,
+            "segment": segment,
+            "r_minutes": r_minutes.astype("float64"),
+            "f": f.astype("int64"),
+            "m": deposits / float(C.UNITS),
+            "updated_at": new_ts,
+            "first_ts": first.astype("int64"),
+            "ended": np.where(starts & has_prev, prev, -(2**63)),
+        }
 
 
 class LiveProcessor(RfmProcessor):
@@ -406,31 +445,45 @@ class LiveProcessor(RfmProcessor):
         self.windows = (anomaly_window_ms,)
         self.factor = factor
 
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        b = _Rows(rows)
-        watermark = self._watermark(timerValues)
+    def judge(self, key, b: _Rows, timer_values) -> Iterator[dict[str, np.ndarray]]:
+        self._drop_headless()
+        watermark = self._watermark(timer_values)
         late = b.split_late(watermark)
         if late is not None:
-            yield _live(late, "late")
+            yield {"kind": "late", **late}
         if not b.n:
             return
         frames = self._merge(b)
         judged = self._judge(b, frames)
         self._store(key, int(frames.last[-1]), watermark)
-        own = {"partition": b.part, "type": b.type, "sum": b.sum}
-        yield _live(judged.rename(columns={"updated_at": "event_time"}).assign(**own), "segment")
+        ended = judged.pop("ended")
+        event_time = judged.pop("updated_at")
+        yield {"kind": "segment", **judged, "event_time": event_time, "partition": b.part, "type": b.type, "sum": b.sum}
         for alerts in _alerts(b, frames, self.windows[0], self.factor):
-            yield _live(alerts, "alert")
-        ended = judged["ended"].to_numpy()
+            yield {"kind": "alert", **alerts}
         ended = ended[ended != -(2**63)]
         if len(ended):
-            yield _live(pd.DataFrame({"user_id": b.user_id[: len(ended)], "event_time": ended}), "expired")
+            yield {"kind": "expired", "user_id": b.user_id[: len(ended)], "event_time": ended}
 
-    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo):
+    def gone(self, key) -> Iterator[dict[str, np.ndarray]]:
         head = self.state.get()
         self._clear()
-        if head is not None:
-            yield _live(pd.DataFrame({"user_id": np.array([key[0]], "int32"), "event_time": [head[11]]}), "expired")
+        if head is not None and head[11] is not None:
+            yield {"kind": "expired", "user_id": np.array([key[0]], "int32"), "event_time": np.array([head[11]], "int64")}
+
+    def frame(self, parts: list[dict[str, np.ndarray]]) -> pd.DataFrame:
+        """Rows with all columns of LIVE, missing ones null."""
+        counts = [len(p["user_id"]) for p in parts]
+        out = {"kind": np.repeat(np.array([p["kind"] for p in parts], dtype=object), counts)}
+        for c in list(LIVE)[1:]:
+            values = np.full(sum(counts), None, dtype=object)
+            at = 0
+            for p, n in zip(parts, counts, strict=True):
+                if c in p:
+                    values[at : at + n] = p[c]
+                at += n
+            out[c] = values
+        return pd.DataFrame(out, dtype=object)
 
 
 LIVE = {
@@ -439,9 +492,163 @@ LIVE = {
     "f": "long", "m": "double", "first_ts": "long", "reason": "string",
 }
 
+#: The heads of a shard's users: one value a user (n, b: entries and buckets of it), then the entries and bucket
+#: summaries of all users in that order. ``owner``: whose entry it is; ``seen``: wall clock of the last write.
+SHARD_STATE = (
+    f"user_id array<int>, first_ts array<long>, last_ts array<long>, expires_at array<long>, seen array<long>, n array<int>, "
+    f"b array<int>, owner array<int>, {ENTRIES}, b_id array<long>, b_n array<long>, b_last array<long>, b_units array<long>, "
+    "b_deposits array<long>, timer_at long"
+)
+
+
+class _Head:
+    """A user's head within its shard, as the user's processor sees it."""
+
+    def __init__(self, heads: dict[int, tuple], user: int):
+        self.heads, self.user = heads, user
+
+    def get(self) -> tuple | None:
+        return self.heads.get(self.user)
+
+    def update(self, value: tuple) -> None:
+        self.heads[self.user] = value
+
+    def clear(self) -> None:
+        self.heads.pop(self.user, None)
+
+
+class _Buckets:
+    """A user's rows of the shard's bucket map."""
 
-def _live(rows: pd.DataFrame, kind: str) -> pd.DataFrame:
-    """Rows with all columns of LIVE, missing ones null."""
-    nothing = np.full(len(rows), None, dtype=object)
-    columns = {c: rows[c].to_numpy(dtype=object) if c in rows else nothing for c in LIVE}
-    return pd.DataFrame(columns | {"kind": np.full(len(rows), kind, dtype=object)}, dtype=object)
+    def __init__(self, rows, user: int, heads: dict[int, tuple]):
+        self.rows, self.user, self.heads = rows, user, heads
+
+    def getValue(self, key):
+        return self.rows.getValue((self.user, *key))
+
+    def updateValue(self, key, value) -> None:
+        self.rows.updateValue((self.user, *key), value)
+
+    def removeKey(self, key) -> None:
+        self.rows.removeKey((self.user, *key))
+
+    def clear(self) -> None:
+        for b in self.heads[self.user][5] if self.user in self.heads else ():  # those that the head names
+            self.removeKey((b,))
+
+
+class _NoTimers:
+    """The shard has the timer; a head only says when it would be."""
+
+    def deleteTimer(self, at: int) -> None:
+        pass
+
+    def registerTimer(self, at: int) -> None:
+        pass
+
+
+class ShardProcessor(StatefulProcessor):
+    """A ``WindowProcessor`` for each user of a shard, with one state read, one write and one frame out a micro-batch.
+
+    The rows' users are judged one after the other by the same code as if each
+    were a key of its own. Buckets stay one map row each, so a user too large
+    for a head moves no more state than before.
+    """
+
+    def __init__(self, user: WindowProcessor):
+        self.user = user
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.heads = handle.getValueState("heads", SHARD_STATE, self.user.ttl_ms)
+        self.buckets = handle.getMapState("buckets", "user_id int, bucket long", ENTRIES, self.user.ttl_ms)
+        self.user.handle = _NoTimers()
+
+    def _load(self, now: int | None) -> None:
+        """Reads the shard's heads; of users whose time to live has passed at ``now`` (wall clock) nothing is kept."""
+        self.held: dict[int, tuple] = {}
+        self.seen: dict[int, int] = {}
+        self.timer_at = None
+        state = self.heads.get()
+        if state is None:
+            return
+        users, first, last, expires, seen, n, b = state[:7]
+        entries, summary, self.timer_at = state[8:13], state[13:18], state[18]
+        i = j = 0
+        for k, user in enumerate(users):
+            i0, j0 = i, j
+            i, j = i + n[k], j + b[k]
+            head = (*(x[i0:i] for x in entries), *(x[j0:j] for x in summary), first[k], last[k], expires[k])
+            if now is not None and seen[k] + self.user.ttl_ms <= now:
+                continue  # its buckets have the same time to live
+            self.held[user], self.seen[user] = head, seen[k]
+
+    def _save(self, fired: int | None = None) -> None:
+        """Writes the heads; moves the timer to the first user's expiry. ``fired``: a timer that the caller removes."""
+        due = min((h[12] for h in self.held.values() if h[12] is not None), default=None) if self.user.timers else None
+        if due != self.timer_at:
+            if self.timer_at is not None and self.timer_at != fired:
+                self.handle.deleteTimer(self.timer_at)
+            if due is not None:
+                self.handle.registerTimer(due)
+        if not self.held:
+            self.heads.clear()
+            return
+        users, heads = list(self.held), list(self.held.values())
+        counts = [len(h[0]) for h in heads]
+        owner = np.repeat(np.array(users, "int32"), counts).tolist()
+        flat = [[v for h in heads for v in h[c]] for c in range(10)]
+        marks = [[h[c] for h in heads] for c in (10, 11, 12)]
+        seen = [self.seen.get(u, 0) for u in users]
+        self.heads.update((users, *marks, seen, counts, [len(h[5]) for h in heads], owner, *flat, due))
+
+    def _as(self, user: int) -> WindowProcessor:
+        self.user.state = _Head(self.held, user)
+        self.user.buckets = _Buckets(self.buckets, user, self.held)
+        return self.user
+
+    def _now(self, timer_values) -> int | None:
+        return timer_values.getCurrentProcessingTimeInMs() if self.user.ttl_ms is not None else None
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
+        """A shard's users, whose rows may be spread over several calls."""
+        now = self._now(timerValues)
+        self._load(now)
+        header = initialState["is_header"].to_numpy(dtype=bool)
+        marks = initialState[header]
+        marks = {
+            u: (int(a), int(b))
+            for u, a, b in zip(marks["user_id"].to_numpy().tolist(), marks["first_ts"].tolist(), marks["event_time"].tolist(), strict=True)
+        }
+        nothing = _Rows(iter([initialState[:0]]))
+        entries = {int(b.user_id[0]): b for b in _Rows(iter([initialState[~header]])).users()}
+        for user in (marks | entries).keys():
+            self._as(user).seed((user,), entries.get(user, nothing), marks.get(user))
+            self.seen[user] = now or 0
+        self._save()
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        now = self._now(timerValues)
+        self._load(now)
+        parts = []
+        for b in _Rows(rows).users():
+            user = int(b.user_id[0])
+            parts += self._as(user).judge((user,), b, timerValues)
+            self.seen[user] = now or 0
+        self._save()
+        if parts:
+            yield self.user.frame(parts)
+
+    def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._load(self._now(timerValues))
+        fired, watermark = expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs()
+        parts = []
+        for user, head in list(self.held.items()):
+            if head[12] is not None and (head[12] < watermark or head[12] <= fired):
+                parts += self._as(user).gone((user,))
+        self._save(fired)
+        if parts:
+            yield self.user.frame(parts)
+
+    def close(self) -> None:
+        self.user.close()
