@@ -104,3 +104,21 @@ def test_a_seed_in_pieces_is_the_seed():
             p.handleInitialState((0,), seed[a:b], _Timers(0))
         results.append(pd.concat(p.handleInputRows((0,), iter([new]), None)).f.tolist())
     assert results == [[3, 2, 1]] * 3  # user 3 has no header: its entry is no epoch to go on with
+
+
+def test_a_restart_loses_no_row_when_event_ids_are_not_in_time_order(spark, tmp_path):
+    from txpulse.streaming.replay import restart_rows
+
+    rng = np.random.default_rng(5)
+    n = 400
+    ts = pd.Timestamp("2024-01-01") + pd.to_timedelta(np.sort(rng.integers(0, 30 * DAY, n)), unit="ms")
+    ids = rng.permutation(n) + 7
+    events = pd.DataFrame({
+        "event_id": ids, "ts": ts, "user_id": rng.integers(0, 20, n), "event_type": rng.choice(["click", "purchase"], n),
+        "value": rng.integers(1, 50_000, n) / 100, "props": "{}",
+    })
+    rows = spark.createDataFrame(events)
+    rows.selectExpr("event_id", "cast(ts as timestamp_ntz) ts", "user_id", "event_type", "value", "props").write.parquet(str(tmp_path / "events.parquet"))
+    got = restart_rows(spark, str(tmp_path)).select("seq", "updated_at").collect()
+    want = sorted(zip(ids.tolist(), (ts.astype("datetime64[ms]").astype("int64")).tolist()))
+    assert sorted((r.seq, r.updated_at) for r in got) == want

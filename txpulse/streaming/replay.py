@@ -15,7 +15,7 @@ This is a test and replay harness, not the production source.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txpulse.functions import constants as C
@@ -207,7 +207,8 @@ def replay_restart(spark: SparkSession, tx: DataFrame, rules: RfmRules = RfmRule
 
     The first run commits the first half of the time, then writes the tables
     of one more batch without its commit record. The new run starts from the
-    last record: state from the tables, source from its offsets.
+    last record: state from the tables, source from its offsets, so ``seq`` has
+    to grow as the records arrive, as a topic's offsets do (see ``arrival_numbers``).
     """
     root = scratch_path(spark, "live")
     tables = LiveTables(spark, root, snapshot_every=2)
@@ -228,10 +229,23 @@ def replay_restart(spark: SparkSession, tx: DataFrame, rules: RfmRules = RfmRule
     return tables
 
 
+def arrival_numbers(tx: DataFrame) -> tuple[DataFrame, Column]:
+    """``tx`` with ``seq`` growing by half of the time and slice, as ``replay_restart`` writes them, and what gives ``seq`` back.
+
+    Event ids need not follow the time; within a slice they stay in order.
+    """
+    t = split_time(tx)
+    part = F.expr(f"2 * ((event_time - pmod(event_time, {SLICE_MS})) div {SLICE_MS}) + if(event_time >= {t}, 1, 0)")
+    low, high, begun = tx.agg(F.min("seq"), F.max("seq"), F.min(part)).first()
+    span = high - low + 1
+    return tx.withColumn("seq", (part - begun) * F.lit(span) + (F.col("seq") - low)), F.col("seq") % F.lit(span) + low
+
+
 def restart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver query: every transaction with its segment, once, across the lost run and the new one."""
-    tables = replay_restart(spark, events_transactions(spark, sf_dir), SCALED_RULES)
-    rows = tables.read("segments")
+    tx, seq = arrival_numbers(events_transactions(spark, sf_dir))
+    tables = replay_restart(spark, tx, SCALED_RULES)
+    rows = tables.read("segments").withColumn("seq", seq)
     return rows.select("user_id", "seq", "type", "sum", F.col("event_time").alias("updated_at"), "segment", "r_minutes", "f", "m")
 
 
