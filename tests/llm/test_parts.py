@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import brute
 from txpulse.llm import decontaminate, exact_dedup, html_extract, jaccard_join, language_id, line_dedup, mixing, quality, span_dedup, tokens, url_filter
-from txpulse.llm.common import word_count
+from txpulse.llm.common import slices, word_count
 
 TEXTS = ["", " a  b\tc ", "Größe ÜBER alles", "x" * 9000, " ", "one word", "A B C a b c", "Ω\x1eβ γ\x0b\x0cδ"]
 
@@ -473,3 +473,25 @@ def test_ordinal_fit_reaches_the_optimum_of_a_plain_search():
     assert np.abs(model.weights[:6] - x[:6]).max() < 0.05 and np.abs(model.cuts - x[6:]).max() < 0.05
     want = np.array([[1 / (1 + np.exp(c - model.weights[r].sum())) for c in model.cuts] for r in rows])
     assert np.allclose(model.tails(rows), want)
+
+
+def test_a_batch_is_cut_without_a_copy_of_its_texts():
+    rows = ["x" * 100_000, None, ""] * 120
+    batch = pa.RecordBatch.from_pydict({"n": list(range(360)), "text": pa.array(rows, pa.string())})
+    held, most, got = pa.total_allocated_bytes(), 0, []
+    for part, texts in slices(batch, "text"):
+        most = max(most, pa.total_allocated_bytes() - held)
+        assert len(part) == len(texts)
+        got += zip(part.column("n").to_pylist(), texts.to_pylist())
+    assert got == list(enumerate(r or "" for r in rows))
+    assert most < 8_000_000  # of 12 MB of texts
+
+
+def test_first_look_of_a_small_benchmark_is_small():
+    rng = random.Random(8)
+    items = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(30))) for i in range(40)]
+    seeds = decontaminate.Seeds(items)
+    assert sum(m[4].nbytes for m in seeds.masks) < 1 << 20
+    text = " ".join(["before", *items[7][1].split()[5:25], "behind"])
+    assert [r[:2] for r in seeds.overlaps(*decontaminate.doc_words(large(["none of it", text])))] == [(1, 7)]
+    assert all(look[(h >> np.uint64(65 - len(look).bit_length())).astype(np.int64)].all() for _, h, _, _, look in seeds.masks)

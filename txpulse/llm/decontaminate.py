@@ -23,8 +23,8 @@ MIN_WORDS = 5
 MASKS = 8
 #: Bytes of benchmark text that are searched for in one pass over the documents.
 BLOCK_BYTES = 1 << 22
-#: Bits of the first look at a hash.
-FILTER_BITS = 22
+#: Most bits of the first look at a hash, and how many places there are for each hash otherwise.
+FILTER_BITS, FILTER_PLACES = 22, 64
 #: Hits that are laid out at once.
 HITS = 1 << 20
 
@@ -87,8 +87,9 @@ class Seeds:
         for mask, parts in found.items():
             h, item, place = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(h, kind="stable")
-            look = np.zeros(1 << FILTER_BITS, bool)
-            look[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+            bits = min(FILTER_BITS, max(1, FILTER_PLACES * len(h) - 1).bit_length())  # every worker holds them
+            look = np.zeros(1 << bits, bool)
+            look[(h >> np.uint64(64 - bits)).astype(np.int64)] = True
             self.masks.append((mask, h[order], item[order], place[order], look))
 
     def overlaps(self, hashes: np.ndarray, first: np.ndarray):
@@ -98,7 +99,7 @@ class Seeds:
         span = len(hashes) + longest + 1  # a hit is one number: document, item, place of the item's first word
         for mask, seeds, item, place, look in self.masks:
             h = runs(hashes, mask[-1] + 1, mask)
-            at = np.flatnonzero(look[(h >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+            at = np.flatnonzero(look[(h >> np.uint64(65 - len(look).bit_length())).astype(np.int64)])
             low, high = np.searchsorted(seeds, h[at]), np.searchsorted(seeds, h[at], side="right")
             every = high - low
             at, low, every = at[every > 0], low[every > 0], every[every > 0]
@@ -207,18 +208,16 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     """The documents, with all columns, that contain no item (see ``contaminated_spans``)."""
     for seeds in benchmark_blocks(benchmark, item_id_col, item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(seeds)
+        docs = docs.where(~F.arrow_udf(_contains(shared), "boolean")(F.col(text_col)))
+    return docs
 
-        def hits(column, shared=shared):
-            import pandas as pd
 
-            texts = pa.RecordBatch.from_pydict({"text": pa.array(column, pa.string())})
-            found, before = [], 0
-            for part, own in slices(texts, "text"):
-                found += [before + r[0] for r in shared.value.overlaps(*doc_words(own))]
-                before += len(own)
-            out = pd.Series(False, index=range(len(column)))
-            out[found] = True
-            return out
+def _contains(shared):
+    def hits(column: pa.Array) -> pa.Array:
+        found, before = np.zeros(len(column), bool), 0
+        for _, own in slices(pa.RecordBatch.from_pydict({"text": column}), "text"):
+            found[[before + r[0] for r in shared.value.overlaps(*doc_words(own))]] = True
+            before += len(own)
+        return pa.array(found)
 
-        docs = docs.where(~F.pandas_udf(hits, "boolean")(F.col(text_col)))
-    return docs
+    return hits
