@@ -1,6 +1,7 @@
 """Small parts of the operators against plain versions."""
 
 import hashlib
+import os
 import random
 import time
 from itertools import combinations
@@ -120,6 +121,32 @@ def test_parity_sketch_is_a_lower_bound(seed):
     assert sum(((p ^ q) & (2**64 - 1)).bit_count() for p, q in zip(x, y)) <= len(a ^ b)
 
 
+def test_sketches_and_counts_are_small_and_go_before_the_lists(spark, monkeypatch):
+    """The join's disk: a bit or two a member, and no table of all rows' sketches and all tasks' counts once the pairs are made."""
+    members = np.arange(3000, dtype=np.uint64)
+    assert 64 * len(jaccard_join.parity_sketch(members)) <= 2 * len(members)
+
+    written, with_counts, left, counts = jaccard_join.written, [], [], []
+
+    def watched(df, name):
+        if name == "named":
+            left.extend(p for p in with_counts if os.path.exists(p))
+        out = written(df, name)
+        if "counts" in out.columns:
+            with_counts.extend(f.removeprefix("file://") for f in out.inputFiles())
+            counts.extend(len(r["counts"]) for r in out.where("counts is not null").collect())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", watched)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join(words[1:]), " ".join(words[2:]), " ".join(words[::-1]), "one two"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 4}
+    assert with_counts and left == []
+    assert max(counts) < jaccard_join.SLOTS // jaccard_join.BLOCKS
+
+
 def _changed(rng, line, n):
     line = list(line)
     for _ in range(n):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import OrderedDict
 
 import numpy as np
@@ -18,8 +19,8 @@ SLOT_BITS, BLOCKS = 20, 32
 SLOTS = 1 << SLOT_BITS
 #: Bits of the filter on classes whose sets are needed.
 FILTER_BITS = 1 << 23
-#: 64-bit words of a set's parity sketch at least; a larger set has at least four bits a member.
-PARITY = 16
+#: 64-bit words of a set's parity sketch at least; a larger set has at least one bit a member.
+PARITY = 8
 #: Rounds in which the class with most links is the query of a list, before all pairs left are.
 HUB_ROUNDS = 2
 #: Sets searched at once for one query set.
@@ -69,7 +70,7 @@ def parity_sketch(s: np.ndarray) -> list[int]:
     shorter one by taking its halves' exclusive or.
     """
     n_words = PARITY
-    while 64 * n_words < 4 * len(s):
+    while 64 * n_words < len(s):
         n_words *= 2
     odd = np.bincount((mix(s) >> np.uint64(24)).astype(np.int64) % (64 * n_words), minlength=64 * n_words) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
@@ -98,7 +99,7 @@ def _classes(k: int):
             yield pa.RecordBatch.from_pydict(
                 {"id": pa.nulls(2 * BLOCKS, none), "n": pa.nulls(2 * BLOCKS, pa.int64()), "cid": pa.nulls(2 * BLOCKS, pa.binary()),
                  "sketch": pa.nulls(2 * BLOCKS, pa.list_(pa.int64())), "block": pa.array(range(2 * BLOCKS), pa.int32()),
-                 "counts": pa.array([c.tobytes() for c in np.split(counts.reshape(-1), 2 * BLOCKS)], pa.binary())}
+                 "counts": pa.array([zlib.compress(c.tobytes(), 1) for c in np.split(counts.reshape(-1), 2 * BLOCKS)], pa.binary())}
             )
 
     return run
@@ -109,7 +110,7 @@ def _sum_block(batches):
     held: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            held[block] = held.get(block, 0) + np.frombuffer(counts, np.int32).astype(np.int64)
+            held[block] = held.get(block, 0) + np.frombuffer(zlib.decompress(counts), np.int32).astype(np.int64)
     yield pa.RecordBatch.from_pydict(
         {"block": pa.array(list(held), pa.int32()), "counts": pa.array([c.tobytes() for c in held.values()], pa.binary())}
     )
@@ -334,13 +335,14 @@ def _found(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
     spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     id_type = src.schema["id"].dataType.simpleString()
-    rows = written(src.mapInArrow(_classes(k), f"id {id_type}, n long, cid binary, sketch array<long>, block int, counts binary"), "classes")
-    classes = rows.where("block is null").select("id", "n", "cid")
-    marks = rows.where("block is null and n > 0").select("cid", "n", "sketch").dropDuplicates(["cid"])
-    marks = written(marks, "marks")
-
-    blocks = rows.where("block is not null").select("block", "counts")
-    blocks = blocks.repartition("block").mapInArrow(_sum_block, "block int, counts binary").collect()
+    with scope(spark):  # sketches of all rows and counts of all tasks go when their sums are there
+        rows = written(src.mapInArrow(_classes(k), f"id {id_type}, n long, cid binary, sketch array<long>, block int, counts binary"), "rows")
+        classes = kept(rows.where("block is null").select("id", "n", "cid"), "classes")
+        marks = rows.where("block is null and n > 0").select("cid", "n", "sketch").dropDuplicates(["cid"])
+        marks = kept(marks, "marks")
+
+        blocks = rows.where("block is not null").select("block", "counts")
+        blocks = blocks.repartition("block").mapInArrow(_sum_block, "block int, counts binary").collect()
     counts = np.zeros((2 * BLOCKS, SLOTS // BLOCKS), np.int64)
     for r in blocks:
         counts[r["block"]] += np.frombuffer(r["counts"], np.int64)
@@ -353,7 +355,8 @@ def _found(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
         F.first("cid").over(by_key).alias("u"), F.first("n").over(by_key).alias("n_u"),
         F.lag("cid").over(by_key).alias("last"),
     )
-    shared = written(keys.where("u != cid and last != cid").select("key", "cid", "n", "u", "n_u"), "lists")
+    with scope(spark):
+        shared = kept(keys.where("u != cid and last != cid").select("key", "cid", "n", "u", "n_u"), "lists")
     near = lambda a, b: F.lit(den) * F.least(a, b) >= F.lit(num) * F.greatest(a, b)
     pairs = shared.where(near("n", "n_u")).select("u", F.col("cid").alias("v")).distinct()
 
@@ -363,13 +366,14 @@ def _found(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
     def links(pairs: DataFrame, name: str) -> DataFrame | None:
         """The pairs that link; None if sizes and sketches leave none."""
         with scope(spark):
-            possible = written(marked(marked(pairs, "u"), "v").where(_alike(num, den)).select("u", "v"), f"{name}-pairs")
+            with scope(spark):  # the lists' shuffles go before the sets'
+                possible = kept(marked(marked(pairs, "u"), "v").where(_alike(num, den)).select("u", "v"), f"{name}-pairs")
             return None if possible.isEmpty() else kept(_links(src, possible, k, num, den), f"{name}-links")
 
-    def mixed(roots: DataFrame) -> DataFrame:
-        """(key, cid, n, root, main): the lists, without their first class, that more than one component is in."""
+    def mixed(lists: DataFrame, roots: DataFrame) -> DataFrame:
+        """(key, cid, n, root, main): those of ``lists``, without their first class, that more than one component is in."""
         with scope(spark):
-            named = shared.select("key", "cid", "n").join(roots.withColumnRenamed("u", "cid"), "cid", "left")
+            named = lists.select("key", "cid", "n").join(roots.withColumnRenamed("u", "cid"), "cid", "left")
             named = written(named.select("key", "cid", "n", F.coalesce("root", "cid").alias("root")), "named")
             per = named.groupBy("key", "root").agg(F.count("*").alias("m")).groupBy("key").agg(
                 F.count("*").alias("roots"), F.max_by("root", "m").alias("main")
@@ -390,7 +394,7 @@ def _found(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
     found = links(pairs, "first")
     found = nothing if found is None else found
     roots = components(found)
-    lists = mixed(roots)
+    lists = mixed(shared, roots)
     for i in range(HUB_ROUNDS):
         pairs = with_hub().where("links > 0").where(F.col("root") != F.col("root_hub")).where(near("n", "n_hub"))
         more = links(pairs.select(F.col("hub").alias("u"), F.col("cid").alias("v")).distinct(), f"hub-{i}")
@@ -398,7 +402,7 @@ def _found(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
             break
         found = written(found.union(more), "found")
         roots = components(found)
-        lists = mixed(roots)
+        lists = mixed(lists, roots)  # components only grow: a list of one stays so
 
     # lists of one hub hold mostly the same classes: together they make each pair once
     members = with_hub().select("hub", "cid", "n", "root").distinct()
