@@ -147,6 +147,40 @@ def test_sketches_and_counts_are_small_and_go_before_the_lists(spark, monkeypatc
     assert max(counts) < jaccard_join.SLOTS // jaccard_join.BLOCKS
 
 
+def test_sets_are_made_of_the_texts_that_are_needed_only(spark, monkeypatch):
+    """The join's time: a pass for a few sets cuts no other texts into shingles, and has all it needs."""
+    texts = ["a b c d", *(f"t{i} u{i} v{i}" for i in range(300)), None, "A  b c D", ""]
+    named = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("name", F.xxhash64("text"))
+    bits = jaccard_join._text_filter(named.where("text = 'A  b c D' or text is null").select(F.lit(b"c").alias("cid"), "name"))
+    batch = pa.RecordBatch.from_pydict({c: [r[c] for r in named.collect()] for c in ("text", "name")})
+    read, words = [], jaccard_join.words
+
+    def watched(part):
+        read.extend(part.to_pylist())
+        return words(part)
+
+    monkeypatch.setattr(jaccard_join, "words", watched)
+    bitmap = type("Broadcast", (), {"value": bits})
+    made = [r for out in jaccard_join._sets(3, bitmap)(iter([batch, batch.slice(0, 0)])) for r in out.to_pylist()]
+    assert "A  b c D" in read and len(read) < 10
+    hashes, _, _, first = tokens.words(large(["a b c d"]))
+    (want,) = tokens.shingle_sets(hashes, first, 3)
+    assert [(r["cid"], r["body"]) for r in made] == [(jaccard_join.class_id(want), want.tobytes())]
+
+
+def test_links_of_texts_with_equal_sets_and_clashing_ids(spark):
+    """A class of several texts is searched by whichever of them names it, also if ids repeat or are null."""
+    words = [f"w{i}" for i in range(60)]
+    near = " ".join(words[:-1])
+    rows = [(5, " ".join(words)), (5, "other text here"), (None, " ".join(words).upper()), (7, "  ".join(words)), (3, near),
+            (None, None), (9, f" {near}"), (9, near.title()), (8, "other text there")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard_join.jaccard_components(docs, 3, 90, 100).collect()
+    large_ones = [(r.doc_id, r.component_id) for r in got if r.n_shingles > 2]
+    assert sorted(large_ones, key=str) == sorted([(5, 3), (None, 3), (7, 3), (3, 3), (9, 3), (9, 3)], key=str)
+    assert len(got) == len(rows)
+
+
 def _changed(rng, line, n):
     line = list(line)
     for _ in range(n):

@@ -17,7 +17,7 @@ from txpulse.llm.tokens import mix, shingle_sets, weighed_shingles, words
 #: Counters of the sketch of shingles, and of that of words, in blocks that are summed each by itself.
 SLOT_BITS, BLOCKS = 20, 32
 SLOTS = 1 << SLOT_BITS
-#: Bits of the filter on classes whose sets are needed.
+#: Bits of the filter on texts whose sets are needed.
 FILTER_BITS = 1 << 23
 #: 64-bit words of a set's parity sketch at least; a larger set has at least one bit a member.
 PARITY = 8
@@ -89,7 +89,7 @@ def _classes(k: int):
                 for i, every in enumerate((np.concatenate(sets) if m else hashes, hashes)):
                     counts[i] += np.bincount(slots(every), minlength=SLOTS).astype(np.int32)
                 yield pa.RecordBatch.from_pydict(
-                    {"id": part.column("id"), "n": pa.array([len(s) for s in sets], pa.int64()),
+                    {"id": part.column("id"), "name": part.column("name"), "n": pa.array([len(s) for s in sets], pa.int64()),
                      "cid": pa.array([class_id(s) for s in sets], pa.binary()),
                      "sketch": pa.array([parity_sketch(s) for s in sets], pa.list_(pa.int64())),
                      "block": pa.nulls(m, pa.int32()), "counts": pa.nulls(m, pa.binary())}
@@ -97,7 +97,8 @@ def _classes(k: int):
                 none = part.column("id").type
         if none is not None:
             yield pa.RecordBatch.from_pydict(
-                {"id": pa.nulls(2 * BLOCKS, none), "n": pa.nulls(2 * BLOCKS, pa.int64()), "cid": pa.nulls(2 * BLOCKS, pa.binary()),
+                {"id": pa.nulls(2 * BLOCKS, none), "name": pa.nulls(2 * BLOCKS, pa.int64()),
+                 "n": pa.nulls(2 * BLOCKS, pa.int64()), "cid": pa.nulls(2 * BLOCKS, pa.binary()),
                  "sketch": pa.nulls(2 * BLOCKS, pa.list_(pa.int64())), "block": pa.array(range(2 * BLOCKS), pa.int32()),
                  "counts": pa.array([zlib.compress(c.tobytes(), 1) for c in np.split(counts.reshape(-1), 2 * BLOCKS)], pa.binary())}
             )
@@ -158,20 +159,18 @@ def _prefixes(k: int, num: int, den: int, sketch):
 
 
 def _sets(k: int, bitmap):
-    """Sets of the classes that the filter lets through."""
+    """Sets of the texts that the filter lets through; the others are not cut into shingles."""
 
     def run(batches):
         bits, once = bitmap.value, _Once()
         for batch in batches:
-            for _, texts in slices(batch, "text"):
+            at = batch.column("name").to_numpy().astype(np.int64) % FILTER_BITS
+            through = bits[at >> 6] >> (at & 63).astype(np.uint64) & np.uint64(1)
+            for _, texts in slices(batch.filter(pa.array(through.astype(bool))), "text"):
                 out = []
                 hashes, _, _, first = words(texts)
                 for s in shingle_sets(hashes, first, k):
-                    if not len(s):
-                        continue
-                    cid = class_id(s)
-                    at = int.from_bytes(cid[:8], "big") % FILTER_BITS
-                    if bits[at >> 6] >> np.uint64(at & 63) & np.uint64(1) and once(cid):
+                    if len(s) and once(cid := class_id(s)):
                         out.append((cid, s.tobytes()))
                 if out:
                     cid, body = zip(*out, strict=True)
@@ -265,10 +264,10 @@ def _alike(num: int, den: int):
     return ~comparable | (differ <= total - 2 * need)
 
 
-def _class_filter(cids: DataFrame) -> np.ndarray:
-    """Bits of the classes in ``cids``: of fixed size, and full, that is without effect, at worst."""
-    at = F.pmod(F.conv(F.hex(F.substring("cid", 5, 4)), 16, 10).cast("long"), F.lit(FILTER_BITS))
-    words = cids.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+def _text_filter(names: DataFrame) -> np.ndarray:
+    """Bits of the texts in ``names``: of fixed size, and full, that is without effect, at worst."""
+    at = F.pmod("name", F.lit(FILTER_BITS))
+    words = names.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
     ).toPandas()
     bits = np.zeros(FILTER_BITS // 64, np.uint64)
@@ -276,11 +275,14 @@ def _class_filter(cids: DataFrame) -> np.ndarray:
     return bits
 
 
-def _links(src: DataFrame, pairs: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Those of the distinct candidate pairs (u, v) that link, by their whole sets."""
+def _links(src: DataFrame, pairs: DataFrame, names: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Those of the distinct candidate pairs (u, v) that link, by their whole sets.
+
+    ``names`` (cid, name) has the hash of one text of each class, so only texts of that hash are read for the sets.
+    """
     cids = pairs.select(F.col("u").alias("cid")).union(pairs.select("v")).distinct()
-    bitmap = src.sparkSession.sparkContext.broadcast(_class_filter(cids))
-    sets = src.mapInArrow(_sets(k, bitmap), "cid binary, body binary").join(cids, "cid", "left_semi")
+    bitmap = src.sparkSession.sparkContext.broadcast(_text_filter(names.join(cids, "cid")))
+    sets = src.select("text", "name").mapInArrow(_sets(k, bitmap), "cid binary, body binary").join(cids, "cid", "left_semi")
     sets = written(sets.dropDuplicates(["cid"]), "sets")
     count = pairs.groupBy("u").agg(F.ceil(F.count("*") / (BLOCK_SETS // 2)).cast("long").alias("salts"))
     pairs = pairs.join(count, "u").withColumn("salt", F.pmod(F.xxhash64("v"), "salts"))
@@ -333,12 +335,12 @@ def _components(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_c
 
 def _found(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("name"))
     id_type = src.schema["id"].dataType.simpleString()
     with scope(spark):  # sketches of all rows and counts of all tasks go when their sums are there
-        rows = written(src.mapInArrow(_classes(k), f"id {id_type}, n long, cid binary, sketch array<long>, block int, counts binary"), "rows")
+        rows = written(src.mapInArrow(_classes(k), f"id {id_type}, name long, n long, cid binary, sketch array<long>, block int, counts binary"), "rows")
         classes = kept(rows.where("block is null").select("id", "n", "cid"), "classes")
-        marks = rows.where("block is null and n > 0").select("cid", "n", "sketch").dropDuplicates(["cid"])
+        marks = rows.where("block is null and n > 0").select("cid", "n", "sketch", "name").dropDuplicates(["cid"])
         marks = kept(marks, "marks")
 
         blocks = rows.where("block is not null").select("block", "counts")
@@ -348,7 +350,7 @@ def _found(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
         counts[r["block"]] += np.frombuffer(r["counts"], np.int64)
     sketch = spark.sparkContext.broadcast(Rarity(counts))
 
-    keys = src.mapInArrow(_prefixes(k, num, den, sketch), "key long, cid binary, n long")
+    keys = src.select("text").mapInArrow(_prefixes(k, num, den, sketch), "key long, cid binary, n long")
     by_key = Window.partitionBy("key").orderBy("cid")
     keys = keys.select(
         "key", "cid", "n",
@@ -368,7 +370,7 @@ def _found(docs: DataFrame, k: int, num: int, den: int, id_col: str, text_col: s
         with scope(spark):
             with scope(spark):  # the lists' shuffles go before the sets'
                 possible = kept(marked(marked(pairs, "u"), "v").where(_alike(num, den)).select("u", "v"), f"{name}-pairs")
-            return None if possible.isEmpty() else kept(_links(src, possible, k, num, den), f"{name}-links")
+            return None if possible.isEmpty() else kept(_links(src, possible, marks.select("cid", "name"), k, num, den), f"{name}-links")
 
     def mixed(lists: DataFrame, roots: DataFrame) -> DataFrame:
         """(key, cid, n, root, main): those of ``lists``, without their first class, that more than one component is in."""
