@@ -193,6 +193,40 @@ def test_lines_share_brute(spark):
     assert got == want and 60 < sum(len(v[1]) for v in want.values()) < len(lines) - 60
 
 
+def test_lines_share_long(spark):
+    """Places in a line of 300,000 characters are beyond 31 bits when multiplied; bytes that are no text stay bytes."""
+    rng = random.Random(8)
+    say = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n)) + "x"
+    long, short = say(300_000), say(90)
+    docs = [(1, f"{long}\n{short}"), (2, f"{say(90)}\n{short[:40]}!{short[40:]}"), (3, long)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bad = spark.createDataFrame([(4, bytearray(b"\xff\xfe and a line of forty characters \xc3( so")), (5, bytearray(b"\xff\xfe and a line of forty characterz \xc3( so"))], "doc_id long, text binary")
+    df = df.union(bad.selectExpr("doc_id", "cast(text as string)"))
+    got = {r.doc_id: (r.n_lines, list(r.dropped)) for r in line_dedup.repeated_lines(df, share=line_dedup.SHARE).collect()}
+    assert got == {1: (2, []), 2: (2, [1]), 3: (1, [0]), 4: (1, []), 5: (1, [0])}
+
+
+def test_lines_share_rounds(spark, monkeypatch):
+    """The rounds of lengths decide as one does, and places without a segment like them go no further than the filter."""
+    rng = random.Random(14)
+    say = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n)) + "x"
+    lines = [say(n) for n in range(20, 400)]
+    near = [x[: len(x) // 2] + "QRSTUVWXYZ"[: len(x) // 20] + x[len(x) // 2 :] for x in lines]  # into the next round, some
+    df = spark.createDataFrame(list(enumerate([*lines, *near])), "doc_id long, text string").repartition(2)
+    rows, written = {}, line_dedup.written
+
+    def counted(table, name):
+        out = written(table, name)
+        rows[name] = rows.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "written", counted)
+    monkeypatch.setattr(line_dedup, "MOST", 300)
+    got = {r.doc_id: r.n_dropped for r in line_dedup.repeated_lines(df, share=line_dedup.SHARE).collect()}
+    assert got == {i: int(i >= len(lines)) for i in range(2 * len(lines))}
+    assert 0 < rows["hits"] < sum(map(len, [*lines, *near])) // 10
+
+
 def test_lines_odd(odd, none):
     got = {r.doc_id: (r.n_lines, r.n_dropped, list(r.dropped)) for r in line_dedup.repeated_lines(odd).collect()}
     assert set(got) == {r[0] for r in ROWS}
